@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_cleaning, queries_qc  # noqa: F401
+from . import queries_cleaning, queries_corrections, queries_qc  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -227,7 +227,6 @@ def sensor_raw(spark, sf):
     return l0(spark, sf).select("glider_id", F.explode(structs).alias("x")).select("glider_id", "x.*").filter("v IS NOT NULL")
 
 
-RAW = (L0_CTE, RAW_SQL.replace("raw AS (", "raw AS (SELECT * FROM (").rstrip(")") + ") WHERE v IS NOT NULL)")
 RAW = (L0_CTE, "raw AS (SELECT * FROM (" + RAW_SQL[len("raw AS (") : -1] + ") WHERE v IS NOT NULL)")
 
 
@@ -353,7 +352,7 @@ def display_clamp(spark, sf):
     "uncalibrated_channels",
     sql(
         "SELECT *, v_max > plausible_max AS uncalibrated FROM ("
-        + " UNION ALL ".join(f"SELECT glider_id, '{v}' AS variable, round(max({v}), 6) AS v_max, {m} AS plausible_max FROM l0 GROUP BY 1" for v, m in cl.PLAUSIBLE_MAX.items())
+        + " UNION ALL ".join(f"SELECT glider_id, '{v}' AS variable, round(max({v}), 6) AS v_max, CAST({m} AS DOUBLE) AS plausible_max FROM l0 GROUP BY 1" for v, m in cl.PLAUSIBLE_MAX.items())
         + ")"
     ),
 )
@@ -399,7 +398,7 @@ NEAR = "t_s + CASE WHEN seq % 6 = 2 THEN -14.995 ELSE 0.0 END"
 @query(
     "drop_near_duplicates",
     sql(
-        f"SELECT glider_id, t FROM (SELECT glider_id, t, t - lag(t) OVER (PARTITION BY glider_id ORDER BY t) AS d FROM (SELECT glider_id, {NEAR} AS t FROM l0)) WHERE NOT coalesce(d <= 0.01, false)"
+        f"SELECT glider_id, t FROM (SELECT glider_id, t, t - lag(t) OVER (PARTITION BY glider_id ORDER BY t) AS d FROM (SELECT glider_id, CAST({NEAR} AS DOUBLE) AS t FROM l0)) WHERE NOT coalesce(d <= 0.01, false)"
     ),
 )
 def near_duplicates(spark, sf):

@@ -337,7 +337,7 @@ SLICE_CTES = cascades_sql(
     "qc_share_good",
     sql(
         "SELECT glider_id, variable, count(*) AS n, "
-        + ", ".join(f"sum(CASE WHEN qc = {k} THEN 1 ELSE 0 END) AS n_{k}" for k in (1, 2, 3, 4, 9))
+        + ", ".join(f"CAST(sum(CASE WHEN qc = {k} THEN 1 ELSE 0 END) AS BIGINT) AS n_{k}" for k in (1, 2, 3, 4, 9))
         + ", round(100.0*sum(CASE WHEN qc IN (1, 2) THEN 1 ELSE 0 END)/count(*), 2) AS pct_good FROM ("
         + " UNION ALL ".join(f"SELECT glider_id, '{v}' AS variable, {v}_QC AS qc FROM fl" for v in QC_VARIABLES)
         + ") GROUP BY 1, 2",
