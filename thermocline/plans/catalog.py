@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_cleaning, queries_corrections, queries_grid, queries_qc  # noqa: F401
+from . import queries_align, queries_cleaning, queries_corrections, queries_grid, queries_qc, queries_segments  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

