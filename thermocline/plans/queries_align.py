@@ -247,7 +247,7 @@ RAD_LAT1, RAD_LAT2 = "atan((1 - 1/298.257223563)*tan(radians(la)))", "atan((1 -
 @query(
     "subsurface_speed",
     sql(
-        """SELECT glider_id, t_s, seq, round(latitude, 4) AS latitude, round(longitude, 4) AS longitude, round(v, 4) AS speed, coalesce(v > 3, true) AS too_fast FROM (
+        """SELECT glider_id, t_s, seq, round(CAST(latitude AS DOUBLE), 4) AS latitude, round(CAST(longitude AS DOUBLE), 4) AS longitude, round(v, 4) AS speed, coalesce(v > 3, true) AS too_fast FROM (
         SELECT *, la AS latitude, lo AS longitude, CASE WHEN sg = 0 THEN 0 ELSE 6378137.0*(sg - (1/298.257223563)/2*((sg - sin(sg))*pow(sin((b1 + b2)/2)*cos((b2 - b1)/2), 2)/pow(cos(sg/2), 2) + (sg + sin(sg))*pow(cos((b1 + b2)/2)*sin((b2 - b1)/2), 2)/pow(sin(sg/2), 2))) END/abs(t_s - ft) AS v
         FROM (SELECT *, 2*asin(sqrt(least(1, pow(sin((b2 - b1)/2), 2) + cos(b1)*cos(b2)*pow(sin(radians(flo - lo)/2), 2)))) AS sg FROM (SELECT *, """
         + RAD_LAT1 + " AS b1, " + RAD_LAT2

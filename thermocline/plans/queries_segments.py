@@ -156,7 +156,7 @@ def mtime(spark, sf):
 @query(
     "segment_lines",
     sql(
-        """SELECT glider_id, phase, phase_number, CAST(part AS BIGINT) AS part, count(*) AS n_points, min(t_s) AS t_first, max(t_s) AS t_last, round(arg_min(longitude, t_s), 6) AS first_longitude, round(arg_max(latitude, t_s), 6) AS last_latitude FROM (
+        """SELECT glider_id, phase, phase_number, CAST(part AS BIGINT) AS part, count(*) AS n_points, min(t_s) AS t_first, max(t_s) AS t_last, round(CAST(arg_min(longitude, t_s) AS DOUBLE), 6) AS first_longitude, round(CAST(arg_max(latitude, t_s) AS DOUBLE), 6) AS last_latitude FROM (
         SELECT *, i // 4 AS part FROM sl UNION ALL SELECT *, i // 4 + 1 FROM sl WHERE i % 4 = 3 AND i < mx) GROUP BY 1, 2, 3, 4""",
         L0_CTE, PHASE_CTE,
         "sl AS (SELECT glider_id, phase, phase_number, t_s, latitude, longitude, row_number() OVER p - 1 AS i, count(*) OVER (PARTITION BY glider_id, phase, phase_number) - 1 AS mx FROM (SELECT * REPLACE (CASE WHEN seq % 3 < 2 THEN 12.0 + 0.001*seq END AS latitude, 70.0 + 0.001*seq AS longitude) FROM ph) WHERE latitude IS NOT NULL WINDOW p AS (PARTITION BY glider_id, phase, phase_number ORDER BY t_s))",
