@@ -36,7 +36,7 @@ def initial_flag(value: Column, was_missing: Column) -> Column:
 
 
 # --- test lists as 64-bit words in 16 hexadecimal digits --------------------------------
-def tests_to_hex(tests: Column) -> Column:
+def hex_of_tests(tests: Column) -> Column:
     word = F.aggregate(
         F.array_distinct(tests),
         F.lit(0).cast("bigint"),
@@ -51,7 +51,7 @@ def hex_to_word(text: Column) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
-def hex_to_tests(text: Column) -> Column:
+def list_of_hex(text: Column) -> Column:
     word = hex_to_word(text)
     return F.filter(
         F.sequence(F.lit(1), F.lit(63)), lambda k: F.call_function("bit_get", word, k) == 1

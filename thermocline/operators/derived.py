@@ -58,7 +58,7 @@ def counts_to_units(df: DataFrame, calibration: DataFrame, variable: str, out: s
     return joined.withColumn(out, (F.col(variable) - F.col("c_dark")) * F.col("c_scale")).drop("c_dark", "c_scale")
 
 
-def seawater_scattering(t: str, s: str, wavelength: float, angle: float) -> list[tuple[str, str]]:
+def seawater_scattering(t: str, s: str, wavelength: float, angle: str) -> list[tuple[str, str]]:
     """Stages ending in `beta_sw`, the scattering of seawater at one wavelength and angle."""
     lam, root = literal(wavelength), f"sqrt({s})"
     n0, n1, n2, n3, n4, n5, n6, n7, n8, n9 = (literal(v) for v in INDEX)
@@ -66,7 +66,7 @@ def seawater_scattering(t: str, s: str, wavelength: float, angle: float) -> list
     air = literal(1.0 + (5792105.0 / (238.0185 - um2) + 167917.0 / (57.362 - um2)) / 1e8)
     d = DEPOLARISATION
     front = math.pi**2 * (wavelength * 1e-9) ** -4 * (6 + 6 * d) / (6 - 7 * d)
-    spread = 1 + math.cos(math.radians(angle)) ** 2 * (1 - d) / (1 + d)
+    cosine = f"cos(radians({angle}))"
     return [
         ("b_n", f"{air}*({n0} + ({n1} + {n2}*{t} + {n3}*{t}*{t})*{s} + {n4}*{t}*{t} + ({n5} + {n6}*{s} + {n7}*{t})/{lam} + {n8}/({lam}*{lam}) + {n9}/({lam}*{lam}*{lam}))"),
         ("b_dn", f"{air}*({n1} + {n2}*{t} + {n3}*{t}*{t} + {n6}/{lam})"),
@@ -76,7 +76,7 @@ def seawater_scattering(t: str, s: str, wavelength: float, angle: float) -> list
         ("b_pol", "(b_n*b_n - 1e0)*(1e0 + 2e0/3e0*(b_n*b_n + 2e0)*(b_n/3e0 - 1e0/(3e0*b_n))*(b_n/3e0 - 1e0/(3e0*b_n)))"),
         ("b_df", f"{literal(front / 2 * BOLTZMANN)}*({t} + 273.15e0)*b_iso*b_pol*b_pol"),
         ("b_cf", f"{literal(2 * front / AVOGADRO * WATER_MOLE)}*b_n*b_n*{s}*b_dn*b_dn/b_rho/(-b_act)"),
-        ("beta_sw", f"(b_df + b_cf)*{literal(spread)}"),
+        ("beta_sw", f"(b_df + b_cf)*(1e0 + {cosine}*{cosine}*{literal((1 - d) / (1 + d))})"),
     ]
 
 
@@ -87,7 +87,7 @@ def backscatter(df: DataFrame, calibration: DataFrame, variable: str, wavelength
     Returns (glider_id, t_s, <variable>, <out>).
     """
     joined = with_coefficients(ctd_at_samples(df, variable), calibration, variable, ["dark", "scale", "chi", "angle"])
-    stages = seawater_scattering("temperature_at", "salinity_at", wavelength, 124.0)
+    stages = seawater_scattering("temperature_at", "salinity_at", wavelength, "c_angle")
     for name, text in stages:
         joined = joined.withColumn(name, F.expr(text))
     raw = F.coalesce((F.col(variable) - F.col("c_dark")) * F.col("c_scale"), F.col(variable))

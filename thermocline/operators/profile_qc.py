@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.flags import hex_to_tests, tests_to_hex
+from ..functions.flags import list_of_hex, hex_of_tests
 from ..functions.seawater import density_of, with_seawater
 from ..session import materialise
 from .ordered import Runs, number_by_time, number_rows, stats_join
@@ -127,21 +127,21 @@ def profile_tests(df: DataFrame, variables: list[str]) -> DataFrame:
     return _raise(out, {v: (lost & F.col(v).isNotNull(), 4) for v in variables}).drop("__stuck_pressure")
 
 
-def test_report(df: DataFrame) -> DataFrame:
+def report_tests(df: DataFrame) -> DataFrame:
     """Done and failed test lists per profile as hexadecimal words."""
     numbers = [8, 12, 13, 14]
     failed = [F.when(F.bool_or(F.col(f"failed_{k}")), F.lit(k)) for k in numbers]
     compact = lambda items: F.array_compact(F.array(*items))
     done = F.array(*[F.lit(k) for k in numbers])
     return df.filter(F.col("profile_index").isNotNull()).groupBy(*PROFILE).agg(
-        tests_to_hex(done).alias("done_hex"), tests_to_hex(compact(failed)).alias("failed_hex")
+        hex_of_tests(done).alias("done_hex"), hex_of_tests(compact(failed)).alias("failed_hex")
     )
 
 
 def failed_tests(reports: DataFrame, numbers: list[int]) -> DataFrame:
     """Latest report per (glider, profile) as one column per test number."""
     last = reports.groupBy(*PROFILE).agg(F.max_by("failed_hex", "date").alias("hex"))
-    tests = hex_to_tests(F.col("hex"))
+    tests = list_of_hex(F.col("hex"))
     return last.select(*PROFILE, *[F.array_contains(tests, k).cast("int").alias(f"test_{k}") for k in numbers])
 
 

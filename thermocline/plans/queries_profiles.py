@@ -100,7 +100,7 @@ WORD = "lpad(upper(to_hex(CAST({0} AS UBIGINT))), 16, '0')"
 @query("profile_test_report", sql(
     f"SELECT glider_id, profile_index, '{(1 << 8) + (1 << 12) + (1 << 13) + (1 << 14):016X}' AS done_hex, " + WORD.format(" + ".join(f"CASE WHEN bool_or(failed_{k}) THEN {1 << k} ELSE 0 END" for k in (8, 12, 13, 14))) + " AS failed_hex FROM ft GROUP BY 1, 2", *TESTS))
 def report(spark, sf):
-    return pq.test_report(pq.profile_tests(altered(spark, sf), TESTED))
+    return pq.report_tests(pq.profile_tests(altered(spark, sf), TESTED))
 
 
 REPORT_SQL = "rp AS (SELECT glider_id, profile_index, 1 + seq % 3 AS d, bit_or(CAST(1 AS UBIGINT) << CAST(1 + (seq*5) % 20 AS INT)) AS w FROM l0 GROUP BY 1, 2, 3)"
@@ -108,10 +108,10 @@ REPORT_SQL = "rp AS (SELECT glider_id, profile_index, 1 + seq % 3 AS d, bit_or(C
 
 @query("profile_failed_tests", sql("SELECT glider_id, profile_index, " + ", ".join(f"CAST((arg_max(w, d) >> {k}) & 1 AS INT) AS test_{k}" for k in range(1, 21)) + " FROM rp GROUP BY 1, 2", L0_CTE, REPORT_SQL))
 def failed(spark, sf):
-    from ..functions.flags import tests_to_hex
+    from ..functions.flags import hex_of_tests
 
     k = (1 + (F.col("seq") * 5) % 20).cast("int")
-    reports = l0(spark, sf).groupBy("glider_id", "profile_index", (1 + F.col("seq") % 3).alias("date")).agg(tests_to_hex(F.collect_set(k)).alias("failed_hex"))
+    reports = l0(spark, sf).groupBy("glider_id", "profile_index", (1 + F.col("seq") % 3).alias("date")).agg(hex_of_tests(F.collect_set(k)).alias("failed_hex"))
     return pq.failed_tests(reports, list(range(1, 21)))
 
 
@@ -173,7 +173,7 @@ CTD_SQL = """cs AS (SELECT x.glider_id, x.t_s, x.backscatter_700 AS beta, """ +
 
 
 for band in (470, 532, 700, 880):
-    STAGES = dv.seawater_scattering("temperature", "salinity", float(band), 124.0)
+    STAGES = dv.seawater_scattering("temperature", "salinity", float(band), "124e0")
     CHAIN = ", ".join(f"bs_{k + 1} AS (SELECT *, {text} AS {name} FROM {'cs' if k == 0 else f'bs_{k}'})" for k, (name, text) in enumerate(STAGES))
 
     @query(f"derive_backscatter_{band}", sql(f"SELECT glider_id, t_s, round(CASE WHEN {HAS} THEN 2*pi()*1.076*((beta - 0.05)*1.2 - beta_sw) END, 9) AS bbp FROM bs_{len(STAGES)}", L0_CTE, CTD_SQL, CHAIN))

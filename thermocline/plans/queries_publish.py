@@ -240,9 +240,9 @@ def dates(spark, sf):
     "SELECT glider_id, profile_index, list_sort(list(DISTINCT k)) AS tests, lpad(upper(to_hex(bit_or(CAST(1 AS UBIGINT) << k))), 16, '0') AS word FROM (SELECT glider_id, profile_index, CAST(1 + (seq*7) % 63 AS INT) AS k FROM l0) GROUP BY 1, 2"))
 def test_lists(spark, sf):
     k = (1 + (F.col("seq") * 7) % 63).cast("int")
-    word = flags.tests_to_hex(F.collect_set(k))
+    word = flags.hex_of_tests(F.collect_set(k))
     out = l0(spark, sf).groupBy("glider_id", "profile_index").agg(word.alias("word"))
-    return out.withColumn("tests", flags.hex_to_tests(F.col("word")))
+    return out.withColumn("tests", flags.list_of_hex(F.col("word")))
 
 
 @query("expressions_names", sql("SELECT variable_name, family, count(*) AS n FROM ml GROUP BY 1, 2", *L1, LONG_CTE))

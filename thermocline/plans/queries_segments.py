@@ -172,3 +172,10 @@ def lines(spark, sf):
         F.round(F.col("points")[0]["longitude"], 6).alias("first_longitude"),
         F.round(F.element_at("points", -1)["latitude"], 6).alias("last_latitude"),
     )
+
+
+@query("detect_phases")
+def phases(spark, sf):
+    from ..operators.phases import detect_phases
+
+    return detect_phases(l0(spark, sf).select("glider_id", "t_s", "seq", "pressure"))
