@@ -113,18 +113,20 @@ class Runs:
             )
             framed = framed.join(summary.hint("shuffle_hash"), [*keys, "__run"], "left")
         if self.nxt:
-            onward = run_order.rowsBetween(0, Window.unboundedFollowing)
+            # frames that end at the last row are evaluated backwards: growing frames cost one pass
+            onward = Window.partitionBy(*keys).orderBy(F.desc("__run")).rowsBetween(Window.unboundedPreceding, 0)
             summary = df.groupBy(*keys, F.floor((s - after) / n).alias("__run")).agg(
                 *[F.min_by(e, F.when(e.isNotNull(), s)).alias(f"__next_{k}") for k, e in self.nxt.items()]
             )
             summary = summary.select(
                 *keys,
                 (F.col("__run") - 1).alias("__run"),
-                *[F.first(f"__next_{k}", ignorenulls=True).over(onward).alias(f"__next_{k}") for k in self.nxt],
+                *[F.last(f"__next_{k}", ignorenulls=True).over(onward).alias(f"__next_{k}") for k in self.nxt],
             )
             framed = framed.join(summary.hint("shuffle_hash"), [*keys, "__run"], "left")
         self.df = framed
         self.w = Window.partitionBy(*keys, "__run").orderBy(seq)
+        self.back = Window.partitionBy(*keys, "__run").orderBy(F.desc(seq))
 
     # -- window expressions -------------------------------------------------------------
     def lag(self, col: str | Column, k: int = 1) -> Column:
@@ -144,7 +146,7 @@ class Runs:
 
     def after(self, name: str) -> Column:
         """First non-null value strictly after the row."""
-        inside = F.first(self.nxt[name], ignorenulls=True).over(self.w.rowsBetween(1, Window.unboundedFollowing))
+        inside = F.last(self.nxt[name], ignorenulls=True).over(self.back.rowsBetween(Window.unboundedPreceding, -1))
         return F.coalesce(inside, F.col(f"__next_{name}"))
 
     def onward(self, name: str) -> Column:
