@@ -1,0 +1 @@
+"""No streaming operator exists to match; `operators.publish.load_parquet` can serve as a `foreachBatch` sink."""
