@@ -10,9 +10,8 @@ from thermocline.session import build_session
 
 HEADLINE = [
     "qc_share_good", "qc_all_tests", "clean_chain", "correct_physics_chain", "correct_optics_chain", "correct_oxygen_lag",
-    "sync_sensors", "positions_at_rows", "detect_profiles", "grid_profiles", "grid_time_bins", "section_depth_anomaly",
-    "section_mixed_layer_depth", "measurement_long", "wide_view", "idempotent_load", "qc_summary_view", "profile_tests",
-    "diagnose_gps", "report_cadence",
+    "sync_sensors", "detect_profiles", "grid_profiles", "grid_time_bins", "section_mixed_layer_depth", "measurement_long",
+    "wide_view", "idempotent_load", "profile_tests",
 ]
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DISPLAY_RANGE, FACTORY_BOX, PLAUSIBLE_MAX, SCIENCE_RANGE
+from ..session import materialise
 from .ordered import Runs, exact_quantiles, number_by_time, number_rows, stats_join, with_quantiles
 
 HALF_YEAR = 182.5 * 86_400
@@ -138,7 +139,9 @@ def pre_clean(df: DataFrame, deployment: DataFrame | None = None) -> DataFrame:
     if deployment is not None:
         df = crop_time(df, deployment)
     df = blank_factory_waypoints(blank_null_island(drop_factory_box(df)))
-    df = drop_wrong_hemisphere(keep_modal_years(blank_absurd_temperature(df)))
+    # each of the next steps reads the rows twice: once for its statistics, once to apply them
+    df = materialise(keep_modal_years(blank_absurd_temperature(df)))
+    df = materialise(drop_wrong_hemisphere(df))
     return number_by_time(strip_test_dives(df).drop("seq"))
 
 

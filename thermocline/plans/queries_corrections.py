@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning as cl
 from ..operators import corrections as co
+from ..session import materialise
 from .common import L0_CTE, SCREENED_CTE, rounded, sql
 from .fixture import l0
 from .registry import query
@@ -148,7 +149,7 @@ def horizontal(spark, sf):
     ),
 )
 def physics(spark, sf):
-    out = co.physics_chain(screened(spark, sf))
+    out = co.physics_chain(materialise(screened(spark, sf)))
     return rounded(out.select("glider_id", "t_s", *PHYSICS, *[f"{v}_processed" for v in PHYSICS]))
 
 
@@ -243,7 +244,7 @@ OPTICS_CTES = (
     ),
 )
 def optics(spark, sf):
-    out = co.optics_chain(screened(spark, sf))
+    out = co.optics_chain(materialise(screened(spark, sf)))
     digits = {"chlorophyll_corrected": 5, "cdom_corrected": 5}
     names = [*OPTICS, *[f"{v}_corrected" for v in OPTICS]]
     return out.select("glider_id", "t_s", *[F.round(c, digits.get(c, 6)).alias(c) for c in names])

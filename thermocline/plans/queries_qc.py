@@ -18,6 +18,7 @@ from ..schema import (
     SPIKE_LIMITS,
     STUCK_VARIABLES,
 )
+from ..session import materialise
 from .common import SCREENED_CTE, rounded, sql
 from .fixture import l0
 from .registry import query
@@ -318,7 +319,8 @@ FULL_CTES = cascades_sql(
 
 def flagged(spark, sf_dir):
     """Screened series with the flags of every test."""
-    return qc.flag_series(with_seawater(screened(spark, sf_dir)), 1000.0, F.lit(NOW))
+    # the tests read the series several times: write it once, as a production table would be
+    return qc.flag_series(materialise(with_seawater(screened(spark, sf_dir))), 1000.0, F.lit(NOW))
 
 
 @query("qc_all_tests", sql(f"SELECT glider_id, t_s, {', '.join(v + '_QC' for v in QC_VARIABLES)} FROM fl", *FULL_CTES))
