@@ -294,7 +294,36 @@ def summary(spark, sf):
     return rounded(out.drop("coverage", "flags", "issues", "gaps"))
 
 
-@query("verification_issues")
+def issue(name, severity, body):
+    return f"SELECT glider_id, '{name}' AS \"check\", '{severity}' AS severity, n FROM ({body}) WHERE n > 0"
+
+
+PAIRS = "SELECT *, lag(profile_index) OVER w AS pp, lag(temperature) OVER w AS pt, lag(salinity) OVER w AS ps FROM fa WHERE temperature IS NOT NULL AND salinity IS NOT NULL WINDOW w AS (PARTITION BY glider_id ORDER BY t_s)"
+FIXES = "SELECT *, lag(profile_index) OVER w AS pp, latitude - lag(latitude) OVER w AS dy, longitude - lag(longitude) OVER w AS dx, avg(latitude) OVER (PARTITION BY glider_id) AS ml FROM fa WHERE latitude IS NOT NULL AND longitude IS NOT NULL WINDOW w AS (PARTITION BY glider_id ORDER BY t_s)"
+SPREAD = "SELECT glider_id, sqrt(pow(latitude - m, 2) + pow((longitude - k)*cos(radians(m)), 2)) AS d FROM fa JOIN (SELECT glider_id, quantile_cont(latitude, 0.5) AS m, quantile_cont(longitude, 0.5) AS k FROM fa WHERE latitude IS NOT NULL GROUP BY 1) USING (glider_id) WHERE latitude IS NOT NULL"
+count_over = lambda cond, source: f"SELECT glider_id, {cnt(cond)} AS n FROM {source} GROUP BY 1"
+ISSUES = [
+    issue("latitude mostly missing", "critical", f"SELECT glider_id, CASE WHEN {cnt('latitude IS NULL')} > 0.5*count(*) THEN {cnt('latitude IS NULL')} END AS n FROM fa GROUP BY 1"),
+    issue("latitude impossible", "warning", count_over("abs(latitude) > 90", "fa")),
+    issue("longitude impossible", "warning", count_over("abs(longitude) > 180", "fa")),
+    issue("far from track", "warning", count_over("d > 10", f"({SPREAD})")),
+    issue("position jumps", "warning", count_over("pp = profile_index AND sqrt(pow(dy*111.32, 2) + pow(dx*111.32*cos(radians(ml)), 2)) > 50", f"({FIXES})")),
+    issue("temperature low", "warning", count_over("temperature < -2.5", "fa")),
+    issue("temperature high", "warning", count_over("temperature > 40", "fa")),
+    issue("salinity low", "warning", count_over("salinity < 2", "fa")),
+    issue("salinity high", "warning", count_over("salinity > 41", "fa")),
+    issue("temperature jumps", "warning", count_over("pp = profile_index AND abs(temperature - pt) > 10", f"({PAIRS})")),
+    issue("salinity jumps", "warning", count_over("pp = profile_index AND abs(salinity - ps) > 5", f"({PAIRS})")),
+    issue("temperature bad, salinity not", "critical", count_over("temperature_QC = 4 AND salinity_QC NOT IN (4, 9)", "fa")),
+    issue("temperature missing, salinity not", "warning", count_over("temperature_QC = 9 AND salinity_QC <> 9", "fa")),
+    *[
+        issue(f"pressure bad or missing, {v} not", "critical", count_over(f"pressure_QC IN (4, 9) AND {v}_QC NOT IN (4, 9)", "fa"))
+        for v in ("temperature", "salinity", "oxygen_concentration", "chlorophyll")
+    ],
+]
+
+
+@query("verification_issues", sql(" UNION ALL ".join(ISSUES), *FLAGS, FULLQ))
 def issues(spark, sf):
     return rp.verification_issues(simple_flags(spark, sf))
 
