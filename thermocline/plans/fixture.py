@@ -47,6 +47,7 @@ L0_SQL = (
 
 def l0(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aligned series: one row per (glider, time), `seq` counting rows per glider."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates and keys are defined in UTC
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", "ts", "event_type", "value", (F.col("user_id") % 3).alias("g")
     )
