@@ -253,7 +253,8 @@ def simple_flags(spark, sf):
     from .queries_qc import screened
 
     base = qc.raise_all(qc.start_flags(screened(spark, sf)), [(qc.out_of_range(v), 4, [v]) for v in GLOBAL_RANGE])
-    return qc.apply_cascades(base)
+    # written once, like the stored series: filters on flags then read columns, not nested expressions
+    return materialise(qc.apply_cascades(base))
 
 
 def simple_flag_ctes():
