@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bpe
+from thermocline.llm import bpe, line_dedup, token_counts
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,3 +22,28 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op3_line_dedup",
+    """WITH split AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+lines AS (SELECT source, doc_id, unnest(list_distinct(list_transform(lines, lambda x: trim(x, ' ')))) AS line FROM split),
+totals AS (SELECT source, count(*) AS n_host FROM documents GROUP BY source),
+dropped AS (SELECT l.source, l.line FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source WHERE l.line <> ''
+  GROUP BY l.source, l.line, t.n_host HAVING count(*) >= 5 AND count(*) > 0.05 * t.n_host),
+lists AS (SELECT source, list(line) AS gone FROM dropped GROUP BY source),
+kept AS (SELECT s.doc_id, s.source, s.lines, s.text, l.gone,
+  list_filter(s.lines, lambda x: l.gone IS NULL OR NOT list_contains(l.gone, trim(x, ' '))) AS rest
+  FROM split s LEFT JOIN lists l ON s.source IS NOT DISTINCT FROM l.source)
+SELECT doc_id, source, CASE WHEN gone IS NULL THEN text ELSE array_to_string(rest, chr(10)) END AS text,
+  coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(rest), 0)::BIGINT AS n_dropped FROM kept""",
+)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines on over 5 % of its source's documents."""
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, quantile ranks and truncated totals of all documents, a row for every distinct length."""
+    return token_counts.answers(token_counts.histogram(table(spark, sf_dir, "documents"), WORD_BPE))
