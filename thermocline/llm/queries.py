@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bpe, line_dedup, token_counts
+from thermocline.llm import bpe, line_dedup, minhash, token_counts
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -47,3 +47,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, quantile ranks and truncated totals of all documents, a row for every distinct length."""
     return token_counts.answers(token_counts.histogram(table(spark, sf_dir, "documents"), WORD_BPE))
+
+
+@query("op7_minhash")
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document, over links of similarity 0.75 or more on five-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
