@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bpe, line_dedup, minhash, token_counts
+from thermocline.llm import bpe, decontamination, line_dedup, minhash, token_counts
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -53,3 +53,35 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document, over links of similarity 0.75 or more on five-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _words_sql(name: str, key: str) -> str:
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, regexp_extract_all({small}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM {name}"
+
+
+@query(
+    "op6_decontamination",
+    f"""WITH d AS ({_words_sql('documents', 'doc_id')}), b AS ({_words_sql('benchmark', 'item_id')}),
+win AS (SELECT DISTINCT item_id, least(len(ws), 10) AS k, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win) WHERE len(ws) >= k)),
+hit AS (SELECT DISTINCT doc_id, i, k, item_id FROM dw JOIN win USING (k, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(d.ws), 0)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items.names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items."""
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
