@@ -190,11 +190,11 @@ class Encoder:
             self.forget()
         index = self.index
         words = [self.vocabulary.chunks(t) if t else [] for t in texts]
-        new = list(set(chain.from_iterable(words)) - index.keys())
+        new = list(set(chain.from_iterable(words)).difference(index))
         if new:
             special = self.vocabulary.special
             pieces = [self.vocabulary.pieces(c) for c in new]
-            distinct = list(set(chain.from_iterable(pieces)) - special.keys())
+            distinct = list(set(chain.from_iterable(pieces)).difference(special))
             ids = dict(zip(distinct, self.vocabulary.encode_words(distinct))) | {s: [i] for s, i in special.items()}
             encoded = [ids[p[0]] if len(p) == 1 else list(chain.from_iterable(map(ids.__getitem__, p))) for p in pieces]
             first = len(self.lengths)

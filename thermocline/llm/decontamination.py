@@ -38,7 +38,7 @@ def words_of(text: str | None) -> list[bytes]:
 def _hashes(words: list[bytes]) -> np.ndarray:
     if len(_memory) > REMEMBERED:
         _memory.clear()
-    for w in set(words) - _memory.keys():
+    for w in set(words).difference(_memory):
         _memory[w] = xxhash.xxh3_64_intdigest(w) - 2**63
     return np.fromiter(map(_memory.__getitem__, words), np.int64, len(words))
 

@@ -24,7 +24,7 @@ SAMPLE_PER_CLASS = 2000
 FEATURES = 4000
 THRESHOLD = 0.3
 #: Chunks whose features a worker remembers; past it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 #: What a character may stand for, and the channel's cost of it (natural logarithm). Fixed values.
 STANDS_FOR = {
@@ -41,6 +41,7 @@ _NOISY = re.compile(rf"[^\W\d_][{_LETTER_SYMBOLS}]+[^\W\d_]|^[{_LETTER_SYMBOLS}]
 #: Three or more single characters with one blank between.
 _SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: [\w@$!|+]){2,}(?!\S)")
 _WORD = re.compile(r"[^\W\d_]+")
+_TRIPLE = re.compile(r"(.)\1\1")
 
 _SIZE = 27
 #: Code of a Latin letter without its accents (1-26) by code point; others: 0, the word's border.
@@ -195,35 +196,52 @@ class Counter:
     def __init__(self, costs: np.ndarray, known: dict[str, int] | None = None):
         self.restorer = Restorer(costs)
         self.known = known
-        self.memory: dict[str, tuple[int, list]] = {}
+        self.forget()
 
-    def parts(self, chunk: str) -> tuple[int, list]:
-        """Number of words of a chunk, and their stems."""
-        words = _WORD.findall(self.restorer.chunk(chunk))
-        found = [s for w in words for s in stems(w)]
-        return len(words), found if self.known is None else [self.known[s] for s in found if s in self.known]
+    def forget(self) -> None:
+        #: Of a chunk without stems its number of words; of another -1 less its place in parts.
+        self.memory: dict[str, int] = {}
+        self.parts: list[tuple[int, list]] = []
+
+    def learn(self, chunk: str) -> int:
+        core = chunk.strip(_EDGE)
+        plain = core.isalpha() and not _TRIPLE.search(core)
+        words = [core] if plain else _WORD.findall(self.restorer.chunk(chunk))
+        known = self.known
+        if known is None:
+            found = [s for w in words for s in stems(w)]
+        else:
+            found = [known[s] for w in words for s in (w[:4], w[:5], w[:6], "=" + w) if s in known]
+            if found:  # a beginning counts once, and not in place of a shorter word
+                found = [known[s] for w in words for s in stems(w) if s in known]
+        if not found:
+            return len(words)
+        self.parts.append((len(words), found))
+        return -len(self.parts)
 
     def counts(self, text: str | None) -> tuple[int, dict]:
         """Number of words of a text, and how often each stem occurs."""
-        if len(self.memory) > REMEMBERED:
-            self.memory.clear()
-        memory = self.memory
-        total, found = 0, {}
+        found: dict = {}
         if not text:
             return 0, found
+        if len(self.memory) > REMEMBERED or len(self.parts) > REMEMBERED:
+            self.forget()
+        memory = self.memory
         text = text.lower()
-        spaced = []
+        spaced: list[str] = []
         if _SPACED.search(text):
             text = _SPACED.sub(lambda m: spaced.append(m.group()) or "\n", text)
         chunks = text.split()
         for chunk in spaced:
             chunks.extend(self.restorer.decode(chunk).split())
-        for chunk in chunks:
-            known = memory.get(chunk)
-            if known is None:
-                known = memory[chunk] = self.parts(chunk)
-            total += known[0]
-            for s in known[1]:
+        for chunk in set(chunks).difference(memory):
+            memory[chunk] = self.learn(chunk)
+        numbers = list(map(memory.__getitem__, chunks))
+        total = sum(numbers)
+        for k in filter((0).__gt__, numbers):
+            words, own = self.parts[-1 - k]
+            total += words - k
+            for s in own:
                 found[s] = found.get(s, 0) + 1
         return total, found
 
@@ -255,11 +273,18 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size: int) -
     index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     share = weight / weight.sum()
-    widest = max([len(r) for r in rows], default=0)
-    step, penalty = 4.0 / (widest + 1), 2e-5
+    penalty = 2e-6
+    # the largest curvature, by power iteration, sets the step
+    v, curve = np.ones(size + 1), 1.0
+    for _ in range(30):
+        z = share * (np.bincount(of, v[index], len(rows)) + v[-1])
+        v = np.append(np.bincount(index, z[of], size), z.sum())
+        curve = float(np.linalg.norm(v)) or 1.0
+        v /= curve
+    step = 4.0 / (1.2 * curve)
     w, ahead = np.zeros(size + 1), np.zeros(size + 1)
     w[-1] = ahead[-1] = np.log((share * y).sum() / (share * (1 - y)).sum())
-    for k in range(600):
+    for k in range(1000):
         z = np.bincount(of, ahead[index], len(rows)) + ahead[-1]
         error = share * (1 / (1 + np.exp(-z)) - y)
         slope = np.append(np.bincount(index, error[of], size), error.sum())
