@@ -251,48 +251,58 @@ def training_labels(labels: DataFrame, key: str = "doc_id", label: str = "toxic"
     return labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (F.crc32(F.col(key).cast("string")) % 4 != 2))
 
 
+def family(stem: str) -> str:
+    """Stems of one beginning are one sign of toxicity, not several."""
+    return stem.lstrip("=")[:4]
+
+
+def _summary(odds: dict[str, float]) -> list[float]:
+    """The three largest log-odds of families, and how many are high; what a text lacks is 0."""
+    best = sorted(odds.values(), reverse=True)
+    top = [max(x, 0.0) for x in best[:3]]
+    return [*top, *[0.0] * (3 - len(top)), float(np.log1p(sum(x > 2 for x in best)))]
+
+
+def _log_odds(n0: float, n1: float, size0: int, size1: int) -> float:
+    return float(np.log((n1 + 0.5) / (size1 + 1)) - np.log((n0 + 0.5) / (size0 + 1)))
+
+
 class Model:
-    """Weights of features (stem, kind)."""
+    """Log-odds of features (stem, kind), and a logistic regression over their summary."""
 
-    def __init__(self, bias: float, weights: dict[tuple[str, int], float]):
-        self.bias = bias
+    def __init__(self, weights: np.ndarray, odds: dict[tuple[str, int], float]):
+        self.weights = weights
         self.stems: dict[str, int] = {}
-        for stem, _ in weights:
+        for stem, _ in odds:
             self.stems.setdefault(stem, len(self.stems))
-        self.weights = np.zeros((len(self.stems), len(COUNTS) + len(SHARES)))
-        for (stem, kind), w in weights.items():
-            self.weights[self.stems[stem], kind] = w
+        self.families = [family(s) for s in self.stems]
+        self.odds = {(self.stems[s], k): x for (s, k), x in odds.items()}
+
+    @staticmethod
+    def prior(positive: float) -> Model:
+        return Model(np.array([0.0, 0, 0, 0, np.log(positive / (1 - positive))]), {})
 
     def score(self, words: int, counts: dict[int, int]) -> float:
-        z = self.bias + sum(self.weights[s, k] for s, n in counts.items() for k in kinds(n, words))
+        best: dict[str, float] = {}
+        for s, n in counts.items():
+            for k in kinds(n, words):
+                x = self.odds.get((s, k))
+                if x is not None and x > best.get(self.families[s], -1e9):
+                    best[self.families[s]] = x
+        z = float(np.dot([*_summary(best), 1.0], self.weights))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size: int) -> tuple[float, np.ndarray]:
-    """Logistic regression with an L2 penalty, by accelerated gradient steps; rows name the features that are one."""
-    index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    share = weight / weight.sum()
-    penalty = 2e-6
-    # the largest curvature, by power iteration, sets the step
-    v, curve = np.ones(size + 1), 1.0
-    for _ in range(30):
-        z = share * (np.bincount(of, v[index], len(rows)) + v[-1])
-        v = np.append(np.bincount(index, z[of], size), z.sum())
-        curve = float(np.linalg.norm(v)) or 1.0
-        v /= curve
-    step = 4.0 / (1.2 * curve)
-    w, ahead = np.zeros(size + 1), np.zeros(size + 1)
-    w[-1] = ahead[-1] = np.log((share * y).sum() / (share * (1 - y)).sum())
-    for k in range(1000):
-        z = np.bincount(of, ahead[index], len(rows)) + ahead[-1]
-        error = share * (1 / (1 + np.exp(-z)) - y)
-        slope = np.append(np.bincount(index, error[of], size), error.sum())
-        slope[:-1] += penalty * ahead[:-1]
-        new = ahead - step * slope
-        ahead = new + k / (k + 3) * (new - w)
-        w = new
-    return float(w[-1]), w[:-1]
+def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Logistic regression with a small L2 penalty, by damped Newton steps; x has a column of ones at its end."""
+    w = np.zeros(x.shape[1])
+    penalty = np.diag([1.0] * (x.shape[1] - 1) + [1e-6])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (p - y)) + penalty @ w
+        curve = (x * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x + penalty
+        w = w - np.linalg.solve(curve, slope)
+    return w
 
 
 def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
@@ -305,7 +315,7 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
     known = training_labels(labels, key, label).groupBy(F.col(key).cast("long").alias("labelled")).agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
-        return Model(0.0 if not totals else (5.0 if totals.get(1) else -5.0), {})
+        return Model.prior(0.5 if not totals else (0.99 if totals.get(1) else 0.01))
     drawn = [known.where(F.col("y") == y).orderBy(F.xxhash64("labelled"), "labelled").limit(SAMPLE_PER_CLASS) for y in (0, 1)]
     ids = stored(drawn[0].union(drawn[1]).coalesce(1), "sample-ids")  # two columns of at most 2 * SAMPLE_PER_CLASS rows
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(ids), F.col("id") == F.col("labelled")).dropDuplicates(["id"])
@@ -313,7 +323,7 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
     shared = spark.sparkContext.broadcast(costs)
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
-        return Model(float(np.log(totals[1] / totals[0])), {})
+        return Model.prior(totals[1] / (totals[0] + totals[1]))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, seen = Counter(shared.value), {}
@@ -328,11 +338,11 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
     seen = sample.select("y", "text").mapInArrow(tally, "stem string, kind int, n0 long, n1 long").groupBy("stem", "kind").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     p0, p1 = F.col("n0") / sizes[0], F.col("n1") / sizes[1]
     pooled = (F.col("n0") + F.col("n1")) / (sizes[0] + sizes[1])
-    z = F.abs(p1 - p0) / F.sqrt(pooled * (1 - pooled) * (1 / sizes[0] + 1 / sizes[1]) + F.lit(1e-9))
-    chosen = seen.where("n0 + n1 >= 3").orderBy(F.desc(z), "stem", "kind").limit(FEATURES).select("stem", "kind").collect()
+    z = (p1 - p0) / F.sqrt(pooled * (1 - pooled) * (1 / sizes[0] + 1 / sizes[1]) + F.lit(1e-9))
+    chosen = seen.where((F.col("n1") >= 3) & (p1 > p0)).orderBy(F.desc(z), "stem", "kind").limit(FEATURES).collect()
     number = {(r["stem"], r["kind"]): k for k, r in enumerate(chosen)}
     if not number:
-        return Model(float(np.log(totals[1] / totals[0])), {})
+        return Model.prior(totals[1] / (totals[0] + totals[1]))
     names: dict[str, int] = {}
     for stem, _ in number:
         names.setdefault(stem, len(names))
@@ -352,8 +362,19 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
     fitted = sample.select("y", "text").mapInArrow(vectors, "y int, features array<int>").collect()
     y = np.array([r["y"] for r in fitted], float)
     weight = np.where(y > 0, totals[1] / sizes[1], totals[0] / sizes[0])
-    bias, w = _fit([np.array(r["features"], np.int64) for r in fitted], y, weight, len(number))
-    return Model(bias, {f: float(w[k]) for f, k in number.items()})
+    x = []
+    for r in fitted:
+        best: dict[str, float] = {}
+        for k in r["features"]:
+            # without the document itself, else it would vouch for its own label
+            n = [chosen[k]["n0"], chosen[k]["n1"]]
+            n[r["y"]] -= 1
+            odds = _log_odds(*n, sizes[0], sizes[1])
+            name = family(chosen[k]["stem"])
+            best[name] = max(odds, best.get(name, -1e9))
+        x.append([*_summary(best), 1.0])
+    weights = _fit(np.array(x), y, weight)
+    return Model(weights, {(r["stem"], r["kind"]): _log_odds(r["n0"], r["n1"], sizes[0], sizes[1]) for r in chosen})
 
 
 def score(docs: DataFrame, model: Model, costs: np.ndarray, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
