@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bpe, decontamination, line_dedup, minhash, token_counts, toxicity
+from thermocline.llm import bpe, decontamination, line_dedup, minhash, pii, secrets, token_counts, toxicity
+from thermocline.llm.spans import count_of, joined, of_kinds
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -92,3 +93,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score for every document; held-out ones give no label to the model."""
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [count_of("spans", k).alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(of_kinds("spans", pii.BASE)), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query("op5_secrets")
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    found = secrets.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [count_of("spans", k).alias(f"n_{k}") for k in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(of_kinds("spans", secrets.BASE)), 256).alias("base_sha256"), joined("spans").alias("spans"))
