@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bpe, decontamination, line_dedup, minhash, pii, secrets, token_counts, toxicity
+from thermocline.llm import bitsliced, bpe, decontamination, line_dedup, minhash, pii, secrets, token_counts, toxicity
 from thermocline.llm.spans import count_of, joined, of_kinds
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
@@ -109,3 +109,18 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [count_of("spans", k).alias(f"n_{k}") for k in secrets.BASE]
     return found.select("doc_id", *counts, F.sha2(joined(of_kinds("spans", secrets.BASE)), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query(
+    "op9_topk",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5""",
+)
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of all vectors, by quantised inner product, to every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return bitsliced.top_k(vectors, vectors.where("vec_id % 50 = 0"))
