@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bitsliced, bpe, decontamination, line_dedup, minhash, pii, secrets, token_counts, toxicity
+from thermocline.llm import bitsliced, bpe, decontamination, html_extract, line_dedup, minhash, pii, secrets, token_counts, toxicity
 from thermocline.llm.spans import count_of, joined, of_kinds
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
@@ -124,3 +124,10 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of all vectors, by quantised inner product, to every vector whose id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
     return bitsliced.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op8_html")
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
