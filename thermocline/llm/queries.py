@@ -91,7 +91,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_toxicity")
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score for every document; held-out ones give no label to the model."""
-    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", "predicted")
 
 

@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from thermocline.llm.bpe import slices
-from thermocline.llm.storage import stored
+from thermocline.llm.storage import fresh, stored
 
 #: Labelled documents of each class that the classifier is fitted on, at most.
 SAMPLE_PER_CLASS = 2000
@@ -377,23 +377,34 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
     return Model(weights, {(r["stem"], r["kind"]): _log_odds(r["n0"], r["n1"], sizes[0], sizes[1]) for r in chosen})
 
 
-def score(docs: DataFrame, model: Model, costs: np.ndarray, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row a document: key, score (0 to 1), predicted (1 from threshold on). Null and empty texts get the bias's score; equal texts get equal scores."""
+def with_scores(docs: DataFrame, model: Model, costs: np.ndarray, text: str = "text", column: str = "score") -> DataFrame:
+    """docs with a score (0 to 1) added, or replaced if it is there. Null and empty texts get the score of a text without any sign; equal texts get equal scores."""
     shared = docs.sparkSession.sparkContext.broadcast((model, costs))
+    kept = [c for c in docs.columns if c != column]
+    rows = docs.select(*(F.col(f"`{c}`") for c in kept))
+    schema = T.StructType([*rows.schema.fields, T.StructField(column, T.DoubleType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, costs = shared.value
         counter = Counter(costs, model.stems)
         for batch in batches:
-            scores = [model.score(*counter.counts(t)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
+            for part in slices(batch, text):
+                scores = [model.score(*counter.counts(t)) for t in part.column(part.schema.get_field_index(text)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*kept, column])
 
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    schema = rows.select("id", F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(run, schema).select(F.col("id").alias(key), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return rows.mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns key, score, predicted for every document, by a model of these documents and labels."""
+def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """docs with score and predicted (1 from threshold on), by a model of these documents and labels. No document moves."""
     costs = character_model(docs, text)
-    return score(docs, train(docs, labels, costs, key, text), costs, key, text)
+    scored = with_scores(docs.drop("predicted"), train(docs, labels, costs, key, text), costs, text)
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """docs without those whose score reaches threshold; all columns stay, whatever their names."""
+    (column,) = fresh(docs, "toxicity_score")
+    costs = character_model(docs, text)
+    scored = with_scores(docs, train(docs, labels, costs, key, text), costs, text, column)
+    return scored.where(F.col(column) < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
