@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from thermocline.llm import bpe, decontamination, line_dedup, minhash, toxicity
 from thermocline.llm.queries import WORD_BPE
 from thermocline.llm.registry import table
+from thermocline.llm.rows import col_of, others
 from thermocline.llm.storage import stored
 
 
@@ -20,7 +21,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     cleaned = line_dedup.drop_boilerplate(docs, n_lines="line_dedup_lines", n_dropped="line_dedup_dropped").drop("line_dedup_lines", "line_dedup_dropped")
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
-    return cleaned.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return cleaned.select(*map(col_of, docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' ids, with digests of them and of what they decode to. Null and empty texts have no ids."""
-    kept = [c for c in docs.columns if c not in ("text", "ids", "decoded")]
+    kept = others(docs, "text", "ids", "decoded")
     coded = bpe.decode(bpe.encode(docs, WORD_BPE).drop("text"), WORD_BPE)
     added = {
         "ids": F.col("ids"),
@@ -43,7 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256),
         "decoded_sha256": F.sha2("decoded", 256),
     }
-    return coded.select(*(F.col(f"`{c}`") for c in kept if c not in added), *(v.alias(k) for k, v in added.items()))
+    return coded.select(*(col_of(c) for c in kept if c not in added), *(v.alias(k) for k, v in added.items()))
 
 
 STAGES = [

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from thermocline.llm.minhash import _grouped
+from thermocline.llm.rows import col_of
 from thermocline.llm.storage import stored
 
 SCALE = 256
@@ -20,10 +21,10 @@ COMPONENT_LIMIT = 2**18
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Columns id, dim, values (floor of SCALE times each component, as double); vectors that are null or hold a null or non-finite component are left out."""
-    fine = F.forall(F.col(f"`{vector}`"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < COMPONENT_LIMIT))
-    rows = vectors.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{vector}`").isNotNull() & F.coalesce(fine, F.lit(False)))
-    values = F.transform(F.col(f"`{vector}`"), lambda x: F.floor(x.cast("double") * SCALE).cast("int"))
-    return rows.select(F.col(f"`{key}`").cast("long").alias("id"), F.size(F.col(f"`{vector}`")).alias("dim"), values.alias("values"))
+    fine = F.forall(col_of(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < COMPONENT_LIMIT))
+    rows = vectors.where(col_of(key).isNotNull() & col_of(vector).isNotNull() & F.coalesce(fine, F.lit(False)))
+    values = F.transform(col_of(vector), lambda x: F.floor(x.cast("double") * SCALE).cast("int"))
+    return rows.select(col_of(key).cast("long").alias("id"), F.size(col_of(vector)).alias("dim"), values.alias("values"))
 
 
 def _packed(rows: DataFrame, size: int, slices: bool) -> DataFrame:

@@ -16,12 +16,11 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import regex
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
+
+from thermocline.llm.rows import add_columns, col_of, slices
 
-#: Characters of texts handled at once in a task; a longer text is handled alone.
-SLICE_CHARS = 1_500_000
 #: Chunks of text between white space whose encodings a worker remembers; past it the memory starts anew.
 REMEMBERED = 600_000
 NO_MERGE = (1 << 40, 0)
@@ -235,20 +234,6 @@ def _encoder(file: str) -> Encoder:
     return _workers[key]
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with a bounded number of characters (bytes), one long text alone at most."""
-    texts = batch.column(batch.schema.get_field_index(column))
-    lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    start, held = 0, 0
-    for k, n in enumerate(lengths):
-        if k > start and held + n > SLICE_CHARS:
-            yield batch.slice(start, k - start)
-            start, held = k, 0
-        held += int(n)
-    if len(lengths) > start:
-        yield batch.slice(start, len(lengths) - start)
-
-
 def read_vocabulary(path: str) -> str:
     """Text of a tokenizer file on the driver's disk; it travels to the executors as a broadcast of a fixed few MB."""
     with open(path, encoding="utf-8") as file:
@@ -262,18 +247,17 @@ def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str =
     encoded whole, equal rows alike. Other columns pass through, whatever their names. No shuffle.
     """
     file = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
-    kept = [c for c in docs.columns if c != ids]
-    schema = T.StructType([*docs.select(*(F.col(f"`{c}`") for c in kept)).schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         encoder = _encoder(file.value)
-        for batch in batches:
-            for part in slices(batch, text):
-                values, ends = encoder.ids(part.column(part.schema.get_field_index(text)).to_pylist())
-                added = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, added], names=[*kept, ids])
 
-    return docs.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema)
+        def compute(texts: pa.Array) -> list[pa.Array]:
+            values, ends = encoder.ids(texts.to_pylist())
+            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))]
+
+        return compute
+
+    return add_columns(docs, [text], {ids: T.ArrayType(T.IntegerType())}, make)
 
 
 def encoded_lengths(docs: DataFrame, vocabulary_path: str, text: str = "text", length: str = "n_tokens") -> DataFrame:
@@ -283,10 +267,10 @@ def encoded_lengths(docs: DataFrame, vocabulary_path: str, text: str = "text", l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(file.value)
         for batch in batches:
-            for part in slices(batch, text):
-                yield pa.RecordBatch.from_arrays([pa.array(encoder.counts(part.column(0).to_pylist()), pa.int64())], names=[length])
+            for part in slices(batch, 0):
+                yield pa.RecordBatch.from_arrays([pa.array(encoder.counts(part.column(0).to_pylist()), pa.int64())], names=["n"])
 
-    return docs.select(F.col(f"`{text}`").alias(text)).mapInArrow(run, f"`{length}` long")
+    return docs.select(col_of(text).alias("text")).mapInArrow(run, "n long").withColumnRenamed("n", length)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -296,25 +280,21 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", decoded:
     the empty text; an id outside the vocabulary gives an empty string in its place.
     """
     names = encoded.sparkSession.sparkContext.broadcast(Vocabulary(read_vocabulary(vocabulary_path)).names)
-    kept = [c for c in encoded.columns if c != decoded]
-    schema = T.StructType([*encoded.select(*(F.col(f"`{c}`") for c in kept)).schema.fields, T.StructField(decoded, T.StringType(), False)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         table = dict(enumerate(names.value))
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            step = 256
-            for start in range(0, batch.num_rows, step):
-                part = column.slice(start, step)
-                values = part.flatten().to_pylist()
-                sizes = pa.compute.fill_null(pa.compute.list_value_length(part), 0).to_pylist()
-                texts, at = [], 0
-                for n in sizes:
-                    texts.append(" ".join([table.get(i, "") for i in values[at : at + n]]))
-                    at += n
-                yield pa.RecordBatch.from_arrays([*batch.slice(start, step).columns, pa.array(texts, pa.string())], names=[*kept, decoded])
-
-    return encoded.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema)
+
+        def compute(column: pa.Array) -> list[pa.Array]:
+            values = column.flatten().to_pylist()
+            texts, at = [], 0
+            for n in pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_pylist():
+                texts.append(" ".join([table.get(i, "") for i in values[at : at + n]]))
+                at += n
+            return [pa.array(texts, pa.string())]
+
+        return compute
+
+    return add_columns(encoded, [ids], {decoded: T.StringType()}, make, texts=False)
 
 
 def tokens(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from thermocline.llm.bpe import slices
+from thermocline.llm.rows import col_of, slices
 from thermocline.llm.storage import fresh, stored
 
 #: Words of a window.
@@ -59,7 +59,7 @@ def positional_index(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     spark = docs.sparkSession
     known = None
     if terms is not None:
-        column = F.col(f"`{terms.columns[0]}`")
+        column = col_of(terms.columns[0])
         distinct = terms.select(column.alias("t")).mapInArrow(_distinct_hashes, "hash long").distinct()
         n = distinct.count()
         if n <= RESTRICT_TERMS:
@@ -83,7 +83,7 @@ def positional_index(docs: DataFrame, key: str = "doc_id", text: str = "text", t
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, k)) for x, k in zip(row, kinds)]
                 yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *lists], names=["shard", "ids", "n_words", "terms", "counts", "postings"])
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).mapInArrow(run, schema)
 
 
 def _distinct_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,8 +189,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     """
     if near >= GAP // 2:
         raise ValueError(f"near must be below {GAP // 2}")
-    index = stored(positional_index(docs, key, text, benchmark.select(F.col(f"`{item_text}`"))), "postings")
-    asked = benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{item_text}`").alias("t"))
+    index = stored(positional_index(docs, key, text, benchmark.select(col_of(item_text))), "postings")
+    asked = benchmark.select(col_of(item).cast("string").alias("i"), col_of(item_text).alias("t"))
     total = asked.agg(F.sum(F.size(F.split("t", r"[\s]+")))).first()[0] or 0
     blocks = 1 + total // BLOCK_WORDS
     found = None
@@ -226,4 +226,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     """docs without those that hold a benchmark window as an exact phrase; all columns stay. Rows that repeat a key go together."""
     (gone,) = fresh(docs, "gone_id")
     hit = stored(matches(docs, benchmark, key, text).where("n_hit > 0").select(F.col(key).alias(gone)).distinct(), "contaminated")
-    return docs.join(hit, F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")
+    return docs.join(hit, col_of(key).cast("long") == F.col(gone), "left_anti")

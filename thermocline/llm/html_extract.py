@@ -15,11 +15,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from thermocline.llm.bpe import slices
+from thermocline.llm.rows import add_columns, col_of, others, slices
 from thermocline.llm.storage import fresh, stored
 
 #: A token is frequent on a host if this share of its pages has it.
 SUPPORT = 0.5
+#: Pages from which on a host's tokens show a template.
+MIN_PAGES = 3
 #: The text's slot is the innermost one that holds at least this share of the text around it.
 SHARE = 0.6
 #: Tokens a task sums up before it hands them on.
@@ -44,6 +46,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _DIGITS = re.compile(r"\d+")
+_ARTICLE = re.compile(r"/(?:article|main)[/\[]")
 #: A start tag that ends these open ones: what HTML leaves out.
 _ENDS = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 
@@ -56,7 +59,7 @@ class Node:
 
 
 def walk(page: str) -> Iterator[tuple[str, Node, str, bool]]:
-    """A page as ("open", node, "", False) for structural tags and ("text", node, text, in a link) for texts with node around them.
+    """A page as ("open", node, "", False) and ("close", ...) for structural tags and ("text", node, text, in a link) for texts with node around them.
 
     node.hides says that it, or what it stands in, isn't part of an article.
     """
@@ -91,7 +94,7 @@ def walk(page: str) -> Iterator[tuple[str, Node, str, bool]]:
         links = 0
         if closing:
             pop_to({name}, frozenset() if name != "p" else frozenset({"article", "div", "section", "body", "td", "li"}))
-            yield "open", stack[-1], "", False
+            yield "close", stack[-1], "", False
             continue
         if name == "p" or name in ("ul", "ol", "div", "section", "article", "nav", "footer", "header", "aside", "form", "table", "blockquote", "pre", "main", "h1", "h2", "h3", "h4", "h5", "h6"):
             if stack[-1].name == "p":
@@ -100,7 +103,7 @@ def walk(page: str) -> Iterator[tuple[str, Node, str, bool]]:
             pop_to(_ENDS[name], frozenset({"ul", "ol", "dl", "table", "tbody", "thead", "div"} | ({"tr"} if name in ("td", "th") else set())))
         if name == "body":
             pop_to({"head"}, frozenset())
-        marks = {k.lower(): _DIGITS.sub("#", (a or b or c).strip()) for k, a, b, c in _ATTRIBUTE.findall(m[4] or m[7] or "")}
+        marks = {k.lower(): _DIGITS.sub("#", (a or b or c).strip()).replace("/", "|") for k, a, b, c in _ATTRIBUTE.findall(m[4] or m[7] or "")}
         label = name + "".join(f"[{k}={v}]" for k, v in sorted(marks.items()) if v)
         other = name in OTHER or any(MARKS.search(v) for v in marks.values()) and name not in ("body", "html", "main", "article")
         parent = stack[-1]
@@ -146,7 +149,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
                         if kind == "open":
                             if node.path:
                                 count[node.path, node.hides] = count.get((node.path, node.hides), 0) + 1
-                        elif not linked and not node.hides:
+                        elif kind == "text" and not linked and not node.hides:
                             chars[node.path] = chars.get(node.path, 0) + len(text.strip())
                     inside: dict[str, int] = {}
                     for path, n in chars.items():
@@ -212,7 +215,7 @@ def text_slot(tokens: list[dict]) -> str:
 
 
 def article(page: str | None, slot: str) -> str:
-    """Text of a page's slot, blocks parted by an empty line; without the slot, that of an article or main element, else of the page."""
+    """Text of a page's slot, blocks parted by an empty line. Without the slot, or where an article or main element stands in it, the text of that element; else of the page."""
     if not page:
         return ""
     blocks: dict[str, list[str]] = {"slot": [], "element": [], "page": []}
@@ -228,6 +231,9 @@ def article(page: str | None, slot: str) -> str:
 
     seen = {"slot": False, "element": False}
     for kind, node, text, _ in walk(page):
+        if kind == "close":
+            close()
+            continue
         if kind == "open":
             close()
             seen["slot"] |= bool(slot) and node.path == slot
@@ -242,10 +248,10 @@ def article(page: str | None, slot: str) -> str:
         path = node.path + "/"
         if slot and path.startswith(slot + "/"):
             held["slot"].append(text)
-        if re.search(r"/(?:article|main)[/\[]", path):
+        if _ARTICLE.search(path):
             held["element"].append(text)
     close()
-    best = "slot" if seen["slot"] else "element" if seen["element"] else "page"
+    best = "slot" if seen["slot"] and (_ARTICLE.search(slot + "/") or not seen["element"]) else "element" if seen["element"] else "page"
     return "\n\n".join(blocks[best])
 
 
@@ -254,7 +260,7 @@ def host_slots(pages: DataFrame) -> DataFrame:
     counted = stored(occurrences(pages), "occurrences")
     totals = pages.where("html IS NOT NULL AND html <> ''").groupBy("host").agg(F.count("*").alias("n_host")).withColumnRenamed("host", "host_")
     totals = stored(totals, "host-pages")
-    frequent = counted.join(totals, F.col("host") == F.col("host_")).where(F.col("n_pages") >= SUPPORT * F.col("n_host"))
+    frequent = counted.join(totals, F.col("host") == F.col("host_")).where((F.col("n_pages") >= SUPPORT * F.col("n_host")) & (F.col("n_host") >= MIN_PAGES))
     token = F.struct("path", "hides", "n_pages", "n_total", "print_a", "print_b", "chars")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,17 +278,12 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     always without what isn't article. Repeated pages count each. All other columns pass through.
     """
     host, slot, of = fresh(pages, "page_host", "host_slot", "slot_of")
-    kept = [c for c in pages.columns if c != text]
-    rows = pages.select(*(F.col(f"`{c}`") for c in kept), host_of(F.col(f"`{url}`")).alias(host))
-    slots = stored(host_slots(rows.select(F.col(host).alias("host"), F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{html}`").alias("html"))), "host-slots")
-    joined = rows.join(slots.select(F.col("host").alias(of), F.col("slot").alias(slot)), F.col(host) == F.col(of), "left").select(*(F.col(f"`{c}`") for c in kept), F.coalesce(slot, F.lit("")).alias(slot))
-    schema = T.StructType([*joined.schema.fields[:-1], T.StructField(text, T.StringType(), False)])
+    kept = others(pages, text)
+    rows = pages.select(*map(col_of, kept), host_of(col_of(url)).alias(host))
+    slots = stored(host_slots(rows.select(col_of(host).alias("host"), col_of(key).cast("string").alias("key"), col_of(html).alias("html"))), "host-slots")
+    joined = rows.join(slots.select(F.col("host").alias(of), F.col("slot").alias(slot)), col_of(host) == col_of(of), "left").select(*map(col_of, kept), F.coalesce(slot, F.lit("")).alias(slot))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, html):
-                raw, where = (part.column(part.schema.get_field_index(c)).to_pylist() for c in (html, slot))
-                texts = pa.array([article(p, s) for p, s in zip(raw, where)], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], texts], names=[*kept, text])
+    def make():
+        return lambda raw, where: [pa.array([article(p, s) for p, s in zip(raw.to_pylist(), where.to_pylist())], pa.string())]
 
-    return joined.mapInArrow(run, schema)
+    return add_columns(joined, [html, slot], {text: T.StringType()}, make).drop(slot)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from thermocline.llm.rows import col_of
 from thermocline.llm.storage import fresh, stored
 
 #: A line on more than this share of a host's pages is dropped.
@@ -13,7 +14,7 @@ MIN_PAGES = 5
 
 
 def _split(text: str) -> Column:
-    return F.split(F.col(f"`{text}`"), "\n", -1)
+    return F.split(col_of(text), "\n", -1)
 
 
 def _trim(line: Column) -> Column:
@@ -30,8 +31,8 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", rati
     Counting is by 64-bit hash, combined before the shuffle; the lines of the few hashes that
     pass are counted again by their text, so a collision can't drop a line.
     """
-    lines = pages.select(F.col(f"`{host}`").alias("host"), F.explode(F.array_distinct(F.transform(_split(text), _trim))).alias("line")).where("line <> ''").withColumn("hash", F.xxhash64("line"))
-    totals = pages.groupBy(F.col(f"`{host}`").alias("host")).agg(F.count("*").alias("n_host"))
+    lines = pages.select(col_of(host).alias("host"), F.explode(F.array_distinct(F.transform(_split(text), _trim))).alias("line")).where("line <> ''").withColumn("hash", F.xxhash64("line"))
+    totals = pages.groupBy(col_of(host).alias("host")).agg(F.count("*").alias("n_host"))
     over = (F.col("n_pages") >= min_pages) & (F.col("n_pages") > ratio * F.col("n_host"))
 
     def frequent(key: str, counted: DataFrame) -> DataFrame:
@@ -51,14 +52,14 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     """
     own_host, lines_of = fresh(pages, "host_of_lines", "boilerplate_lines")
     lists = stored(boilerplate(pages, host, text, ratio, min_pages).groupBy(F.col("host").alias(own_host)).agg(F.collect_list("line").alias(lines_of)), "line-lists")
-    out = pages.join(lists, F.col(f"`{host}`").eqNullSafe(F.col(own_host)), "left")
+    out = pages.join(lists, col_of(host).eqNullSafe(F.col(own_host)), "left")
     kept = F.filter(_split(text), lambda line: ~F.array_contains(F.col(lines_of), _trim(line)))
     has = F.col(lines_of).isNotNull()
     count = F.coalesce(F.size(_split(text)), F.lit(0)).cast("long")
     changed = {
-        text: F.when(has, F.array_join(kept, "\n")).otherwise(F.col(f"`{text}`")),
-        n_lines: F.when(F.col(f"`{text}`").isNull(), 0).otherwise(count).cast("long"),
-        n_dropped: F.when(has & F.col(f"`{text}`").isNotNull(), count - F.size(kept)).otherwise(0).cast("long"),
+        text: F.when(has, F.array_join(kept, "\n")).otherwise(col_of(text)),
+        n_lines: F.when(col_of(text).isNull(), 0).otherwise(count).cast("long"),
+        n_dropped: F.when(has & col_of(text).isNotNull(), count - F.size(kept)).otherwise(0).cast("long"),
     }
     names = [c for c in pages.columns if c not in (n_lines, n_dropped)] + [n_lines, n_dropped]
-    return out.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in names))
+    return out.select(*(changed[c].alias(c) if c in changed else col_of(c) for c in names))

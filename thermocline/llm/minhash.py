@@ -11,8 +11,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from thermocline.llm.bpe import slices
 from thermocline.llm.components import components
+from thermocline.llm.rows import col_of, slices
 from thermocline.llm.storage import fresh, stored
 
 SHINGLE_WORDS = 5
@@ -103,7 +103,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                     names=["id", "words_key", "n_shingles", "bands", "sketch"],
                 )
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).mapInArrow(run, schema)
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -117,7 +117,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], names=["id", "shingles"])
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "id long, shingles array<bigint>")
+    return docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).mapInArrow(run, "id long, shingles array<bigint>")
 
 
 def _agreeing(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -283,7 +283,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     heads = stored(heads, "heads")
     edges = stored(candidates(heads), "candidates")
     wanted = stored(edges.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted")
-    chosen = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(wanted, F.col("id") == F.col("wanted"), "left_semi")
+    chosen = docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).join(wanted, F.col("id") == F.col("wanted"), "left_semi")
     sets = stored(shingle_sets(chosen, "id", "text").groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
     common = F.size(F.array_intersect("set_a", "set_b"))
     checked = (
@@ -315,4 +315,4 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     """docs without those that near_duplicates() doesn't keep; all columns stay. Rows that repeat a key stay or go together."""
     (gone,) = fresh(docs, "gone_id")
     found = stored(near_duplicates(docs, key, text).where("NOT kept").select(F.col(key).alias(gone)).distinct(), "duplicates")
-    return docs.join(found, F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")
+    return docs.join(found, col_of(key).cast("long") == F.col(gone), "left_anti")

@@ -44,14 +44,14 @@ def entropy_spans(text: str, least: float, width: int = WINDOW) -> list[tuple[in
     most = width * (math.log2(width) - least) + 1e-9  # of the sum of n log n over the counts
     found: list[list[int]] = []
     for k, c in enumerate(text):
-        n = counts.get(c, 0)
-        total += _TERM[n + 1] - _TERM[n]
-        counts[c] = n + 1
         if k >= width:
             old = text[k - width]
             n = counts[old]
             total += _TERM[n - 1] - _TERM[n]
             counts[old] = n - 1
+        n = counts.get(c, 0)
+        total += _TERM[n + 1] - _TERM[n]
+        counts[c] = n + 1
         if k >= width - 1 and total <= most:
             if found and found[-1][1] >= k + 1 - width:
                 found[-1][1] = k + 1

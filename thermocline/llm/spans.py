@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from thermocline.llm.bpe import slices
+from thermocline.llm.rows import add_columns
 
 SPAN = T.StructType([T.StructField("kind", T.StringType(), False), T.StructField("start", T.IntegerType(), False), T.StructField("end", T.IntegerType(), False)])
 _ARROW = pa.list_(pa.struct([pa.field("kind", pa.string()), pa.field("start", pa.int32()), pa.field("end", pa.int32())]))
@@ -17,18 +17,12 @@ Spans = list[tuple[str, int, int]]
 
 def scan(docs: DataFrame, make: Callable[[], Callable[[str], Spans]], text: str, spans: str) -> DataFrame:
     """docs with an array of (kind, start, end) added, or replaced if it is there; make() gives a task its scanner. Null texts count as empty."""
-    kept = [c for c in docs.columns if c != spans]
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept))
-    schema = T.StructType([*rows.schema.fields, T.StructField(spans, T.ArrayType(SPAN, False), False)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         find = make()
-        for batch in batches:
-            for part in slices(batch, text):
-                found = [[{"kind": k, "start": a, "end": b} for k, a, b in find(t)] if t else [] for t in part.column(part.schema.get_field_index(text)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, _ARROW)], names=[*kept, spans])
+        return lambda texts: [pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in find(t)] if t else [] for t in texts.to_pylist()], _ARROW)]
 
-    return rows.mapInArrow(run, schema)
+    return add_columns(docs, [text], {spans: T.ArrayType(SPAN)}, start)
 
 
 def of_kinds(spans: str, kinds: tuple[str, ...]) -> Column:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from thermocline.llm.bpe import slices
+from thermocline.llm.rows import add_columns, col_of, others, slices
 from thermocline.llm.storage import fresh, stored
 
 #: Labelled documents of each class that the classifier is fitted on, at most.
@@ -83,7 +83,7 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         grams = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(grams, pa.int32()), pa.array(total[grams])], names=["gram", "n"])
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return docs.select(col_of(text).alias("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -165,16 +165,12 @@ class Restorer:
 def restore(docs: DataFrame, costs: np.ndarray, text: str = "text", restored: str = "restored") -> DataFrame:
     """docs with the restored text added (null stays null); costs is a character_model()."""
     shared = docs.sparkSession.sparkContext.broadcast(costs)
-    schema = docs.drop(restored).withColumn(restored, F.lit("")).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         restorer = Restorer(shared.value)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None if t is None else restorer.text(t) for t in texts], pa.string())], names=[*batch.schema.names, restored])
+        return lambda texts: [pa.array([None if t is None else restorer.text(t) for t in texts.to_pylist()], pa.string())]
 
-    schema[restored].nullable = True
-    return docs.drop(restored).mapInArrow(run, schema)
+    return add_columns(docs, [text], {restored: T.StringType()}, make)
 
 
 def stems(word: str) -> list[str]:
@@ -318,7 +314,7 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
         return Model.prior(0.5 if not totals else (0.99 if totals.get(1) else 0.01))
     drawn = [known.where(F.col("y") == y).orderBy(F.xxhash64("labelled"), "labelled").limit(SAMPLE_PER_CLASS) for y in (0, 1)]
     ids = stored(drawn[0].union(drawn[1]).coalesce(1), "sample-ids")  # two columns of at most 2 * SAMPLE_PER_CLASS rows
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(ids), F.col("id") == F.col("labelled")).dropDuplicates(["id"])
+    rows = docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).join(F.broadcast(ids), F.col("id") == F.col("labelled")).dropDuplicates(["id"])
     sample = stored(rows.select("id", "y", "text"), "sample")
     shared = spark.sparkContext.broadcast(costs)
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -380,25 +376,19 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
 def with_scores(docs: DataFrame, model: Model, costs: np.ndarray, text: str = "text", column: str = "score") -> DataFrame:
     """docs with a score (0 to 1) added, or replaced if it is there. Null and empty texts get the score of a text without any sign; equal texts get equal scores."""
     shared = docs.sparkSession.sparkContext.broadcast((model, costs))
-    kept = [c for c in docs.columns if c != column]
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept))
-    schema = T.StructType([*rows.schema.fields, T.StructField(column, T.DoubleType(), False)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         model, costs = shared.value
         counter = Counter(costs, model.stems)
-        for batch in batches:
-            for part in slices(batch, text):
-                scores = [model.score(*counter.counts(t)) for t in part.column(part.schema.get_field_index(text)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*kept, column])
+        return lambda texts: [pa.array([model.score(*counter.counts(t)) for t in texts.to_pylist()], pa.float64())]
 
-    return rows.mapInArrow(run, schema)
+    return add_columns(docs, [text], {column: T.DoubleType()}, make)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs with score and predicted (1 from threshold on), by a model of these documents and labels. No document moves."""
     costs = character_model(docs, text)
-    scored = with_scores(docs.drop("predicted"), train(docs, labels, costs, key, text), costs, text)
+    scored = with_scores(docs.select(*map(col_of, others(docs, "predicted"))), train(docs, labels, costs, key, text), costs, text)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -407,4 +397,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     (column,) = fresh(docs, "toxicity_score")
     costs = character_model(docs, text)
     scored = with_scores(docs, train(docs, labels, costs, key, text), costs, text, column)
-    return scored.where(F.col(column) < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return scored.where(F.col(column) < threshold).select(*map(col_of, docs.columns))
