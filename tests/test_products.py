@@ -39,9 +39,15 @@ def test_grid_interpolates_and_places(spark):
 def test_sampling_is_whole_and_deterministic(spark):
     rows = [("A", i, float(i % 600), 1.0, 35.0, 1, 1) for i in range(3000)]
     df = spark.createDataFrame(rows, "glider_id string, t_s bigint, depth double, temperature double, salinity double, temperature_QC int, salinity_QC int")
-    one = se.stratified_ts(df, limit=600, floor=100)
-    assert {r.band: r["count"] for r in one.groupBy("band").count().collect()} == {0: 100, 1: 150, 2: 300, 3: 100}
-    assert sorted(r.t_s for r in one.collect()) == sorted(r.t_s for r in se.stratified_ts(df, 600, 100).collect())
+    assert {r.band: r["count"] for r in se.stratified_ts(df).groupBy("band").count().collect()} == {0: 250, 1: 750, 2: 1500, 3: 500}
+    rates = (1.0, 0.5, 0.1, 0.5, 1.0)
+    one = {r.t_s for r in se.stratified_ts(df, rates).collect()}
+    counts = {r.band: r["count"] for r in se.stratified_ts(df, rates).groupBy("band").count().collect()}
+    assert counts[0] == 250 and 300 < counts[1] < 450 and 100 < counts[2] < 200 and 200 < counts[3] < 300
+    # a row's lot doesn't hang on the other rows
+    assert {r.t_s for r in se.stratified_ts(df.filter("t_s < 1500"), rates).collect()} == {t for t in one if t < 1500}
+    deep = spark.createDataFrame([("A", 1, 1500.0, 1.0, 35.0, 1, 1), ("A", 2, None, 1.0, 35.0, 1, 1)], df.schema)
+    assert [r.band for r in se.stratified_ts(deep).collect()] == [4, 4]
 
 
 def test_load_twice_is_load_once(spark, tmp_path):

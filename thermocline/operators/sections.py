@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,9 +99,9 @@ def uneven_gradient(back: Column, here: Column, ahead: Column, x0: Column, x: Co
     return F.when(x0.isNull(), (ahead - here) / hd).when(x1.isNull(), (here - back) / hs).otherwise(inner)
 
 
-def vertical_gradient(grid: DataFrame, columns: DataFrame, usable: DataFrame, limit: float = 600.0) -> DataFrame:
-    """d(value)/d(depth) of each cell; a missing neighbour cell gives no result."""
-    cap = usable.withColumn("usable_depth", F.least(F.lit(limit), F.col("usable_depth")))
+def vertical_gradient(grid: DataFrame, columns: DataFrame, usable: DataFrame, limit: float | None = None) -> DataFrame:
+    """d(value)/d(depth) of each cell, down to `limit` if one is given; a missing neighbour cell gives no result."""
+    cap = usable if limit is None else usable.withColumn("usable_depth", F.least(F.lit(limit), F.col("usable_depth")))
     along = Window.partitionBy(*PROFILE, "variable").orderBy("cell")
     cell = F.col("cell")
     shown = trimmed(grid, columns, cap).withColumns(
@@ -179,46 +181,28 @@ def good_ts(df: DataFrame) -> DataFrame:
     return stats_join(good, span, ["glider_id"]).withColumn("time_scaled", scaled).drop("t0", "t1")
 
 
-def lowest_hashes(df: DataFrame, keys: list[str], quota: DataFrame) -> DataFrame:
-    """The `k` rows per group with the smallest row hash; `quota` gives (keys, n, k).
+def drawn(rate: float, *parts: str) -> Column:
+    """True for a share `rate` of rows, decided by each row's own hash: the same at every size, in every run."""
+    if rate >= 1.0:
+        return F.lit(True)
+    hashed = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in parts])), 1, 8)
+    return hashed < F.lit(f"{int(rate * 2**32):08x}")
 
-    The hash threshold of each group is an exact quantile, so groups are never sorted whole.
-    """
-    hashed = df.withColumn("__h", F.pmod(F.xxhash64("glider_id", "t_s"), F.lit(1 << 52)).cast("double"))
-    counted = stats_join(hashed, quota, keys, "inner")
-    over = counted.filter("n > k")
-    bins = over.groupBy(*keys, "n", "k", F.floor(F.col("__h") / float(1 << 36)).alias("__bin")).agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy("__bin"))
-    edge = bins.withColumn("upto", upto).filter(F.col("upto") >= F.col("k")).groupBy(*keys).agg(
-        F.min(F.struct("__bin", (F.col("upto") - F.col("c")).alias("before"))).alias("edge")
-    )
-    marked = stats_join(counted, edge, keys)
-    whole = F.col("edge").isNull() | (F.floor(F.col("__h") / float(1 << 36)) < F.col("edge.__bin"))
-    at_edge = marked.filter(F.floor(F.col("__h") / float(1 << 36)) == F.col("edge.__bin"))
-    ranked = at_edge.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy("__h", "t_s")))
-    rest = ranked.filter(F.col("__r") <= F.col("k") - F.col("edge.before")).drop("__r")
-    return marked.filter(whole).unionByName(rest).drop("__h", "n", "k", "edge")
-
-
-def stratified_ts(df: DataFrame, limit: int = 50_000, floor: int = 5_000) -> DataFrame:
-    """T-S rows; above `limit` rows, max(5000, proportional share) per depth band."""
-    rows = good_ts(df)
-    band = F.lit(None).cast("int")
+
+def stratified_ts(df: DataFrame, rates: Sequence[float] = (1.0,) * (len(DEPTH_BANDS) + 1)) -> DataFrame:
+    """T-S rows with their depth band, sampled at a rate per band; the last rate is for rows outside the bands."""
+    band = F.lit(len(DEPTH_BANDS))
+    kept = drawn(rates[-1], "glider_id", "t_s")
     for i, (low, high) in enumerate(DEPTH_BANDS):
-        band = F.when((F.col("depth") >= low) & (F.col("depth") < high), F.lit(i)).otherwise(band)
-    banded = rows.withColumn("band", band)
-    sizes = banded.filter("band IS NOT NULL").groupBy("glider_id", "band").agg(F.count(F.lit(1)).alias("n"))
-    totals = rows.groupBy("glider_id").agg(F.count(F.lit(1)).alias("total"))
-    share = F.greatest(F.lit(floor), F.floor(limit * F.col("n") / F.col("total")))
-    quota = sizes.join(totals, "glider_id")
-    small = stats_join(banded, totals.filter(F.col("total") <= limit).select("glider_id"), ["glider_id"], "left_semi")
-    big = quota.filter(F.col("total") > limit).select("glider_id", "band", "n", share.alias("k"))
-    return small.unionByName(lowest_hashes(banded.filter("band IS NOT NULL"), ["glider_id", "band"], big))
-
-
-def uniform_cells(grid: DataFrame, limit: int = 100_000) -> DataFrame:
-    """At most `limit` grid cells per glider that hold both temperature and salinity."""
-    both = (
+        inside = F.coalesce((F.col("depth") >= low) & (F.col("depth") < high), F.lit(False))
+        band = F.when(inside, F.lit(i)).otherwise(band)
+        kept = F.when(inside, drawn(rates[i], "glider_id", "t_s")).otherwise(kept)
+    return good_ts(df).withColumn("band", band).filter(kept)
+
+
+def uniform_cells(grid: DataFrame, rate: float = 1.0) -> DataFrame:
+    """Grid cells that hold both temperature and salinity, sampled at a rate."""
+    return (
         grid.filter(F.col("variable").isin("temperature", "salinity"))
         .groupBy(*PROFILE, "cell")
         .agg(
@@ -226,10 +210,8 @@ def uniform_cells(grid: DataFrame, limit: int = 100_000) -> DataFrame:
             F.max(F.when(F.col("variable") == "salinity", F.col("value"))).alias("salinity"),
         )
         .filter("temperature IS NOT NULL AND salinity IS NOT NULL")
-        .withColumn("t_s", F.col("profile_index") * 100_000 + F.col("cell"))
+        .filter(drawn(rate, *PROFILE, "cell"))
     )
-    quota = both.groupBy("glider_id").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(limit))
-    return lowest_hashes(both, ["glider_id"], quota).drop("t_s")
 
 
 def track(df: DataFrame) -> DataFrame:

@@ -197,19 +197,15 @@ def time_in_profile(df: DataFrame) -> DataFrame:
     return df.join(mean, PROFILE).withColumn("mtime", (F.col("t_s") - F.col("__mean")) / float(DAY)).drop("__mean")
 
 
-def segment_lines(df: DataFrame, part_points: int = 5_000) -> DataFrame:
-    """Line strings of each phase in parts of bounded length; a part starts with the last point before it."""
+def segment_lines(df: DataFrame) -> DataFrame:
+    """Points of each phase's line, one row each, with their position in it."""
     points = df.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
     keys = ["glider_id", "phase", "phase_number"]
-    numbered = number_rows(points.select(*keys, "t_s", "latitude", "longitude"), keys, ["t_s"], F.floor(F.col("t_s") / DAY), out="__i")
-    part = F.floor(F.col("__i") / part_points)
-    opens_next = (F.col("__i") % part_points) == part_points - 1
-    parts = F.when(opens_next, F.array(part, part + 1)).otherwise(F.array(part))
-    sizes = numbered.groupBy(*keys).agg(F.max("__i").alias("__last"))
-    cut = numbered.join(sizes, keys).withColumn("part", F.explode(parts)).filter(
-        (F.col("part") == part) | (F.col("__last") > F.col("__i"))
-    )
-    point = F.struct("t_s", "longitude", "latitude")
-    return cut.groupBy(*keys, "part").agg(
-        F.sort_array(F.collect_list(point)).alias("points"), F.min("t_s").alias("t_first"), F.max("t_s").alias("t_last")
+    return number_rows(points.select(*keys, "t_s", "longitude", "latitude"), keys, ["t_s"], F.floor(F.col("t_s") / DAY), out="position")
+
+
+def segment_summary(points: DataFrame) -> DataFrame:
+    """One row per line: first and last time and number of points."""
+    return points.groupBy("glider_id", "phase", "phase_number").agg(
+        F.min("t_s").alias("t_first"), F.max("t_s").alias("t_last"), F.count(F.lit(1)).alias("n_points")
     )

@@ -19,6 +19,15 @@ SCREENED_CTE = (
 )
 
 
+# the series with the number of rows of its glider
+SIZED_CTE = "sz AS (SELECT *, count(*) OVER (PARTITION BY glider_id) AS n_rows FROM l0)"
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """`df` with the number of rows of each glider, for marks set at a share of the series."""
+    return df.join(df.groupBy("glider_id").agg(F.count(F.lit(1)).alias("n_rows")), "glider_id")
+
+
 def sql(body: str, *ctes: str) -> str:
     return "WITH " + ", ".join(ctes or (L0_CTE,)) + " " + body
 

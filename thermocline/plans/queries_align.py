@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import align as al
-from .common import L0_CTE, rounded, sql
+from .common import L0_CTE, SIZED_CTE, rounded, sized, sql
 from .fixture import l0
 from .queries_cleaning import RAW, sensor_raw
 from .registry import query
@@ -122,14 +122,16 @@ def ctd(spark, sf):
     return rounded(al.ctd_at_samples(base, "backscatter_700"))
 
 
-GPS_CTE = "gps AS (SELECT glider_id, t_s + 7 AS t_s, latitude + 0.01 AS latitude, longitude - 0.01 AS longitude, CASE WHEN seq % 3 = 0 THEN 4 ELSE 1 END AS qc FROM l0 WHERE latitude <> 0 AND glider_id <> 'G2' AND seq BETWEEN 100 AND 2000), own AS (SELECT * REPLACE (CASE WHEN latitude <> 0 AND seq % 400 = 0 AND glider_id <> 'G2' THEN latitude END AS latitude, CASE WHEN latitude <> 0 AND seq % 400 = 0 AND glider_id <> 'G2' THEN longitude END AS longitude) FROM l0), late AS (SELECT * FROM gps UNION ALL SELECT glider_id, max(t_s) + 1000, 12.25, 70.75, 1 FROM l0 WHERE glider_id = 'G2' GROUP BY 1)"
+GPS_CTE = "gps AS (SELECT glider_id, t_s + 7 AS t_s, latitude + 0.01 AS latitude, longitude - 0.01 AS longitude, CASE WHEN seq % 3 = 0 THEN 4 ELSE 1 END AS qc FROM sz WHERE latitude <> 0 AND glider_id <> 'G2' AND seq >= floor(0.03*n_rows::DOUBLE) AND seq < floor(0.9*n_rows::DOUBLE) AND seq % 320 < 200), own AS (SELECT * REPLACE (CASE WHEN latitude <> 0 AND seq % 400 = 0 AND glider_id <> 'G2' THEN latitude END AS latitude, CASE WHEN latitude <> 0 AND seq % 400 = 0 AND glider_id <> 'G2' THEN longitude END AS longitude) FROM l0), late AS (SELECT * FROM gps UNION ALL SELECT glider_id, max(t_s) + 1000, 12.25, 70.75, 1 FROM l0 WHERE glider_id = 'G2' GROUP BY 1)"
 
 
 def gps_tables(spark, sf):
     """(rows, fixes): few own fixes; one glider has a single fix after its last row."""
     base = l0(spark, sf)
     other = (F.col("latitude") != 0) & (F.col("glider_id") != "G2")
-    gps = base.filter(other & F.col("seq").between(100, 2000)).select(
+    n = F.col("n_rows").cast("double")
+    inside = (F.col("seq") >= F.floor(0.03 * n)) & (F.col("seq") < F.floor(0.9 * n)) & (F.col("seq") % 320 < 200)
+    gps = sized(base).filter(other & inside).select(
         "glider_id", (F.col("t_s") + 7).alias("t_s"), (F.col("latitude") + 0.01).alias("latitude"), (F.col("longitude") - 0.01).alias("longitude"),
         F.when(F.col("seq") % 3 == 0, 4).otherwise(1).alias("qc"),
     )
@@ -147,7 +149,7 @@ def gps_tables(spark, sf):
         """SELECT glider_id, t_s, seq, round(CASE WHEN is_own THEN latitude WHEN ins THEN ilat ELSE elat END + 3e-8, 6) AS latitude, round(CASE WHEN is_own THEN longitude WHEN ins THEN ilon ELSE elon END + 3e-8, 6) AS longitude,
         CASE WHEN is_own THEN 1 WHEN CASE WHEN ins THEN ilat ELSE elat END IS NOT NULL THEN 8 ELSE 9 END AS position_qc, CASE WHEN is_own THEN 3 WHEN CASE WHEN ins THEN ilat ELSE elat END IS NOT NULL THEN 2 END AS positioning_method
         FROM (SELECT *, bool_or(ilat IS NOT NULL) OVER (PARTITION BY glider_id) AS ins FROM pl)""",
-        L0_CTE, GPS_CTE,
+        L0_CTE, SIZED_CTE, GPS_CTE,
         """fx AS (SELECT glider_id, t_s, latitude, longitude FROM late WHERE qc IN (1, 2) UNION SELECT glider_id, t_s, latitude, longitude FROM own WHERE latitude IS NOT NULL),
         pl AS (SELECT o.*, o.latitude IS NOT NULL AS is_own, coalesce(a.latitude, b.latitude) AS elat, coalesce(a.longitude, b.longitude) AS elon,
           CASE WHEN a.t_s = o.t_s THEN a.latitude ELSE a.latitude + (b.latitude - a.latitude)*((o.t_s - a.t_s)/CAST(b.t_s - a.t_s AS double)) END AS ilat,

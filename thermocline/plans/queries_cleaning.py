@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning as cl
 from ..operators.ordered import number_by_time
-from .common import L0_CTE, r, rounded, sql
+from .common import L0_CTE, SIZED_CTE, r, rounded, sized, sql
 from .fixture import l0
 from .registry import query
 
@@ -314,7 +314,7 @@ def half_positions(spark, sf):
     return cl.blank_half_positions(base).select("glider_id", "t_s", "latitude", "longitude")
 
 
-GAPPED = "t_s + CASE WHEN seq >= 200 THEN 20000000 ELSE 0 END + CASE WHEN seq >= 600 AND glider_id = 'G2' THEN 20000000 ELSE 0 END"
+GAPPED = "t_s + CASE WHEN seq >= floor(0.06*CAST(n_rows AS DOUBLE)) THEN 20000000 ELSE 0 END + CASE WHEN seq >= floor(0.18*CAST(n_rows AS DOUBLE)) AND glider_id = 'G2' THEN 20000000 ELSE 0 END"
 
 
 @query(
@@ -323,11 +323,11 @@ GAPPED = "t_s + CASE WHEN seq >= 200 THEN 20000000 ELSE 0 END + CASE WHEN seq >=
         """SELECT glider_id, t_s FROM g LEFT JOIN (SELECT glider_id, max(t_s) AS resume FROM
         (SELECT *, t_s - lag(t_s) OVER (PARTITION BY glider_id ORDER BY t_s) AS gap FROM g) WHERE gap > 15768000 GROUP BY 1 HAVING count(*) = 1) USING (glider_id)
         WHERE resume IS NULL OR t_s >= resume""",
-        L0_CTE, f"g AS (SELECT glider_id, {GAPPED} AS t_s FROM l0)",
+        L0_CTE, SIZED_CTE, f"g AS (SELECT glider_id, {GAPPED} AS t_s FROM sz)",
     ),
 )
 def pre_deployment(spark, sf):
-    base = l0(spark, sf).select("glider_id", "seq", F.expr(GAPPED).alias("t_s"))
+    base = sized(l0(spark, sf)).select("glider_id", "seq", F.expr(GAPPED).alias("t_s"))
     return cl.drop_before_deployment(base).select("glider_id", "t_s")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaning as cl
 from ..operators import corrections as co
 from ..session import materialise
-from .common import L0_CTE, SCREENED_CTE, rounded, sql
+from .common import L0_CTE, SCREENED_CTE, SIZED_CTE, rounded, sized, sql
 from .fixture import l0
 from .registry import query
 
@@ -50,7 +50,7 @@ def despike_cte(source, tag, v, w):
 
 
 # a shortened record with missing rows at both ends and inside
-ENDS_SQL = "en AS (SELECT * REPLACE (CASE WHEN seq < 5 OR seq > 3280 THEN NULL ELSE temperature END AS temperature) FROM l0)"
+ENDS_SQL = "en AS (SELECT * REPLACE (CASE WHEN seq < 5 OR seq >= n_rows - 9 THEN NULL ELSE temperature END AS temperature) FROM sz)"
 
 
 @query(
@@ -58,12 +58,12 @@ ENDS_SQL = "en AS (SELECT * REPLACE (CASE WHEN seq < 5 OR seq > 3280 THEN NULL E
     sql(
         """SELECT glider_id, t_s, round(a.med, 6) AS temperature_median, round(a.spike, 6) AS temperature_spike, round(b.med, 6) AS chlorophyll_median, round(b.spike, 6) AS chlorophyll_spike
         FROM en JOIN a USING (glider_id, seq) JOIN b USING (glider_id, seq)""",
-        L0_CTE, ENDS_SQL, despike_cte("en", "a", "temperature", 5), despike_cte("en", "b", "chlorophyll", 7),
+        L0_CTE, SIZED_CTE, ENDS_SQL, despike_cte("en", "a", "temperature", 5), despike_cte("en", "b", "chlorophyll", 7),
     ),
 )
 def despike(spark, sf):
     t = F.col("temperature")
-    base = l0(spark, sf).withColumn("temperature", F.when((F.col("seq") >= 5) & (F.col("seq") <= 3280), t))
+    base = sized(l0(spark, sf)).withColumn("temperature", F.when((F.col("seq") >= 5) & (F.col("seq") < F.col("n_rows") - 9), t)).drop("n_rows")
     out = co.median_despike(base, {"temperature": 5, "chlorophyll": 7})
     return rounded(out.select("glider_id", "t_s", "temperature_median", "temperature_spike", "chlorophyll_median", "chlorophyll_spike"))
 

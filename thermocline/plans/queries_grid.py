@@ -199,7 +199,7 @@ def anomaly(spark, sf):
 )
 def gradient(spark, sf):
     grid, cols, extent = gridded(spark, sf)
-    return rounded(se.vertical_gradient(grid, cols, gr.usable_depth(grid, cols, extent)))
+    return rounded(se.vertical_gradient(grid, cols, gr.usable_depth(grid, cols, extent), limit=600.0))
 
 
 @query(
@@ -276,29 +276,32 @@ def ts_table(spark, sf):
     return rounded(se.good_ts(simple_flags(spark, sf)).select("glider_id", "t_s", "temperature", "salinity", "depth", "time_scaled"))
 
 
+SAMPLE_RATES = (1.0, 0.5, 0.25, 0.1, 0.75)
+HASH = "substr(md5(concat_ws('|', {})), 1, 8)"
+
+
 @query(
     "sample_stratified",
     sql(
-        """SELECT glider_id, band, CAST(least(n, greatest(150, floor(2000*n/CAST(tot AS double)))) AS BIGINT) AS n FROM (SELECT glider_id, CASE WHEN depth < 50 THEN 0 WHEN depth < 200 THEN 1 WHEN depth < 500 THEN 2 WHEN depth < 1100 THEN 3 END AS band, count(*) AS n FROM gt0 WHERE depth >= 0 GROUP BY 1, 2)
-        JOIN (SELECT glider_id, count(*) AS tot FROM gt0 GROUP BY 1) USING (glider_id) WHERE band IS NOT NULL""",
+        "SELECT glider_id, t_s, band, temperature, salinity FROM (SELECT *, CASE WHEN depth >= 0 AND depth < 50 THEN 0 WHEN depth >= 50 AND depth < 200 THEN 1 WHEN depth >= 200 AND depth < 500 THEN 2 WHEN depth >= 500 AND depth < 1100 THEN 3 ELSE 4 END AS band FROM gt0) WHERE "
+        + " OR ".join(f"(band = {i}" + ("" if r >= 1 else f" AND {HASH.format('glider_id, t_s')} < '{int(r * 2**32):08x}'") + ")" for i, r in enumerate(SAMPLE_RATES)),
         *simple_flag_ctes(), GOOD_TS,
     ),
 )
 def stratified(spark, sf):
-    rows = se.stratified_ts(simple_flags(spark, sf), limit=2000, floor=150)
-    return rows.groupBy("glider_id", "band").agg(F.count(F.lit(1)).alias("n"))
+    return se.stratified_ts(simple_flags(spark, sf), SAMPLE_RATES).select("glider_id", "t_s", "band", "temperature", "salinity")
 
 
 @query(
     "sample_uniform_cells",
     sql(
-        "SELECT glider_id, least(count(*), 5000) AS n FROM (SELECT glider_id, profile_index, cell FROM grid WHERE variable IN ('temperature', 'salinity') GROUP BY 1, 2, 3 HAVING count(*) = 2) GROUP BY 1",
+        f"SELECT glider_id, profile_index, CAST(cell AS BIGINT) AS cell FROM grid WHERE variable IN ('temperature', 'salinity') GROUP BY 1, 2, 3 HAVING count(*) = 2 AND {HASH.format('glider_id, profile_index, CAST(cell AS BIGINT)')} < '{int(0.3 * 2**32):08x}'",
         *GRID,
     ),
 )
 def uniform(spark, sf):
-    cells = se.uniform_cells(gridded(spark, sf)[0], limit=5000)
-    return cells.groupBy("glider_id").agg(F.count(F.lit(1)).alias("n"))
+    cells = se.uniform_cells(gridded(spark, sf)[0], 0.3)
+    return cells.select("glider_id", "profile_index", F.col("cell").cast("bigint").alias("cell"))
 
 
 FIX_CTE = "fx AS (SELECT glider_id, t_s, latitude, longitude FROM cl WHERE latitude IS NOT NULL AND longitude IS NOT NULL)"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning as cl
 from ..operators import reports as rp
-from .common import L0_CTE, SCREENED_CTE, rounded, sql
+from .common import L0_CTE, SCREENED_CTE, SIZED_CTE, rounded, sized, sql
 from .fixture import l0
 from .queries_cleaning import DEPLOYMENT_SQL, deployment
 from .queries_corrections import despike_cte, iqr_cte
@@ -198,8 +198,9 @@ def methods(spark, sf):
     return rounded(rp.compare_methods(l0(spark, sf), simple_flags(spark, sf), V[:2]))
 
 
-SILENT = {"temperature": 1500, "salinity": 1500, "oxygen_concentration": 800, "cdom": 802}
-SILENT_SQL = "si AS (SELECT * REPLACE (" + ", ".join(f"CASE WHEN seq < {k} THEN {v} END AS {v}" for v, k in SILENT.items()) + ") FROM l0)"
+# variables that fall silent: share of the rows before it, and rows more
+SILENT = {"temperature": (0.45, 0), "salinity": (0.45, 0), "oxygen_concentration": (0.24, 0), "cdom": (0.24, 2)}
+SILENT_SQL = "si AS (SELECT * REPLACE (" + ", ".join(f"CASE WHEN seq < floor({share}*n_rows::DOUBLE) + {more} THEN {v} END AS {v}" for v, (share, more) in SILENT.items()) + ") FROM sz)"
 FAIL_CTE = f"""fr AS (SELECT glider_id, variable, count(v) AS nv, max(t_s) FILTER (WHERE v IS NOT NULL) AS last_valid, count(*) AS n, max(t1) AS t1, max(t0) AS t0,
  count(v) FILTER (WHERE t_s <= t0 + floor((t1 - t0)/3))/CAST(greatest(count(*) FILTER (WHERE t_s <= t0 + floor((t1 - t0)/3)), 1) AS double) AS early
  FROM ({union('si', V, 'glider_id, t_s')}) JOIN (SELECT glider_id, min(t_s) AS t0, max(t_s) AS t1 FROM si GROUP BY 1) USING (glider_id) GROUP BY 1, 2),
@@ -207,10 +208,11 @@ fi AS (SELECT glider_id, variable, last_valid, (t1 - last_valid)/86400.0::DOUBLE
 
 
 def silent(spark, sf):
-    return l0(spark, sf).withColumns({v: F.when(F.col("seq") < k, F.col(v)) for v, k in SILENT.items()})
+    stops = {v: F.floor(share * F.col("n_rows").cast("double")) + more for v, (share, more) in SILENT.items()}
+    return sized(l0(spark, sf)).withColumns({v: F.when(F.col("seq") < at, F.col(v)) for v, at in stops.items()}).drop("n_rows")
 
 
-@query("report_sensor_failures", sql("SELECT glider_id, variable, last_valid, round(days_from_end, 6) AS days_from_end, round(early_coverage, 6) AS early_coverage FROM fi", L0_CTE, SILENT_SQL, FAIL_CTE))
+@query("report_sensor_failures", sql("SELECT glider_id, variable, last_valid, round(days_from_end, 6) AS days_from_end, round(early_coverage, 6) AS early_coverage FROM fi", L0_CTE, SIZED_CTE, SILENT_SQL, FAIL_CTE))
 def failures(spark, sf):
     return rounded(rp.sensor_failures(silent(spark, sf), V))
 

@@ -153,25 +153,30 @@ def mtime(spark, sf):
     return rounded(sg.time_in_profile(l0(spark, sf)).select("glider_id", "t_s", "mtime"), 9)
 
 
+LINE_CTE = "sl AS (SELECT glider_id, phase, phase_number, t_s, longitude, latitude, row_number() OVER p - 1 AS position FROM (SELECT * REPLACE (CASE WHEN seq % 3 < 2 THEN 12.0 + 0.001*seq END AS latitude, 70.0 + 0.001*seq AS longitude) FROM ph) WHERE latitude IS NOT NULL WINDOW p AS (PARTITION BY glider_id, phase, phase_number ORDER BY t_s))"
+
+
+def line_points(spark, sf):
+    base = phased(spark, sf).withColumns(
+        {"latitude": F.when(F.col("seq") % 3 < 2, 12.0 + 0.001 * F.col("seq")), "longitude": 70.0 + 0.001 * F.col("seq")}
+    )
+    return sg.segment_lines(base)
+
+
 @query(
     "segment_lines",
-    sql(
-        """SELECT glider_id, phase, phase_number, CAST(part AS BIGINT) AS part, count(*) AS n_points, min(t_s) AS t_first, max(t_s) AS t_last, round(CAST(arg_min(longitude, t_s) AS DOUBLE), 6) AS first_longitude, round(CAST(arg_max(latitude, t_s) AS DOUBLE), 6) AS last_latitude FROM (
-        SELECT *, i // 4 AS part FROM sl UNION ALL SELECT *, i // 4 + 1 FROM sl WHERE i % 4 = 3 AND i < mx) GROUP BY 1, 2, 3, 4""",
-        L0_CTE, PHASE_CTE,
-        "sl AS (SELECT glider_id, phase, phase_number, t_s, latitude, longitude, row_number() OVER p - 1 AS i, count(*) OVER (PARTITION BY glider_id, phase, phase_number) - 1 AS mx FROM (SELECT * REPLACE (CASE WHEN seq % 3 < 2 THEN 12.0 + 0.001*seq END AS latitude, 70.0 + 0.001*seq AS longitude) FROM ph) WHERE latitude IS NOT NULL WINDOW p AS (PARTITION BY glider_id, phase, phase_number ORDER BY t_s))",
-    ),
+    sql("SELECT glider_id, phase, phase_number, position, t_s, round(longitude::DOUBLE, 6) AS longitude, round(latitude::DOUBLE, 6) AS latitude FROM sl", L0_CTE, PHASE_CTE, LINE_CTE),
 )
 def lines(spark, sf):
-    base = phased(spark, sf).withColumns(
-        {"latitude": F.when(F.col("seq") % 3 < 2, 12.0 + 0.001 * F.col("seq")), "longitude": 70.0 + 0.001 * F.col("seq")}
-    )
-    out = sg.segment_lines(base, part_points=4)
-    return out.select(
-        "glider_id", "phase", "phase_number", "part", F.size("points").cast("bigint").alias("n_points"), "t_first", "t_last",
-        F.round(F.col("points")[0]["longitude"], 6).alias("first_longitude"),
-        F.round(F.element_at("points", -1)["latitude"], 6).alias("last_latitude"),
-    )
+    return rounded(line_points(spark, sf).select("glider_id", "phase", "phase_number", "position", "t_s", "longitude", "latitude"))
+
+
+@query(
+    "segment_summary",
+    sql("SELECT glider_id, phase, phase_number, min(t_s) AS t_first, max(t_s) AS t_last, count(*) AS n_points FROM sl GROUP BY 1, 2, 3", L0_CTE, PHASE_CTE, LINE_CTE),
+)
+def line_summary(spark, sf):
+    return sg.segment_summary(line_points(spark, sf))
 
 
 @query("detect_phases")

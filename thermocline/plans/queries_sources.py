@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metadata as md
 from ..sources import readers as rd
-from .common import L0_CTE, rounded, sql
+from .common import L0_CTE, SIZED_CTE, rounded, sized, sql
 from .fixture import l0
 from .registry import query
 
@@ -19,11 +19,11 @@ def scan(spark, sf):
 
 
 # one log per glider; rows before 2000 and two gaps of more than a day
-LOG_T = "CASE WHEN seq < 20 THEN 900000000 + seq ELSE t_s + CASE WHEN seq >= 300 THEN 100000 ELSE 0 END END"
+LOG_T = "CASE WHEN seq % 50 = 7 THEN 900000000 + seq ELSE t_s + CASE WHEN seq >= floor(0.1*CAST(n_rows AS DOUBLE)) THEN 100000 ELSE 0 END END"
 
 
 def payload_lines(spark, sf):
-    base = l0(spark, sf).withColumn("t_s", F.expr(LOG_T))
+    base = sized(l0(spark, sf)).withColumn("t_s", F.expr(LOG_T))
     stamp = F.date_format(F.timestamp_seconds("t_s"), "dd/MM/yyyy HH:mm:ss")
     wide = F.when(F.col("seq") % 2 == 0, F.concat(stamp, F.lit(".500"))).otherwise(stamp)
     row = F.concat_ws(";", wide, F.col("pressure").cast("string"), F.coalesce(F.col("salinity").cast("string"), F.lit("")), F.when(F.col("seq") % 3 == 0, "").otherwise(F.col("seq").cast("string")))
@@ -34,7 +34,7 @@ def payload_lines(spark, sf):
 
 @query("parse_payload_log", sql(
     f"""SELECT source_file, t, NAV_PRESSURE, NAV_COUNT FROM pl LEFT JOIN (SELECT source_file, max(t) AS cut FROM (SELECT *, t - lag(t) OVER (PARTITION BY source_file ORDER BY t) AS g FROM pl) WHERE g > 86400 GROUP BY 1) USING (source_file) WHERE cut IS NULL OR t >= cut""",
-    L0_CTE, f"pl AS (SELECT glider_id AS source_file, {LOG_T} + CASE WHEN seq % 2 = 0 THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS t, pressure AS NAV_PRESSURE, CASE WHEN seq % 3 <> 0 THEN seq::DOUBLE END AS NAV_COUNT FROM l0 WHERE {LOG_T} >= 946684800)"))
+    L0_CTE, SIZED_CTE, f"pl AS (SELECT glider_id AS source_file, {LOG_T} + CASE WHEN seq % 2 = 0 THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS t, pressure AS NAV_PRESSURE, CASE WHEN seq % 3 <> 0 THEN seq::DOUBLE END AS NAV_COUNT FROM sz WHERE {LOG_T} >= 946684800)"))
 def payload(spark, sf):
     out = rd.parse_payload(payload_lines(spark, sf))
     return out.select("source_file", "t", F.col("values")["NAV_PRESSURE"].alias("NAV_PRESSURE"), F.col("values")["NAV_COUNT"].alias("NAV_COUNT"))
