@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import iso_micros, observation_id
-from ..schema import ADJUSTED_SUFFIXES, CONTEXT, FLAG_SUFFIX, STANDARD_NAMES
+from ..schema import ADJUSTED_SUFFIXES, BGC_VARIABLES, CONTEXT, FLAG_SUFFIX, STANDARD_NAMES
 from .ordered import stats_join
 from .segments import gps_fixes
 
@@ -54,41 +54,51 @@ def standard_name(variable: Column) -> Column:
 
 
 def family(variable: Column) -> Column:
-    kinds = F.create_map(*[F.lit(x) for k, (_, f) in STANDARD_NAMES.items() for x in (k, f)])
-    return F.coalesce(kinds[variable], F.lit("core"))
+    return F.when(variable.isin(*BGC_VARIABLES), "bgc").otherwise("core")
 
 
 def row_key() -> Column:
     return observation_id(F.col("glider_id"), iso_micros(F.col("t_s")))
 
 
-def measurements(df: DataFrame) -> DataFrame:
-    """Long form: one row per (observation, variable) that has a value, a flag or an adjusted value.
+def paired(l0: DataFrame, l1: DataFrame) -> DataFrame:
+    """The two levels side by side on the union of their stamps: measured columns from L0, all flags and adjusted columns from L1."""
+    keys = ["glider_id", "t_s"]
+    raw = measured_variables(l0)
+    only = [v for v in measured_variables(l1) if v not in raw]
+    beside = [c for c in l1.columns if c.endswith((FLAG_SUFFIX, *ADJUSTED_SUFFIXES))]
+    out = l0.select(*keys, *raw).join(l1.select(*keys, *beside), keys, "full")
+    return out.withColumns({v: F.lit(None).cast("double") for v in only})
+
 
-    Without a flag column the flag is NULL: not assessed is not the same as missing.
+def measurements(df: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Long form: one row per (observation, variable), also where nothing was measured.
+
+    `df` is the flagged level. With `raw`, values come from it alone and flags and adjusted values
+    from `df`, aligned on time. Without a flag column of its own, a value or an adjusted value has
+    the flag NULL: not assessed is not the same as missing.
     """
+    base = df if raw is None else paired(raw, df)
     cells = []
-    for v in measured_variables(df):
-        adjusted = adjusted_column(df, v)
-        flag = F.col(v + FLAG_SUFFIX) if v + FLAG_SUFFIX in df.columns else F.lit(None)
-        value = F.col(adjusted) if adjusted else F.lit(None)
+    for v in measured_variables(base):
+        adjusted = adjusted_column(base, v)
+        none = F.lit(None)
+        flag = lambda c: F.col(c + FLAG_SUFFIX) if c and c + FLAG_SUFFIX in base.columns else none
         cells.append(
             F.struct(
-                F.lit(v).alias("variable"), F.col(v).cast("double").alias("value"), flag.cast("int").alias("qc_flag"),
-                value.cast("double").alias("value_adjusted"),
-                F.when(value.isNotNull(), flag).cast("int").alias("adjusted_qc_flag"),
+                F.lit(v).alias("variable"), F.col(v).cast("double").alias("value"), flag(v).cast("int").alias("qc_flag"),
+                (F.col(adjusted) if adjusted else none).cast("double").alias("value_adjusted"),
+                flag(adjusted).cast("int").alias("adjusted_qc_flag"),
             )
         )
-    long = df.select(row_key().alias("observation_id"), "glider_id", "t_s", F.explode(F.array(*cells)).alias("x"))
-    kept = long.select("observation_id", "glider_id", "t_s", "x.*").filter(
-        "value IS NOT NULL OR qc_flag IS NOT NULL OR value_adjusted IS NOT NULL"
-    )
-    return kept.select(
-        "observation_id", "glider_id", "t_s", family(F.col("variable")).alias("family"), standard_name(F.col("variable")).alias("variable_name"),
-        "value", "qc_flag", "value_adjusted", "adjusted_qc_flag",
+    long = base.select(row_key().alias("observation_id"), "glider_id", "t_s", F.explode(F.array(*cells)).alias("x"))
+    return long.select(
+        "observation_id", "glider_id", "t_s", family(F.col("x.variable")).alias("family"), standard_name(F.col("x.variable")).alias("variable_name"),
+        "x.value", "x.qc_flag", "x.value_adjusted", "x.adjusted_qc_flag",
     )
 
 
+# fixed values: the columns of the observation table
 OBSERVATION_FIELDS = {  # column here: column of the series
     "depth_m": "depth", "pressure": "pressure", "latitude": "latitude", "longitude": "longitude", "profile_id": "profile_index",
     "profile_direction": "profile_direction", "heading": "heading", "pitch": "pitch", "roll": "roll",

@@ -18,7 +18,7 @@ from .registry import query
 
 FLAGS = simple_flag_ctes()
 NAMES = {v: n for v, (n, _) in pb.STANDARD_NAMES.items()}
-FAMILY = {v: f for v, (_, f) in pb.STANDARD_NAMES.items()}
+BGC = ("oxygen_concentration", "chlorophyll", "cdom", "backscatter_700", "nitrate")
 
 
 def l1(spark, sf):
@@ -28,15 +28,26 @@ def l1(spark, sf):
 
 L1 = (*FLAGS, FULLQ, LAG_CTE.format("fa"))
 KEY = "CAST(('0x' || substr(sha256(glider_id || '|' || strftime(make_timestamp(t_s*1000000), '%Y-%m-%dT%H:%M:%S.%f')), 1, 16))::UBIGINT % 9223372036854775808::UBIGINT AS BIGINT)"
+MEASURED = ("pressure", "temperature", "salinity", "oxygen_concentration", "chlorophyll", "cdom", "backscatter_700", "density", "conductivity")
+# both levels lack some stamps; nitrate is in the raw one alone, without a flag and mostly without a value
+NITRATE = "CASE WHEN seq % 4 = 0 THEN 5.0 + 0.001*seq END"
+PAIR_CTES = (
+    f"rw AS (SELECT glider_id, t_s, {', '.join(MEASURED)}, CAST({NITRATE} AS DOUBLE) AS nitrate FROM l0 WHERE seq % 11 <> 3)",
+    f"lv AS (SELECT glider_id, t_s, {', '.join(v + '_QC' for v in MEASURED if v != 'conductivity')}, lag_corrected FROM ol WHERE seq % 13 <> 5)",
+    "pr AS (SELECT * FROM rw FULL JOIN lv USING (glider_id, t_s))",
+)
 LONG = " UNION ALL ".join(
-    f"SELECT {KEY} AS observation_id, glider_id, t_s, '{FAMILY.get(v, 'core')}' AS family, '{NAMES.get(v, v)}' AS variable_name, {v} AS value, "
-    + (f"{v}_QC" if v not in ("conductivity",) else "NULL::INT")
-    + " AS qc_flag, "
-    + ("lag_corrected AS value_adjusted, CASE WHEN lag_corrected IS NOT NULL THEN oxygen_concentration_QC END AS adjusted_qc_flag" if v == "oxygen_concentration" else "NULL::DOUBLE AS value_adjusted, NULL::INT AS adjusted_qc_flag")
-    + " FROM ol"
-    for v in ("pressure", "temperature", "salinity", "oxygen_concentration", "chlorophyll", "cdom", "backscatter_700", "density", "conductivity")
+    f"SELECT {KEY} AS observation_id, glider_id, t_s, '{'bgc' if v in BGC else 'core'}' AS family, '{NAMES.get(v, v)}' AS variable_name, {v} AS value, "
+    + (f"{v}_QC" if v not in ("conductivity", "nitrate") else "NULL::INT")
+    + f" AS qc_flag, {'lag_corrected' if v == 'oxygen_concentration' else 'NULL::DOUBLE'} AS value_adjusted, NULL::INT AS adjusted_qc_flag FROM pr"
+    for v in (*MEASURED, "nitrate")
 )
-LONG_CTE = f"ml AS (SELECT * FROM ({LONG}) WHERE value IS NOT NULL OR qc_flag IS NOT NULL OR value_adjusted IS NOT NULL)"
+LONG_CTE = ", ".join((*PAIR_CTES, f"ml AS ({LONG})"))
+
+
+def long_rows(spark, sf):
+    raw = l0(spark, sf).filter("seq % 11 <> 3").select("glider_id", "t_s", *MEASURED, F.expr(NITRATE).cast("double").alias("nitrate"))
+    return pb.measurements(l1(spark, sf).filter("seq % 13 <> 5"), raw)
 
 
 @query("observation_key", sql(f"SELECT glider_id, t_s, {KEY} AS observation_id FROM l0"))
@@ -51,7 +62,7 @@ def collisions(spark, sf):
 
 @query("measurement_long", sql("SELECT * REPLACE (round(value, 6) AS value, round(value_adjusted, 6) AS value_adjusted) FROM ml", *L1, LONG_CTE))
 def long(spark, sf):
-    return rounded(pb.measurements(l1(spark, sf)))
+    return rounded(long_rows(spark, sf))
 
 
 @query("observation_table", sql(f"SELECT {KEY} AS observation_id, glider_id, t_s, depth AS depth_m, pressure, latitude, longitude, profile_index AS profile_id, profile_direction, NULL::DOUBLE AS heading, round(pitch, 6) AS pitch, NULL::DOUBLE AS roll, waypoint_latitude, waypoint_longitude, NULL::DOUBLE AS distance_over_ground FROM l0"))
@@ -64,18 +75,18 @@ def observation(spark, sf):
     "SELECT glider_id, family, variable_name, count(*) AS n, " + ", ".join(f"CAST(sum(CAST(qc_flag = {k} AS INT)) AS BIGINT) AS n_{k}" for k in (1, 2, 3, 4, 9))
     + ", count(value_adjusted) AS n_adjusted, round(100.0*sum(CAST(qc_flag IN (1, 2) AS INT))/count(*), 2) AS pct_good FROM ml GROUP BY 1, 2, 3", *L1, LONG_CTE))
 def summary(spark, sf):
-    return qc_summary(pb.measurements(l1(spark, sf)))
+    return qc_summary(long_rows(spark, sf))
 
 
 @query("measurement_full_view", sql(f"SELECT o.observation_id, o.glider_id, o.t_s, depth_m, family, variable_name, round(value, 6) AS value, qc_flag FROM (SELECT {KEY} AS observation_id, glider_id, t_s, depth AS depth_m FROM l0) o JOIN ml USING (observation_id)", *L1, LONG_CTE))
 def full(spark, sf):
-    out = pb.measurement_full(pb.observations(l0(spark, sf)), pb.measurements(l1(spark, sf)))
+    out = pb.measurement_full(pb.observations(l0(spark, sf)), long_rows(spark, sf))
     return rounded(out.select("observation_id", "glider_id", "t_s", "depth_m", "family", "variable_name", "value", "qc_flag"))
 
 
 @query("union_families_view", sql("SELECT observation_id, family, variable_name, round(value, 6) AS value FROM ml", *L1, LONG_CTE))
 def families(spark, sf):
-    m = pb.measurements(l1(spark, sf))
+    m = long_rows(spark, sf)
     split = {f: m.filter(F.col("family") == f).drop("family") for f in ("core", "bgc")}
     return rounded(pb.union_families(split["core"], split["bgc"]).select("observation_id", "family", "variable_name", "value"))
 
@@ -87,7 +98,7 @@ WIDE = ["TEMP", "DOXY"]
     f"SELECT o.observation_id, o.t_s, " + ", ".join(f"round(max(value) FILTER (WHERE variable_name = '{n}'), 6) AS {n}, round(max(value_adjusted) FILTER (WHERE variable_name = '{n}'), 6) AS {n}_ADJUSTED, max(qc_flag) FILTER (WHERE variable_name = '{n}') AS {n}_QC, max(adjusted_qc_flag) FILTER (WHERE variable_name = '{n}') AS {n}_ADJUSTED_QC" for n in WIDE)
     + f" FROM (SELECT {KEY} AS observation_id, t_s FROM l0) o LEFT JOIN ml USING (observation_id) GROUP BY 1, 2", *L1, LONG_CTE))
 def wide(spark, sf):
-    out = pb.wide_measurements(pb.observations(l0(spark, sf)), pb.measurements(l1(spark, sf)), WIDE)
+    out = pb.wide_measurements(pb.observations(l0(spark, sf)), long_rows(spark, sf), WIDE)
     return rounded(out.select("observation_id", "t_s", *[n + s for n in WIDE for s in ("", "_ADJUSTED", "_QC", "_ADJUSTED_QC")]))
 
 
@@ -95,7 +106,7 @@ def wide(spark, sf):
     "SELECT observation_id, p AS priority FROM (SELECT observation_id, CASE " + " ".join(f"WHEN bool_or(family = 'core' AND {c}) AND bool_or(family = 'bgc' AND {c}) THEN {k}" for k, c in ((1, "qc_flag IS NOT NULL AND value_adjusted IS NOT NULL"), (2, "qc_flag IS NOT NULL"), (3, "value IS NOT NULL")))
     + " END AS p FROM ml GROUP BY 1) WHERE p IS NOT NULL ORDER BY p, observation_id LIMIT 1", *L1, LONG_CTE))
 def example(spark, sf):
-    return pb.example_observation(pb.measurements(l1(spark, sf)))
+    return pb.example_observation(long_rows(spark, sf))
 
 
 @query("idempotent_load", sql(
@@ -203,13 +214,13 @@ def mapping(m):
 
 @query("second_exchange", sql("SELECT observation_id, coalesce(target, variable_name) AS variable_name, round(value, 6) AS value FROM ml LEFT JOIN mp ON source = variable_name WHERE coalesce(target <> 'TBD', true)", *L1, LONG_CTE, MAP_SQL))
 def second(spark, sf):
-    m = pb.measurements(l1(spark, sf))
+    m = long_rows(spark, sf)
     return rounded(pb.second_exchange(m, mapping(m)).select("observation_id", "variable_name", "value"))
 
 
 @query("mapped_names", sql("SELECT variable_name, CASE WHEN target = 'TBD' THEN 'unmapped:' || variable_name ELSE coalesce(target, variable_name) END AS variable_name_mapped, count(*) AS n FROM ml LEFT JOIN mp ON source = variable_name GROUP BY 1, 2", *L1, LONG_CTE, MAP_SQL))
 def mapped(spark, sf):
-    m = pb.measurements(l1(spark, sf))
+    m = long_rows(spark, sf)
     return pb.mapped_names(m, mapping(m), "variable_name").groupBy("variable_name", "variable_name_mapped").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -247,4 +258,4 @@ def test_lists(spark, sf):
 
 @query("expressions_names", sql("SELECT variable_name, family, count(*) AS n FROM ml GROUP BY 1, 2", *L1, LONG_CTE))
 def names(spark, sf):
-    return pb.measurements(l1(spark, sf)).groupBy("variable_name", "family").agg(F.count(F.lit(1)).alias("n"))
+    return long_rows(spark, sf).groupBy("variable_name", "family").agg(F.count(F.lit(1)).alias("n"))

@@ -83,3 +83,8 @@ STANDARD_NAMES = {
     "cdom": ("CDOM", "bgc"),
     "backscatter_700": ("BBP700", "bgc"),
 }
+# variables of the bgc family; all others are core
+BGC_VARIABLES = (
+    "oxygen_concentration", "chlorophyll", "cdom", "backscatter_700", "backscatter_470", "backscatter_532", "nitrate", "ph", "par",
+    "downwelling_par",
+)
