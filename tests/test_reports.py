@@ -1,5 +1,7 @@
 """Grouping of sensors that stop together, decided in order of appearance."""
 
+from thermocline.operators import reports as rp
+from thermocline.operators import segments as sg
 from thermocline.operators.reports import SENSORS, shared_stops
 
 
@@ -17,3 +19,19 @@ def test_shared_stops(spark):
         ("A", 5000, "chlorophyll,cdom", "several sensors"),
         ("B", 20, "chlorophyll,cdom", "several sensors"),
     ]
+
+
+def test_few_fixes_give_global_bounds(spark):
+    fixes = spark.createDataFrame([("A", 12.0 + k / 100, 70.0) for k in range(9)] + [("B", 12.0, 70.0)] * 4, "glider_id string, latitude double, longitude double")
+    out = {r.glider_id: r for r in rp.deployment_parameters(fixes).collect()}
+    assert out["A"].n_fixes == 9 and out["A"].clean_hemisphere
+    b = out["B"]
+    assert (b.n_fixes, b.la_min, b.la_max, b.lo_min, b.lo_max) == (0, -90.0, 90.0, -180.0, 180.0)
+    assert b.median_lat is None and not b.clean_hemisphere and b.factory_box == "none"
+
+
+def test_short_records_keep_their_rows(spark):
+    rows = [("A", 15 * k, k, float(abs(100 - k % 200))) for k in range(900)] + [("B", 15 * k, k, 5.0) for k in range(60)]
+    out = sg.detect_profiles(spark.createDataFrame(rows, "glider_id string, t_s bigint, seq bigint, pressure double")).collect()
+    assert sum(r.glider_id == "A" for r in out) == 900
+    assert [(r.profile_index, r.profile_direction) for r in out if r.glider_id == "B"] == [(None, None)] * 60

@@ -179,18 +179,27 @@ def meta_row(deployment: DataFrame, l0: DataFrame, l1: DataFrame) -> DataFrame:
 
 
 def deployment_parameters(fixes: DataFrame, declared_depth: DataFrame | None = None) -> DataFrame:
-    """Bounds, hemisphere switch and factory box of each deployment from its fixes (5 or more)."""
+    """Bounds, hemisphere switch and factory box of each deployment from its fixes.
+
+    Fewer than 5 fixes give global bounds and no filtering: `n_fixes` 0, medians NULL.
+    """
+    few = F.coalesce(F.col("la_n") < 5, F.lit(True))
     q = exact_quantiles(
         fixes, ["glider_id"], {"la": (F.col("latitude"), [0.05, 0.5, 0.95]), "lo": (F.col("longitude"), [0.05, 0.5, 0.95])}
-    ).filter("la_n >= 5")
+    )
     bounds, limits = [], {"la": 90.0, "lo": 180.0}
     for c in ("la", "lo"):
         a, b = F.col(c)[0], F.col(c)[2]
         pad = F.greatest(F.lit(2.0), (b - a) * 0.15)
-        bounds += [F.greatest(F.round(a - pad, 2), F.lit(-limits[c])).alias(f"{c}_min"), F.least(F.round(b + pad, 2), F.lit(limits[c])).alias(f"{c}_max")]
+        low, high = F.lit(-limits[c]), F.lit(limits[c])
+        bounds += [
+            F.when(few, low).otherwise(F.greatest(F.round(a - pad, 2), low)).alias(f"{c}_min"),
+            F.when(few, high).otherwise(F.least(F.round(b + pad, 2), high)).alias(f"{c}_max"),
+        ]
     base = q.select(
-        "glider_id", F.col("la_n").alias("n_fixes"), *bounds, F.col("la")[1].alias("median_lat"), F.col("lo")[1].alias("median_lon"),
-        (F.abs(F.col("la")[1]) > 5.0).alias("clean_hemisphere"),
+        "glider_id", F.when(few, 0).otherwise(F.col("la_n")).alias("n_fixes"), *bounds,
+        F.when(~few, F.col("la")[1]).alias("median_lat"), F.when(~few, F.col("lo")[1]).alias("median_lon"),
+        (~few & (F.abs(F.col("la")[1]) > 5.0)).alias("clean_hemisphere"),
     )
     south, north, west, east = FACTORY_BOX
     la, lo = F.col("latitude"), F.col("longitude")
@@ -200,9 +209,9 @@ def deployment_parameters(fixes: DataFrame, declared_depth: DataFrame | None = N
         F.sum(far.cast("int")).alias("__far"),
         *[f(F.when(far, c)).alias(n) for c, k in ((la, "la"), (lo, "lo")) for f, n in ((F.min, f"__{k}0"), (F.max, f"__{k}1"))],
     )
-    kind = F.when(F.col("__in") > 0.05, "default").when(F.col("__far") > 3, "cluster").otherwise("none")
+    kind = F.when(F.col("n_fixes") == 0, "none").when(F.col("__in") > 0.05, "default").when(F.col("__far") > 3, "cluster").otherwise("none")
     edge = lambda default, cluster: F.when(F.col("factory_box") == "default", default).when(F.col("factory_box") == "cluster", cluster)
-    out = base.join(spread.withColumn("factory_box", kind), "glider_id").withColumns(
+    out = base.join(spread, "glider_id").withColumn("factory_box", kind).withColumns(
         {
             "factory_south": edge(F.lit(south), F.col("__la0") - 1), "factory_north": edge(F.lit(north), F.col("__la1") + 1),
             "factory_west": edge(F.lit(west), F.col("__lo0") - 1), "factory_east": edge(F.lit(east), F.col("__lo1") + 1),

@@ -107,8 +107,10 @@ def detect_profiles(df: DataFrame) -> DataFrame:
     a streaming pass over sorted rows.
     """
     base = df.drop("profile_index", "profile_direction")
+    # a record of fewer than 100 pressures keeps its rows, without profiles
     enough = base.groupBy("glider_id").agg(F.count("pressure").alias("__p")).filter("__p >= 100").select("glider_id")
     usable = stats_join(base, enough, ["glider_id"], "left_semi")
+    short = base.join(enough, ["glider_id"], "left_anti")
     row = F.when(F.col("pressure").isNotNull(), F.struct("t_s", "pressure"))
     runs = Runs(usable, before=1, prev={"row": row}, nxt={"row": row})
     runs.with_columns({"__a": runs.before("row"), "__b": runs.after("row"), "__dt": F.col("t_s") - runs.lag("t_s")})
@@ -141,7 +143,7 @@ def detect_profiles(df: DataFrame) -> DataFrame:
     joined = marked.join(starts, ["glider_id", "seq"], "left")
     counted = Runs(joined, total={"start": F.col("__start")})
     counted.with_columns({"profile_index": counted.cumulative("start")})
-    return counted.done("__start", "__turn")
+    return counted.done("__start", "__turn").unionByName(short, allowMissingColumns=True)
 
 
 def buoyancy_phase(df: DataFrame, engine: str = "buoyancy", zero_is_ascent: bool = False) -> DataFrame:

@@ -143,25 +143,25 @@ def meta(spark, sf):
     return rp.meta_row(deployment(base), base, base.filter("profile_index > 3 AND pressure < 2000"))
 
 
-FAR = "fx AS (SELECT glider_id, latitude + CASE WHEN seq % 400 = 0 THEN 29.0 ELSE 0 END AS latitude, longitude - CASE WHEN seq % 400 = 0 AND glider_id = 'G1' THEN 141 ELSE 0 END AS longitude FROM l0 WHERE latitude <> 0)"
+FAR = "fx AS (SELECT glider_id, latitude + CASE WHEN seq % 400 = 0 THEN 29.0 ELSE 0 END AS latitude, longitude - CASE WHEN seq % 400 = 0 AND glider_id = 'G1' THEN 141 ELSE 0 END AS longitude FROM l0 WHERE latitude <> 0 AND (glider_id <> 'G2' OR seq < 100))"
 
 
 @query(
     "deployment_parameters",
     sql(
-        """SELECT b.glider_id, n AS n_fixes, greatest(round(a5 - greatest(2, (a95 - a5)*0.15), 2), -90) AS la_min, least(round(a95 + greatest(2, (a95 - a5)*0.15), 2), 90) AS la_max, greatest(round(o5 - greatest(2, (o95 - o5)*0.15), 2), -180) AS lo_min, least(round(o95 + greatest(2, (o95 - o5)*0.15), 2), 180) AS lo_max,
-        round(a50, 6) AS median_lat, round(o50, 6) AS median_lon, abs(a50) > 5 AS clean_hemisphere, k AS factory_box, round(CASE k WHEN 'default' THEN 40.0 WHEN 'cluster' THEN x0 - 1 END, 6) AS factory_south, round(CASE k WHEN 'default' THEN 43.0 WHEN 'cluster' THEN x1 + 1 END, 6) AS factory_north,
+        """SELECT b.glider_id, CASE WHEN few THEN 0 ELSE n END AS n_fixes, CASE WHEN few THEN -90 ELSE greatest(round(a5 - greatest(2, (a95 - a5)*0.15), 2), -90) END AS la_min, CASE WHEN few THEN 90 ELSE least(round(a95 + greatest(2, (a95 - a5)*0.15), 2), 90) END AS la_max, CASE WHEN few THEN -180 ELSE greatest(round(o5 - greatest(2, (o95 - o5)*0.15), 2), -180) END AS lo_min, CASE WHEN few THEN 180 ELSE least(round(o95 + greatest(2, (o95 - o5)*0.15), 2), 180) END AS lo_max,
+        CASE WHEN NOT few THEN round(a50, 6) END AS median_lat, CASE WHEN NOT few THEN round(o50, 6) END AS median_lon, NOT few AND abs(a50) > 5 AS clean_hemisphere, k AS factory_box, round(CASE k WHEN 'default' THEN 40.0 WHEN 'cluster' THEN x0 - 1 END, 6) AS factory_south, round(CASE k WHEN 'default' THEN 43.0 WHEN 'cluster' THEN x1 + 1 END, 6) AS factory_north,
         round(CASE k WHEN 'default' THEN -72.0 WHEN 'cluster' THEN y0 - 1 END, 6) AS factory_west, round(CASE k WHEN 'default' THEN -69.0 WHEN 'cluster' THEN y1 + 1 END, 6) AS factory_east, CAST(1000 AS DOUBLE) AS max_depth_dbar
-        FROM b JOIN (SELECT glider_id, CASE WHEN avg(CASE WHEN latitude BETWEEN 40 AND 43 AND longitude BETWEEN -72 AND -69 THEN 1.0 ELSE 0.0 END) > 0.05 THEN 'default' WHEN count(*) FILTER (WHERE f) > 3 THEN 'cluster' ELSE 'none' END AS k, min(latitude) FILTER (WHERE f) AS x0, max(latitude) FILTER (WHERE f) AS x1, min(longitude) FILTER (WHERE f) AS y0, max(longitude) FILTER (WHERE f) AS y1
-        FROM (SELECT fx.*, sqrt(pow(latitude - a50, 2) + pow(longitude - o50, 2)) > 10 AS f FROM fx JOIN b USING (glider_id)) GROUP BY 1) USING (glider_id) WHERE n >= 5""",
+        FROM b JOIN (SELECT glider_id, CASE WHEN bool_or(few) THEN 'none' WHEN avg(CASE WHEN latitude BETWEEN 40 AND 43 AND longitude BETWEEN -72 AND -69 THEN 1.0 ELSE 0.0 END) > 0.05 THEN 'default' WHEN count(*) FILTER (WHERE f) > 3 THEN 'cluster' ELSE 'none' END AS k, min(latitude) FILTER (WHERE f) AS x0, max(latitude) FILTER (WHERE f) AS x1, min(longitude) FILTER (WHERE f) AS y0, max(longitude) FILTER (WHERE f) AS y1
+        FROM (SELECT fx.*, few, sqrt(pow(latitude - a50, 2) + pow(longitude - o50, 2)) > 10 AS f FROM fx JOIN b USING (glider_id)) GROUP BY 1) USING (glider_id)""",
         L0_CTE, FAR,
-        "b AS (SELECT glider_id, count(*) AS n, quantile_cont(latitude, 0.05) AS a5, quantile_cont(latitude, 0.5) AS a50, quantile_cont(latitude, 0.95) AS a95, quantile_cont(longitude, 0.05) AS o5, quantile_cont(longitude, 0.5) AS o50, quantile_cont(longitude, 0.95) AS o95 FROM fx GROUP BY 1)",
+        "b AS (SELECT glider_id, count(*) AS n, count(*) < 5 AS few, quantile_cont(latitude, 0.05) AS a5, quantile_cont(latitude, 0.5) AS a50, quantile_cont(latitude, 0.95) AS a95, quantile_cont(longitude, 0.05) AS o5, quantile_cont(longitude, 0.5) AS o50, quantile_cont(longitude, 0.95) AS o95 FROM fx GROUP BY 1)",
     ),
 )
 def parameters(spark, sf):
     far = F.when(F.col("seq") % 400 == 0, 29.0).otherwise(0.0)
     west = F.when((F.col("seq") % 400 == 0) & (F.col("glider_id") == "G1"), 141).otherwise(0)
-    fixes = l0(spark, sf).filter("latitude <> 0").select("glider_id", (F.col("latitude") + far).alias("latitude"), (F.col("longitude") - west).alias("longitude"))
+    fixes = l0(spark, sf).filter("latitude <> 0 AND (glider_id <> 'G2' OR seq < 100)").select("glider_id", (F.col("latitude") + far).alias("latitude"), (F.col("longitude") - west).alias("longitude"))
     return rounded(rp.deployment_parameters(fixes))
 
 
