@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_rows, materialise, run_rows
+from ..session import run_rows
 
 GLIDER = ("glider_id",)
 DAY = 86_400
@@ -174,12 +174,12 @@ class Runs:
 
 
 def stats_join(df: DataFrame, stats: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a per-key statistics table, broadcasting it only after its rows were counted."""
-    on = list(on)
-    table = materialise(stats)
-    if table.count() <= broadcast_rows(df.sparkSession):
-        return df.join(F.broadcast(table), on, how)
-    return df.join(table, on, how)
+    """Join a per-key statistics table; adaptive execution broadcasts it if its measured bytes allow, else splits hot keys."""
+    return df.join(stats, list(on), how)
+
+
+#: A quantile's bracket is counted in so many bins; only values of the bins that hold its rank are ranked.
+BINS = 4096
 
 
 def exact_quantiles(
@@ -192,8 +192,9 @@ def exact_quantiles(
 
     `specs` maps an output name to (value expression, quantiles). The result has one row per
     key with `<name>` (array of quantile values) and `<name>_n` (number of values). NULLs are
-    ignored. A sketch of bounded size brackets each quantile; only bracketed values are
-    shuffled, keyed by value, and ranked.
+    ignored. A sketch of bounded size brackets each quantile; bracketed values are counted by value,
+    those counts by bin, and only the bin or two that hold the rank are ranked, so no task sorts a
+    key's bracket. A bracket that missed its rank is an error.
     """
     keys = list(keys)
     names = list(specs)
@@ -209,7 +210,7 @@ def exact_quantiles(
             F.max(f"__v{i}").alias(f"__max{i}"),
             F.percentile_approx(f"__v{i}", edges, accuracy).alias(f"__e{i}"),
         ]
-    sketch = materialise(values.groupBy(*keys).agg(*aggs))
+    sketch = values.groupBy(*keys).agg(*aggs)
 
     slots = []
     for i, k in enumerate(names):
@@ -231,9 +232,7 @@ def exact_quantiles(
             )
     brackets = sketch.select(*keys, F.array(*slots).alias("__slots"))
 
-    joined = values.join(F.broadcast(brackets), keys) if sketch.count() <= broadcast_rows(df.sparkSession) else values.join(
-        brackets, keys
-    )
+    joined = stats_join(values, brackets, keys, "inner")
     picks = []
     s = 0
     for i, k in enumerate(names):
@@ -249,6 +248,11 @@ def exact_quantiles(
                         slot["rank"].alias("rank"),
                         slot["part"].alias("part"),
                         F.when(v >= slot["lo"], v).alias("v"),
+                        F.when(v < slot["lo"], -1)
+                        .when(slot["hi"] > slot["lo"], F.least(F.floor((v - slot["lo"]) / (slot["hi"] - slot["lo"]) * BINS), F.lit(BINS - 1)))
+                        .otherwise(0)
+                        .cast("int")
+                        .alias("bin"),
                     ),
                 )
             )
@@ -256,11 +260,15 @@ def exact_quantiles(
     counted = (
         joined.select(*keys, F.explode(F.array(*picks)).alias("p"))
         .filter("p IS NOT NULL")
-        .groupBy(*keys, "p.i", "p.j", "p.rank", "p.part", "p.v")
+        .groupBy(*keys, "p.i", "p.j", "p.rank", "p.part", "p.bin", "p.v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    ranked = counted.withColumn(
-        "upto", F.sum("c").over(Window.partitionBy(*keys, "i", "j").orderBy(F.col("v").asc_nulls_first()))
+    spot = [*keys, "i", "j"]
+    bins = counted.groupBy(*spot, "bin", "rank").agg(F.sum("c").alias("c"))
+    bins = bins.withColumn("upto_bin", F.sum("c").over(Window.partitionBy(*spot).orderBy("bin")))
+    bins = bins.withColumn("before", F.col("upto_bin") - F.col("c")).filter((F.col("upto_bin") > F.col("rank")) & (F.col("before") <= F.col("rank") + 1))
+    ranked = stats_join(counted, bins.select(*spot, "bin", "before"), [*spot, "bin"], "inner").withColumn(
+        "upto", F.col("before") + F.sum("c").over(Window.partitionBy(*spot, "bin").orderBy(F.col("v").asc_nulls_first()))
     )
     low = F.min(F.when(F.col("upto") > F.col("rank"), F.struct("upto", "v")))["v"]
     high = F.min(F.when(F.col("upto") > F.col("rank") + 1, F.struct("upto", "v")))["v"]
@@ -270,7 +278,10 @@ def exact_quantiles(
         .agg(low.alias("low"), high.alias("high"), part.alias("part"))
         .withColumn(
             "q",
-            F.when(F.col("low").isNull(), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
+            F.when(
+                F.col("low").isNull() | (F.col("high").isNull() & (F.col("part") > 0)),
+                F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"),
+            )
             .when(F.col("part") == 0, F.col("low"))
             .otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("part")),
         )

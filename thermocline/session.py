@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -10,9 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 # Rows of one ordered key that a single task sorts at a time (see operators/ordered.py).
 RUN_ROWS_CONF = "spark.thermocline.runRows"
 RUN_ROWS_DEFAULT = 100_000
-# A statistics table is broadcast only up to this many rows; past it, Spark plans a shuffled join.
-BROADCAST_ROWS_CONF = "spark.thermocline.broadcastRows"
-BROADCAST_ROWS_DEFAULT = 100_000
 
 
 def build_session(master: str | None = None, app: str = "thermocline", **conf: str) -> SparkSession:
@@ -33,19 +31,19 @@ def run_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(RUN_ROWS_CONF, str(RUN_ROWS_DEFAULT)))
 
 
-def broadcast_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS_DEFAULT)))
-
-
 _local_dir: str | None = None
+_written: list[str] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a private one only where none is set."""
+    """The shared folder named by the cluster. On a local master without one (tests), a private folder; elsewhere an error."""
     global _local_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="thermocline-")
     return _local_dir
@@ -55,9 +53,23 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write `df` to a Parquet table in the checkpoint folder and read it back.
 
     The table survives the loss of executors, cuts the lineage and keeps column pruning
-    for whoever reads it next.
+    for whoever reads it next. `drop_materialised` removes it, at the end of the process at the latest.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(drop_materialised, spark)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialised(spark: SparkSession) -> None:
+    """Remove the tables this process has written; frames that read them can't be used any more."""
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm is None or spark.sparkContext._jsc is None:
+        return  # the session has ended
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
