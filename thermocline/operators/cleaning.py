@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import DISPLAY_RANGE, FACTORY_BOX, PLAUSIBLE_MAX, SCIENCE_RANGE
+from ..schema import DISPLAY_NAMES, DISPLAY_RANGE, FACTORY_BOX, PLAUSIBLE_MAX, SCIENCE_RANGE
 from ..session import materialise
 from .ordered import Runs, exact_quantiles, number_by_time, number_rows, stats_join, with_quantiles
 
@@ -211,8 +211,8 @@ def drop_empty_rows(df: DataFrame, measured: list[str]) -> DataFrame:
 
 
 def clamp_display_range(df: DataFrame) -> DataFrame:
-    """Values a display should not show become missing."""
-    limits = {v: r for v, r in DISPLAY_RANGE.items() if v in df.columns}
+    """Values a display should not show become missing, whichever of its names a quantity has."""
+    limits = {name: r for v, r in DISPLAY_RANGE.items() for name in (v, *DISPLAY_NAMES.get(v, ())) if name in df.columns}
     return df.withColumns({v: F.when(F.col(v).between(low, high), F.col(v)) for v, (low, high) in limits.items()})
 
 

@@ -158,22 +158,22 @@ def key_collisions(df: DataFrame) -> DataFrame:
 
 
 # -- loads ---------------------------------------------------------------------------------------------
-def latest(rows: DataFrame, keys: list[str], order: str = "load_seq") -> DataFrame:
-    """Newest version per key, found by a mergeable aggregate."""
-    others = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("r")).select(*keys, "r.*")
+def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; of rows that share a key the choice hangs on their values alone."""
+    order = Window.partitionBy(*keys).orderBy(F.xxhash64(*[c for c in rows.columns if c not in keys]))
+    return rows.withColumn("__one", F.row_number().over(order)).filter("__one = 1").drop("__one")
 
 
 def upsert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Table after loading `rows`: new keys added, known keys replaced; loading twice changes nothing."""
-    both = table.withColumn("load_seq", F.lit(0)).unionByName(rows.withColumn("load_seq", F.lit(1)))
-    return latest(both, keys).drop("load_seq").select(*table.columns)
+    new = one_per_key(rows, keys)
+    return table.join(new.select(*keys), keys, "left_anti").select(*table.columns).unionByName(new.select(*table.columns))
 
 
 def load_parquet(rows: DataFrame, path: str, keys: list[str]) -> None:
-    """Idempotent load into a table partitioned by glider; only gliders in `rows` are rewritten.
+    """Idempotent load into a table partitioned by glider and day; only the days in `rows` are rewritten.
 
-    The merged rows are written aside first, so a lost executor never re-reads files that are
+    A key fixes its glider and time, as observation keys do. The merged rows are written aside first, so a lost executor never re-reads files that are
     being replaced.
     """
     from pyspark.errors import AnalysisException
@@ -181,19 +181,20 @@ def load_parquet(rows: DataFrame, path: str, keys: list[str]) -> None:
     from ..session import materialise
 
     spark = rows.sparkSession
+    day = F.floor(F.col("t_s") / 86_400) if "t_s" in rows.columns else F.lit(0)
+    parts = ["glider_id", "load_day"]
     try:
-        table = spark.read.parquet(path).select(*rows.columns)
-        touched = stats_join(table, rows.select("glider_id").distinct(), ["glider_id"], "left_semi")
-        merged = upsert(touched, rows, keys)
+        table = spark.read.parquet(path).select(*rows.columns, "load_day")
+        touched = stats_join(table, rows.select("glider_id", day.alias("load_day")).distinct(), parts, "left_semi")
+        merged = upsert(touched.select(*rows.columns), rows, keys)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
-        merged = latest(rows.withColumn("load_seq", F.lit(0)), keys).drop("load_seq").select(*rows.columns)
-    day = F.floor(F.col("t_s") / 86_400) if "t_s" in rows.columns else F.lit(0)
-    done = materialise(merged)
+        merged = one_per_key(rows, keys)
+    done = materialise(merged).withColumn("load_day", day)
     (
-        done.repartition("glider_id", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("glider_id").parquet(path)
+        done.repartition(*parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts).parquet(path)
     )
 
 
@@ -210,7 +211,9 @@ def profile_rows(df: DataFrame, variables: list[str], apply_qc: bool = False) ->
 
 
 def write_profiles(df: DataFrame, path: str) -> None:
-    df.repartition(*PROFILE).write.mode("overwrite").partitionBy(*PROFILE).parquet(path)
+    """Profiles in Parquet, one folder per glider and thousand profiles, sorted by profile."""
+    tasks = df.withColumn("profile_bucket", F.floor(F.col("profile_index") / 1_000)).repartition("glider_id", "profile_bucket")
+    tasks.sortWithinPartitions(*PROFILE, "t_s").write.mode("overwrite").partitionBy("glider_id", "profile_bucket").parquet(path)
 
 
 def write_grid(grid: DataFrame, path: str) -> None:

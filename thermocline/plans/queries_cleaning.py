@@ -336,16 +336,22 @@ def empty_rows(spark, sf):
     return cl.drop_empty_rows(l0(spark, sf), ["temperature", "chlorophyll", "cdom"]).select("glider_id", "t_s")
 
 
+OTHER_NAMES = {n: (v, cl.DISPLAY_RANGE[v]) for v, names in cl.DISPLAY_NAMES.items() for n in names}
+
+
 @query(
     "display_range_clamp",
     sql(
         "SELECT glider_id, t_s, "
         + ", ".join(f"round(CASE WHEN {v} BETWEEN {lo} AND {hi} THEN {v} END, 6) AS {v}" for v, (lo, hi) in cl.DISPLAY_RANGE.items())
+        + ", " + ", ".join(f"round(CASE WHEN seq % 7 <> 2 AND {v} BETWEEN {lo} AND {hi} THEN {v} END, 6) AS {n}" for n, (v, (lo, hi)) in OTHER_NAMES.items())
         + " FROM l0"
     ),
 )
 def display_clamp(spark, sf):
-    return rounded(cl.clamp_display_range(l0(spark, sf)).select("glider_id", "t_s", *cl.DISPLAY_RANGE))
+    # the other names hold a fill value in every seventh row
+    base = l0(spark, sf).withColumns({n: F.when(F.col("seq") % 7 == 2, -9999.0).otherwise(F.col(v)) for n, (v, _) in OTHER_NAMES.items()})
+    return rounded(cl.clamp_display_range(base).select("glider_id", "t_s", *cl.DISPLAY_RANGE, *OTHER_NAMES))
 
 
 @query(

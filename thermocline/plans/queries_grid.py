@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import cleaning as cl
 from ..operators import grid as gr
 from ..operators import sections as se
-from ..session import materialise
+from ..operators.publish import write_grid
+from ..session import materialise, table_path
 from .common import SCREENED_CTE, rounded, sql
 from .fixture import l0
 from .queries_qc import FULL_CTES, SLICE_CTES, START_CTE, flagged
@@ -67,6 +68,13 @@ def profiles(spark, sf):
     return rounded(gr.profile_grid(thinned(spark, sf), VARIABLES))
 
 
+@query("written_grid", sql("SELECT glider_id, profile_index, variable, CAST(cell AS BIGINT) AS cell, CAST(depth AS DOUBLE) AS depth, round(value, 6) AS value FROM grid", *GRID))
+def written_grid(spark, sf):
+    path = table_path(spark)
+    write_grid(gr.profile_grid(thinned(spark, sf), VARIABLES), path)
+    return rounded(spark.read.parquet(path).select("glider_id", "profile_index", "variable", "cell", "depth", "value"))
+
+
 @query(
     "grid_profiles_qc",
     sql("SELECT glider_id, profile_index, variable, CAST(cell AS BIGINT) AS cell, round(value, 6) AS value FROM grid", *SLICE_CTES, "gq AS (SELECT cl.glider_id, profile_index, depth, temperature, salinity, cl.t_s, temperature_QC, salinity_QC FROM cl JOIN fl USING (glider_id, t_s))", grid_cte("gq", ["temperature", "salinity"], True)),

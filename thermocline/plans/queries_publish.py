@@ -14,6 +14,7 @@ from .fixture import l0
 from .queries_corrections import LAG_CTE
 from .queries_grid import simple_flag_ctes, simple_flags
 from .queries_reports import FULLQ, cnt
+from ..session import table_path
 from .registry import query
 
 FLAGS = simple_flag_ctes()
@@ -119,6 +120,17 @@ def load(spark, sf):
     return pb.upsert(once, new, ["observation_id"])
 
 
+@query("written_load", sql(
+    f"SELECT observation_id, glider_id, t_s, value FROM (SELECT {KEY} AS observation_id, glider_id, t_s, CASE WHEN seq % 3 = 0 THEN pressure + 1 ELSE pressure END AS value FROM l0 WHERE seq % 3 = 0 OR seq % 5 <> 1)"))
+def written_load(spark, sf):
+    base = l0(spark, sf).select(pb.row_key().alias("observation_id"), "glider_id", "t_s", F.col("pressure").alias("value"), "seq")
+    path, new = table_path(spark), base.filter("seq % 3 = 0").drop("seq").withColumn("value", F.col("value") + 1)
+    pb.load_parquet(base.filter("seq % 5 <> 1").drop("seq"), path, ["observation_id"])
+    for _ in range(2):
+        pb.load_parquet(new, path, ["observation_id"])
+    return spark.read.parquet(path).select("observation_id", "glider_id", "t_s", "value")
+
+
 @query("profile_rows_qc", sql(
     "SELECT glider_id, profile_index, t_s, round(CASE WHEN temperature_QC IN (3, 4) THEN NULL ELSE temperature END, 6) AS temperature, round(CASE WHEN pressure_QC IN (3, 4) THEN NULL ELSE pressure END, 6) AS pressure, CASE WHEN avg(profile_direction) OVER (PARTITION BY glider_id, profile_index) > 0 THEN 'dive' ELSE 'climb' END AS direction FROM fa", *FLAGS, FULLQ))
 def profile_rows(spark, sf):
@@ -126,6 +138,14 @@ def profile_rows(spark, sf):
     return rounded(out.select("glider_id", "profile_index", "t_s", "temperature", "pressure", "direction"))
 
 
+@query("written_profiles", sql(
+    "SELECT glider_id, profile_index, t_s, round(CASE WHEN temperature_QC IN (3, 4) THEN NULL ELSE temperature END, 6) AS temperature, round(CASE WHEN pressure_QC IN (3, 4) THEN NULL ELSE pressure END, 6) AS pressure, CASE WHEN avg(profile_direction) OVER (PARTITION BY glider_id, profile_index) > 0 THEN 'dive' ELSE 'climb' END AS direction FROM fa", *FLAGS, FULLQ))
+def written_profiles(spark, sf):
+    path = table_path(spark)
+    pb.write_profiles(pb.profile_rows(simple_flags(spark, sf), ["temperature", "pressure"], apply_qc=True), path)
+    return rounded(spark.read.parquet(path).select("glider_id", "profile_index", "t_s", "temperature", "pressure", "direction"))
+
+
 @query("delimited_export", sql(
     "SELECT glider_id, strftime(make_timestamp(t_s*1000000), '%Y/%m/%d %H:%M:%S') AS DATE, latitude AS LATITUDE, longitude AS LONGITUDE, round(temperature, 6) AS TEMP, temperature_QC AS TEMP_QC, conductivity AS CNDC, 0 AS CNDC_QC FROM fa".replace("conductivity AS", "round(conductivity, 6) AS"), *FLAGS, FULLQ))
 def export(spark, sf):

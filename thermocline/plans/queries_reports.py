@@ -217,7 +217,21 @@ def failures(spark, sf):
     return rounded(rp.sensor_failures(silent(spark, sf), V))
 
 
-@query("report_shared_stops")
+RANKS = "[" + ", ".join(f"'{v}'" for v in V) + "]"
+
+
+@query(
+    "report_shared_stops",
+    # a variable joins the first head within a minute of it, else becomes a head; one step a variable
+    sql(
+        """SELECT glider_id, head AS stopped_at, string_agg(variable, ',' ORDER BY k) AS variables, CASE WHEN bool_or(variable IN ('temperature', 'salinity', 'pressure')) THEN 'mission gap' ELSE 'several sensors' END AS kind FROM
+        (SELECT it.*, list_filter(heads, lambda h: abs(h - t) <= 60)[1] AS head FROM it JOIN st USING (glider_id, k)) GROUP BY 1, 2 HAVING count(*) > 1""",
+        L0_CTE, SIZED_CTE, SILENT_SQL, FAIL_CTE,
+        f"it AS (SELECT glider_id, variable, last_valid AS t, row_number() OVER (PARTITION BY glider_id ORDER BY list_position({RANKS}, variable)) AS k FROM fi)",
+        """st AS (SELECT glider_id, 0::BIGINT AS k, []::BIGINT[] AS heads FROM (SELECT DISTINCT glider_id FROM it) UNION ALL
+        SELECT it.glider_id, it.k, CASE WHEN len(list_filter(heads, lambda h: abs(h - t) <= 60)) > 0 THEN heads ELSE list_append(heads, t) END FROM st JOIN it ON it.glider_id = st.glider_id AND it.k = st.k + 1)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def stops(spark, sf):
     return rp.shared_stops(rp.sensor_failures(silent(spark, sf), V), V)
 

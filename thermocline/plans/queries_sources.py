@@ -8,6 +8,7 @@ from ..operators import metadata as md
 from ..sources import readers as rd
 from .common import L0_CTE, SIZED_CTE, rounded, sized, sql
 from .fixture import l0
+from ..session import table_path
 from .registry import query
 
 V = ["temperature", "chlorophyll", "cdom", "density"]
@@ -15,7 +16,9 @@ V = ["temperature", "chlorophyll", "cdom", "density"]
 
 @query("scan_series", sql("SELECT glider_id, t_s, pressure FROM l0 WHERE glider_id IN ('G0', 'G2')"))
 def scan(spark, sf):
-    return l0(spark, sf).filter(F.col("glider_id").isin("G0", "G2")).select("glider_id", "t_s", "pressure")
+    path = table_path(spark)
+    l0(spark, sf).select("glider_id", "t_s", "pressure", "temperature").write.partitionBy("glider_id").parquet(path)
+    return rd.scan_series(spark, path, ["G0", "G2"], ["glider_id", "t_s", "pressure"])
 
 
 # one log per glider; rows before 2000 and two gaps of more than a day

@@ -58,6 +58,13 @@ DISPLAY_RANGE = {  # any other variable is left alone
     "cdom": (-1.0, 500.0),
     "backscatter_700": (-0.01, 1.0),
 }
+DISPLAY_NAMES = {  # further names of the same quantities
+    "temperature": ("potential_temperature", "sci_water_temp"),
+    "salinity": ("practical_salinity",),
+    "oxygen_concentration": ("oxygen", "dissolved_oxygen", "sci_oxy4_oxygen"),
+    "chlorophyll": ("chlorophyll_flntu", "sci_flbbcd_chlor_units"),
+    "cdom": ("sci_flbbcd_cdom_units",),
+}
 PLAUSIBLE_MAX = {
     "chlorophyll": 50.0,
     "cdom": 200.0,

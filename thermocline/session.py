@@ -56,12 +56,18 @@ def materialise(df: DataFrame) -> DataFrame:
     for whoever reads it next. `drop_materialised` removes it, at the end of the process at the latest.
     """
     spark = df.sparkSession
+    path = table_path(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def table_path(spark: SparkSession) -> str:
+    """A new path for a table of this run in the checkpoint folder."""
     path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     if not _written:
         atexit.register(drop_materialised, spark)
     _written.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def drop_materialised(spark: SparkSession) -> None:

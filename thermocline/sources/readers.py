@@ -70,7 +70,7 @@ def parse_segments(headers: DataFrame, data: DataFrame, stamp: str) -> DataFrame
         "segment", F.regexp_extract("line", COLUMN_LINE, 1).alias("variable"), F.regexp_extract("line", COLUMN_LINE, 2).alias("column")
     ).filter("variable <> ''").withColumn("column", F.col("column").cast("int"))
     cells = F.split(F.trim("line"), r"\s+")
-    rows = data.filter(F.trim("line") != "").withColumn("row", F.monotonically_increasing_id()).withColumn("cells", cells)
+    rows = data.filter(F.trim("line") != "").withColumn("cells", cells)
     t_col = names.filter(F.col("variable") == stamp).select("segment", F.col("column").alias("__t"))
     timed = stats_join(rows, t_col, ["segment"], "inner").withColumn("t", F.element_at("cells", F.col("__t")).try_cast("double"))
     long = timed.select("segment", "t", F.posexplode("cells").alias("pos", "cell")).withColumn("column", F.col("pos") + 1)
