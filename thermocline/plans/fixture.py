@@ -45,13 +45,22 @@ L0_SQL = (
 )
 
 
+#: rows of a glider that one task numbers, about
+BUCKET_ROWS = 10_000
+
+
 def l0(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aligned series: one row per (glider, time), `seq` counting rows per glider."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates and keys are defined in UTC
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", "ts", "event_type", "value", (F.col("user_id") % 3).alias("g")
     )
-    ranked = number_rows(events, ["g"], ["ts", "event_id"], F.floor(F.unix_timestamp("ts") / 600), out="rn")
+    # buckets grow in number with the rows, so that none grows
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = events.groupBy("g").agg(F.min(micros).alias("__lo"), F.max(micros).alias("__hi"), F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).alias("__n"))
+    placed = events.join(span, "g")
+    share = (micros - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + 1)
+    ranked = number_rows(placed, ["g"], ["ts", "event_id"], F.floor(share * F.col("__n")), out="rn").drop("__lo", "__hi", "__n")
     base = (
         ranked.withColumn("u", F.expr("value - floor(value)"))
         .withColumn("prof", F.expr("CAST(floor(rn/40.0) AS bigint)"))
