@@ -37,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' ids, with digests of them and of what they decode to. Null and empty texts have no ids."""
     kept = others(docs, "text", "ids", "decoded")
-    coded = bpe.decode(bpe.encode(docs, WORD_BPE).drop("text"), WORD_BPE)
+    coded = bpe.encode(docs, WORD_BPE, decoded="decoded")
     added = {
         "ids": F.col("ids"),
         "n_tokens": F.size("ids").cast("long"),

@@ -19,10 +19,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from thermocline.llm.rows import add_columns, col_of, slices
+from thermocline.llm.rows import add_columns, col_of, own_memory, slices
 
-#: Chunks of text between white space whose encodings a worker remembers; past it the memory starts anew.
-REMEMBERED = 600_000
+#: Chunks of text between white space whose encodings a worker remembers; past it, it keeps the third that it needed most.
+REMEMBERED = 250_000
 NO_MERGE = (1 << 40, 0)
 END = "\u0100"
 
@@ -182,11 +182,23 @@ class Encoder:
         self.index: dict[str, int] = {}
         self.values: list[np.ndarray] = [np.zeros(0, np.int32)]
         self.lengths: list[int] = []
+        self.needed = np.zeros(0, np.int64)
+
+    def shrink(self) -> None:
+        """Forget all but the chunks needed most often of late."""
+        n = REMEMBERED // 3
+        keep = np.sort(np.argsort(self.needed, kind="stable")[-n:])
+        names = list(self.index)
+        values, lengths = np.concatenate(self.values), np.array(self.lengths, dtype=np.int64)
+        begins = np.cumsum(lengths) - lengths
+        places = np.repeat(begins[keep] - (np.cumsum(lengths[keep]) - lengths[keep]), lengths[keep]) + np.arange(lengths[keep].sum())
+        self.index = {names[k]: number for number, k in enumerate(keep.tolist())}
+        self.values, self.lengths, self.needed = [values[places]], lengths[keep].tolist(), self.needed[keep] // 2
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
         """The numbers of all chunks on end, and where each text begins; values and lengths hold the encodings by number."""
         if len(self.index) > REMEMBERED:
-            self.forget()
+            self.shrink()
         index = self.index
         words = [self.vocabulary.chunks(t) if t else [] for t in texts]
         new = list(set(chain.from_iterable(words)).difference(index))
@@ -201,6 +213,7 @@ class Encoder:
             self.lengths.extend(map(len, encoded))
             self.values.append(np.fromiter(chain.from_iterable(encoded), np.int32))
         numbers = np.fromiter(chain.from_iterable(map(index.__getitem__, ws) for ws in words), np.int64, sum(map(len, words)))
+        self.needed = np.bincount(numbers, minlength=len(self.lengths)) + np.pad(self.needed, (0, len(self.lengths) - len(self.needed)))
         return numbers, np.concatenate([[0], np.cumsum([len(ws) for ws in words], dtype=np.int64)])
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -228,6 +241,7 @@ _workers: dict[int, Encoder] = {}
 
 def _encoder(file: str) -> Encoder:
     """One encoder a worker process and vocabulary."""
+    own_memory(__name__, _workers.clear)
     key = hash(file)
     if key not in _workers:
         _workers[key] = Encoder(Vocabulary(file))
@@ -240,8 +254,16 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """docs with a column of token ids (array of int) added, or replaced if it is there.
+def decoded_texts(values: np.ndarray, ends: np.ndarray, names: list[str]) -> list[str]:
+    """Texts of runs of ids: vocabulary strings joined by one space; an id outside the vocabulary gives an empty string."""
+    known = len(names)
+    words = [names[i] if 0 <= i < known else "" for i in values.tolist()]
+    bounds = ends.tolist()
+    return [" ".join(words[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+
+def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """docs with a column of token ids (array of int) added, or replaced if it is there; with decoded, also a column of what the ids decode to.
 
     A null or empty text, and one of white space alone, has the empty array. Every other row is
     encoded whole, equal rows alike. Other columns pass through, whatever their names. No shuffle.
@@ -253,11 +275,13 @@ def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str =
 
         def compute(texts: pa.Array) -> list[pa.Array]:
             values, ends = encoder.ids(texts.to_pylist())
-            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))]
+            out = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))]
+            return out if decoded is None else [*out, pa.array(decoded_texts(values, ends, encoder.vocabulary.names), pa.string())]
 
         return compute
 
-    return add_columns(docs, [text], {ids: T.ArrayType(T.IntegerType())}, make)
+    added = {ids: T.ArrayType(T.IntegerType())} | ({} if decoded is None else {decoded: T.StringType()})
+    return add_columns(docs, [text], added, make)
 
 
 def encoded_lengths(docs: DataFrame, vocabulary_path: str, text: str = "text", length: str = "n_tokens") -> DataFrame:
@@ -282,15 +306,11 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", decoded:
     names = encoded.sparkSession.sparkContext.broadcast(Vocabulary(read_vocabulary(vocabulary_path)).names)
 
     def make():
-        table = dict(enumerate(names.value))
+        table = names.value
 
         def compute(column: pa.Array) -> list[pa.Array]:
-            values = column.flatten().to_pylist()
-            texts, at = [], 0
-            for n in pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_pylist():
-                texts.append(" ".join([table.get(i, "") for i in values[at : at + n]]))
-                at += n
-            return [pa.array(texts, pa.string())]
+            sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            return [pa.array(decoded_texts(column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), table), pa.string())]
 
         return compute
 
@@ -298,5 +318,5 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", decoded:
 
 
 def tokens(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns key, ids and decoded of every document."""
-    return decode(encode(docs.select(key, text), vocabulary_path, text).select(key, "ids"), vocabulary_path)
+    """Columns key, ids and decoded of every document, encoded and decoded in one pass."""
+    return encode(docs.select(col_of(key), col_of(text)), vocabulary_path, text, decoded="decoded").select(col_of(key), "ids", "decoded")

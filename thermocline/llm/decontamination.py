@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from thermocline.llm.rows import col_of, slices
+from thermocline.llm.rows import col_of, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 #: Words of a window.
@@ -23,7 +23,7 @@ RESTRICT_TERMS = 4_000_000
 #: Words of benchmark items searched for at once; more go in further blocks.
 BLOCK_WORDS = 1_000_000
 #: Word hashes a worker remembers; past it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 #: Everything in ASCII but digits and small letters parts words.
 _PARTS = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -36,6 +36,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
+    own_memory(__name__, _memory.clear)
     if len(_memory) > REMEMBERED:
         _memory.clear()
     for w in set(words).difference(_memory):

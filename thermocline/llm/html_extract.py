@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from thermocline.llm.rows import add_columns, col_of, others, slices
+from thermocline.llm.rows import add_columns, col_of, others, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 #: A token is frequent on a host if this share of its pages has it.
@@ -131,6 +131,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memory(__name__)
         held: dict[tuple[str, str, bool], list[int]] = {}
 
         def out() -> pa.RecordBatch:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from thermocline.llm.components import components
-from thermocline.llm.rows import col_of, slices
+from thermocline.llm.rows import col_of, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 SHINGLE_WORDS = 5
@@ -25,7 +25,7 @@ AGREEMENT = 0.6
 #: Members of a bucket or group that one task compares at a time.
 BLOCK = 1024
 #: Word hashes a worker remembers; past it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 _memory: dict[bytes, int] = {}
 
@@ -38,6 +38,7 @@ def _family() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
+    own_memory(__name__, _memory.clear)
     if len(_memory) > REMEMBERED:
         _memory.clear()
     for w in set(words).difference(_memory):

@@ -12,6 +12,20 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 SLICE_BYTES = 1_500_000
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def own_memory(owner: str, free: Callable[[], None] | None = None) -> None:
+    """Called where an operator's task begins: what other operators still remember in this worker process is freed.
+
+    Workers outlive tasks, and so would the memories of all operators of a pipeline together.
+    """
+    for other in [o for o in _held if o != owner]:
+        _held.pop(other)()
+    if free is not None:
+        _held[owner] = free
+
+
 def col_of(name: str) -> Column:
     """The column of exactly this name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -59,6 +73,7 @@ def add_columns(df: DataFrame, inputs: list[str], added: dict[str, T.DataType],
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memory(make.__module__)
         compute = make()
         for batch in batches:
             for part in parts(batch, places[0], texts):

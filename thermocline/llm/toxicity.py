@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from thermocline.llm.rows import add_columns, col_of, others, slices
+from thermocline.llm.rows import add_columns, col_of, others, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 #: Labelled documents of each class that the classifier is fitted on, at most.
@@ -24,7 +24,7 @@ SAMPLE_PER_CLASS = 2000
 FEATURES = 4000
 THRESHOLD = 0.3
 #: Chunks whose features a worker remembers; past it the memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 #: What a character may stand for, and the channel's cost of it (natural logarithm). Fixed values.
 STANDS_FOR = {
@@ -71,6 +71,7 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memory(__name__)
         total = np.zeros(_SIZE**4, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -322,6 +323,7 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
         return Model.prior(totals[1] / (totals[0] + totals[1]))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_memory(__name__)
         counter, seen = Counter(shared.value), {}
         for batch in batches:
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
