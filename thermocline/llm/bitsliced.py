@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from thermocline.llm.minhash import _grouped
-from thermocline.llm.rows import col_of
+from thermocline.llm.rows import col_of, map_arrow
 from thermocline.llm.storage import stored
 
 SCALE = 256
@@ -53,7 +53,7 @@ def _packed(rows: DataFrame, size: int, slices: bool) -> DataFrame:
                 names=["dim", "block", "n_blocks", "ids", "packed", "low", "bits", "slices"],
             )
 
-    return blocks.mapInArrow(run, schema)
+    return map_arrow(blocks, run, schema)
 
 
 def slice_bitmaps(matrix: np.ndarray, bits: int) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from thermocline.llm.rows import add_columns, col_of, own_memory, slices
+from thermocline.llm.rows import add_columns, col_of, map_arrow, own_memory, slices
 
 #: Chunks of text between white space whose encodings a worker remembers; past it, it keeps the third that it needed most.
 REMEMBERED = 250_000
@@ -294,7 +294,7 @@ def encoded_lengths(docs: DataFrame, vocabulary_path: str, text: str = "text", l
             for part in slices(batch, 0):
                 yield pa.RecordBatch.from_arrays([pa.array(encoder.counts(part.column(0).to_pylist()), pa.int64())], names=["n"])
 
-    return docs.select(col_of(text).alias("text")).mapInArrow(run, "n long").withColumnRenamed("n", length)
+    return map_arrow(docs.select(col_of(text).alias("text")), run, "n long").withColumnRenamed("n", length)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from thermocline.llm.rows import col_of, own_memory, slices
+from thermocline.llm.rows import col_of, map_arrow, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 #: Words of a window.
@@ -23,7 +23,7 @@ RESTRICT_TERMS = 4_000_000
 #: Words of benchmark items searched for at once; more go in further blocks.
 BLOCK_WORDS = 1_000_000
 #: Word hashes a worker remembers; past it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 #: Everything in ASCII but digits and small letters parts words.
 _PARTS = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -61,7 +61,7 @@ def positional_index(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     known = None
     if terms is not None:
         column = col_of(terms.columns[0])
-        distinct = terms.select(column.alias("t")).mapInArrow(_distinct_hashes, "hash long").distinct()
+        distinct = map_arrow(terms.select(column.alias("t")), _distinct_hashes, "hash long").distinct()
         n = distinct.count()
         if n <= RESTRICT_TERMS:
             known = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in distinct.collect()], np.int64)))
@@ -84,7 +84,7 @@ def positional_index(docs: DataFrame, key: str = "doc_id", text: str = "text", t
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, k)) for x, k in zip(row, kinds)]
                 yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *lists], names=["shard", "ids", "n_words", "terms", "counts", "postings"])
 
-    return docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")), run, schema)
 
 
 def _distinct_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +172,7 @@ def _search(index: DataFrame, items: list[tuple[str, str | None]], width: int, n
                     names=["shard", "place", "starts", "ends", "items"],
                 )
 
-    return index.select("shard", "n_words", "terms", "counts", "postings").mapInArrow(run, "shard string, place int, starts array<int>, ends array<int>, items array<string>")
+    return map_arrow(index.select("shard", "n_words", "terms", "counts", "postings"), run, "shard string, place int, starts array<int>, ends array<int>, items array<string>")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = WINDOW, near: int = 0) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from thermocline.llm.rows import add_columns, col_of, others, own_memory, slices
+from thermocline.llm.rows import add_columns, col_of, map_arrow, others, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 #: A token is frequent on a host if this share of its pages has it.
@@ -168,7 +168,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
         yield out()
 
     sums = [F.sum(c).alias(c) for c in ("n_pages", "n_total", "print_a", "print_b", "chars")]
-    return pages.select("host", "key", "html").mapInArrow(run, _TALLY).groupBy("host", "path", "hides").agg(*sums)
+    return map_arrow(pages.select("host", "key", "html"), run, _TALLY).groupBy("host", "path", "hides").agg(*sums)
 
 
 def template(tokens: list[dict]) -> list[tuple[str, list[str]]]:
@@ -268,7 +268,7 @@ def host_slots(pages: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([text_slot(t) for t in batch.column(1).to_pylist()], pa.string())], names=["host", "slot"])
 
-    return frequent.groupBy("host").agg(F.collect_list(token).alias("tokens")).mapInArrow(run, "host string, slot string")
+    return map_arrow(frequent.groupBy("host").agg(F.collect_list(token).alias("tokens")), run, "host string, slot string")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", text: str = "text") -> DataFrame:

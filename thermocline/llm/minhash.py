@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from thermocline.llm.components import components
-from thermocline.llm.rows import col_of, own_memory, slices
+from thermocline.llm.rows import col_of, map_arrow, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 SHINGLE_WORDS = 5
@@ -25,7 +25,7 @@ AGREEMENT = 0.6
 #: Members of a bucket or group that one task compares at a time.
 BLOCK = 1024
 #: Word hashes a worker remembers; past it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _memory: dict[bytes, int] = {}
 
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                     names=["id", "words_key", "n_shingles", "bands", "sketch"],
                 )
 
-    return docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")), run, schema)
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -118,7 +118,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], names=["id", "shingles"])
 
-    return docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")).mapInArrow(run, "id long, shingles array<bigint>")
+    return map_arrow(docs.select(col_of(key).cast("long").alias("id"), col_of(text).alias("text")), run, "id long, shingles array<bigint>")
 
 
 def _agreeing(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -208,7 +208,7 @@ def candidates(signed: DataFrame) -> DataFrame:
                 found = set()
         yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return blocks.mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(blocks, run, "a long, b long").distinct()
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -261,7 +261,7 @@ def _rest(edges: DataFrame, labels: DataFrame, signed: DataFrame, sets: DataFram
                         own_labels[own_labels == own_labels[j]] = own_labels[k]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return blocks.mapInArrow(run, "a long, b long")
+    return map_arrow(blocks, run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -26,6 +26,19 @@ def own_memory(owner: str, free: Callable[[], None] | None = None) -> None:
         _held[owner] = free
 
 
+#: Rows of an Arrow batch, at most: texts and pages may be long, and a batch is held whole on both sides.
+BATCH_ROWS = 500
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """df.mapInArrow() with short batches: lowers the session's spark.sql.execution.arrow.maxRecordsPerBatch to BATCH_ROWS where it is larger."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(name, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def col_of(name: str) -> Column:
     """The column of exactly this name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -79,5 +92,5 @@ def add_columns(df: DataFrame, inputs: list[str], added: dict[str, T.DataType],
             for part in parts(batch, places[0], texts):
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(*(part.column(p) for p in places))], names=names)
 
-    out = numbered.mapInArrow(run, schema)
+    out = map_arrow(numbered, run, schema)
     return out.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(kept)), *(F.col(f"n{k}").alias(c) for k, c in enumerate(added)))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from thermocline.llm.rows import add_columns, col_of, others, own_memory, slices
+from thermocline.llm.rows import add_columns, col_of, map_arrow, others, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 #: Labelled documents of each class that the classifier is fitted on, at most.
@@ -24,7 +24,7 @@ SAMPLE_PER_CLASS = 2000
 FEATURES = 4000
 THRESHOLD = 0.3
 #: Chunks whose features a worker remembers; past it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 #: What a character may stand for, and the channel's cost of it (natural logarithm). Fixed values.
 STANDS_FOR = {
@@ -84,7 +84,7 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         grams = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(grams, pa.int32()), pa.array(total[grams])], names=["gram", "n"])
 
-    return docs.select(col_of(text).alias("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return map_arrow(docs.select(col_of(text).alias("text")), run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -333,7 +333,7 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
                         seen.setdefault((stem, kind), [0, 0])[y] += 1
         yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in seen], pa.string()), pa.array([k for _, k in seen], pa.int32()), *(pa.array([n[y] for n in seen.values()], pa.int64()) for y in (0, 1))], names=["stem", "kind", "n0", "n1"])
 
-    seen = sample.select("y", "text").mapInArrow(tally, "stem string, kind int, n0 long, n1 long").groupBy("stem", "kind").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    seen = map_arrow(sample.select("y", "text"), tally, "stem string, kind int, n0 long, n1 long").groupBy("stem", "kind").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     p0, p1 = F.col("n0") / sizes[0], F.col("n1") / sizes[1]
     pooled = (F.col("n0") + F.col("n1")) / (sizes[0] + sizes[1])
     z = (p1 - p0) / F.sqrt(pooled * (1 - pooled) * (1 / sizes[0] + 1 / sizes[1]) + F.lit(1e-9))
@@ -357,7 +357,7 @@ def train(docs: DataFrame, labels: DataFrame, costs: np.ndarray, key: str = "doc
                 out.append([by_number[s, k] for s, n in counts.items() for k in kinds(n, words) if (s, k) in by_number])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["y", "features"])
 
-    fitted = sample.select("y", "text").mapInArrow(vectors, "y int, features array<int>").collect()
+    fitted = map_arrow(sample.select("y", "text"), vectors, "y int, features array<int>").collect()
     y = np.array([r["y"] for r in fitted], float)
     weight = np.where(y > 0, totals[1] / sizes[1], totals[0] / sizes[0])
     x = []
