@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Unset, a private folder serves a local master (tests); elsewhere it is an error."""
-    folder = spark.conf.get(SETTING, None) or spark.conf.get("spark.thermocline.testFolder", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise RuntimeError(f"{SETTING} must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="thermocline-")
-    spark.conf.set("spark.thermocline.testFolder", folder)
-    return folder
+from thermocline.session import table_path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: what follows doesn't repeat what made it, and lost executors lose nothing."""
+    """Write df as Parquet to the shared folder and read it back: what follows doesn't repeat what made it, and lost executors lose nothing.
+
+    The folder is the one spark.checkpoint.dir names; without it a local master (tests) uses a
+    private one and any other gets an error. Tables go when the process ends. name is for readers.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{table_path(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
