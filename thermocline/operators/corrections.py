@@ -300,7 +300,8 @@ def optics_chain(df: DataFrame) -> DataFrame:
     work = clean.withColumns(start)
     work = subtract_dark_count(work, [c for c in corrected if has_ts or c != "backscatter_700_corrected"])
     floor = {c: F.when(F.col(c) < 0, F.lit(0.0)).otherwise(F.col(c)) for c in corrected if not c.startswith("backscatter")}
-    work = median_despike(work.withColumns(floor), {c: 7 for c in corrected})
+    # the running median reads its input several times: not the statistics under it
+    work = median_despike(materialise(work.withColumns(floor)), {c: 7 for c in corrected})
     work = work.withColumns({c: F.col(f"{c}_median") for c in corrected})
     work = materialise(work.drop(*[f"{c}_{s}" for c in corrected for s in ("median", "spike")]))
     for v in ("backscatter_700", "chlorophyll"):
