@@ -46,3 +46,30 @@ def test_classes_nest():
 def test_hides():
     assert article('<div class="side-bar sidebar">x</div><p>y</p><div role="navigation">z</div><textarea>q', "") == "y"
     assert article("<p>a<script>if (a<b) '</p>'</script>b", "") == "ab"
+
+
+def layout(outer, k):
+    return f"<html><body><div class='top'>Our site</div><{outer} class='post'><h1><a href='/{k}'>Head {k}</a></h1><div class='lead'>Lead {k}</div><div class='entry-content'><p>{f'Body {k} ' * 40}</p></div></{outer.split()[0]}></body></html>"
+
+
+def test_heading_lead_and_body_are_read(spark):
+    rows = [(k + 100 * i, f"http://{i}.example/{k}", layout(outer, k)) for i, outer in enumerate(("article", "div", "section")) for k in range(6)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 18
+    for r in got:
+        k = r["page_id"] % 100
+        assert r["text"] == f"Head {k}\n\nLead {k}\n\n" + " ".join([f"Body {k}"] * 40)
+
+
+def test_pages_that_are_all_alike_keep_their_text(spark):
+    rows = [(k, f"http://a.example/{k}", layout("div", 1)) for k in range(6)]
+    got = {r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {"Our site\n\nHead 1\n\nLead 1\n\n" + " ".join(["Body 1"] * 40)}
+
+
+def test_only_valid_classes_are_template():
+    def token(path, print_, total=9):
+        return dict(path=path, hides=False, n_pages=9, n_total=total, print_a=print_, print_b=0, chars=0)
+
+    tokens = [token("/html", 1), token("/html/body", 1), token("/html/body/div", 2, 18), token("/html/body/div/h1", 1)]
+    assert html_extract.template(tokens) == [("", ["/html", "/html/body"]), ("/html/body", ["/html/body/div"])]

@@ -2,7 +2,7 @@
 
 Tokens are the structural tags of a page with their path. Tokens whose numbers of occurrences
 agree on every page of a host form an equivalence class. Frequent classes, each nested in one slot
-of another, are the host's template; of its slots, the one that holds the running text is read.
+of another, are the host's template; its slots whose running text differs from page to page are read.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ from thermocline.llm.storage import fresh, stored
 SUPPORT = 0.5
 #: Pages from which on a host's tokens show a template.
 MIN_PAGES = 3
-#: The text's slot is the innermost one that holds at least this share of the text around it.
+#: An article or main element is the text's slot if it holds at least this share of the host's text.
 SHARE = 0.6
+#: Sums of text hashes are taken modulo this prime.
+PRIME = 2**31 - 1
 #: Tokens a task sums up before it hands them on.
 HELD = 200_000
 
@@ -47,6 +49,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _DIGITS = re.compile(r"\d+")
 _ARTICLE = re.compile(r"/(?:article|main)[/\[]")
+_ARTICLE_END = re.compile(r"/(?:article|main)(?:\[[^/]*)?$")
 #: A start tag that ends these open ones: what HTML leaves out.
 _ENDS = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 
@@ -103,7 +106,7 @@ def walk(page: str) -> Iterator[tuple[str, Node, str, bool]]:
             pop_to(_ENDS[name], frozenset({"ul", "ol", "dl", "table", "tbody", "thead", "div"} | ({"tr"} if name in ("td", "th") else set())))
         if name == "body":
             pop_to({"head"}, frozenset())
-        marks = {k.lower(): _DIGITS.sub("#", (a or b or c).strip()).replace("/", "|") for k, a, b, c in _ATTRIBUTE.findall(m[4] or m[7] or "")}
+        marks = {k.lower(): _DIGITS.sub("#", " ".join((a or b or c).split())).replace("/", "|") for k, a, b, c in _ATTRIBUTE.findall(m[4] or m[7] or "")}
         label = name + "".join(f"[{k}={v}]" for k, v in sorted(marks.items()) if v)
         other = name in OTHER or any(MARKS.search(v) for v in marks.values()) and name not in ("body", "html", "main", "article")
         parent = stack[-1]
@@ -120,14 +123,15 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-_TALLY = "host string, path string, hides boolean, n_pages long, n_total long, print_a long, print_b long, chars long"
+_TALLY = "host string, path string, hides boolean, n_pages long, n_total long, print_a long, print_b long, chars long, text_a long, text_b long, weight long"
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """For every host and token: pages that have it, its occurrences, the fingerprint of its occurrence vector, and characters of running text inside.
+    """For every host and token: pages that have it, its occurrences, the fingerprint of its occurrence vector, characters of running text inside, and sums that tell whether that text is the same on every page.
 
     The fingerprint sums a hash of (page, occurrences) over pages, so vectors are compared without
-    being gathered; tasks sum before the shuffle. pages: host, key (of a page), html.
+    being gathered; tasks sum before the shuffle. text_a sums a hash of the text, text_b the same
+    times a weight of the page, weight these weights. pages: host, key (of a page), html.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +139,8 @@ def occurrences(pages: DataFrame) -> DataFrame:
         held: dict[tuple[str, str, bool], list[int]] = {}
 
         def out() -> pa.RecordBatch:
-            columns = [list(x) for x in zip(*((*k, *v) for k, v in held.items()))] or [[] for _ in range(8)]
-            kinds = [pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 5]
+            columns = [list(x) for x in zip(*((*k, *v) for k, v in held.items()))] or [[] for _ in range(11)]
+            kinds = [pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 8]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in _TALLY.split(", ")])
 
         for batch in batches:
@@ -145,29 +149,38 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     if not page:
                         continue
                     count: dict[tuple[str, bool], int] = {}
-                    chars: dict[str, int] = {}
+                    chars: dict[str, list[int]] = {}
                     for kind, node, text, linked in walk(page):
                         if kind == "open":
                             if node.path:
                                 count[node.path, node.hides] = count.get((node.path, node.hides), 0) + 1
-                        elif kind == "text" and not linked and not node.hides:
-                            chars[node.path] = chars.get(node.path, 0) + len(text.strip())
-                    inside: dict[str, int] = {}
-                    for path, n in chars.items():
+                        elif kind == "text" and (not linked or node.name == "h1") and not node.hides:
+                            text = text.strip()
+                            if text:
+                                of = chars.setdefault(node.path, [0, 0])
+                                of[0] += len(text)
+                                of[1] += xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+                    inside: dict[str, list[int]] = {}
+                    for path, (n, a) in chars.items():
                         while path:
-                            inside[path] = inside.get(path, 0) + n
+                            of = inside.setdefault(path, [0, 0])
+                            of[0] += n
+                            of[1] += a
                             path = path[: path.rindex("/")]
+                    weight = xxhash.xxh3_64_intdigest(f"{key}".encode()) % PRIME
                     for (path, hides), n in count.items():
                         a = xxhash.xxh3_64_intdigest(f"{key}:{n}".encode())
-                        row = held.setdefault((host, path, hides), [0, 0, 0, 0, 0])
-                        for k, x in enumerate((1, n, a & 0x7FFFFFFF, a >> 33, inside.get(path, 0))):
+                        own, b = inside.get(path, (0, 0))
+                        b %= PRIME
+                        row = held.setdefault((host, path, hides), [0] * 8)
+                        for k, x in enumerate((1, n, a & 0x7FFFFFFF, a >> 33, own, b, b * weight % PRIME, weight)):
                             row[k] += x
                 if len(held) > HELD:
                     yield out()
                     held = {}
         yield out()
 
-    sums = [F.sum(c).alias(c) for c in ("n_pages", "n_total", "print_a", "print_b", "chars")]
+    sums = [F.sum(c).alias(c) for c in ("n_pages", "n_total", "print_a", "print_b", "chars", "text_a", "text_b", "weight")]
     return map_arrow(pages.select("host", "key", "html"), run, _TALLY).groupBy("host", "path", "hides").agg(*sums)
 
 
@@ -175,8 +188,8 @@ def template(tokens: list[dict]) -> list[tuple[str, list[str]]]:
     """The template of a host: its equivalence classes, outermost first, as (slot they stand in, tokens).
 
     tokens are frequent ones, as rows of occurrences(). A class is valid if its tokens nest in one
-    slot: above each of them, the nearest token of another class is the same. Tokens of an invalid
-    class stand for themselves.
+    slot: above each of them, the nearest token of another class is the same. Of an invalid class
+    the most tokens that do so are kept (the outermost of equally many), the others go.
     """
     classes: dict[tuple, list[str]] = {}
     for t in tokens:
@@ -193,32 +206,65 @@ def template(tokens: list[dict]) -> list[tuple[str, list[str]]]:
 
     found = []
     for paths in classes.values():
-        slots = {slot(p) for p in paths}
-        found += [(slots.pop(), sorted(paths))] if len(slots) == 1 else [(slot(p), [p]) for p in sorted(paths)]
+        parts: dict[str, list[str]] = {}
+        for p in paths:
+            parts.setdefault(slot(p), []).append(p)
+        where = min(parts, key=lambda x: (-len(parts[x]), x.count("/"), x))
+        found.append((where, sorted(parts[where])))
     return sorted(found, key=lambda x: (x[0].count("/"), x[0], x[1]))
 
 
-def text_slot(tokens: list[dict]) -> str:
-    """The path of the slot that holds the running text; empty if the template has none.
+def text_slots(tokens: list[dict]) -> list[str]:
+    """The paths of the slots that hold the text, the one with the most first; empty if the template has none.
 
-    From the outermost token in, it goes on to the token inside that holds most of the text, as long
-    as that is SHARE of it or more and the token belongs to a class that occurs once a page.
+    Slots are the insides of the template's tokens that occur once a page. An article or main
+    element with SHARE of the text is the only one; otherwise it is every slot with running text of
+    its own, outside the slots within it, that isn't the same on every page. A slot is read with all it
+    holds. If no slot's text differs, all slots with text are read.
     """
     by_path = {t["path"]: t for t in tokens if not t["hides"]}
-    single = {p for _, paths in template(tokens) for p in paths if p in by_path and by_path[p]["n_total"] == by_path[p]["n_pages"]}
-    here, chars = "", max([t["chars"] for t in by_path.values()], default=0)
-    while True:
-        inner = [p for p in single if p.startswith(here + "/") and p != here and by_path[p]["chars"] >= SHARE * chars and by_path[p]["chars"] > 0]
-        if not inner:
-            return here
-        here = min(inner, key=lambda p: (p.count("/"), -by_path[p]["chars"], p))
-        chars = by_path[here]["chars"]
+    single = {p for _, paths in template(tokens) for p in paths if p in by_path and by_path[p]["n_total"] == by_path[p]["n_pages"] and by_path[p]["chars"] > 0}
+    up: dict[str, str] = {}
+    for p in single:
+        up[p] = p[: p.rindex("/")]
+        while up[p] and up[p] not in single:
+            up[p] = up[p][: up[p].rindex("/")]
+    names = ("chars", "text_a", "text_b")
+    own = {p: [by_path[p][k] for k in names] for p in single}
+    for p, outer in up.items():
+        if outer:
+            own[outer] = [x - by_path[p][k] for x, k in zip(own[outer], names)]
+
+    def differs(p: str, chars: int, a: int, b: int) -> bool:
+        # sums over pages of x and of weight times x: proportional to those of 1 and weight if x is constant
+        return chars > 0 and (by_path[p]["n_pages"] * b - by_path[p]["weight"] * a) % PRIME != 0
+
+    total = max([t["chars"] for t in by_path.values()], default=0)
+    articles = sorted((p for p in single if _ARTICLE_END.search(p) and by_path[p]["chars"] >= SHARE * total), key=lambda p: (p.count("/"), p))
+    if articles:
+        here = articles[0]
+        for p in articles[1:]:
+            # an article inside main, with nothing but template text beside it
+            if p.startswith(here + "/") and not differs(here, *(by_path[here][k] - by_path[p][k] for k in names)):
+                here = p
+        return [here]
+    content = {p for p in single if differs(p, *own[p])} or {p for p in single if own[p][0] > 0}
+
+    def covered(p: str) -> bool:
+        while p := up[p]:
+            if p in content:
+                return True
+        return False
+
+    return sorted((p for p in content if not covered(p)), key=lambda p: (-by_path[p]["chars"], p))
 
 
 def article(page: str | None, slot: str) -> str:
-    """Text of a page's slot, blocks parted by an empty line. Without the slot, or where an article or main element stands in it, the text of that element; else of the page."""
+    """Text of a page's slots (paths parted by line breaks) in page order, blocks parted by an empty line. Without the first slot, or where an article or main element stands outside of it, the text of that element; else of the page."""
     if not page:
         return ""
+    slot, *more = slot.split("\n")
+    prefixes = tuple(s + "/" for s in (slot, *more) if s)
     blocks: dict[str, list[str]] = {"slot": [], "element": [], "page": []}
     held: dict[str, list[str]] = {k: [] for k in blocks}
     last: Node | None = None
@@ -247,7 +293,7 @@ def article(page: str | None, slot: str) -> str:
             continue
         held["page"].append(text)
         path = node.path + "/"
-        if slot and path.startswith(slot + "/"):
+        if prefixes and path.startswith(prefixes):
             held["slot"].append(text)
         if _ARTICLE.search(path):
             held["element"].append(text)
@@ -257,16 +303,16 @@ def article(page: str | None, slot: str) -> str:
 
 
 def host_slots(pages: DataFrame) -> DataFrame:
-    """Columns host, slot. A host's frequent tokens are at most (mean tokens a page) / SUPPORT, however many pages it has."""
+    """Columns host, slot: the paths of text_slots(), parted by line breaks. A host's frequent tokens are at most (mean tokens a page) / SUPPORT, however many pages it has."""
     counted = stored(occurrences(pages), "occurrences")
     totals = pages.where("html IS NOT NULL AND html <> ''").groupBy("host").agg(F.count("*").alias("n_host")).withColumnRenamed("host", "host_")
     totals = stored(totals, "host-pages")
     frequent = counted.join(totals, F.col("host") == F.col("host_")).where((F.col("n_pages") >= SUPPORT * F.col("n_host")) & (F.col("n_host") >= MIN_PAGES))
-    token = F.struct("path", "hides", "n_pages", "n_total", "print_a", "print_b", "chars")
+    token = F.struct("path", "hides", "n_pages", "n_total", "print_a", "print_b", "chars", "text_a", "text_b", "weight")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([text_slot(t) for t in batch.column(1).to_pylist()], pa.string())], names=["host", "slot"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["\n".join(text_slots(t)) for t in batch.column(1).to_pylist()], pa.string())], names=["host", "slot"])
 
     return map_arrow(frequent.groupBy("host").agg(F.collect_list(token).alias("tokens")), run, "host string, slot string")
 
