@@ -73,3 +73,23 @@ def test_only_valid_classes_are_template():
 
     tokens = [token("/html", 1), token("/html/body", 1), token("/html/body/div", 2, 18), token("/html/body/div/h1", 1)]
     assert html_extract.template(tokens) == [("", ["/html", "/html/body"]), ("/html/body", ["/html/body/div"])]
+
+
+def test_wrappers_with_layout_names_are_read(spark):
+    wrappers = ["content with-sidebar", "no-sidebar", "site has-header", "container no-comments", "search-results page", "search", "widget"]
+    body = lambda k: f"<h1>Head {k}</h1><p>{f'Body {k} ' * 30}</p><div class='sidebar'>aside {k}</div><div class='site-footer'>foot</div>"
+    rows = [(k + 100 * i, f"http://{i}.example/{k}", f"<body><div>Skip</div><div class='{w}'>{body(k)}</div></body>") for i, w in enumerate(wrappers) for k in range(4)]
+    rows += [(9000 + k + 100 * i, f"http://w{i}.example/{k}", f"<body><div class='{w}'><article>{body(k)}</article></div></body>") for i, w in enumerate(wrappers) for k in range(4)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        k = r["page_id"] % 100
+        assert r["text"] == f"Head {k}\n\n" + " ".join([f"Body {k}"] * 30), r
+
+
+def test_marks_of_single_pages():
+    assert article("<p class='notice'>a</p>", "") == "a"
+    assert article("<body><div class='related'><article>in</article></div><div class='search'>out</div>", "") == "in"
+    assert article("<body><article>in</article><div class='comments'><article>said</article></div>", "") == "in"
+    assert article("<body><div class='search'>found</div>", "") == "found"
+    assert article("<div class='post-comments'>x</div><div class='sidebar-2'>y</div><p>z", "") == "z"

@@ -35,11 +35,16 @@ STRUCTURE = frozenset(
 )
 #: Elements without text of the article. Fixed values.
 OTHER = frozenset("aside button dialog fieldset footer form head header iframe menu nav noscript object script select style svg template textarea title".split())
-#: Words in class, id or role that mark such elements. Fixed values.
+#: Names in class, id or role that mark such elements; a name counts as a whole ("sidebar", "site-footer"), not by its parts ("with-sidebar"). Fixed values.
+_MARK = "(?:ad|ads|adv|advert|adverts|advertisement|alert|banner|breadcrumb|breadcrumbs|comment|comments|contentinfo|cookie|cookies|copyright|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|notices|pagination|popup|promo|related|replies|respond|search|share|sharing|sidebar|social|sponsor|sponsored|subscribe|tags|toolbar|widget)"
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|alert|banner|breadcrumb|breadcrumbs|comment|comments|contentinfo|cookie|cookies|copyright|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|notices|pagination|popup|promo|related|replies|respond|search|share|sharing|sidebar|social|sponsor|sponsored|subscribe|tags|toolbar|widget)(?:$|[\s_-])",
+    rf"(?:^|\s)(?:(?:(?:site|page|main|top|bottom|left|right|primary|secondary|global)[_-])*{_MARK}(?:[_-](?:area|bar|box|left|right|links|list|buttons|{_MARK}))*|(?:post|entry|article)[_-](?:comments?|nav|navigation|related|share|sharing|tags))(?:[_-]?#)?(?!\S)",
     re.I,
 )
+#: If marked elements hold at least this share of the running text, it is the article's.
+MARKED_SHARE = 0.9
+#: Marks that a paragraph of an article may have.
+_OF_TEXT = re.compile(r"(?:^|\s)(?:alert|notices?|related|search|share|tags)(?!\S)", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = "script|style|textarea|title|noscript|iframe|svg|template|object|select"
 _TOKEN = re.compile(
@@ -49,24 +54,49 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _DIGITS = re.compile(r"\d+")
 _ARTICLE = re.compile(r"/(?:article|main)[/\[]")
+_ARTICLE_TAG = re.compile(r"<(?:article|main)[\s/>]", re.I)
 _ARTICLE_END = re.compile(r"/(?:article|main)(?:\[[^/]*)?$")
 #: A start tag that ends these open ones: what HTML leaves out.
 _ENDS = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 
 
 class Node:
-    __slots__ = ("name", "path", "other", "hides")
+    """An element: other says that it, or what it stands in, is one of OTHER; marked is the path of the innermost marked element up to it."""
 
-    def __init__(self, name: str, path: str, other: bool, hides: bool):
-        self.name, self.path, self.other, self.hides = name, path, other, hides
+    __slots__ = ("name", "path", "other", "marked", "parent", "number")
+
+    def __init__(self, name: str, path: str, other: bool, marked: str, parent: Node | None, number: int):
+        self.name, self.path, self.other, self.marked, self.parent, self.number = name, path, other, marked, parent, number
+
+    @property
+    def hides(self) -> bool:
+        return self.other or self.marked != ""
 
 
 def walk(page: str) -> Iterator[tuple[str, Node, str, bool]]:
     """A page as ("open", node, "", False) and ("close", ...) for structural tags and ("text", node, text, in a link) for texts with node around them.
 
-    node.hides says that it, or what it stands in, isn't part of an article.
+    node.hides says that it, or what it stands in, isn't part of an article. A mark doesn't hide
+    an element with an article or main element inside, if marks would hide all those of the page.
     """
-    root = Node("", "", False, False)
+    spared: set[int] = set()
+    if _ARTICLE_TAG.search(page):
+        for kind, node, _, _ in _walk(page, spared):
+            if kind == "open" and node.name in ("article", "main") and not node.other:
+                if not node.marked:
+                    spared = set()
+                    break
+                up = node
+                while up is not None and up.marked:
+                    if up.marked == up.path:
+                        spared.add(up.number)
+                    up = up.parent
+    return _walk(page, spared)
+
+
+def _walk(page: str, spared: set[int]) -> Iterator[tuple[str, Node, str, bool]]:
+    root = Node("", "", False, "", None, 0)
+    number = 0
     stack = [root]
     links = 0
     at = 0
@@ -108,9 +138,13 @@ def walk(page: str) -> Iterator[tuple[str, Node, str, bool]]:
             pop_to({"head"}, frozenset())
         marks = {k.lower(): _DIGITS.sub("#", " ".join((a or b or c).split())).replace("/", "|") for k, a, b, c in _ATTRIBUTE.findall(m[4] or m[7] or "")}
         label = name + "".join(f"[{k}={v}]" for k, v in sorted(marks.items()) if v)
-        other = name in OTHER or any(MARKS.search(v) for v in marks.values()) and name not in ("body", "html", "main", "article")
         parent = stack[-1]
-        node = Node(name, f"{parent.path}/{label}", other, parent.hides or other)
+        path = f"{parent.path}/{label}"
+        number += 1
+        marked = parent.marked
+        if name not in ("body", "html", "main", "article") and number not in spared and any(MARKS.search(_OF_TEXT.sub(" ", v) if name == "p" else v) for v in marks.values()):
+            marked = path
+        node = Node(name, path, parent.other or name in OTHER, marked, parent, number)
         yield "open", node, "", False
         if name not in _VOID:
             stack.append(node)
@@ -123,7 +157,7 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-_TALLY = "host string, path string, hides boolean, n_pages long, n_total long, print_a long, print_b long, chars long, text_a long, text_b long, weight long"
+_TALLY = "host string, path string, hides boolean, n_pages long, n_total long, print_a long, print_b long, chars long, text_a long, text_b long, weight long, marked long, marks long"
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
@@ -131,7 +165,8 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
     The fingerprint sums a hash of (page, occurrences) over pages, so vectors are compared without
     being gathered; tasks sum before the shuffle. text_a sums a hash of the text, text_b the same
-    times a weight of the page, weight these weights. pages: host, key (of a page), html.
+    times a weight of the page, weight these weights. marked are characters that only marks hide,
+    marks the pages where the token has a mark of its own. pages: host, key (of a page), html.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,8 +174,8 @@ def occurrences(pages: DataFrame) -> DataFrame:
         held: dict[tuple[str, str, bool], list[int]] = {}
 
         def out() -> pa.RecordBatch:
-            columns = [list(x) for x in zip(*((*k, *v) for k, v in held.items()))] or [[] for _ in range(11)]
-            kinds = [pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 8]
+            columns = [list(x) for x in zip(*((*k, *v) for k, v in held.items()))] or [[] for _ in range(13)]
+            kinds = [pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 10]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in _TALLY.split(", ")])
 
         for batch in batches:
@@ -149,38 +184,43 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     if not page:
                         continue
                     count: dict[tuple[str, bool], int] = {}
+                    marks: set[str] = set()
                     chars: dict[str, list[int]] = {}
                     for kind, node, text, linked in walk(page):
                         if kind == "open":
+                            if node.marked == node.path:
+                                marks.add(node.path)
                             if node.path:
                                 count[node.path, node.hides] = count.get((node.path, node.hides), 0) + 1
-                        elif kind == "text" and (not linked or node.name == "h1") and not node.hides:
+                        elif kind == "text" and (not linked or node.name == "h1") and not node.other:
                             text = text.strip()
                             if text:
-                                of = chars.setdefault(node.path, [0, 0])
-                                of[0] += len(text)
-                                of[1] += xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+                                of = chars.setdefault(node.path, [0, 0, 0])
+                                of[2 if node.marked else 0] += len(text)
+                                if not node.marked:
+                                    of[1] += xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
                     inside: dict[str, list[int]] = {}
-                    for path, (n, a) in chars.items():
+                    for path, (n, a, m) in chars.items():
                         while path:
-                            of = inside.setdefault(path, [0, 0])
+                            of = inside.setdefault(path, [0, 0, 0])
                             of[0] += n
                             of[1] += a
+                            of[2] += m
                             path = path[: path.rindex("/")]
                     weight = xxhash.xxh3_64_intdigest(f"{key}".encode()) % PRIME
                     for (path, hides), n in count.items():
                         a = xxhash.xxh3_64_intdigest(f"{key}:{n}".encode())
-                        own, b = inside.get(path, (0, 0))
+                        own, b, m = inside.get(path, (0, 0, 0))
                         b %= PRIME
-                        row = held.setdefault((host, path, hides), [0] * 8)
-                        for k, x in enumerate((1, n, a & 0x7FFFFFFF, a >> 33, own, b, b * weight % PRIME, weight)):
+                        row = held.setdefault((host, path, hides), [0] * 10)
+                        for k, x in enumerate((1, n, a & 0x7FFFFFFF, a >> 33, own, b, b * weight % PRIME, weight, m, path in marks)):
                             row[k] += x
                 if len(held) > HELD:
                     yield out()
                     held = {}
         yield out()
 
-    sums = [F.sum(c).alias(c) for c in ("n_pages", "n_total", "print_a", "print_b", "chars", "text_a", "text_b", "weight")]
+    sums = [F.sum(c).alias(c) for c in ("n_pages", "n_total", "print_a", "print_b", "chars", "text_a", "text_b", "weight", "marked", "marks")]
     return map_arrow(pages.select("host", "key", "html"), run, _TALLY).groupBy("host", "path", "hides").agg(*sums)
 
 
@@ -220,8 +260,14 @@ def text_slots(tokens: list[dict]) -> list[str]:
     Slots are the insides of the template's tokens that occur once a page. An article or main
     element with SHARE of the text is the only one; otherwise it is every slot with running text of
     its own, outside the slots within it, that isn't the same on every page. A slot is read with all it
-    holds. If no slot's text differs, all slots with text are read.
+    holds. If no slot's text differs, all slots with text are read. Where marks hide MARKED_SHARE of
+    the text, the innermost marked token around so much of it is the slot; none, if there is no such token.
     """
+    everything = max([t["chars"] + t["marked"] for t in tokens], default=0)
+    hidden = [t for t in tokens if t["marked"] >= MARKED_SHARE * everything > 0]
+    if hidden:
+        inner = [t["path"] for t in hidden if t["marks"] and t["n_total"] == t["n_pages"]]
+        return sorted(inner, key=lambda p: (-p.count("/"), p))[:1]
     by_path = {t["path"]: t for t in tokens if not t["hides"]}
     single = {p for _, paths in template(tokens) for p in paths if p in by_path and by_path[p]["n_total"] == by_path[p]["n_pages"] and by_path[p]["chars"] > 0}
     up: dict[str, str] = {}
@@ -260,13 +306,18 @@ def text_slots(tokens: list[dict]) -> list[str]:
 
 
 def article(page: str | None, slot: str) -> str:
-    """Text of a page's slots (paths parted by line breaks) in page order, blocks parted by an empty line. Without the first slot, or where an article or main element stands outside of it, the text of that element; else of the page."""
+    """Text of a page's slots (paths parted by line breaks) in page order, blocks parted by an empty line. Without the first slot, or where an article or main element stands outside of it, the text of that element; else of the page.
+
+    Marks up to a slot don't hide it. Without a slot, marks that hide MARKED_SHARE of the text are not heeded.
+    """
     if not page:
         return ""
-    slot, *more = slot.split("\n")
-    prefixes = tuple(s + "/" for s in (slot, *more) if s)
-    blocks: dict[str, list[str]] = {"slot": [], "element": [], "page": []}
+    slots = [s for s in slot.split("\n") if s]
+    first = slots[0] if slots else ""
+    prefixes = tuple(s + "/" for s in slots)
+    blocks: dict[str, list[str]] = {"slot": [], "element": [], "page": [], "element, marked": [], "page, marked": []}
     held: dict[str, list[str]] = {k: [] for k in blocks}
+    chars = dict.fromkeys(blocks, 0)
     last: Node | None = None
 
     def close() -> None:
@@ -277,28 +328,34 @@ def article(page: str | None, slot: str) -> str:
             parts.clear()
 
     seen = {"slot": False, "element": False}
-    for kind, node, text, _ in walk(page):
+    for kind, node, text, linked in walk(page):
         if kind == "close":
             close()
             continue
         if kind == "open":
             close()
-            seen["slot"] |= bool(slot) and node.path == slot
+            seen["slot"] |= bool(first) and node.path == first
             seen["element"] |= node.name in ("article", "main")
             continue
         if node is not last and last is not None:
             close()
         last = node
-        if node.hides:
+        if node.other:
             continue
-        held["page"].append(text)
         path = node.path + "/"
-        if prefixes and path.startswith(prefixes):
+        n = 0 if linked else len(text.strip())
+        if prefixes and path.startswith(prefixes) and (not node.marked or any(path.startswith(s) and len(node.marked) < len(s) for s in prefixes)):
             held["slot"].append(text)
-        if _ARTICLE.search(path):
-            held["element"].append(text)
+        for k in ("page", "element") if _ARTICLE.search(path) else ("page",):
+            for name in (k + ", marked",) if node.marked else (k, k + ", marked"):
+                held[name].append(text)
+                chars[name] += n
     close()
-    best = "slot" if seen["slot"] and (_ARTICLE.search(slot + "/") or not seen["element"]) else "element" if seen["element"] else "page"
+    best = "slot" if seen["slot"] and (_ARTICLE.search(first + "/") or not seen["element"]) else "element" if seen["element"] else "page"
+    if best != "slot":
+        every = best + ", marked"
+        if chars[every] and chars[best] <= (1 - MARKED_SHARE) * chars[every]:
+            best = every
     return "\n\n".join(blocks[best])
 
 
@@ -308,7 +365,7 @@ def host_slots(pages: DataFrame) -> DataFrame:
     totals = pages.where("html IS NOT NULL AND html <> ''").groupBy("host").agg(F.count("*").alias("n_host")).withColumnRenamed("host", "host_")
     totals = stored(totals, "host-pages")
     frequent = counted.join(totals, F.col("host") == F.col("host_")).where((F.col("n_pages") >= SUPPORT * F.col("n_host")) & (F.col("n_host") >= MIN_PAGES))
-    token = F.struct("path", "hides", "n_pages", "n_total", "print_a", "print_b", "chars", "text_a", "text_b", "weight")
+    token = F.struct("path", "hides", "n_pages", "n_total", "print_a", "print_b", "chars", "text_a", "text_b", "weight", "marked", "marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
