@@ -73,3 +73,16 @@ def test_restored(spark, make_docs, sf):
     out = {r["doc_id"]: r["restored"] for r in toxicity.restore(make_docs([(1, "An 1d10t, a cl0wn"), (2, None), (3, ""), (4, "plain  Text")]), costs).collect()}
     assert out == {1: "an idiot a clown", 2: None, 3: "", 4: "plain text"} or out[1].startswith("an idiot")
     assert out[2] is None and out[3] == "" and out[4] == "plain text"
+
+
+def test_disguises_at_the_ends_of_words(spark, make_docs):
+    bad = ["shit", "idiot", "bass", "twat", "moron"]
+    rows = [(k, " ".join([CLEAN[(k * 7 + j * 3) % len(CLEAN)] for j in range(20)] + [bad[k % 5]])) for k in range(100)]
+    costs = toxicity.character_model(make_docs(rows))
+    restorer = toxicity.Restorer(costs)
+    for disguised, plain in (("sh17", "shit"), ("idi07", "idiot"), ("tw47", "twat"), ("ba55", "bass"), ("ba$$", "bass"), ("iidioott", "idiot"), ("mmorroon", "moron"), ("1d10+", "idiot")):
+        assert restorer.chunk(disguised) == plain, disguised
+    assert restorer.chunk("weather") == "weather" and restorer.chunk("1999") == "1999" and restorer.chunk("quiet!!!") == "quiet!!!"
+    counter = toxicity.Counter(costs)
+    for text in ("iidioott-like", "i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "iidioott", "idi07"):
+        assert counter.counts(text)[1].get("=idiot") == 1, text

@@ -36,12 +36,17 @@ COST_SEPARATOR_DROPPED, COST_SEPARATOR_KEPT, COST_REPEAT_DROPPED = 0.7, 0.7, 0.3
 
 _LETTER_SYMBOLS = "".join(re.escape(c) for c in STANDS_FOR)
 _EDGE = ".,;:?\"'()[]{}<>%&#*/\\~`^=_-…–—“”„«»¿·"
-#: In a chunk: a sign between letters, or one that begins or ends a word and may be a letter.
-_NOISY = re.compile(rf"[^\W\d_][{_LETTER_SYMBOLS}]+[^\W\d_]|^[{_LETTER_SYMBOLS}][^\W\d_]|[^\W\d_][{_LETTER_SYMBOLS}]$|([^\W\d_])\1\1|(?:^|[^\w])\w(?:[._*~-]\w){{2,}}(?:[^\w]|$)|[^\W\d_][._*~][^\W\d_]")
+#: In a chunk: a letter three times, or separators between letters.
+_NOISY = re.compile(r"([^\W\d_])\1\1|(?:^|[^\w])\w(?:[._*~-]\w){2,}(?:[^\w]|$)|[^\W\d_][._*~][^\W\d_]")
+_LETTER, _SUBSTITUTE = re.compile(r"[^\W\d_]"), re.compile(rf"[{_LETTER_SYMBOLS}]")
+#: Three substitutes or more and nothing else.
+_SUBSTITUTES = re.compile(rf"[{_LETTER_SYMBOLS}]{{3,}}")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
+#: A word with doubled letters is decoded if it costs more than this a letter, and the decoded word less by GAIN.
+UNLIKELY, GAIN = 2.2, 0.5
 #: Three or more single characters with one blank between.
 _SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: [\w@$!|+]){2,}(?!\S)")
 _WORD = re.compile(r"[^\W\d_]+")
-_TRIPLE = re.compile(r"(.)\1\1")
 
 _SIZE = 27
 #: Code of a Latin letter without its accents (1-26) by code point; others: 0, the word's border.
@@ -108,7 +113,8 @@ class Restorer:
     """Viterbi decoding under a character model."""
 
     def __init__(self, costs: np.ndarray):
-        self.costs = costs
+        #: Flat, as a list: read one by one, these are quicker than an array's.
+        self.costs: list[float] = costs.ravel().tolist()
 
     @staticmethod
     def lattice(chunk: str) -> list[list[tuple[str, float]]]:
@@ -135,7 +141,7 @@ class Restorer:
         for ways in self.lattice(chunk):
             new: dict[int, tuple[float, str]] = {}
             for state, (cost, done) in paths.items():
-                row = costs[state]
+                at = state * _SIZE
                 for out, extra in ways:
                     if not out:
                         to, now = state, (cost + extra, done)
@@ -144,17 +150,36 @@ class Restorer:
                         if code == 0 and state % _SIZE == 0:
                             to, now = state, (cost + extra, done + out)
                         else:
-                            to, now = state % top * _SIZE + code, (cost + extra + float(row[code]), done + out)
+                            to, now = state % top * _SIZE + code, (cost + extra + costs[at + code], done + out)
                     if to not in new or now < new[to]:
                         new[to] = now
             paths = new
-        return min((cost + (float(costs[state][0]) if state % _SIZE else 0.0), done) for state, (cost, done) in paths.items())[1].strip()
+        return min((cost + (costs[state * _SIZE] if state % _SIZE else 0.0), done) for state, (cost, done) in paths.items())[1].strip()
 
     def chunk(self, chunk: str) -> str:
         """A chunk without white space, restored; one without disguise stays."""
-        core = chunk.strip(_EDGE)
-        core = re.sub(r"([^\w\s])\1+$|^([^\w\s])\2+", "", core)
-        return self.decode(core) if core and _NOISY.search(core) else chunk
+        core = re.sub(r"!{2,}$", "", chunk.strip(_EDGE))
+        if not core:
+            return chunk
+        if _NOISY.search(core) or (_SUBSTITUTE.search(core) and _LETTER.search(core)) or _SUBSTITUTES.fullmatch(core):
+            return self.decode(core) or chunk
+        return _WORD.sub(lambda m: self.single(m.group()) or m.group(), chunk)
+
+    def single(self, word: str) -> str | None:
+        """A word with doubled letters as decoded, if the character model finds it far likelier; else None."""
+        if not (word.isalpha() and _DOUBLE.search(word)) or (own := self.mean_cost(word)) <= UNLIKELY:
+            return None
+        decoded = self.decode(word)
+        return decoded if decoded and self.mean_cost(decoded) <= own - GAIN else None
+
+    def mean_cost(self, word: str) -> float:
+        """Cost of a word and the border after it, a character."""
+        state, cost = 0, 0.0
+        for c in word + " ":
+            code = _code(c)
+            cost += self.costs[state * _SIZE + code]
+            state = state % (_SIZE * _SIZE) * _SIZE + code
+        return cost / (len(word) + 1)
 
     def text(self, text: str) -> str:
         """Text in lower case, white space made one blank, with disguised parts restored."""
@@ -202,7 +227,7 @@ class Counter:
 
     def learn(self, chunk: str) -> int:
         core = chunk.strip(_EDGE)
-        plain = core.isalpha() and not _TRIPLE.search(core)
+        plain = core.isalpha() and not _DOUBLE.search(core)
         words = [core] if plain else _WORD.findall(self.restorer.chunk(chunk))
         known = self.known
         if known is None:
@@ -224,7 +249,7 @@ class Counter:
         if len(self.memory) > REMEMBERED or len(self.parts) > REMEMBERED:
             self.forget()
         memory = self.memory
-        text = text.lower()
+        text = " ".join(text.lower().split())
         spaced: list[str] = []
         if _SPACED.search(text):
             text = _SPACED.sub(lambda m: spaced.append(m.group()) or "\n", text)
