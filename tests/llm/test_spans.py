@@ -88,3 +88,11 @@ def test_rows(make_docs, odd_rows):
         assert len(out) == len(rows)
         assert {r["doc_id"] for r in out if r["spans"]} == {9}
     assert pii.personal_data(make_docs([])).count() == 0 and secrets.secrets(make_docs([])).count() == 0
+
+
+def test_keys_beside_known_words():
+    find = lambda t: [t[a:b] for _, a, b in secrets.finder()(t)]
+    assert any("9f8Gk2LmQ0aZx81bYtRw" in s for s in find("v1/example-app/9f8Gk2LmQ0aZx81bYtRw"))
+    assert any("xk29fj3kd9w8q7z6" in s for s in find("services/t024be7ld/b0k9v3x2q/xk29fj3kd9w8q7z6"))
+    assert find("the kJ8s0Qz7Lp2Vb9 end") == ["kJ8s0Qz7Lp2Vb9"]
+    assert find("well-known-facts user_account_id covid19update 1234567890123 some/long-path/page-12/of-it") == []

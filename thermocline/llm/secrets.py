@@ -16,18 +16,27 @@ ADDED = ("entropy",)
 _ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 
+#: Characters of a window; a shorter candidate is one window.
 WINDOW = 20
 #: Character classes of candidates, narrowest first: pattern, and least entropy of a window in bits. Fixed values.
 CLASSES = (
-    (re.compile(r"[0-9]+"), 4.0),  # above the most that ten digits reach: numbers aren't secrets by themselves
+    (re.compile(r"[0-9]+"), 4.0),  # off, above the most that ten digits reach: numbers aren't secrets by themselves
     (re.compile(r"[0-9a-fA-F]+"), 3.0),
     (re.compile(r"[A-Za-z0-9]+"), 3.7),
     (re.compile(r"[A-Za-z0-9+/_=-]+"), 3.9),
 )
-#: Strings that are no secrets however mixed they look. Fixed values.
-ALLOWED = re.compile(r"EXAMPLE|example|0123456789|abcdefgh|ABCDEFGH|^[A-Za-z]+$|^[a-z0-9]+(?:[-_/][a-z0-9]+){3,}$|^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^(?:https?|www)\b")
+#: Strings, or parts of them between separators, that are no secrets however mixed they look. Fixed values.
+KNOWN = re.compile(r"EXAMPLE|example|0123456789|abcdefgh|ABCDEFGH|^(?:https?|www)$")
+_UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+_PART = re.compile(r"[^/_=+-]+")
+#: Of a run of small letters and digits with separators (a path or a slug), a part with this many changes between letters and digits isn't a word.
+_SLUG, CHANGES = re.compile(r"[a-z0-9]+(?:[-_/][a-z0-9]+){3,}"), 3
+_CHANGE = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+_KINDS = tuple(map(re.compile, ("[A-Z]", "[a-z]", "[0-9]")))
+#: Candidates and their parts have at least this length; short of a window, their entropy is this share of the most they can reach.
+SHORTEST, SHORT_SHARE = 12, 0.9
 
 _TERM = [0.0, *(n * math.log2(n) for n in range(1, WINDOW + 1))]
 
@@ -60,6 +69,28 @@ def entropy_spans(text: str, least: float, width: int = WINDOW) -> list[tuple[in
     return [(a, b) for a, b in found]
 
 
+def searched(string: str) -> list[tuple[int, int]]:
+    """Parts of a candidate to search: parts between separators that the allow-list knows are cut out, words of a path or slug too; parts of a path or slug that are no words are also searched by themselves."""
+    if _UUID.fullmatch(string):
+        return []
+    slug = _SLUG.fullmatch(string) is not None
+    out, alone, start = [], [], 0
+    for m in _PART.finditer(string):
+        part = m.group()
+        word = len(_CHANGE.findall(part)) < CHANGES if slug else part == string and part.isalpha()
+        if word or KNOWN.search(part):
+            out.append((start, m.start()))
+            start = m.end()
+        elif slug:
+            alone.append(m.span())
+    return [(a, b) for a, b in [*out, (start, len(string)), *alone] if b - a >= SHORTEST]
+
+
+def mixed(string: str) -> bool:
+    """If a string too short for a window has capital and small letters and digits, or letters and digits by turns."""
+    return len(_CHANGE.findall(string)) >= CHANGES or all(p.search(string) for p in _KINDS)
+
+
 def finder() -> Callable[[str], Spans]:
     def find(text: str) -> Spans:
         base = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
@@ -70,13 +101,21 @@ def finder() -> Callable[[str], Spans]:
         added = []
         for m in _CANDIDATE.finditer(text):
             string = m.group()
-            if ALLOWED.search(string):
-                continue
-            least = next(x for pattern, x in CLASSES if pattern.fullmatch(string))
-            for a, b in entropy_spans(string, least):
-                start, end = m.start() + a, m.start() + b
-                if not any(x < end and start < y for x, y in taken):
-                    added.append(("entropy", start, end))
+            found: list[tuple[int, int]] = []
+            for left, right in searched(string):
+                part = string[left:right]
+                width = min(len(part), WINDOW)
+                if width < WINDOW and not mixed(part):
+                    continue
+                least = SHORT_SHARE * math.log2(width) if width < WINDOW else next(x for pattern, x in CLASSES if pattern.fullmatch(part))
+                found += [(m.start() + left + a, m.start() + left + b) for a, b in entropy_spans(part, least, width)]
+            merged: list[tuple[int, int]] = []
+            for start, end in sorted(found):
+                if merged and start <= merged[-1][1]:
+                    merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+                else:
+                    merged.append((start, end))
+            added += [("entropy", a, b) for a, b in merged if not any(x < b and a < y for x, y in taken)]
         return [*base, *added] if not added else sorted([*base, *added], key=lambda s: (s[1], (*BASE, *ADDED).index(s[0])))
 
     return find
@@ -87,8 +126,8 @@ def secrets(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFr
 
     Base kinds are leftmost matches that don't overlap within a kind; shorter ones than a kind asks
     for are dropped. Of other strings of key characters, parts of high entropy for the narrowest
-    character class that holds the string are added, unless the allow-list knows the string or a
-    base span lies there. Null and empty texts have no spans; equal rows have equal spans; a column
+    character class that holds the string are added, without what the allow-list knows of it and
+    where no base span lies. Strings of 12 to 19 characters are one window each. Null and empty texts have no spans; equal rows have equal spans; a column
     named like the result is replaced.
     """
     return scan(docs, finder, text, spans)
