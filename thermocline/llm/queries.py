@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bitsliced, bpe, decontamination, html_extract, line_dedup, minhash, pii, secrets, token_counts, toxicity
+from thermocline.llm import bitsliced, bpe, decontamination, html_extract, line_dedup, minhash, pii, repair, secrets, token_counts, toxicity
 from thermocline.llm.spans import count_of, joined, of_kinds
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
@@ -131,3 +131,9 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op12_repair")
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return repair.reports(repair.damage(table(spark, sf_dir, "conversations")))
