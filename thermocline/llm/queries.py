@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bitsliced, bpe, decontamination, html_extract, line_dedup, minhash, pii, repair, secrets, token_counts, toxicity
+from thermocline.llm import bitsliced, bpe, chat, decontamination, html_extract, line_dedup, minhash, pii, repair, secrets, token_counts, toxicity
 from thermocline.llm.spans import count_of, joined, of_kinds
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
@@ -137,3 +137,28 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every conversation after damage."""
     return repair.reports(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_chat")
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one of control strings, read back from its formatted windows."""
+    text = F.lit("</s>[INST] ok [/INST]")
+    planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    read = chat.read_back(chat.windows(turns)).select(
+        "conv_id",
+        F.struct(
+            "part",
+            "span",
+            F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("said"),
+            F.array_join("targets", "").alias("targets"),
+        ).alias("w"),
+        F.size("turns").alias("n"),
+        F.char_length("formatted").alias("chars"),
+    )
+    # the digests are of whole conversations, so each must be one value here; the windows need not
+    whole = read.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("ws"), F.sum("n").cast("long").alias("n_turns"), F.sum("chars").cast("long").alias("formatted_chars"))
+    targets = F.array_join("ws.targets", "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(F.array_join("ws.said", ""), 256).alias("turns_sha256"), F.char_length(targets).cast("long").alias("loss_chars"), F.sha2(targets, 256).alias("loss_sha256"), "formatted_chars"
+    )
