@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermocline.llm import bitsliced, bpe, chat, decontamination, html_extract, line_dedup, minhash, pii, repair, secrets, token_counts, toxicity
+from thermocline.llm import balltree, bitsliced, bpe, chat, decontamination, html_extract, line_dedup, minhash, pii, repair, secrets, token_counts, toxicity
 from thermocline.llm.spans import count_of, joined, of_kinds
 from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
@@ -162,3 +162,24 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select(
         "conv_id", "n_turns", F.sha2(F.array_join("ws.said", ""), 256).alias("turns_sha256"), F.char_length(targets).cast("long").alias("loss_chars"), F.sha2(targets, 256).alias("loss_sha256"), "formatted_chars"
     )
+
+
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_SMALL}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+@query(
+    "op11_lexical",
+    f"""WITH d AS (SELECT doc_id, unnest(ws) AS t, len(ws) AS n FROM (SELECT doc_id, {_TERMS} AS ws FROM documents)),
+tf AS (SELECT doc_id, t, n, count(*) AS tf FROM d GROUP BY doc_id, t, n),
+total AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS l FROM (SELECT len({_TERMS}) AS n FROM documents) WHERE n > 0),
+w AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY t, big_n),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+scores AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * big_n) // l))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t), total GROUP BY item_id, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10""",
+)
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that fit each benchmark item best."""
+    return balltree.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
