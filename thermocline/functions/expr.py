@@ -34,6 +34,11 @@ def iso_micros(t_s: Column) -> Column:
     return F.date_format(F.timestamp_micros((t_s * 1_000_000).cast("bigint")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def quotient(a: Column, b: Column) -> Column:
+    """a / b; NULL where b is 0: one odd row must not stop a whole job."""
+    return F.try_divide(a.cast("double"), b.cast("double"))
+
+
 def planar_metres(lat1: Column, lon1: Column, lat2: Column, lon2: Column, mean_lat: Column) -> Column:
     dy = (lat2 - lat1) * METRES_PER_DEGREE
     dx = (lon2 - lon1) * METRES_PER_DEGREE * F.cos(F.radians(mean_lat))
@@ -96,4 +101,4 @@ def is_day(hour: Column) -> Column:
 
 def lerp(t: Column, t0: Column, v0: Column, t1: Column, v1: Column) -> Column:
     """Linear interpolation; an exact hit on either end returns that end's value."""
-    return F.when(t == t0, v0).when(t == t1, v1).otherwise(v0 + (v1 - v0) * ((t - t0) / (t1 - t0)))
+    return F.when(t == t0, v0).when(t == t1, v1).otherwise(v0 + (v1 - v0) * quotient(t - t0, t1 - t0))

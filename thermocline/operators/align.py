@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import geodesic_metres, lerp
+from ..functions.expr import geodesic_metres, lerp, quotient
 from ..session import materialise
 from .ordered import DAY, Runs, exact_quantiles, number_rows, stats_join, with_quantiles
 
@@ -93,7 +93,7 @@ def sync_sensors(raw: DataFrame, sensors: list[str], closer_than: float = 0.01)
         p, n, t = F.col(f"__p_{s}"), F.col(f"__n_{s}"), F.col("t")
         gap = F.greatest(5.0 * F.col(f"__dt_{s}")[0], F.lit(30.0))
         near = F.least(t - p["t"], n["t"] - t) <= gap
-        line = F.when(near & p.isNotNull() & n.isNotNull(), p["v"] + (n["v"] - p["v"]) * ((t - p["t"]) / (n["t"] - p["t"])))
+        line = F.when(near & p.isNotNull() & n.isNotNull(), p["v"] + (n["v"] - p["v"]) * quotient(t - p["t"], n["t"] - p["t"]))
         out[s] = F.when(F.col(f"__dt_{s}_n") >= 1, F.coalesce(F.col(s), line))
     kept = joined.withColumns(out).filter(F.coalesce(F.col("__step") > closer_than, F.lit(True)))
     return kept.select("glider_id", "t", *sensors)
@@ -256,5 +256,5 @@ def subsurface_speed(df: DataFrame, fixes: DataFrame, apart: int = 600, limit: f
     joined = df.join(back, ["glider_id", "seq"], "left").join(ahead, ["glider_id", "seq"], "left")
     b, a, t = F.col("__back"), F.col("__ahead"), F.col("t_s")
     near = F.when(a.isNull() | (t - b["t"] <= a["t"] - t), b).otherwise(a)
-    speed = geodesic_metres(F.col("latitude"), F.col("longitude"), near["lat"], near["lon"]) / F.abs(t - near["t"])
+    speed = quotient(geodesic_metres(F.col("latitude"), F.col("longitude"), near["lat"], near["lon"]), F.abs(t - near["t"]))
     return joined.withColumn("speed", speed).withColumn("too_fast", near.isNull() | (F.col("speed") > limit)).drop("__back", "__ahead")

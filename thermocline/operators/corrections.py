@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import is_day, solar_hour
+from ..functions.expr import is_day, quotient, solar_hour
 from ..schema import PHYSICAL_GUARD
 from ..session import materialise
 from .ordered import Runs, exact_quantiles, number_rows, stats_join, with_quantiles
@@ -69,7 +69,7 @@ def median_despike(df: DataFrame, windows: dict[str, int]) -> DataFrame:
     filled = {}
     for v in windows:
         lo, hi = F.col(f"__lo_{v}"), F.col(f"__hi_{v}")
-        share = (seqs - lo["s"]) / (hi["s"] - lo["s"])
+        share = quotient(seqs - lo["s"], hi["s"] - lo["s"])
         filled[f"__f_{v}"] = F.coalesce(F.col(v), lo["v"] + (hi["v"] - lo["v"]) * share)
     runs.with_columns(filled)
     offsets = {}

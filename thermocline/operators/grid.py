@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import quotient
 from .ordered import exact_quantiles, stats_join, with_quantiles
 
 PROFILE = ["glider_id", "profile_index"]
@@ -69,7 +70,7 @@ def profile_grid(
         }
     )
     reach = F.col("cells") - 1
-    sparse = (F.col("points") < min_points) | ((reach > 0) & (F.col("span") / reach < min_share))
+    sparse = (F.col("points") < min_points) | ((reach > 0) & (quotient(F.col("span"), reach) < min_share))
     half = lambda c: F.ceil(c / 2.0)
     first = F.greatest(half(F.col("slot")), F.lit(0))
     on_centre = (F.col("slot") % 2 == 0) & (F.col("bottom.d") == F.col("slot") / 2.0 + 0.5)
@@ -80,7 +81,7 @@ def profile_grid(
     cells = F.when(sparse, F.array(nearest)).when(first <= last, F.sequence(first, last)).otherwise(none)
     out = framed.withColumn("sparse", sparse).withColumn("cell", F.explode(cells))
     centre, low, high = F.col("cell") + 0.5, F.col("bottom"), F.col("next_top")
-    line = low["v"] + (high["v"] - low["v"]) * ((centre - low["d"]) / (high["d"] - low["d"]))
+    line = low["v"] + (high["v"] - low["v"]) * quotient(centre - low["d"], high["d"] - low["d"])
     value = F.when(F.col("sparse") | (low["d"] == centre), low["v"]).otherwise(line)
     # a sparse profile may reach one cell from two slots: the deeper one stays
     return (

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import quotient
 from ..session import materialise
 from .ordered import DAY, Runs, number_by_time, stats_join
 from .segments import ASCENT, DESCENT, INCONSISTENT, INFLEXION, SUBSURFACE_DRIFT, SURFACE_DRIFT
@@ -26,7 +27,7 @@ def plausible_rows(df: DataFrame) -> DataFrame:
     valid = df.filter(F.col("pressure").isNotNull() & (F.abs("pressure") <= MAX_PRESSURE))
     numbered = number_by_time(valid.select("glider_id", "t_s", F.col("seq").alias("row"), "pressure"))
     runs = Runs(numbered, after=1)
-    runs.with_columns({"__v": (runs.lead("pressure") - F.col("pressure")) * 100 / (runs.lead("t_s") - F.col("t_s"))})
+    runs.with_columns({"__v": quotient((runs.lead("pressure") - F.col("pressure")) * 100, runs.lead("t_s") - F.col("t_s"))})
     slow = F.col("__v").isNull() | ((F.abs("__v") <= MAX_SPEED) & (F.col("__v") != 0))
     return number_by_time(runs.done().filter(slow).drop("__v", "seq"))
 
@@ -61,8 +62,8 @@ def label_runs(df: DataFrame, out: str, *breaks: str) -> DataFrame:
 def moving_phases(rows: DataFrame, min_levels: int = MIN_LEVELS) -> DataFrame:
     """Descent and ascent by speed; shorter runs than `min_levels` fall back to the default."""
     runs = Runs(rows, before=1, after=1)
-    speed = (F.col("pressure") - runs.lag("pressure")) * 100 / (F.col("t_s") - runs.lag("t_s"))
-    ahead = (runs.lead("pressure") - F.col("pressure")) * 100 / (runs.lead("t_s") - F.col("t_s"))
+    speed = quotient((F.col("pressure") - runs.lag("pressure")) * 100, F.col("t_s") - runs.lag("t_s"))
+    ahead = quotient((runs.lead("pressure") - F.col("pressure")) * 100, runs.lead("t_s") - F.col("t_s"))
     speeds = materialise(runs.with_columns({"speed": speed, "__ahead": ahead}).done())
     judged = stats_join(speeds, speed_threshold(speeds), ["glider_id"])
     v = F.coalesce("speed", "__ahead")  # the first row moves like the second one

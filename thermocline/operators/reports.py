@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import planar_metres
+from ..functions.expr import planar_metres, quotient
 from ..schema import FACTORY_BOX
 from .corrections import median_despike, remove_iqr_outliers
 from .ordered import DAY, Runs, exact_quantiles, number_rows, stats_join, with_quantiles
@@ -91,7 +91,7 @@ def flag_integrity(l0: DataFrame, l1: DataFrame, variables: list[str]) -> DataFr
         count_if(F.col("qc") == 9).alias("l1_missing"), count_if(F.col("qc").isin(3, 4)).alias("l1_bad"),
         count_if(F.col("qc").isin(1, 2)).alias("l1_good"), F.count(F.lit(1)).alias("l1_total"),
     )
-    expected = F.bround(F.col("l0_missing") * (F.col("l1_total") / F.col("l0_total"))).cast("bigint")
+    expected = F.bround(F.col("l0_missing") * quotient(F.col("l1_total"), F.col("l0_total"))).cast("bigint")
     tolerance = F.greatest(F.lit(200), F.floor(0.02 * F.col("l1_total")))
     extra = F.col("extra_missing")
     return (
@@ -370,8 +370,8 @@ def ts_diagnostics(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), count_if(both).alias("n_pairs"),
         F.min(t).alias("t_min"), F.max(t).alias("t_max"), F.min(s).alias("s_min"), F.max(s).alias("s_max"),
         count_if(t < -2.5).alias("t_low"), count_if(t > 40).alias("t_high"), count_if(s < 2).alias("s_low"), count_if(s > 41).alias("s_high"),
-        (1 - F.countDistinct(F.when(both, F.round(t, 6))) / count_if(both)).alias("t_stuck"),
-        (1 - F.countDistinct(F.when(both, F.round(s, 5))) / count_if(both)).alias("s_stuck"),
+        (1 - quotient(F.countDistinct(F.when(both, F.round(t, 6))), count_if(both))).alias("t_stuck"),
+        (1 - quotient(F.countDistinct(F.when(both, F.round(s, 5))), count_if(both))).alias("s_stuck"),
     )
     runs = Runs(df, prev={"pair": pair})
     runs.with_columns({"__p": F.when(both, runs.before("pair"))})

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import quotient
 from .grid import PROFILE, mask_gaps
 from .ordered import Runs, exact_quantiles, number_rows, stats_join, with_quantiles
 
@@ -65,11 +66,14 @@ def iso_depth(grid: DataFrame, levels: DataFrame, variable: str, falling: bool)
     sign = 1.0 if falling else -1.0
     past = (F.col("value") - F.col("level")) * sign < 0
     present = (F.col("surface") - F.col("level")) * sign > 0
-    line = F.col("d0") + (F.col("level") - F.col("v0")) / (F.col("value") - F.col("v0")) * (F.col("depth") - F.col("d0"))
+    # only the first cell past the level is interpolated: further down neighbours may be equal
+    at = F.min_by(F.struct("v0", "d0", "value", "depth"), "cell")
+    line = F.col("at.d0") + quotient(F.col("level") - F.col("at.v0"), F.col("at.value") - F.col("at.v0")) * (F.col("at.depth") - F.col("at.d0"))
     return (
         crossed.filter(present & past)
         .groupBy(*PROFILE, "level")
-        .agg(F.min_by(line, "cell").alias("iso_depth"))
+        .agg(at.alias("at"))
+        .select(*PROFILE, "level", line.alias("iso_depth"))
         .filter("iso_depth IS NOT NULL")
     )
 
@@ -95,8 +99,8 @@ def uneven_gradient(back: Column, here: Column, ahead: Column, x0: Column, x: Co
     `back`/`ahead` are values, `x0`/`x1` their coordinates (NULL where there is no row).
     """
     hs, hd = x - x0, x1 - x
-    inner = (hs * hs * ahead + (hd * hd - hs * hs) * here - hd * hd * back) / (hs * hd * (hs + hd))
-    return F.when(x0.isNull(), (ahead - here) / hd).when(x1.isNull(), (here - back) / hs).otherwise(inner)
+    inner = quotient(hs * hs * ahead + (hd * hd - hs * hs) * here - hd * hd * back, hs * hd * (hs + hd))
+    return F.when(x0.isNull(), quotient(ahead - here, hd)).when(x1.isNull(), quotient(here - back, hs)).otherwise(inner)
 
 
 def vertical_gradient(grid: DataFrame, columns: DataFrame, usable: DataFrame, limit: float | None = None) -> DataFrame:
@@ -164,7 +168,7 @@ def section(
     return out.select(
         *PROFILE, "variable", "cell", "value",
         F.col("q")[0].alias("low"), F.col("q")[3].alias("high"),
-        F.floor(F.round((F.col("value") - low) / (high - low) * (steps - 1), 9)).alias("contour"),
+        F.floor(F.round(quotient(F.col("value") - low, high - low) * (steps - 1), 9)).alias("contour"),
     )
 
 

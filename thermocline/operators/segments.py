@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import planar_metres
+from ..functions.expr import planar_metres, quotient
 from ..session import materialise
 from .ordered import DAY, Runs, exact_quantiles, number_by_time, number_rows, stats_join
 from .sections import uneven_gradient
@@ -38,7 +38,7 @@ def fill_pressure(df: DataFrame, scale: float = 1.0) -> DataFrame:
     runs = Runs(df, prev={"row": row}, nxt={"row": row})
     runs.with_columns({"__p": runs.before("row"), "__n": runs.after("row")})
     a, b = F.col("__p"), F.col("__n")
-    line = a["p"] + (b["p"] - a["p"]) * ((F.col("t_s") - a["t_s"]) / (b["t_s"] - a["t_s"]))
+    line = a["p"] + (b["p"] - a["p"]) * quotient(F.col("t_s") - a["t_s"], b["t_s"] - a["t_s"])
     filled = F.coalesce(F.col("pressure") * scale, line)
     flag = F.when(F.col("pressure").isNotNull(), 0).when(filled.isNotNull(), 8).otherwise(9)
     runs.with_columns({"pressure_filled": filled, "pressure_filled_QC": flag})
@@ -115,7 +115,7 @@ def detect_profiles(df: DataFrame) -> DataFrame:
     runs = Runs(usable, before=1, prev={"row": row}, nxt={"row": row})
     runs.with_columns({"__a": runs.before("row"), "__b": runs.after("row"), "__dt": F.col("t_s") - runs.lag("t_s")})
     a, b = F.col("__a"), F.col("__b")
-    line = a["pressure"] + (b["pressure"] - a["pressure"]) * ((F.col("t_s") - a["t_s"]) / (b["t_s"] - a["t_s"]))
+    line = a["pressure"] + (b["pressure"] - a["pressure"]) * quotient(F.col("t_s") - a["t_s"], b["t_s"] - a["t_s"])
     filled = F.coalesce(F.col("pressure"), line, a["pressure"], b["pressure"])
     rows = materialise(runs.done().withColumn("__f", filled).drop("__a", "__b"))
     step = exact_quantiles(rows, ["glider_id"], {"dt": (F.col("__dt"), [0.5])})
@@ -152,7 +152,7 @@ def buoyancy_phase(df: DataFrame, engine: str = "buoyancy", zero_is_ascent: bool
     runs = Runs(df, before=1, prev={"row": row}, nxt={"row": row})
     runs.with_columns({"__p": runs.before("row"), "__n": runs.after("row")})
     p, n = F.col("__p"), F.col("__n")
-    line = p["v"] + (n["v"] - p["v"]) * ((F.col("t_s") - p["t_s"]) / (n["t_s"] - p["t_s"]))
+    line = p["v"] + (n["v"] - p["v"]) * quotient(F.col("t_s") - p["t_s"], n["t_s"] - p["t_s"])
     v = F.coalesce(F.col(engine), line)
     up = v >= 0 if zero_is_ascent else v > 0
     runs.with_columns({"phase": F.when(up, ASCENT).when(v < 0, DESCENT).otherwise(-128)})

@@ -143,7 +143,7 @@ def meta(spark, sf):
     return rp.meta_row(deployment(base), base, base.filter("profile_index > 3 AND pressure < 2000"))
 
 
-FAR = "fx AS (SELECT glider_id, latitude + CASE WHEN seq % 400 = 0 THEN 29.0 ELSE 0 END AS latitude, longitude - CASE WHEN seq % 400 = 0 AND glider_id = 'G1' THEN 141 ELSE 0 END AS longitude FROM l0 WHERE latitude <> 0 AND (glider_id <> 'G2' OR seq < 100))"
+FAR = "fx AS (SELECT glider_id, latitude + CASE WHEN seq % 400 = 0 THEN 29.0 ELSE 0 END AS latitude, longitude - CASE WHEN seq % 400 = 0 AND glider_id = 'G1' THEN 141 ELSE 0 END AS longitude FROM l0 WHERE latitude <> 0 UNION ALL SELECT 'G3', latitude, longitude FROM l0 WHERE latitude <> 0 AND glider_id = 'G2' AND seq < 100)"
 
 
 @query(
@@ -161,7 +161,11 @@ FAR = "fx AS (SELECT glider_id, latitude + CASE WHEN seq % 400 = 0 THEN 29.0 ELS
 def parameters(spark, sf):
     far = F.when(F.col("seq") % 400 == 0, 29.0).otherwise(0.0)
     west = F.when((F.col("seq") % 400 == 0) & (F.col("glider_id") == "G1"), 141).otherwise(0)
-    fixes = l0(spark, sf).filter("latitude <> 0 AND (glider_id <> 'G2' OR seq < 100)").select("glider_id", (F.col("latitude") + far).alias("latitude"), (F.col("longitude") - west).alias("longitude"))
+    fixes = l0(spark, sf).filter("latitude <> 0")
+    moved = fixes.select("glider_id", (F.col("latitude") + far).alias("latitude"), (F.col("longitude") - west).alias("longitude"))
+    # a record too short for bounds of its own stands beside the gliders
+    short = fixes.filter("glider_id = 'G2' AND seq < 100").select(F.lit("G3").alias("glider_id"), "latitude", "longitude")
+    fixes = moved.unionByName(short)
     return rounded(rp.deployment_parameters(fixes))
 
 
