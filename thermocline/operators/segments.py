@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import planar_metres, quotient
 from ..session import materialise
+from .greedy import keep_spaced
 from .ordered import DAY, Runs, exact_quantiles, number_by_time, number_rows, stats_join
 from .sections import uneven_gradient
 
@@ -85,26 +83,11 @@ def time_gradient(df: DataFrame, value: str, out: str) -> DataFrame:
     return runs.with_columns({out: slope}).done()
 
 
-def spaced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keep a candidate when it lies 300 s or more after the last one kept in its island."""
-    key, last = None, 0
-    for batch in batches:
-        keep = []
-        for g, island, t in zip(batch["glider_id"], batch["island"], batch["t_s"], strict=True):
-            ok = (g, island) != key or t - last >= PROFILE_MIN_SECONDS
-            key = (g, island)
-            last = t if ok else last
-            keep.append(ok)
-        yield batch.loc[keep, ["glider_id", "seq"]]
-
-
 def detect_profiles(df: DataFrame) -> DataFrame:
     """Add `profile_index` and `profile_direction` from pressure alone.
 
     A profile starts where the sign of the smoothed dP/dt changes to non-zero at least 300 s
-    after the start of the current one. A candidate 300 s or more after the candidate before it
-    always starts one, so the greedy choice runs inside the islands between such candidates, as
-    a streaming pass over sorted rows.
+    after the start of the current one.
     """
     base = df.drop("profile_index", "profile_direction")
     # a record of fewer than 100 pressures keeps its rows, without profiles
@@ -128,18 +111,9 @@ def detect_profiles(df: DataFrame) -> DataFrame:
     turn = (F.col("profile_direction") != turns.lag("profile_direction")) & (F.col("profile_direction") != 0)
     marked = materialise(turns.with_columns({"__turn": F.coalesce(turn, F.lit(False))}).done("__s", "__slope"))
 
-    candidates = number_by_time(marked.filter("__turn OR seq = 0").select("glider_id", "t_s", "seq").withColumnRenamed("seq", "__row"))
-    gaps = Runs(candidates, before=1)
-    gaps.with_columns({"__new": F.coalesce((F.col("t_s") - gaps.lag("t_s") >= PROFILE_MIN_SECONDS).cast("int"), F.lit(0))})
-    islands = Runs(gaps.done(), total={"new": F.col("__new")})
-    islands.with_columns({"island": islands.cumulative("new")})
-    ordered = (
-        islands.done("seq", "__new")
-        .withColumnRenamed("__row", "seq")
-        .repartition("glider_id", "island")
-        .sortWithinPartitions("glider_id", "island", "t_s")
-    )
-    starts = ordered.mapInPandas(spaced, "glider_id string, seq bigint").filter("seq > 0").withColumn("__start", F.lit(1))
+    candidates = materialise(number_by_time(marked.filter("__turn OR seq = 0").select("glider_id", "t_s", "seq").withColumnRenamed("seq", "__row")))
+    kept = keep_spaced(candidates, PROFILE_MIN_SECONDS)
+    starts = candidates.join(kept, ["glider_id", "seq"]).select("glider_id", F.col("__row").alias("seq")).filter("seq > 0").withColumn("__start", F.lit(1))
     joined = marked.join(starts, ["glider_id", "seq"], "left")
     counted = Runs(joined, total={"start": F.col("__start")})
     counted.with_columns({"profile_index": counted.cumulative("start")})

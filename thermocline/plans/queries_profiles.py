@@ -9,6 +9,7 @@ from ..functions.seawater import (
 )
 from ..operators import derived as dv
 from ..operators import profile_qc as pq
+from ..operators.median_distance import median_distance_spikes
 from ..operators.publish import per_kilogram
 from .common import L0_CTE, rounded, sql
 from .fixture import l0
@@ -224,3 +225,9 @@ def nitrate(spark, sf):
 def per_kg(spark, sf):
     d = F.when(F.col("seq") % 20 == 3, 400.0).otherwise(F.col("density"))
     return rounded(l0(spark, sf).select("glider_id", "t_s", per_kilogram(F.col("oxygen_concentration"), d).alias("doxy")))
+
+
+@query("median_distance_spikes")
+def spikes(spark, sf):
+    """Tested against a plain loop over profiles (tests/test_median_distance.py)."""
+    return median_distance_spikes(l0(spark, sf))
