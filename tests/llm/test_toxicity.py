@@ -86,3 +86,81 @@ def test_disguises_at_the_ends_of_words(spark, make_docs):
     counter = toxicity.Counter(costs)
     for text in ("iidioott-like", "i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "iidioott", "idi07"):
         assert counter.counts(text)[1].get("=idiot") == 1, text
+
+
+def enumerated(costs, chunk):
+    """Least cost of any path of a lattice, and what the paths of that cost say."""
+    import itertools
+
+    best, said = None, set()
+    for path in itertools.product(*toxicity.Restorer.lattice(chunk)):
+        state, cost = 0, 0.0
+        for out, extra in path:
+            cost += extra
+            if out and not (toxicity._code(out) == 0 and state % 27 == 0):
+                cost += float(costs[state, toxicity._code(out)])
+                state = state % 27**2 * 27 + toxicity._code(out)
+        cost += float(costs[state, 0]) if state % 27 else 0.0
+        if best is None or cost < best - 1e-9:
+            best, said = cost, set()
+        if cost < best + 1e-9:
+            said.add("".join(o for o, _ in path).strip())
+    return said
+
+
+def test_decoding_is_the_best_of_all_paths(monkeypatch, make_docs):
+    import random
+
+    rng = random.Random(2)
+    costs = toxicity.character_model(make_docs([(k, " ".join(CLEAN)) for k in range(3)]))
+    chunks = ["".join(rng.choice("aeist0147@$|.-") for _ in range(rng.randint(1, 8))) for _ in range(60)]
+    chunks += ["тhе", "r1vеr", "5.0-7", "aabbcc"]
+    for wide, block in ((48, 256), (1, 3), (3, 1)):
+        monkeypatch.setattr(toxicity, "WIDE", wide)
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        monkeypatch.setattr(toxicity, "STRETCH", 2 * block)
+        restorer = toxicity.Restorer(costs)
+        for chunk in chunks:
+            assert restorer.decode(chunk) in enumerated(costs, chunk), (chunk, wide)
+
+
+def test_words_with_doubled_letters_equal_their_lattice(make_docs):
+    costs = toxicity.character_model(make_docs([(k, " ".join(CLEAN)) for k in range(3)]))
+    restorer = toxicity.Restorer(costs)
+    for word in ("wweather", "gaarrdenn", "qquiieett", "peeople", "ttalkked", "weather", "aallkkaa"):
+        own, decoded = restorer.mean_cost(word), restorer.decode(word)
+        far = own > toxicity.UNLIKELY and restorer.mean_cost(decoded) <= own - toxicity.GAIN
+        assert restorer.single(word) == (decoded if far else None)
+
+
+def test_look_alikes_and_invisible_letters(make_docs):
+    rows = [(k, " ".join([*CLEAN, "idiot"])) for k in range(50)]
+    counter = toxicity.Counter(toxicity.character_model(make_docs(rows)))
+    for text in ("іdiоt", "idi​ot", "ｉｄｉｏｔ", "ＩＤＩＯＴ!", "i­diot,"):
+        assert counter.counts(text)[1].get("=idiot") == 1, text
+    # a word of one alphabet is no disguise
+    assert counter.restorer.chunk("сосед") == "сосед"
+
+
+def test_a_long_line_of_digits_is_decoded_in_blocks(make_docs):
+    import time
+
+    restorer = toxicity.Restorer(toxicity.character_model(make_docs([(1, " ".join(CLEAN))])))
+    line = "".join(str(k * k % 10) for k in range(20_000))
+    began = time.process_time()
+    restorer.decode(line)
+    assert time.process_time() - began < 20
+
+
+def test_the_fit_is_a_minimum():
+    rng = np.random.default_rng(0)
+    x = np.column_stack([rng.normal(size=(200, 2)), np.ones(200)])
+    y = (x[:, 0] + rng.normal(size=200) > 0).astype(float)
+    weight = np.where(y > 0, 0.3, 1.0)
+    w = toxicity._fit(x, y, weight)
+
+    def loss(w):
+        z = x @ w
+        return (weight * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * (w[:-1] ** 2).sum() + 0.5e-6 * w[-1] ** 2
+
+    assert all(loss(w) <= loss(w + step) + 1e-9 for step in 1e-3 * np.vstack([np.eye(3), -np.eye(3)]))

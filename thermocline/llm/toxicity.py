@@ -23,8 +23,8 @@ SAMPLE_PER_CLASS = 2000
 #: Features the classifier keeps, those that part the classes best.
 FEATURES = 4000
 THRESHOLD = 0.3
-#: Chunks whose features a worker remembers; past it the memory starts anew.
-REMEMBERED = 150_000
+#: Chunks whose features a worker remembers since the last change of memories; the memory before is kept until the next.
+REMEMBERED = 120_000
 
 #: What a character may stand for, and the channel's cost of it (natural logarithm). Fixed values.
 STANDS_FOR = {
@@ -33,6 +33,12 @@ STANDS_FOR = {
 }
 COST_STANDS_FOR, COST_SYMBOL_DROPPED, COST_DIGIT_KEPT = 1.0, 2.5, 3.0
 COST_SEPARATOR_DROPPED, COST_SEPARATOR_KEPT, COST_REPEAT_DROPPED = 0.7, 0.7, 0.3
+#: Letters of other alphabets that look like Latin ones. Fixed values.
+LOOKS_LIKE = {
+    "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "о": "o", "р": "p", "ѕ": "s", "у": "y", "х": "x", "к": "k",
+    "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
+}
+COST_LOOKS_LIKE, COST_LETTER_KEPT = 0.3, 3.0
 
 _LETTER_SYMBOLS = "".join(re.escape(c) for c in STANDS_FOR)
 _EDGE = ".,;:?\"'()[]{}<>%&#*/\\~`^=_-…–—“”„«»¿·"
@@ -46,7 +52,22 @@ _DOUBLE = re.compile(r"([^\W\d_])\1")
 UNLIKELY, GAIN = 2.2, 0.5
 #: Three or more single characters with one blank between.
 _SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: [\w@$!|+]){2,}(?!\S)")
+#: Wherever _SPACED matches there is this; literal beginnings are found fast.
+_SINGLES = re.compile(r" \S \S(?!\S)")
 _WORD = re.compile(r"[^\W\d_]+")
+#: A Latin letter beside one that looks Latin; words of one alphabet aren't disguised.
+_MIXED = re.compile("[a-z][{0}]|[{0}][a-z]".format("".join(LOOKS_LIKE)))
+#: Letters below this one are Latin.
+_GREEK = "\u0370"
+_ODD = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\uff01-\uff5e]")
+
+
+def visible(chunk: str) -> str:
+    """Full-width characters as plain ones, invisible ones gone."""
+    if chunk.isascii() or not _ODD.search(chunk):
+        return chunk
+    return _ODD.sub(lambda m: chr(ord(m.group()) - 0xFEE0).lower() if "\uff01" <= m.group() <= "\uff5e" else "", chunk)
+
 
 _SIZE = 27
 #: Code of a Latin letter without its accents (1-26) by code point; others: 0, the word's border.
@@ -65,8 +86,11 @@ def _fill_codes() -> None:
 _fill_codes()
 
 
+_CODE_OF = {chr(p): int(c) for p, c in enumerate(_CODES) if c}
+
+
 def _code(c: str) -> int:
-    return int(_CODES[ord(c)]) if ord(c) < 0x250 else 0
+    return _CODE_OF.get(c, 0)
 
 
 def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -109,12 +133,33 @@ def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return -np.log(below.reshape(_SIZE**3, _SIZE)).astype(np.float32)
 
 
+#: States from which a stretch of a lattice is decoded by arrays; characters of a stretch, and of the blocks it is traced back by.
+WIDE, STRETCH, BLOCK = 48, 16_384, 256
+
+
+def _joined(link: tuple | None) -> str:
+    """The text of a path, kept as links to what stands before."""
+    parts = []
+    while link is not None:
+        link, out = link
+        parts.append(out)
+    return "".join(reversed(parts))
+
+
 class Restorer:
-    """Viterbi decoding under a character model."""
+    """Viterbi decoding under a character model.
+
+    States are the last three codes; none is ever dropped. While few states are alive they are
+    walked one by one; where digits and symbols in a row make them many, blocks of characters are
+    decoded with arrays over all states, and back-pointers. Paths share what they have in common,
+    so memory stays small for any length.
+    """
 
     def __init__(self, costs: np.ndarray):
         #: Flat, as a list: read one by one, these are quicker than an array's.
         self.costs: list[float] = costs.ravel().tolist()
+        self.cube = costs.astype(np.float64).reshape(_SIZE, _SIZE, _SIZE, _SIZE)
+        self.parts: dict[tuple[int, ...], np.ndarray] = {}
 
     @staticmethod
     def lattice(chunk: str) -> list[list[tuple[str, float]]]:
@@ -125,6 +170,8 @@ class Restorer:
                 ways = [(x, COST_STANDS_FOR) for x in STANDS_FOR[c]] + [("", COST_SYMBOL_DROPPED)]
                 if c.isdigit():
                     ways.append((c, COST_DIGIT_KEPT))
+            elif c in LOOKS_LIKE:
+                ways = [(LOOKS_LIKE[c], COST_LOOKS_LIKE), (c, COST_LETTER_KEPT)]
             elif c.isalpha():
                 ways = [(c, 0.0)]
                 if k and chunk[k - 1] == c:
@@ -135,33 +182,131 @@ class Restorer:
         return steps
 
     def decode(self, chunk: str) -> str:
-        """The path of least cost; ties go to the first in order of text."""
-        paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        """The path of least cost; ties go to the first way found, which depends on the chunk alone."""
+        paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+        steps, k = self.lattice(chunk), 0
+        while k < len(steps):
+            if len(paths) < WIDE:
+                paths = self._one(paths, steps[k])
+                k += 1
+            else:
+                end = self._narrow(steps, k)
+                paths = self._stretch(paths, steps[k:end])
+                k = end
+        cost = {state: c + (self.costs[state * _SIZE] if state % _SIZE else 0.0) for state, (c, _) in paths.items()}
+        return _joined(paths[min(cost, key=cost.get)][1]).strip()
+
+    @staticmethod
+    def _narrow(steps: list, k: int) -> int:
+        """Where three characters in a row that can be one letter only have led all paths to one state, or STRETCH characters on."""
+        end, single = k, 0
+        while end < len(steps) and end < k + STRETCH and single < 3:
+            single = single + 1 if len(steps[end]) == 1 else 0
+            end += 1
+        return end
+
+    def _one(self, paths: dict, ways: list[tuple[str, float]]) -> dict:
+        """All paths a character further."""
         top, costs = _SIZE * _SIZE, self.costs
-        for ways in self.lattice(chunk):
-            new: dict[int, tuple[float, str]] = {}
-            for state, (cost, done) in paths.items():
-                at = state * _SIZE
-                for out, extra in ways:
-                    if not out:
-                        to, now = state, (cost + extra, done)
+        new: dict[int, tuple[float, tuple | None]] = {}
+        for state, (cost, done) in paths.items():
+            at, border = state * _SIZE, state % _SIZE == 0
+            for out, extra in ways:
+                if not out:
+                    to, now, way = state, cost + extra, done
+                else:
+                    code = _code(out)
+                    if code == 0 and border:
+                        to, now = state, cost + extra
                     else:
-                        code = _code(out)
-                        if code == 0 and state % _SIZE == 0:
-                            to, now = state, (cost + extra, done + out)
-                        else:
-                            to, now = state % top * _SIZE + code, (cost + extra + costs[at + code], done + out)
-                    if to not in new or now < new[to]:
-                        new[to] = now
-            paths = new
-        return min((cost + (costs[state * _SIZE] if state % _SIZE else 0.0), done) for state, (cost, done) in paths.items())[1].strip()
+                        to, now = state % top * _SIZE + code, cost + extra + costs[at + code]
+                    way = (done, out)
+                if to not in new or now < new[to][0]:
+                    new[to] = (now, way)
+        return new
+
+    def _part(self, codes: tuple[int, ...]) -> np.ndarray:
+        """Costs [next, first, second, third code] over these codes alone."""
+        if codes not in self.parts:
+            if len(self.parts) >= 32:
+                self.parts.clear()
+            self.parts[codes] = np.ascontiguousarray(np.moveaxis(self.cube[np.ix_(codes, codes, codes, codes)], 3, 0))
+        return self.parts[codes]
+
+    def _stretch(self, paths: dict, steps: list[list[tuple[str, float]]]) -> dict:
+        """All paths some characters further, all states of a character at once."""
+        used = {0} | {_code(out) for ways in steps for out, _ in ways if out}
+        for state in paths:
+            used.update((state // _SIZE**2, state // _SIZE % _SIZE, state % _SIZE))
+        codes = tuple(sorted(used))
+        n, place = len(codes), {c: k for k, c in enumerate(codes)}
+        costs, own = self._part(codes), np.arange(n**3, dtype=np.int16 if n**3 < 32768 else np.int32).reshape(n, n, n)
+        now = np.full((n, n, n), np.inf)
+        links: dict[int, tuple | None] = {}
+        for state, (cost, done) in paths.items():
+            a, b, c = place[state // _SIZE**2], place[state // _SIZE % _SIZE], place[state % _SIZE]
+            now[a, b, c] = cost
+            links[(a * n + b) * n + c] = done
+        held = None  # the block before: its texts are only made for the states that live on
+        for k in range(0, len(steps), BLOCK):
+            block = steps[k : k + BLOCK]
+            back = []
+            for ways in block:
+                now, origin, way = self._all(now, ways, n, place, costs, own)
+                back.append((origin.ravel(), way.ravel()))
+            at = ends = np.flatnonzero(np.isfinite(now.ravel()))
+            chosen = []
+            for origin, way in reversed(back):
+                chosen.append(way[at])
+                at = origin[at]
+            if held is not None:
+                links = self._links(links, *held, np.isin(held[1], at))
+            held = ([[out for out, _ in ways] for ways in block], ends, at, np.array(chosen[::-1], np.uint8).T)
+        links = self._links(links, *held, np.ones(len(held[1]), bool))
+        cost = now.ravel()
+        return {(codes[e // (n * n)] * _SIZE + codes[e // n % n]) * _SIZE + codes[e % n]: (float(cost[e]), link) for e, link in links.items()}
+
+    @staticmethod
+    def _links(links: dict, outs: list[list[str]], ends: np.ndarray, starts: np.ndarray, rows: np.ndarray, alive: np.ndarray) -> dict:
+        return {e: (links[a], "".join([o[w] for o, w in zip(outs, row)])) for e, a, row in zip(ends[alive].tolist(), starts[alive].tolist(), rows[alive].tolist())}
+
+    @staticmethod
+    def _all(now: np.ndarray, ways: list[tuple[str, float]], n: int, place: dict[int, int], costs: np.ndarray, own: np.ndarray) -> tuple:
+        """Costs, states before and ways taken, of all states, a character further."""
+        new, origin, way = np.full((n, n, n), np.inf), np.zeros_like(own), np.zeros((n, n, n), np.uint8)
+        for w, (out, extra) in enumerate(ways):
+            here = now + extra
+            better = None
+            if out:
+                code = _code(out)
+                x = place[code]
+                moved = here + costs[x]
+                if code == 0:
+                    moved[:, :, 0] = np.inf  # a border after a border changes nothing
+                    better = np.zeros((n, n, n), bool)
+                first = moved.argmin(axis=0)
+                least = moved.min(axis=0)
+                less = least < new[:, :, x]
+                np.copyto(new[:, :, x], least, where=less)
+                np.copyto(origin[:, :, x], first * (n * n) + own[0], where=less, casting="unsafe")
+                np.copyto(way[:, :, x], w, where=less)
+                if better is None:
+                    continue
+                better[:, :, 0] = here[:, :, 0] < new[:, :, 0]
+            else:
+                better = here < new
+            np.copyto(new, here, where=better)
+            np.copyto(origin, own, where=better)
+            np.copyto(way, w, where=better)
+        return new, origin, way
 
     def chunk(self, chunk: str) -> str:
         """A chunk without white space, restored; one without disguise stays."""
+        chunk = visible(chunk)
         core = re.sub(r"!{2,}$", "", chunk.strip(_EDGE))
         if not core:
             return chunk
-        if _NOISY.search(core) or (_SUBSTITUTE.search(core) and _LETTER.search(core)) or _SUBSTITUTES.fullmatch(core):
+        if _NOISY.search(core) or _MIXED.search(core) or (_SUBSTITUTE.search(core) and _LETTER.search(core)) or _SUBSTITUTES.fullmatch(core):
             return self.decode(core) or chunk
         return _WORD.sub(lambda m: self.single(m.group()) or m.group(), chunk)
 
@@ -169,22 +314,33 @@ class Restorer:
         """A word with doubled letters as decoded, if the character model finds it far likelier; else None."""
         if not (word.isalpha() and _DOUBLE.search(word)) or (own := self.mean_cost(word)) <= UNLIKELY:
             return None
-        decoded = self.decode(word)
-        return decoded if decoded and self.mean_cost(decoded) <= own - GAIN else None
+        doubled = [k for k in range(1, len(word)) if word[k] == word[k - 1]]
+        if len(doubled) > 3 or any(c in STANDS_FOR or c in LOOKS_LIKE for c in word):
+            decoded = self.decode(word)
+            return decoded if decoded and self.mean_cost(decoded) <= own - GAIN else None
+        # few paths: all of them
+        best, cost, mean = word, own * (len(word) + 1), own
+        for n in range(1, 1 << len(doubled)):
+            gone = {k for j, k in enumerate(doubled) if n >> j & 1}
+            path = "".join([c for k, c in enumerate(word) if k not in gone])
+            each = self.mean_cost(path)
+            if (now := each * (len(path) + 1) + COST_REPEAT_DROPPED * len(gone)) < cost:
+                best, cost, mean = path, now, each
+        return best if mean <= own - GAIN else None
 
     def mean_cost(self, word: str) -> float:
         """Cost of a word and the border after it, a character."""
-        state, cost = 0, 0.0
-        for c in word + " ":
-            code = _code(c)
-            cost += self.costs[state * _SIZE + code]
-            state = state % (_SIZE * _SIZE) * _SIZE + code
-        return cost / (len(word) + 1)
+        code, costs, top, at, cost = _CODE_OF.get, self.costs, _SIZE**3, 0, 0.0
+        for c in word:
+            at = at % top * _SIZE + code(c, 0)
+            cost += costs[at]
+        return (cost + costs[at % top * _SIZE]) / (len(word) + 1)
 
     def text(self, text: str) -> str:
         """Text in lower case, white space made one blank, with disguised parts restored."""
         text = " ".join(text.lower().split())
-        text = _SPACED.sub(lambda m: self.decode(m.group()), text)
+        if _SINGLES.search(text):
+            text = _SPACED.sub(lambda m: self.decode(m.group()), text)
         return " ".join(map(self.chunk, text.split(" ")))
 
 
@@ -218,24 +374,31 @@ class Counter:
     def __init__(self, costs: np.ndarray, known: dict[str, int] | None = None):
         self.restorer = Restorer(costs)
         self.known = known
+        #: How every word that has a known stem begins.
+        self.heads = None if known is None else {family(s) for s in known}
         self.forget()
 
     def forget(self) -> None:
         #: Of a chunk without stems its number of words; of another -1 less its place in parts.
         self.memory: dict[str, int] = {}
+        self.older: dict[str, int] = {}
         self.parts: list[tuple[int, list]] = []
 
     def learn(self, chunk: str) -> int:
         core = chunk.strip(_EDGE)
-        plain = core.isalpha() and not _DOUBLE.search(core)
-        words = [core] if plain else _WORD.findall(self.restorer.chunk(chunk))
+        if core.isalpha() and (core.isascii() or max(core) < _GREEK):
+            if core != chunk:  # the punctuation around a word says nothing
+                if (n := self.memory.get(core, self.older.get(core))) is None:
+                    n = self.memory[core] = self.learn(core)
+                return n
+            words = _WORD.findall(self.restorer.chunk(core)) if _DOUBLE.search(core) else [core]
+        else:
+            words = _WORD.findall(self.restorer.chunk(chunk))
         known = self.known
         if known is None:
             found = [s for w in words for s in stems(w)]
         else:
-            found = [known[s] for w in words for s in (w[:4], w[:5], w[:6], "=" + w) if s in known]
-            if found:  # a beginning counts once, and not in place of a shorter word
-                found = [known[s] for w in words for s in stems(w) if s in known]
+            found = [known[s] for w in words if w[:4] in self.heads for s in stems(w) if s in known]
         if not found:
             return len(words)
         self.parts.append((len(words), found))
@@ -246,18 +409,21 @@ class Counter:
         found: dict = {}
         if not text:
             return 0, found
-        if len(self.memory) > REMEMBERED or len(self.parts) > REMEMBERED:
+        if len(self.parts) > REMEMBERED:
             self.forget()
-        memory = self.memory
+        if len(self.memory) > REMEMBERED:
+            self.memory, self.older = {}, self.memory
+        memory, older = self.memory, self.older
         text = " ".join(text.lower().split())
         spaced: list[str] = []
-        if _SPACED.search(text):
+        if _SINGLES.search(text):
             text = _SPACED.sub(lambda m: spaced.append(m.group()) or "\n", text)
         chunks = text.split()
         for chunk in spaced:
             chunks.extend(self.restorer.decode(chunk).split())
         for chunk in set(chunks).difference(memory):
-            memory[chunk] = self.learn(chunk)
+            n = older.get(chunk)
+            memory[chunk] = self.learn(chunk) if n is None else n
         numbers = list(map(memory.__getitem__, chunks))
         total = sum(numbers)
         for k in filter((0).__gt__, numbers):
