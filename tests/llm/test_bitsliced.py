@@ -6,14 +6,16 @@ from thermocline.llm import bitsliced
 
 
 def plain(rows, asked, k=5):
-    good = {}
-    for key, v in rows:
-        if key is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            q = tuple(int(np.floor(256 * float(np.float32(x)))) for x in v)
-            good[key] = min(q, good.get(key, q))
+    """By all pairs: every row counts, those of a query's own id don't meet it, and its rows share the ranks."""
+    good = [
+        (key, [int(np.floor(256 * float(np.float32(x)))) for x in v])
+        for key, v in rows
+        if key is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
     out = {}
-    for q in asked & good.keys():
-        scored = sorted((-sum(a * b for a, b in zip(good[q], v)), key) for key, v in good.items() if key != q and len(v) == len(good[q]))
+    for q in asked:
+        mine = [v for key, v in good if key == q]
+        scored = sorted((-min(max(sum(a * b for a, b in zip(own, v)), -(2**63)), 2**63 - 1), key) for own in mine for key, v in good if key != q and len(v) == len(own))
         out.update({(q, r): (key, -s) for r, (s, key) in enumerate(scored[:k], 1)})
     return out
 
@@ -32,7 +34,8 @@ def test_as_all_scores(spark, monkeypatch):
     rows += [(1000 + k, [0.5] * 8) for k in range(150)]  # ties in number
     rows += [(2000, None), (2050, [0.1, None] + [0.0] * 6), (2100, [float("nan")] * 8), (2150, [float("inf")] + [0.0] * 7), (None, [0.5] * 8)]
     rows += [(3000, [1.0, 2.0]), (3001, [0.5, -1.0]), (3050, [0.0, 0.0]), (4000, []), (4001, []), (5000, [9.0])]
-    rows += [(0, rows[0][1]), (50, [0.25] * 8)]  # repeated ids
+    rows += [(0, rows[0][1]), (50, [0.25] * 8), (77, [9.0] * 8), (77, [-9.0] * 8)]  # repeated ids
+    rows += [(6000, [300_000.0] + [0.0] * 7), (6001, [-300_000.0] + [1.0] * 7), (6050, [3e38] * 8), (6051, [1e30] + [0.5] * 7)]  # beyond slices and 64 bits
     asked = {k for k, _ in rows if k is not None and k % 50 == 0}
     assert run(spark, rows) == plain(rows, asked)
 

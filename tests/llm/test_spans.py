@@ -2,6 +2,7 @@ import random
 import re
 
 from thermocline.llm import pii, secrets
+from thermocline.llm.spans import Covered
 
 
 def luhn(digits):
@@ -96,3 +97,44 @@ def test_keys_beside_known_words():
     assert any("xk29fj3kd9w8q7z6" in s for s in find("services/t024be7ld/b0k9v3x2q/xk29fj3kd9w8q7z6"))
     assert find("the kJ8s0Qz7Lp2Vb9 end") == ["kJ8s0Qz7Lp2Vb9"]
     assert find("well-known-facts user_account_id covid19update 1234567890123 some/long-path/page-12/of-it") == []
+
+
+def test_more_identifiers():
+    find = lambda t: [t[a:b] for k, a, b in pii.finder()(t) if k == "account"]
+    assert find("routing number: 021000021") == ["021000021"] and find("routing number: 021000022") == []
+    assert find("SWIFT: DEUTDEFF500 and swift reply") == ["DEUTDEFF500"]
+    assert find("Passport no. C01X00T47, passport C1234567") == ["C1234567"]
+    assert find("SSN 123-45-6789") == ["123-45-6789"] and find("SSN 000-45-6789") == []
+    assert find("VAT: DE123456789; Customer ID #4711007") == ["DE123456789", "4711007"]
+    assert find("protein 12345678, customers 12 and discounts 1234567") == []
+
+
+def test_rest_beside_base_spans():
+    find = lambda t: [(k, t[a:b]) for k, a, b in secrets.finder()(t)]
+    mixed = "9f8a7b6c5d4e3f2a1bXq7ZkT2mRv9LpWs4YhNd8GjKe3Qc"
+    assert find(mixed) == [("hex", mixed[:18]), ("entropy", mixed[18:])]
+    assert find("pin code 839201746502") == [("entropy", "839201746502")]  # 16 digits and more are hex strings
+    assert find("order 839201746502") == find("pin code 111122223333") == []
+
+
+def test_covered():
+    rnd = random.Random(3)
+    for _ in range(300):
+        spans = [(a, a + rnd.randint(1, 6)) for a in (rnd.randint(0, 40) for _ in range(rnd.randint(0, 8)))]
+        covered = Covered(spans)
+        held = {x for a, b in spans for x in range(a, b)}
+        a = rnd.randint(0, 40)
+        b = a + rnd.randint(1, 12)
+        assert {x for p, q in covered.rest(a, b) for x in range(p, q)} == set(range(a, b)) - held
+        assert covered.touches(a, b) == any(p < b and a < q for p, q in spans)
+
+
+def test_many_spans_take_linear_time():
+    import time
+
+    page = "".join(f"u{k}@h{k}.example https://h{k}.example/p{k} kJ8s0Qz7Lp2Vb9Xn4Rt6Yw{k} token={k}aaaaaaaaaaaa9\n" for k in range(20_000))
+    assert len(page) > 1_500_000
+    for module in (pii, secrets):
+        began = time.process_time()
+        assert len(module.finder()(page)) >= 40_000
+        assert time.process_time() - began < 15

@@ -2,43 +2,46 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from thermocline.llm.minhash import _grouped
-from thermocline.llm.rows import col_of, map_arrow
+from thermocline.llm.rows import col_of, grouped, map_arrow
 from thermocline.llm.storage import stored
 
 SCALE = 256
 #: Vectors of an index block, and queries that meet a block at once; both are expected numbers.
 BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 1024
-#: Components of this size or more, before scaling, count as not finite.
-COMPONENT_LIMIT = 2**18
+#: Vectors with a quantised component of this size or more are scored with whole numbers of any length, in blocks of EXACT_BLOCK.
+SLICED_LIMIT, EXACT_BLOCK = 2**26, 1024
+#: Scores beyond 64 bits count as these.
+_LEAST, _MOST = -(2**63), 2**63 - 1
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Columns id, dim, values (floor of SCALE times each component, as double); vectors that are null or hold a null or non-finite component are left out."""
-    fine = F.forall(col_of(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < COMPONENT_LIMIT))
+    fine = F.forall(col_of(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.where(col_of(key).isNotNull() & col_of(vector).isNotNull() & F.coalesce(fine, F.lit(False)))
-    values = F.transform(col_of(vector), lambda x: F.floor(x.cast("double") * SCALE).cast("int"))
+    # floor() gives a long; what is beyond whole numbers' 53 bits has no fraction
+    scaled = lambda x: x.cast("double") * SCALE
+    values = F.transform(col_of(vector), lambda x: F.when(F.abs(scaled(x)) < 2.0**53, F.floor(scaled(x)).cast("double")).otherwise(scaled(x)))
     return rows.select(col_of(key).cast("long").alias("id"), F.size(col_of(vector)).alias("dim"), values.alias("values"))
 
 
-def _packed(rows: DataFrame, size: int, slices: bool) -> DataFrame:
-    """One row a block of about size vectors: dim, block, n_blocks, ids, values (int32, row by row), and with slices also low, bits and the slices' bitmaps."""
+def _packed(rows: DataFrame, size: int, slices: bool, sliced: bool = True) -> DataFrame:
+    """One row a block of about size vectors: dim, block, n_blocks, ids, values (row by row, int32, or double if not sliced), and with slices also low, bits and the slices' bitmaps."""
     counts = rows.groupBy("dim").agg(F.ceil(F.count("*") / size).cast("int").alias("n_blocks")).withColumnRenamed("dim", "dim_")
-    placed = rows.join(counts, F.col("dim") == F.col("dim_")).select("dim", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block"), "n_blocks", "id", "values")
+    placed = rows.join(counts, F.col("dim") == F.col("dim_")).select("dim", F.pmod(F.xxhash64("id", "values"), F.col("n_blocks")).cast("int").alias("block"), "n_blocks", "id", "values")
     blocks = placed.repartition("dim", "block").sortWithinPartitions("dim", "block", "id", "values")
     schema = "dim int, block int, n_blocks int, ids binary, packed binary, low int, bits int, slices binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (dim, block), (n_blocks, ids, values) in _grouped(batches, 2):
+        for (dim, block), (n_blocks, ids, values) in grouped(batches, 2):
             ids, matrix = ids.to_numpy(), values.flatten().to_numpy().reshape(len(ids), int(dim))
-            first = np.append(True, ids[1:] != ids[:-1])  # a repeated id counts once
-            ids, matrix = ids[first], np.ascontiguousarray(matrix[first], np.int32)
+            matrix = np.ascontiguousarray(matrix, np.int32 if sliced else np.float64)
             low = bits = 0
             bitmaps = b""
             if slices:
@@ -137,16 +140,62 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     """Columns query_id, rank (from 1), vec_id, score: each query's k largest inner products with other ids, ties to the smaller id.
 
     queries is a part of vectors, or like it. A query meets vectors of its own dimension, all of
-    them; fewer than k others give fewer rows, none gives none. An id that repeats counts once, by
-    its least vector. Every pair of an index block and a query block is one bounded task, and gives
-    k rows a query.
+    them; fewer than k others give fewer rows, none gives none. Rows that repeat an id are all
+    candidates for other ids; those of a query share its ranks. Every pair of an index block and a
+    query block is one bounded task, and gives k rows a query. The few vectors with components too
+    large for slices meet all others in exact whole numbers.
     """
-    index = stored(_packed(quantised(vectors, key, vector), BLOCK_VECTORS, True), "bit-slices")
-    asked = stored(_packed(quantised(queries, key, vector), BLOCK_QUERIES, False), "query-blocks")
+    wide = F.exists("values", lambda x: F.abs(x) >= SLICED_LIMIT)
+    index, asked = quantised(vectors, key, vector), quantised(queries, key, vector)
+    large = stored(index.where(wide), "large-vectors")
+    found = _sliced_pairs(index.where(~wide), asked.where(~wide), k)
+    if not large.isEmpty():
+        found = found.unionByName(_exact_pairs(large, asked, k)).unionByName(_exact_pairs(index.where(~wide), asked.where(wide), k))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _crossed(index: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Index and query blocks, each once for every block of the other of its dimension."""
     n_index = index.groupBy("dim").agg(F.first("n_blocks").alias("n_index")).withColumnRenamed("dim", "dim_")
     n_asked = asked.groupBy("dim").agg(F.first("n_blocks").alias("n_asked")).withColumnRenamed("dim", "dim_")
     left = index.join(n_asked, F.col("dim") == F.col("dim_")).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("n_asked") - 1)))
     right = asked.join(n_index, F.col("dim") == F.col("dim_")).withColumnRenamed("block", "query_block").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_index") - 1)))
+    return left, right
+
+
+_PAIRS = "query_id long, vec_id long, score long"
+_BLOCK_KEYS = ["dim", "block", "query_block"]
+
+
+def _exact_pairs(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The k best of index for every query, by Python's whole numbers."""
+    left, right = _crossed(stored(_packed(index, EXACT_BLOCK, False, False), "exact-blocks"), stored(_packed(asked, EXACT_BLOCK, False, False), "exact-queries"))
+
+    def unpacked(table: pa.Table, dim: int) -> tuple[list[int], list[list[int]]]:
+        ids = np.frombuffer(table.column("ids")[0].as_py(), np.int64)
+        rows = np.frombuffer(table.column("packed")[0].as_py(), np.float64).reshape(len(ids), dim)
+        return ids.tolist(), [[int(x) for x in row] for row in rows.tolist()]
+
+    def run(block: pa.Table, group: pa.Table) -> pa.Table:
+        out: list[tuple[int, int, int]] = []
+        if block.num_rows and group.num_rows:
+            dim = block.column("dim")[0].as_py()
+            ids, rows = unpacked(block, dim)
+            for q, query in zip(*unpacked(group, dim)):
+                scores = [(-min(max(sum(a * b for a, b in zip(row, query)), _LEAST), _MOST), i) for i, row in zip(ids, rows) if i != q]
+                out.extend((q, i, -s) for s, i in heapq.nsmallest(k, scores))
+        return pa.table([pa.array([r[c] for r in out], pa.int64()) for c in range(3)], names=["query_id", "vec_id", "score"])
+
+    return left.select(*_BLOCK_KEYS, "ids", "packed").groupBy(*_BLOCK_KEYS).cogroup(right.select(*_BLOCK_KEYS, "ids", "packed").groupBy(*_BLOCK_KEYS)).applyInArrow(run, _PAIRS)
+
+
+def _sliced_pairs(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The k best of an index block for every query, by its bit slices."""
+    whole = F.transform("values", lambda x: x.cast("int"))
+    index = stored(_packed(vectors.withColumn("values", whole), BLOCK_VECTORS, True), "bit-slices")
+    asked = stored(_packed(queries.withColumn("values", whole), BLOCK_QUERIES, False), "query-blocks")
+    left, right = _crossed(index, asked)
 
     def run(block: pa.Table, group: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
@@ -163,15 +212,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
             query_rows = np.frombuffer(group.column("packed")[0].as_py(), np.int32).reshape(len(query_ids), dim)
             for q, query in zip(query_ids.tolist(), query_rows):
                 alive = every.copy()
-                at = int(np.searchsorted(ids, q))
-                if at < len(ids) and ids[at] == q:
+                for at in range(int(np.searchsorted(ids, q)), int(np.searchsorted(ids, q, "right"))):
                     alive[at // 64] &= ~np.uint64(1 << at % 64)
                 rows = top_rows(sum_slices(slices, query), alive, k)
                 scores = matrix[rows].astype(np.int64) @ query.astype(np.int64)
                 out[0].extend([q] * len(rows)), out[1].extend(ids[rows].tolist()), out[2].extend(scores.tolist())
         return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
 
-    keys = ["dim", "block", "query_block"]
-    found = left.select(*keys, "ids", "packed", "bits", "slices").groupBy(*keys).cogroup(right.select(*keys, "ids", "packed").groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.select(*_BLOCK_KEYS, "ids", "packed", "bits", "slices").groupBy(*_BLOCK_KEYS).cogroup(right.select(*_BLOCK_KEYS, "ids", "packed").groupBy(*_BLOCK_KEYS)).applyInArrow(run, _PAIRS)

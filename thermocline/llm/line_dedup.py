@@ -9,8 +9,8 @@ from thermocline.llm.storage import fresh, stored
 
 #: A line on more than this share of a host's pages is dropped.
 BOILERPLATE_RATIO = 0.05
-#: It must also be on this many pages: on a host of few pages a share says nothing.
-MIN_PAGES = 5
+#: A line on one page repeats nothing, however few pages its host has.
+MIN_PAGES = 2
 
 
 def _split(text: str) -> Column:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from thermocline.llm.components import components
-from thermocline.llm.rows import col_of, map_arrow, own_memory, slices
+from thermocline.llm.rows import col_of, grouped, map_arrow, own_memory, slices
 from thermocline.llm.storage import fresh, stored
 
 SHINGLE_WORDS = 5
@@ -144,35 +144,6 @@ def _trees(ids: np.ndarray, sketches: np.ndarray, side: np.ndarray) -> Iterator[
             left = left[~near]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[pa.Array]]]:
-    """Groups of rows with equal values in the first n_keys columns, from sorted batches; a group may span batches."""
-    held: list[pa.RecordBatch] = []
-    last: tuple | None = None
-
-    def out() -> tuple[tuple, list[pa.Array]]:
-        table = pa.Table.from_batches(held).combine_chunks()
-        return last, [c.chunk(0) for c in table.columns[n_keys:]]
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(n_keys)]
-        new = np.zeros(batch.num_rows, bool)
-        new[0] = True
-        for values in keys:
-            new[1:] |= values[1:] != values[:-1]
-        starts = [*np.flatnonzero(new), batch.num_rows]
-        for a, b in zip(starts, starts[1:]):
-            key = tuple(values[a] for values in keys)
-            if held and key != last:
-                yield out()
-                held = []
-            last = key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield out()
-
-
 def _bytes_matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
@@ -200,7 +171,7 @@ def candidates(signed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[tuple[int, int]] = set()
-        for _, (ids, sketches) in _grouped(batches, len(keys)):
+        for _, (ids, sketches) in grouped(batches, len(keys)):
             ids, matrix = ids.to_numpy(), _bytes_matrix(sketches)
             found.update((min(e), max(e)) for e in _trees(ids, matrix, ids))
             if len(found) > 100_000:
@@ -249,7 +220,7 @@ def _rest(edges: DataFrame, labels: DataFrame, signed: DataFrame, sets: DataFram
     blocks = full.select(*keys, "id", "label", "sketch", "shingles").repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (ids, own_labels, sketches, shingles) in _grouped(batches, len(keys)):
+        for _, (ids, own_labels, sketches, shingles) in grouped(batches, len(keys)):
             ids, own_labels, matrix = ids.to_numpy(), own_labels.to_numpy().copy(), _bytes_matrix(sketches)
             values, ends = shingles.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(shingles).to_numpy())])
             links = []

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import ahocorasick
 from pyspark.sql import DataFrame
 
-from thermocline.llm.spans import Spans, scan
+from thermocline.llm.spans import Covered, Spans, scan
 
 #: Kinds whose spans are fixed by their patterns, in order; then those the anchors add.
 BASE = ("email", "ip", "card", "phone")
@@ -26,11 +26,30 @@ _HOST = re.compile(r"[A-Za-z]+://(?:[^/@?#]*@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)
 #: After a cue: a label's rest, then an account number with an optional country and check digits.
 _ACCOUNT = re.compile(r"(?:[ ]?(?:number|nummer|numero|numéro|no|nr|num)\b\.?)?[ ]?[:#=]?[ ]?([A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}|[0-9](?:[ -]?[0-9]){5,17})(?![A-Za-z0-9])", re.I)
 
-#: Words that announce an account. Fixed values.
-CUES = ("iban", "account", "acct", "konto", "kontonummer", "compte", "cuenta")
+#: Words that announce an identifier, by what follows them. Fixed values.
+CUES = {
+    "number": ("iban", "account", "acct", "konto", "kontonummer", "compte", "cuenta"),
+    "routing": ("routing", "aba", "bankleitzahl", "blz", "sort code"),
+    "bank": ("bic", "swift"),
+    "passport": ("passport", "reisepass", "passeport", "pasaporte"),
+    "tax": ("ssn", "social security", "tax id", "ein", "vat", "steuernummer", "nif", "siren"),
+    "customer": ("customer", "kundennummer", "client id", "member", "policy", "patient"),
+}
 SCHEMES = ("http://", "https://", "ftp://")
 
 
+_LABEL_REST = r"(?:[ ]?(?:number|nummer|numero|numéro|code|no|nr|num|id)\b\.?)?[ ]?[:#=]?[ ]?"
+#: What may follow a cue; the group is the identifier.
+_AFTER = {
+    "number": _ACCOUNT,
+    "routing": re.compile(_LABEL_REST + r"([0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{8,9})(?![A-Za-z0-9])", re.I),
+    "bank": re.compile(_LABEL_REST + r"([A-Z]{6}[A-Z0-9]{2}(?:[A-Z0-9]{3})?)(?![A-Za-z0-9])", re.I),
+    "passport": re.compile(_LABEL_REST + r"([A-Z]{0,2}[0-9]{6,9})(?![A-Za-z0-9])", re.I),
+    "tax": re.compile(_LABEL_REST + r"([0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{2}-[0-9]{7}|[A-Z]{2}[0-9]{8,12}|[0-9]{8,11}[A-Z]?)(?![A-Za-z0-9])", re.I),
+    "customer": re.compile(_LABEL_REST + r"([A-Z]{0,4}-?[0-9]{5,12})(?![A-Za-z0-9])", re.I),
+}
+
+
 def _automaton() -> ahocorasick.Automaton:
     """Anchors of all kinds: (kind, length)."""
     machine = ahocorasick.Automaton()
@@ -41,7 +60,7 @@ def _automaton() -> ahocorasick.Automaton:
             machine.add_word(f"{a}.{b}", ("dot", 3))
             for gap in ("", " ", "-"):
                 machine.add_word(a + gap + b, ("pair", len(gap) + 2))
-    for kind, words in (("cue", CUES), ("scheme", SCHEMES)):
+    for kind, words in (*CUES.items(), ("scheme", SCHEMES)):
         for w in words:
             for form in {w, w.upper(), w.capitalize()}:
                 machine.add_word(form, (kind, len(w)))
@@ -62,6 +81,28 @@ def _iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in rest)) % 97 == 1
 
 
+def _routing(number: str) -> bool:
+    """Nine digits must pass the checksum of routing numbers; shorter bank and sort codes have none."""
+    return len(number) != 9 or sum(int(c) * (3, 7, 1)[k % 3] for k, c in enumerate(number)) % 10 == 0
+
+
+def _social(number: str) -> bool:
+    """No part of a number written 3-2-4 is zero, nor is its first 666 or over 899."""
+    parts = number.split("-")
+    return len(parts) != 3 or (all(int(p) for p in parts) and parts[0] != "666" and int(parts[0]) < 900)
+
+
+#: Whether an identifier after a cue can be one.
+_VALID: dict[str, Callable[[str], bool]] = {
+    "number": lambda n: not n[0].isalpha() or _iban(n.replace(" ", "").replace("-", "").upper()),
+    "routing": _routing,
+    "bank": lambda n: n.isupper(),
+    "passport": lambda n: True,
+    "tax": _social,
+    "customer": lambda n: True,
+}
+
+
 def email_at(text: str, at: int, floor: int) -> tuple[int, int] | None:
     """The address around an at-sign: left over local characters down to floor, right over a domain of two labels or more."""
     start = at
@@ -137,11 +178,11 @@ def finder() -> Callable[[str], Spans]:
                         ends["scheme"] = match.end()
                         later.append(("address", match, 0))
             elif at >= ends["cue"] and not (at and text[at - 1].isalnum()):
-                match = _ACCOUNT.match(text, last + 1)
-                if match:
+                match = _AFTER[kind].match(text, last + 1)
+                if match and _VALID[kind](match.group(1)):
                     ends["cue"] = match.end()
                     later.append(("account", match, 1))
-        taken = sorted(s for k in BASE for s in spans[k])
+        taken = Covered(s for k in BASE for s in spans[k])
         for kind, match, group in later:
             if match is None:
                 continue
@@ -151,11 +192,7 @@ def finder() -> Callable[[str], Spans]:
                 end = start + len(url)
                 if not _HOST.match(url):
                     continue
-            elif group:
-                number = match.group(1).replace(" ", "").replace("-", "").upper()
-                if number[0].isalpha() and not _iban(number):
-                    continue
-            if not any(a < end and start < b for a, b in taken):
+            if not taken.touches(start, end):
                 spans[kind].append((start, end))
         return [(k, a, b) for k, found in spans.items() for a, b in found]
 
@@ -167,7 +204,8 @@ def personal_data(docs: DataFrame, text: str = "text", spans: str = "spans") ->
 
     Base kinds are leftmost matches that don't overlap within a kind; a match that fails its check
     (parts over 255, Luhn, number of digits) is dropped. The anchors add web addresses after
-    schemes, account numbers after cues (with valid check digits if they begin with a country) and
+    schemes, identifiers after cues (account, routing, bank, passport, tax and customer numbers, with
+    valid check digits where they have them) and
     handles at at-signs, where no base span lies. Null and empty texts have no spans; equal rows
     have equal spans; a column named like the result is replaced.
     """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from thermocline.llm import balltree, bitsliced, bpe, chat, decontamination, html_extract, line_dedup, minhash, pii, repair, secrets, token_counts, toxicity
@@ -10,8 +11,8 @@ from thermocline.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
-#: Tokenizer file of ops 2 and 10 and of the pipeline; a path of the driver.
-WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
+#: Tokenizer file of ops 2 and 10 and of the pipeline.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 @query("op2_bpe")
@@ -31,7 +32,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 lines AS (SELECT source, doc_id, unnest(list_distinct(list_transform(lines, lambda x: trim(x, ' ')))) AS line FROM split),
 totals AS (SELECT source, count(*) AS n_host FROM documents GROUP BY source),
 dropped AS (SELECT l.source, l.line FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source WHERE l.line <> ''
-  GROUP BY l.source, l.line, t.n_host HAVING count(*) >= 5 AND count(*) > 0.05 * t.n_host),
+  GROUP BY l.source, l.line, t.n_host HAVING count(*) >= 2 AND count(*) > 0.05 * t.n_host),
 lists AS (SELECT source, list(line) AS gone FROM dropped GROUP BY source),
 kept AS (SELECT s.doc_id, s.source, s.lines, s.text, l.gone,
   list_filter(s.lines, lambda x: l.gone IS NULL OR NOT list_contains(l.gone, trim(x, ' '))) AS rest

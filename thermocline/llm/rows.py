@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -72,6 +73,35 @@ def parts(batch: pa.RecordBatch, column: int, texts: bool) -> Iterator[pa.Record
             yield batch.slice(start, 256)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[pa.Array]]]:
+    """Groups of rows with equal values in the first n_keys columns, from sorted batches; a group may span batches."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+
+    def out() -> tuple[tuple, list[pa.Array]]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        return last, [c.chunk(0) for c in table.columns[n_keys:]]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(n_keys)]
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = True
+        for values in keys:
+            new[1:] |= values[1:] != values[:-1]
+        starts = [*np.flatnonzero(new), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            key = tuple(values[a] for values in keys)
+            if held and key != last:
+                yield out()
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield out()
+
+
 def add_columns(df: DataFrame, inputs: list[str], added: dict[str, T.DataType], make: Callable[[], Callable[..., list[pa.Array]]], texts: bool = True) -> DataFrame:
     """df with columns computed from inputs, replacing those of their names.
 

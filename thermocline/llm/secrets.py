@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from thermocline.llm.spans import Spans, scan
+from thermocline.llm.spans import Covered, Spans, scan
 
 BASE = ("assign", "access", "hex")
 ADDED = ("entropy",)
@@ -22,7 +22,7 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 WINDOW = 20
 #: Character classes of candidates, narrowest first: pattern, and least entropy of a window in bits. Fixed values.
 CLASSES = (
-    (re.compile(r"[0-9]+"), 4.0),  # off, above the most that ten digits reach: numbers aren't secrets by themselves
+    (re.compile(r"[0-9]+"), 2.9),  # ten digits reach 3.32 at most; counted after a cue only
     (re.compile(r"[0-9a-fA-F]+"), 3.0),
     (re.compile(r"[A-Za-z0-9]+"), 3.7),
     (re.compile(r"[A-Za-z0-9+/_=-]+"), 3.9),
@@ -38,6 +38,9 @@ _KINDS = tuple(map(re.compile, ("[A-Z]", "[a-z]", "[0-9]")))
 #: Candidates and their parts have at least this length; short of a window, their entropy is this share of the most they can reach.
 SHORTEST, SHORT_SHARE = 12, 0.9
 
+#: Digits alone are an identifier or a sum as often as a secret: one of these must stand shortly before them. Fixed values.
+_CUE, CUE_REACH = re.compile(r"(?ai:secret|token|passw|passphrase|pin|otp|auth|credential|private|key)"), 24
+
 _TERM = [0.0, *(n * math.log2(n) for n in range(1, WINDOW + 1))]
 
 
@@ -97,7 +100,7 @@ def finder() -> Callable[[str], Spans]:
         base += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
         base += [("hex", *m.span()) for m in _HEX.finditer(text)]
         base.sort(key=lambda s: (s[1], BASE.index(s[0])))
-        taken = [s[1:] for s in base]
+        taken = Covered(s[1:] for s in base)
         added = []
         for m in _CANDIDATE.finditer(text):
             string = m.group()
@@ -105,9 +108,14 @@ def finder() -> Callable[[str], Spans]:
             for left, right in searched(string):
                 part = string[left:right]
                 width = min(len(part), WINDOW)
-                if width < WINDOW and not mixed(part):
+                digits = part.isdigit()
+                if digits:
+                    at = m.start() + left
+                    if not _CUE.search(text, max(0, at - CUE_REACH), at):
+                        continue
+                elif width < WINDOW and not mixed(part):
                     continue
-                least = SHORT_SHARE * math.log2(width) if width < WINDOW else next(x for pattern, x in CLASSES if pattern.fullmatch(part))
+                least = SHORT_SHARE * math.log2(min(width, 10) if digits else width) if width < WINDOW else next(x for pattern, x in CLASSES if pattern.fullmatch(part))
                 found += [(m.start() + left + a, m.start() + left + b) for a, b in entropy_spans(part, least, width)]
             merged: list[tuple[int, int]] = []
             for start, end in sorted(found):
@@ -115,7 +123,10 @@ def finder() -> Callable[[str], Spans]:
                     merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
                 else:
                     merged.append((start, end))
-            added += [("entropy", a, b) for a, b in merged if not any(x < b and a < y for x, y in taken)]
+            # what a base span covers is cut out; a short rest is no secret by itself
+            for a, b in merged:
+                rest = taken.rest(a, b)
+                added += [("entropy", x, y) for x, y in rest if rest == [(a, b)] or y - x >= SHORTEST]
         return [*base, *added] if not added else sorted([*base, *added], key=lambda s: (s[1], (*BASE, *ADDED).index(s[0])))
 
     return find

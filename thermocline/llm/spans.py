@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -15,6 +16,37 @@ _ARROW = pa.list_(pa.struct([pa.field("kind", pa.string()), pa.field("start", pa
 Spans = list[tuple[str, int, int]]
 
 
+class Covered:
+    """What a set of spans covers, merged and sorted once: a look costs the logarithm of their number."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def rest(self, start: int, end: int) -> list[tuple[int, int]]:
+        """The parts of start to end that aren't covered."""
+        out, at = [], start
+        for k in range(bisect_right(self.ends, start), len(self.starts)):
+            if self.starts[k] >= end:
+                break
+            if self.starts[k] > at:
+                out.append((at, self.starts[k]))
+            at = self.ends[k]
+        if at < end:
+            out.append((at, end))
+        return out
+
+    def touches(self, start: int, end: int) -> bool:
+        k = bisect_right(self.ends, start)
+        return k < len(self.starts) and self.starts[k] < end
+
+
 def scan(docs: DataFrame, make: Callable[[], Callable[[str], Spans]], text: str, spans: str) -> DataFrame:
     """docs with an array of (kind, start, end) added, or replaced if it is there; make() gives a task its scanner. Null texts count as empty."""
 
