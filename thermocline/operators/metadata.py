@@ -71,3 +71,61 @@ def vocabulary_violations(metadata: DataFrame, vocabulary: DataFrame, required:
     for part in (bad_date, bad_range, orphans):
         out = out.unionByName(part)
     return out.select("glider_id", "field", "value", "rule")
+
+
+#: What is read of a metadata document: facts, sensors, and parameters with their calibration.
+DOCUMENT = (
+    "metadata map<string,string>, sensors array<map<string,string>>, "
+    "parameters array<struct<name:string, sensor:string, unit:string, calibration:map<string,string>>>, _corrupt_record string"
+)
+MALFORMED = "malformed document"
+
+
+def _read(documents: DataFrame) -> DataFrame:
+    read = documents.select("glider_id", "document", F.from_json("document", DOCUMENT, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("d"))
+    return read.withColumn("bad", F.col("document").isNull() | F.col("d").isNull() | F.col("d._corrupt_record").isNotNull())
+
+
+def metadata_rows(documents: DataFrame) -> DataFrame:
+    """(glider_id, parameter, field, value) of JSON documents (glider_id, document).
+
+    Facts of the deployment have the parameter '', those of a sensor its name; a parameter's
+    calibration coefficients are fields `calibration.<name>`. Malformed documents give no rows:
+    `document_violations` names them. Null values are facts too.
+    """
+    read = _read(documents).filter("NOT bad")
+    fact = lambda parameter, field, value: F.struct(parameter.alias("parameter"), field.alias("field"), value.alias("value"))
+    none = F.array().cast("array<struct<parameter:string,field:string,value:string>>")
+    entries = lambda m, parameter, prefix="": F.coalesce(F.transform(F.map_entries(m), lambda e: fact(parameter, F.concat(F.lit(prefix), e["key"]), e["value"])), none)
+    facts = entries(F.col("d.metadata"), F.lit(""))
+    sensors = F.flatten(F.coalesce(F.transform("d.sensors", lambda s: entries(s, F.concat(F.lit("sensor:"), F.coalesce(s["name"], F.lit(""))))), F.array(none)))
+    parameters = F.flatten(
+        F.coalesce(
+            F.transform(
+                "d.parameters",
+                lambda p: F.concat(F.array(fact(p["name"], F.lit("sensor"), p["sensor"]), fact(p["name"], F.lit("unit"), p["unit"])), entries(p["calibration"], p["name"], "calibration.")),
+            ),
+            F.array(none),
+        )
+    )
+    return read.select("glider_id", F.explode(F.concat(facts, sensors, parameters)).alias("f")).select("glider_id", "f.*")
+
+
+def document_diff(first: DataFrame, second: DataFrame) -> DataFrame:
+    """`metadata_diff` of JSON documents, calibration coefficients included."""
+    return metadata_diff(metadata_rows(first), metadata_rows(second))
+
+
+def document_violations(documents: DataFrame, vocabulary: DataFrame, required: list[str], dates: list[str], ranges: dict[str, tuple[float, float]]) -> DataFrame:
+    """`vocabulary_violations` of JSON documents; malformed ones are violations themselves. Every parameter's sensor must be one of the document's."""
+    rows = metadata_rows(documents)
+    field = (
+        F.when(F.col("parameter").startswith("sensor:") & (F.col("field") == "name"), "sensor")
+        .when(F.col("parameter").startswith("sensor:"), F.concat(F.lit("sensor_"), "field"))
+        .when((F.col("parameter") != "") & (F.col("field") == "sensor"), F.concat(F.lit("sensor_of:"), "parameter"))
+        .when(F.col("parameter") != "", F.concat("field", F.lit(":"), "parameter"))
+        .otherwise(F.col("field"))
+    )
+    found = vocabulary_violations(rows.select("glider_id", field.alias("field"), "value"), vocabulary, required, dates, ranges)
+    bad = _read(documents).filter("bad").select("glider_id", F.lit("document").alias("field"), F.substring("document", 1, 80).alias("value"), F.lit(MALFORMED).alias("rule"))
+    return found.unionByName(bad)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import quotient
 from ..session import materialise
-from .ordered import DAY, Runs, number_by_time, stats_join
+from .greedy import keep_spaced
+from .ordered import DAY, Runs, exact_quantiles, number_by_time, stats_join
 from .segments import ASCENT, DESCENT, INCONSISTENT, INFLEXION, SUBSURFACE_DRIFT, SURFACE_DRIFT
 
 # --- fixed values ------------------------------------------------------------------------------
@@ -19,6 +20,7 @@ DEFAULT, NO_NUMBER = -128, 99_999
 MAX_PRESSURE, MAX_SPEED, SPEED_BIN = 2_500.0, 100.0, 0.5
 MODE_SHARE, MODE_FRACTION = 80.0, 0.25
 MIN_LEVELS, MONO_SHARE = 10, 0.7
+SPEED_SECONDS, MAX_SPEED_SECONDS, MIN_SECONDS = 30, 300, 300.0  # records of high rate: speeds over spans of time, runs by duration
 SURFACE_PRESSURE, INFLEXION_SECONDS, MERGE_PRESSURE = 2.0, 600.0, 10.0
 
 
@@ -59,17 +61,56 @@ def label_runs(df: DataFrame, out: str, *breaks: str) -> DataFrame:
     return ids.done("__change")
 
 
-def moving_phases(rows: DataFrame, min_levels: int = MIN_LEVELS) -> DataFrame:
-    """Descent and ascent by speed; shorter runs than `min_levels` fall back to the default."""
-    runs = Runs(rows, before=1, after=1)
-    speed = quotient((F.col("pressure") - runs.lag("pressure")) * 100, F.col("t_s") - runs.lag("t_s"))
-    ahead = quotient((runs.lead("pressure") - F.col("pressure")) * 100, runs.lead("t_s") - F.col("t_s"))
-    speeds = materialise(runs.with_columns({"speed": speed, "__ahead": ahead}).done())
+def span_speeds(rows: DataFrame) -> DataFrame:
+    """Add `speed`: the mean speed of the span of 30 s or more that a row ends or lies in.
+
+    A span ends at the first row 30 s or more after its beginning, where the next one begins; a
+    row more than 300 s after the beginning is one too far, if there are rows between: then the
+    span ends at the last of them, and another one spans the gap. What is left at the end of a
+    record is a span of its own. The first row of a record has no speed.
+    """
+    kept = keep_spaced(rows, SPEED_SECONDS).withColumn("__kept", F.lit(True))
+    last = rows.groupBy("glider_id").agg(F.max("seq").alias("__last"))
+    marked = stats_join(rows.join(kept, ["glider_id", "seq"], "left"), last, ["glider_id"])
+    start = F.when(F.col("__kept"), F.col("t_s"))
+    runs = Runs(marked, after=1, prev={"start": start})
+    far = runs.lead("__kept") & (runs.lead("t_s") - runs.upto("start") > MAX_SPEED_SECONDS)
+    runs.with_columns({"__cut": F.coalesce(F.col("__kept"), F.lit(False)) | F.coalesce(far, F.lit(False)) | (F.col("seq") == F.col("__last"))})
+    cuts = materialise(runs.done("__kept", "__last"))
+    cut = F.when(F.col("__cut"), F.struct("t_s", "pressure"))
+    spans = Runs(cuts, prev={"cut": cut}, nxt={"cut": cut})
+    spans.with_columns({"__a": spans.before("cut"), "__b": spans.onward("cut")})
+    a, b = F.col("__a"), F.col("__b")
+    return spans.with_columns({"speed": quotient((b["pressure"] - a["pressure"]) * 100, b["t_s"] - a["t_s"])}).done("__a", "__b", "__cut")
+
+
+def least_levels(rows: DataFrame) -> DataFrame:
+    """(glider_id, __least): as many rows as the median sampling period (that of the periods over 0, if it is 0) puts into 300 s."""
+    runs = Runs(rows, before=1)
+    steps = runs.with_columns({"__dt": F.col("t_s") - runs.lag("t_s")}).done()
+    period = exact_quantiles(steps, ["glider_id"], {"all": (F.col("__dt"), [0.5]), "some": (F.when(F.col("__dt") > 0, F.col("__dt")), [0.5])})
+    median = F.when(F.col("all")[0] > 0, F.col("all")[0]).otherwise(F.col("some")[0])
+    return period.select("glider_id", quotient(F.lit(MIN_SECONDS), median).alias("__least"))
+
+
+def moving_phases(rows: DataFrame, min_levels: int = MIN_LEVELS, by_duration: bool = False) -> DataFrame:
+    """Descent and ascent by speed; shorter runs than `min_levels` (by duration: than 300 s of rows) fall back to the default."""
+    timed = span_speeds(rows) if by_duration else rows
+    runs = Runs(timed, before=1, after=1)
+    speed = F.col("speed") if by_duration else quotient((F.col("pressure") - runs.lag("pressure")) * 100, F.col("t_s") - runs.lag("t_s"))
+    forward = quotient((runs.lead("pressure") - F.col("pressure")) * 100, runs.lead("t_s") - F.col("t_s"))
+    # by duration the first row joins the second one's span, if it lies on its side
+    ahead = F.when(F.signum(forward) == F.signum(runs.lead("speed")), runs.lead("speed")) if by_duration else forward
+    speeds = materialise(runs.with_columns({"__ahead": ahead, "speed": speed}).done())
     judged = stats_join(speeds, speed_threshold(speeds), ["glider_id"])
     v = F.coalesce("speed", "__ahead")  # the first row moves like the second one
     phase = F.when(v > F.col("threshold"), DESCENT).when(v < -F.col("threshold"), ASCENT).otherwise(DEFAULT)
     labelled = materialise(label_runs(judged.withColumn("phase", phase).drop("speed", "__ahead", "threshold"), "move", "phase"))
-    short = labelled.groupBy("glider_id", "move").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") < min_levels)
+    counted = labelled.groupBy("glider_id", "move").agg(F.count(F.lit(1)).alias("__n"))
+    if by_duration:
+        short = stats_join(counted, least_levels(rows), ["glider_id"]).filter(F.col("__n") < F.col("__least")).drop("__least")
+    else:
+        short = counted.filter(F.col("__n") < min_levels)
     joined = labelled.join(short, ["glider_id", "move"], "left")
     return joined.withColumn("phase", F.when(F.col("__n").isNull(), F.col("phase")).otherwise(DEFAULT)).drop("move", "__n")
 
@@ -158,10 +199,10 @@ def merge_moving(rows: DataFrame) -> DataFrame:
     ).drop("__b", "__number", "__phase", "__m")
 
 
-def detect_phases(df: DataFrame, min_levels: int = MIN_LEVELS) -> DataFrame:
-    """Add `phase` and `phase_number` to (glider_id, t_s, seq, pressure)."""
+def detect_phases(df: DataFrame, min_levels: int = MIN_LEVELS, by_duration: bool = False) -> DataFrame:
+    """Add `phase` and `phase_number` to (glider_id, t_s, seq, pressure); `by_duration` for records of high rate."""
     rows = materialise(plausible_rows(df))
-    resolved = resolve_unmoving(deployment_parts(moving_phases(rows, min_levels)))
+    resolved = resolve_unmoving(deployment_parts(moving_phases(rows, min_levels, by_duration)))
     numbered = materialise(label_runs(resolved, "phase_number", "phase", "part"))
     merged = merge_moving(numbered).select("glider_id", F.col("row").alias("seq"), "phase", "phase_number")
     joined = materialise(df.drop("phase", "phase_number").join(merged, ["glider_id", "seq"], "left"))

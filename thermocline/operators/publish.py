@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import iso_micros, observation_id
+from ..functions.flags import hex_to_word
 from ..schema import ADJUSTED_SUFFIXES, BGC_VARIABLES, CONTEXT, FLAG_SUFFIX, STANDARD_NAMES
 from .ordered import stats_join
 from .segments import gps_fixes
@@ -216,12 +217,32 @@ def write_profiles(df: DataFrame, path: str) -> None:
     tasks.sortWithinPartitions(*PROFILE, "t_s").write.mode("overwrite").partitionBy("glider_id", "profile_bucket").parquet(path)
 
 
-def write_grid(grid: DataFrame, path: str) -> None:
-    """Grid in Parquet, one folder per glider and variable, tasks split by profile."""
+#: Retention as the grid's files carry it: of `retention`, without what its parts add up to.
+PROVENANCE = {"assessed": "qc_n_assessed", "pct_good": "qc_pct_good", "pct_removed": "qc_pct_removed", "pct_missing": "qc_pct_missing"}
+
+
+def write_grid(grid: DataFrame, path: str, retention: DataFrame | None = None) -> None:
+    """Grid in Parquet, one folder per glider and variable, tasks split by profile.
+
+    Flags can't survive binning, so the retention of each (glider, variable) travels with its
+    cells, in columns that are constant in a file and cost nothing there. A variable without flags,
+    or a grid without retention, has no provenance.
+    """
+    if retention is not None:
+        kept = retention.select("glider_id", "variable", *[F.col(c).alias(n) for c, n in PROVENANCE.items()])
+        grid = stats_join(grid, kept, ["glider_id", "variable"])
     tasks = grid.repartition("glider_id", "variable", F.floor(F.col("profile_index") / 1_000))
     tasks.sortWithinPartitions(*PROFILE, "cell").write.mode("overwrite").partitionBy("glider_id", "variable").parquet(path)
 
 
+def grid_retention(written: DataFrame) -> DataFrame:
+    """Retention of each (glider, variable) from the files of `write_grid` alone; none for those written without."""
+    if not set(PROVENANCE.values()) <= set(written.columns):
+        return written.sparkSession.createDataFrame([], "glider_id string, variable string, assessed long, pct_good double, pct_removed double, pct_missing double")
+    own = written.groupBy("glider_id", "variable").agg(*[F.first(n, ignorenulls=True).alias(c) for c, n in PROVENANCE.items()])
+    return own.filter("assessed IS NOT NULL").withColumns({"glider_id": F.col("glider_id").cast("string"), "variable": F.col("variable").cast("string")})
+
+
 def export_rows(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Delimited-export layout: date, position, phase, then each parameter with its flag."""
     cols = [F.date_format(F.timestamp_seconds("t_s"), "yyyy/MM/dd HH:mm:ss").alias("DATE"), F.col("latitude").alias("LATITUDE"), F.col("longitude").alias("LONGITUDE")]
@@ -326,13 +347,27 @@ def parameter_table(deployment: DataFrame, variables: list[str]) -> DataFrame:
     return deployment.select("glider_id", F.explode(F.array(*rows)).alias("p")).select("glider_id", "p.*")
 
 
-def coverage_attributes(df: DataFrame) -> DataFrame:
+def coverage_attributes(df: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+    """Bounding box, time coverage and id of each glider; with test `reports` also the list of applied tests."""
     at = lambda f, c: f(F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), F.col(c)))
-    return df.groupBy("glider_id").agg(
+    out = df.groupBy("glider_id").agg(
         at(F.min, "latitude").alias("geospatial_lat_min"), at(F.max, "latitude").alias("geospatial_lat_max"),
         at(F.min, "longitude").alias("geospatial_lon_min"), at(F.max, "longitude").alias("geospatial_lon_max"),
         F.min("t_s").alias("time_coverage_start"), F.max("t_s").alias("time_coverage_end"),
     ).withColumn("id", F.concat("glider_id", F.lit("_"), F.date_format(F.timestamp_seconds("time_coverage_start"), "yyyyMMdd")))
+    return out if reports is None else stats_join(out, applied_tests(reports), ["glider_id"])
+
+
+def applied_tests(reports: DataFrame) -> DataFrame:
+    """(glider_id, rtqc_tests_applied): the numbers of all tests done on any profile or product of a glider, in order.
+
+    `reports`: glider_id, done_hex (16 hexadecimal digits, bit k for test k). Words are combined by
+    a bitwise OR that tasks do before any shuffle.
+    """
+    words = reports.groupBy("glider_id").agg(F.bit_or(hex_to_word(F.col("done_hex"))).alias("word"))
+    numbers = F.filter(F.sequence(F.lit(1), F.lit(63)), lambda k: F.call_function("bit_get", F.col("word"), k) == 1)
+    names = F.transform(numbers, lambda k: F.concat(F.lit("TEST"), F.lpad(k.cast("string"), 3, "0")))
+    return words.select("glider_id", F.array_join(names, " ").alias("rtqc_tests_applied"))
 
 
 def creation_flags(df: DataFrame, variables: list[str]) -> DataFrame:

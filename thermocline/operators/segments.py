@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import planar_metres, quotient
 from ..session import materialise
+from .align import profile_place
 from .greedy import keep_spaced
 from .ordered import DAY, Runs, exact_quantiles, number_by_time, number_rows, stats_join
 from .sections import uneven_gradient
@@ -180,6 +181,39 @@ def segment_lines(df: DataFrame) -> DataFrame:
     return number_rows(points.select(*keys, "t_s", "longitude", "latitude"), keys, ["t_s"], F.floor(F.col("t_s") / DAY), out="position")
 
 
+def trajectory_features(df: DataFrame) -> DataFrame:
+    """Points of all geometry of a trajectory: `line` (a phase's fixes), `gps` (the surface fixes) and `profile` (one per profile).
+
+    One row per point: glider_id, feature, its parent's keys (phase and phase_number, or
+    profile_index), position in the parent, the parent's time span, time and place.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    keys = ["glider_id", "phase", "phase_number"]
+    points = segment_lines(df)
+    spans = segment_summary(points).drop("n_points")
+    lines = stats_join(points, spans, keys).select(
+        "glider_id", F.lit("line").alias("feature"), F.col("phase").cast("int").alias("phase"), F.col("phase_number").cast("bigint").alias("phase_number"), none("bigint").alias("profile_index"),
+        "position", "t_first", "t_last", F.col("t_s").cast("double").alias("t_s"), "longitude", "latitude",
+    )
+    fixes = number_by_time(gps_fixes(df)).select(
+        "glider_id", F.lit("gps").alias("feature"), none("int").alias("phase"), none("bigint").alias("phase_number"), none("bigint").alias("profile_index"),
+        F.col("seq").alias("position"), F.col("t_s").alias("t_first"), F.col("t_s").alias("t_last"), F.col("t_s").cast("double").alias("t_s"), "longitude", "latitude",
+    )
+    within = df.filter("profile_index IS NOT NULL")
+    span = within.groupBy(*PROFILE).agg(F.min("t_s").alias("t_first"), F.max("t_s").alias("t_last"))
+    profiles = profile_place(within).join(span, PROFILE).filter("latitude IS NOT NULL").select(
+        "glider_id", F.lit("profile").alias("feature"), none("int").alias("phase"), none("bigint").alias("phase_number"), F.col("profile_index").cast("bigint").alias("profile_index"),
+        F.lit(0).cast("bigint").alias("position"), "t_first", "t_last", F.col("profile_time").alias("t_s"), "longitude", "latitude",
+    )
+    return lines.unionByName(fixes).unionByName(profiles)
+
+
+def write_features(features: DataFrame, path: str) -> None:
+    """Features in Parquet, one folder per glider and kind, in order of parents; tasks are split by time."""
+    tasks = features.repartition("glider_id", "feature", F.floor(F.col("t_first") / (30 * DAY)))
+    tasks.sortWithinPartitions("glider_id", "feature", "t_first", "phase_number", "profile_index", "position").write.mode("overwrite").partitionBy("glider_id", "feature").parquet(path)
+
+
 def segment_summary(points: DataFrame) -> DataFrame:
     """One row per line: first and last time and number of points."""
     return points.groupBy("glider_id", "phase", "phase_number").agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaning as cl
 from ..operators import grid as gr
 from ..operators import sections as se
-from ..operators.publish import write_grid
+from ..operators.publish import grid_retention, write_grid
 from ..session import materialise, table_path
 from .common import SCREENED_CTE, rounded, sql
 from .fixture import l0
@@ -350,3 +350,20 @@ def extent(spark, sf):
 )
 def retention(spark, sf):
     return rounded(gr.retention(simple_flags(spark, sf), ["temperature", "salinity"]))
+
+
+@query(
+    "written_grid_retention",
+    sql(
+        "SELECT glider_id, variable, count(*) AS assessed, "
+        + ", ".join(f"round(100.0*sum(CASE WHEN qc IN {k} THEN 1 ELSE 0 END)/count(*), 6) AS {n}" for n, k in (("pct_good", "(1, 2)"), ("pct_removed", "(3, 4)"), ("pct_missing", "(9)")))
+        + " FROM (SELECT glider_id, 'temperature' AS variable, temperature_QC AS qc FROM fl UNION ALL SELECT glider_id, 'salinity', salinity_QC FROM fl) WHERE qc > 0 GROUP BY 1, 2",
+        *simple_flag_ctes(),
+    ),
+)
+def written_retention(spark, sf):
+    """Retention read back from the files of a written grid alone."""
+    flagged = simple_flags(spark, sf)
+    path = table_path(spark)
+    write_grid(gr.profile_grid(flagged, ["temperature", "salinity"], apply_qc=True), path, gr.retention(flagged, ["temperature", "salinity"]))
+    return rounded(grid_retention(spark.read.parquet(path)))

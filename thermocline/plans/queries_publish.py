@@ -279,3 +279,14 @@ def test_lists(spark, sf):
 @query("expressions_names", sql("SELECT variable_name, family, count(*) AS n FROM ml GROUP BY 1, 2", *L1, LONG_CTE))
 def names(spark, sf):
     return long_rows(spark, sf).groupBy("variable_name", "family").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("coverage_attributes_tests", sql(
+    "SELECT glider_id, min(t_s) AS time_coverage_start, string_agg(DISTINCT 'TEST' || lpad(CAST(1 + (seq*5 + ascii(glider_id[2])) % 23 AS VARCHAR), 3, '0'), ' ' ORDER BY 'TEST' || lpad(CAST(1 + (seq*5 + ascii(glider_id[2])) % 23 AS VARCHAR), 3, '0')) AS rtqc_tests_applied FROM l0 WHERE seq % 4 = 1 OR seq = 0 GROUP BY 1"))
+def attributes_tests(spark, sf):
+    from ..functions.flags import hex_of_tests
+
+    base = l0(spark, sf).filter("seq % 4 = 1 OR seq = 0")
+    k = (1 + (F.col("seq") * 5 + F.ascii(F.substring("glider_id", 2, 1))) % 23).cast("int")
+    reports = base.groupBy("glider_id", "profile_index").agg(hex_of_tests(F.collect_set(k)).alias("done_hex"))
+    return pb.coverage_attributes(base, reports).select("glider_id", "time_coverage_start", "rtqc_tests_applied")

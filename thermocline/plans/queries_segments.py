@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import segments as sg
 from ..operators.cleaning import blank_null_island
+from ..session import table_path
 from .common import L0_CTE, SCREENED_CTE, rounded, sql
 from .fixture import l0
 from .registry import query
@@ -184,3 +185,32 @@ def phases(spark, sf):
     from ..operators.phases import detect_phases
 
     return detect_phases(l0(spark, sf).select("glider_id", "t_s", "seq", "pressure"))
+
+
+@query("detect_phases_by_duration")
+def phases_by_duration(spark, sf):
+    """Tested against plain loops (tests/test_phases_by_duration.py)."""
+    from ..operators.phases import detect_phases
+
+    return detect_phases(l0(spark, sf).select("glider_id", "t_s", "seq", "pressure"), by_duration=True)
+
+
+FEATURE_BASE = "fb AS (SELECT * REPLACE (CASE WHEN seq % 3 < 2 THEN 12.0 + 0.001*seq END AS latitude, 70.0 + 0.001*seq AS longitude) FROM ph)"
+
+
+@query(
+    "trajectory_features",
+    sql(
+        """SELECT glider_id, 'line' AS feature, phase, phase_number, NULL::BIGINT AS profile_index, position, min(t_s) OVER w AS t_first, max(t_s) OVER w AS t_last, t_s::DOUBLE AS t_s, round(longitude::DOUBLE, 6) AS longitude, round(latitude::DOUBLE, 6) AS latitude FROM sl WINDOW w AS (PARTITION BY glider_id, phase, phase_number)
+        UNION ALL SELECT glider_id, 'gps', NULL, NULL, NULL, row_number() OVER (PARTITION BY glider_id ORDER BY t) - 1, t, t, t::DOUBLE, round(lo::DOUBLE, 6), round(la::DOUBLE, 6) FROM (SELECT glider_id, min(t_s) AS t, arg_min(latitude, t_s) AS la, arg_min(longitude, t_s) AS lo FROM fb WHERE latitude IS NOT NULL GROUP BY glider_id, profile_index)
+        UNION ALL SELECT glider_id, 'profile', NULL, NULL, profile_index, 0, a, b, round(mt, 6), round(pt.lo::DOUBLE, 6), round(pt.la::DOUBLE, 6) FROM (SELECT glider_id, profile_index, a, b, mt, arg_min({'la': latitude, 'lo': longitude}, (abs(t_s - mt), t_s)) AS pt FROM fb JOIN (SELECT glider_id, profile_index, min(t_s) AS a, max(t_s) AS b, avg(t_s) AS mt FROM fb GROUP BY 1, 2) USING (glider_id, profile_index) WHERE latitude IS NOT NULL GROUP BY 1, 2, 3, 4, 5)""",
+        L0_CTE, PHASE_CTE, LINE_CTE, FEATURE_BASE,
+    ),
+)
+def features(spark, sf):
+    base = phased(spark, sf).withColumns(
+        {"latitude": F.when(F.col("seq") % 3 < 2, 12.0 + 0.001 * F.col("seq")), "longitude": 70.0 + 0.001 * F.col("seq")}
+    )
+    path = table_path(spark)
+    sg.write_features(sg.trajectory_features(base), path)
+    return rounded(spark.read.parquet(path))

@@ -158,3 +158,63 @@ def vocabulary(spark, sf):
     kv = tops.select("glider_id", F.explode(rows).alias("x")).select("glider_id", "x.*")
     allowed = spark.createDataFrame(VOCABULARY, "field string, value string")
     return md.vocabulary_violations(kv, allowed, ["sensor", "operator", "institution"], ["deployment_start"], {"latitude": (-90.0, 90.0)})
+
+
+# documents: one per glider, G2's cut off; coefficients by profile
+DOCS_CTE = "ds AS (SELECT glider_id, max(profile_index) AS p, CASE WHEN glider_id = 'G0' THEN '95.5' ELSE '12.5' END AS la FROM l0 GROUP BY 1)"
+DOC_ROWS = """dr AS (SELECT glider_id, unnest(['', '', 'sensor:CTD', 'sensor:CTD', 'TEMP', 'TEMP', 'TEMP', 'TEMP', 'DOXY', 'DOXY']) AS parameter, unnest(['positioning', 'latitude', 'name', 'maker', 'sensor', 'unit', 'calibration.slope', 'calibration.offset', 'sensor', 'unit']) AS field,
+  unnest([CASE WHEN glider_id = 'G0' THEN 'GPS' ELSE 'SEXTANT' END, la, 'CTD', NULL, 'CTD', 'degC', p::VARCHAR, '0.25', 'OPTODE', NULL]) AS value FROM ds WHERE glider_id <> 'G2')"""
+
+
+def documents(spark, sf):
+    base = l0(spark, sf).groupBy("glider_id").agg(F.max("profile_index").alias("p"))
+    la = F.when(F.col("glider_id") == "G0", "95.5").otherwise("12.5")
+    facts = F.struct(F.when(F.col("glider_id") == "G0", "GPS").otherwise("SEXTANT").alias("positioning"), la.alias("latitude"))
+    sensors = F.array(F.struct(F.lit("CTD").alias("name"), F.lit(None).cast("string").alias("maker")))
+    slope = F.struct(F.col("p").alias("slope"), F.lit(0.25).alias("offset"))
+    temperature = F.struct(F.lit("TEMP").alias("name"), F.lit("CTD").alias("sensor"), F.lit("degC").alias("unit"), slope.alias("calibration"))
+    oxygen = F.struct(F.lit("DOXY").alias("name"), F.lit("OPTODE").alias("sensor"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("struct<slope:bigint,offset:double>").alias("calibration"))
+    text = F.to_json(F.struct(facts.alias("metadata"), sensors.alias("sensors"), F.array(temperature, oxygen).alias("parameters")), {"ignoreNullFields": "false"})
+    return base.select("glider_id", F.when(F.col("glider_id") == "G2", F.substring(text, 1, 30)).otherwise(text).alias("document"))
+
+
+@query("metadata_documents", sql("SELECT glider_id, parameter, field, value FROM dr", L0_CTE, DOCS_CTE, DOC_ROWS))
+def document_rows(spark, sf):
+    return md.metadata_rows(documents(spark, sf))
+
+
+@query("metadata_document_diff", sql(
+    "SELECT glider_id, parameter, field, value AS value_1, CASE WHEN field = 'calibration.slope' THEN '7' ELSE value END AS value_2, 'differ' AS status FROM dr WHERE field = 'calibration.slope' AND value <> '7' UNION ALL SELECT glider_id, parameter, field, value, NULL, 'only in 1' FROM dr WHERE field = 'calibration.offset'",
+    L0_CTE, DOCS_CTE, DOC_ROWS))
+def document_diff(spark, sf):
+    first = documents(spark, sf)
+    second = first.withColumn("document", F.regexp_replace("document", r'"slope":\d+,"offset":0.25', '"slope":7'))
+    return md.document_diff(first, second)
+
+
+@query("metadata_document_violations", sql(
+    """SELECT glider_id, field, value, 'not in vocabulary' AS rule FROM dr WHERE field = 'positioning' AND value <> 'GPS'
+    UNION ALL SELECT glider_id, 'operator', NULL, 'required' FROM ds WHERE glider_id <> 'G2'
+    UNION ALL SELECT glider_id, field, value, 'range' FROM dr WHERE field = 'latitude' AND value = '95.5'
+    UNION ALL SELECT glider_id, 'sensor_of:DOXY', value, 'unknown sensor' FROM dr WHERE parameter = 'DOXY' AND field = 'sensor'
+    UNION ALL SELECT glider_id, 'document', '{"metadata":{"positioning":"SE', 'malformed document' FROM ds WHERE glider_id = 'G2'""",
+    L0_CTE, DOCS_CTE, DOC_ROWS))
+def document_faults(spark, sf):
+    allowed = spark.createDataFrame(VOCABULARY, "field string, value string")
+    return md.document_violations(documents(spark, sf), allowed, ["operator", "sensor"], ["deployment_start"], {"latitude": (-90.0, 90.0)})
+
+
+@query("stack_segments", sql(
+    """SELECT glider_id, t_s::DOUBLE AS t_s, CASE g WHEN 0 THEN temperature END AS temperature, CASE g WHEN 1 THEN cdom WHEN 2 THEN profile_index::DOUBLE END AS Cdom, CASE g WHEN 2 THEN seq::VARCHAR WHEN 1 THEN 'none' END AS mark FROM (SELECT *, profile_index % 3 AS g FROM l0)"""))
+def stacked(spark, sf):
+    base = l0(spark, sf)
+    part = lambda k: base.filter(F.col("profile_index") % 3 == k)
+    tables = [
+        part(0).select("t_s", "glider_id", "temperature"),
+        part(1).select("glider_id", F.col("t_s").cast("double").alias("t_s"), F.col("cdom").alias("Cdom"), F.lit("none").alias("mark")),
+        part(2).select(F.col("seq").cast("int").alias("mark"), "glider_id", F.col("profile_index").alias("cdom"), "t_s"),
+    ]
+    paths = [table_path(spark) for _ in tables]
+    for table, path in zip(tables, paths):
+        table.write.parquet(path)
+    return rd.read_segments(spark, paths)

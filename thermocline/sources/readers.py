@@ -6,6 +6,9 @@ split by Spark; `read_lines` supplies such a table from a folder.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,3 +121,42 @@ def available_data(df: DataFrame, variables: list[str]) -> DataFrame:
     cols = [F.bool_or(F.coalesce(F.col(v) != 0, F.lit(False))).alias(v) for v in variables]
     rows = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("available")) for v in variables])
     return df.groupBy("glider_id").agg(*cols).select("glider_id", F.explode(rows).alias("x")).select("glider_id", "x.*")
+
+
+# numbers from narrow to wide: fractions make a double, other numbers a long, any other mixture a string
+_WHOLE, _FRACTION = {"tinyint", "smallint", "int", "bigint"}, {"float", "double"}
+
+
+def common_type(kinds: set[str]) -> str:
+    """The type that holds values of all these types of one column."""
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    if kinds <= _WHOLE:
+        return "bigint"
+    return "double" if kinds <= _WHOLE | _FRACTION else "string"
+
+
+def stack_segments(tables: Sequence[DataFrame]) -> DataFrame:
+    """All rows of tables with different columns, missing ones NULL.
+
+    Columns are one by name in any case of letters, spelt as in the first name in order, and come
+    sorted; conflicting types follow `common_type`. So the result doesn't hang on the tables' order.
+    """
+    kinds: dict[str, set[str]] = {}
+    names: dict[str, set[str]] = {}
+    for table in tables:
+        for f in table.schema:
+            kinds.setdefault(f.name.lower(), set()).add(f.dataType.simpleString())
+            names.setdefault(f.name.lower(), set()).add(f.name)
+    kind = {k: common_type(v - {"void"} or {"string"}) for k, v in kinds.items()}
+
+    def whole(table: DataFrame) -> DataFrame:
+        own = {c.lower(): c for c in table.columns}
+        return table.select(*[(F.col(f"`{own[k]}`") if k in own else F.lit(None)).cast(kind[k]).alias(min(names[k])) for k in sorted(kind)])
+
+    return functools.reduce(DataFrame.union, map(whole, tables))
+
+
+def read_segments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Segment tables in Parquet, each with a schema of its own, stacked; a schema costs the driver one footer."""
+    return stack_segments([spark.read.parquet(p) for p in paths])
