@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import planar_metres, quotient
 from ..schema import FACTORY_BOX
+from ..session import materialise
+from .cleaning import OPTICS, channel_likeness
 from .corrections import median_despike, remove_iqr_outliers
 from .ordered import DAY, Runs, exact_quantiles, number_rows, stats_join, with_quantiles
 
@@ -414,48 +416,131 @@ def profile_quality(df: DataFrame, variables: list[str]) -> DataFrame:
     return stats.select(*PROFILE, "variable", letter.alias("quality"))
 
 
+def sensor_issues(l0: DataFrame, l1: DataFrame, variables: list[str]) -> DataFrame:
+    """What stopped early in each deployment: (glider_id, kind, variables, last_valid, days_from_end, share).
+
+    The mission is the span of `l1`. Sensors that stop within a minute are one event (`mission gap`
+    or `several sensors`); the others are a `sensor failure` each, with their early coverage as
+    `share`. Oxygen that stays is `oxygen flagged bad` where `oxygen_failure` says so, with the
+    share of bad rows. At most a row per variable and glider, and one more.
+    """
+    mission = l1.groupBy("glider_id").agg(F.min("t_s").alias("t0"), F.max("t_s").alias("t1"))
+    # a row per variable and glider, read three times
+    failures = materialise(sensor_failures(l0, variables, mission))
+    stops = shared_stops(failures, variables)
+    grouped = stops.select("glider_id", F.explode(F.split("variables", ",")).alias("variable"))
+    none = F.lit(None).cast("double")
+    out = stops.select("glider_id", "kind", "variables", F.col("stopped_at").alias("last_valid"), none.alias("days_from_end"), none.alias("share"))
+    alone = failures.join(grouped, ["glider_id", "variable"], "left_anti").select(
+        "glider_id", F.lit("sensor failure").alias("kind"), F.col("variable").alias("variables"),
+        "last_valid", "days_from_end", F.col("early_coverage").alias("share"),
+    )
+    out = out.unionByName(alone)
+    if "oxygen_concentration_QC" not in l1.columns:
+        return out
+    silent = failures.filter("variable = 'oxygen_concentration'").select("glider_id")
+    bad = oxygen_failure(l1).join(silent, "glider_id", "left_anti").select(
+        "glider_id", F.lit("oxygen flagged bad").alias("kind"), F.lit("oxygen_concentration").alias("variables"),
+        F.lit(None).cast("bigint").alias("last_valid"), none.alias("days_from_end"), "share",
+    )
+    return out.unionByName(bad)
+
+
 def deployment_summary(l0: DataFrame, l1: DataFrame) -> DataFrame:
-    """One row per deployment: track facts plus nested coverage, flags, gaps and sensor issues."""
+    """One row per deployment: track facts, figures of its gaps, and nested coverage, flags and sensor issues.
+
+    The lists are bounded by the variables. Gaps are not: their rows are `time_gaps`, here are
+    their number, their hours and the longest.
+    """
     from .segments import time_gaps
 
     nest = lambda df, name: df.groupBy("glider_id").agg(
         F.sort_array(F.collect_list(F.struct(*[c for c in df.columns if c != "glider_id"]))).alias(name)
     )
     variables = [v for v in SENSORS if v in l0.columns]
-    gaps = time_gaps(l0)
-    # lists are bounded by the variables, and gaps of 48 h by the length of the record
-    counts = gaps.groupBy("glider_id").agg(F.count(F.lit(1)).alias("n_gaps"))
+    gaps = time_gaps(l0).groupBy("glider_id").agg(
+        F.count(F.lit(1)).alias("n_gaps"), F.sum("gap_hours").alias("gap_hours"), F.max("gap_hours").alias("longest_gap_hours")
+    )
     return (
         track_summary(l0)
         .join(nest(coverage(l0, variables), "coverage"), "glider_id", "left")
         .join(nest(flag_summary(l1, variables), "flags"), "glider_id", "left")
-        .join(nest(gaps, "gaps"), "glider_id", "left")
-        .join(counts, "glider_id", "left")
-        .join(nest(sensor_failures(l0, variables), "issues"), "glider_id", "left")
-        .fillna(0, ["n_gaps"])
+        .join(gaps, "glider_id", "left")
+        .join(nest(sensor_issues(l0, l1, variables), "issues"), "glider_id", "left")
+        .fillna(0, ["n_gaps", "gap_hours", "longest_gap_hours"])
     )
 
 
-def verification_issues(df: DataFrame) -> DataFrame:
-    """Union of the violations found by the diagnostics: (glider_id, check, severity, n)."""
-    gps, ts = gps_diagnostics(df), ts_diagnostics(df)
+# -- verification ---------------------------------------------------------------------------------------
+def early_stops(df: DataFrame, variables: list[str]) -> DataFrame:
+    """Variables silent over the last 10 % of a record and over 3 days: (glider_id, check, severity, n), n in whole days.
+
+    Four or more that stop within a minute of the first of them are one note. Otherwise each is a
+    warning, if temperature or salinity is among them; other sensors alone may rest.
+    """
+    t = F.col("t_s")
+    names = [v for v in variables if v in df.columns]
+    seen = df.groupBy("glider_id").agg(
+        F.min(t).alias("t0"), F.max(t).alias("t1"),
+        *[F.count(v).alias(f"n_{v}") for v in names], *[F.max(F.when(F.col(v).isNotNull(), t)).alias(f"last_{v}") for v in names],
+    )
+    entries = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"n_{v}").alias("n"), F.col(f"last_{v}").alias("last")) for v in names])
+    least = F.greatest((F.col("t1") - F.col("t0")) * 0.10, F.lit(3.0 * DAY))
+    stopped = F.filter(entries, lambda x: (x["n"] >= 10) & (F.col("t1") - x["last"] > least))
+    out = seen.select("glider_id", "t1", stopped.alias("s")).filter(F.size("s") > 0)
+    days = lambda last: F.floor((F.col("t1") - last) / DAY).cast("bigint").alias("n")
+    first = F.col("s")[0]["last"]
+    together = (F.size("s") >= 4) & F.forall("s", lambda x: F.abs(x["last"] - first) <= 60)
+    core = F.exists("s", lambda x: x["variable"].isin("temperature", "salinity"))
+    note = F.array(F.struct(F.lit("all sensors stopped").alias("check"), F.lit("note").alias("severity"), days(first)))
+    each = F.transform("s", lambda x: F.struct(F.concat(x["variable"], F.lit(" stopped early")).alias("check"), F.lit("warning").alias("severity"), days(x["last"])))
+    return out.select("glider_id", F.explode(F.when(together, note).when(core, each)).alias("x")).select("glider_id", "x.*")
+
+
+def level_issues(l0: DataFrame, l1: DataFrame) -> DataFrame:
+    """Levels that do not fit: other numbers of rows (n: the difference), or no common stamp (n: rows of L1).
+
+    Deployments with both levels only; one without L1 is a matter of the fleet's listing.
+    """
+    keys = ["glider_id", "t_s"]
+    rows = lambda df, name: df.groupBy("glider_id").agg(F.count(F.lit(1)).alias(name))
+    common = l1.select(*keys).join(l0.select(*keys), keys, "left_semi").groupBy("glider_id").agg(F.count(F.lit(1)).alias("common"))
+    sizes = rows(l0, "n0").join(rows(l1, "n1"), "glider_id").join(common, "glider_id", "left")
+    differ, apart = F.abs(F.col("n1") - F.col("n0")), F.when(F.col("common").isNull(), F.col("n1"))
+    return issue_rows(sizes, {"row counts of levels differ": ("warning", differ), "no common stamps of levels": ("critical", apart)})
+
+
+def issue_rows(table: DataFrame, checks: dict[str, tuple[str, Column]]) -> DataFrame:
+    """(glider_id, check, severity, n) of a table with a row per glider, where n > 0."""
+    items = F.array(*[F.struct(F.lit(k).alias("check"), F.lit(sev).alias("severity"), n.cast("bigint").alias("n")) for k, (sev, n) in checks.items()])
+    return table.select("glider_id", F.explode(items).alias("x")).select("glider_id", "x.*").filter("n > 0")
 
-    def rows(table: DataFrame, checks: dict[str, tuple[str, Column]]) -> DataFrame:
-        items = F.array(*[F.struct(F.lit(k).alias("check"), F.lit(sev).alias("severity"), n.cast("bigint").alias("n")) for k, (sev, n) in checks.items()])
-        return table.select("glider_id", F.explode(items).alias("x")).select("glider_id", "x.*").filter("n > 0")
 
+def verification_issues(df: DataFrame, l0: DataFrame | None = None) -> DataFrame:
+    """Union of the violations found by the diagnostics: (glider_id, check, severity, n).
+
+    Optical channels that hold pressure (n: pairs), sensors that stopped, positions, temperature
+    and salinity, flags; with `l0` also the comparison of both levels.
+    """
+    gps, ts = gps_diagnostics(df), ts_diagnostics(df)
     half = F.when(F.col("lat_missing") > F.col("n") * 0.5, F.col("lat_missing"))
-    out = rows(gps, {
+    out = issue_rows(gps, {
         "latitude mostly missing": ("critical", half), "latitude impossible": ("warning", F.col("lat_impossible")),
         "longitude impossible": ("warning", F.col("lon_impossible")), "far from track": ("warning", F.col("n_far")),
         "position jumps": ("warning", F.col("n_jumps")),
-    }).unionByName(rows(ts, {
+    }).unionByName(issue_rows(ts, {
         "temperature low": ("warning", F.col("t_low")), "temperature high": ("warning", F.col("t_high")),
         "salinity low": ("warning", F.col("s_low")), "salinity high": ("warning", F.col("s_high")),
         "temperature jumps": ("warning", F.col("t_jumps")), "salinity jumps": ("warning", F.col("s_jumps")),
     }))
     conflicts = flag_conflicts(df).select("glider_id", F.col("rule").alias("check"), "severity", "n")
-    return out.unionByName(conflicts)
+    out = out.unionByName(conflicts).unionByName(early_stops(df, ["temperature", "salinity", "pressure", *SENSORS[2:]]))
+    if any(v in df.columns for v in OPTICS):
+        same = channel_likeness(df).filter("n >= 100 AND share_identical > 0.5")
+        out = out.unionByName(
+            same.select("glider_id", F.concat("variable", F.lit(" identical to pressure")).alias("check"), F.lit("critical").alias("severity"), "n")
+        )
+    return out if l0 is None else out.unionByName(level_issues(l0, df))
 
 
 def fleet_listing(meta: DataFrame, summary: DataFrame) -> DataFrame:

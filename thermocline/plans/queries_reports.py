@@ -222,6 +222,11 @@ def failures(spark, sf):
 
 
 RANKS = "[" + ", ".join(f"'{v}'" for v in V) + "]"
+STOP_CTES = (
+    f"it AS (SELECT glider_id, variable, last_valid AS t, row_number() OVER (PARTITION BY glider_id ORDER BY list_position({RANKS}, variable)) AS k FROM fi)",
+    """sh AS (SELECT glider_id, 0::BIGINT AS k, []::BIGINT[] AS heads FROM (SELECT DISTINCT glider_id FROM it) UNION ALL
+        SELECT it.glider_id, it.k, CASE WHEN len(list_filter(heads, lambda h: abs(h - t) <= 60)) > 0 THEN heads ELSE list_append(heads, t) END FROM sh JOIN it ON it.glider_id = sh.glider_id AND it.k = sh.k + 1)""",
+)
 
 
 @query(
@@ -229,11 +234,9 @@ RANKS = "[" + ", ".join(f"'{v}'" for v in V) + "]"
     # a variable joins the first head within a minute of it, else becomes a head; one step a variable
     sql(
         """SELECT glider_id, head AS stopped_at, string_agg(variable, ',' ORDER BY k) AS variables, CASE WHEN bool_or(variable IN ('temperature', 'salinity', 'pressure')) THEN 'mission gap' ELSE 'several sensors' END AS kind FROM
-        (SELECT it.*, list_filter(heads, lambda h: abs(h - t) <= 60)[1] AS head FROM it JOIN st USING (glider_id, k)) GROUP BY 1, 2 HAVING count(*) > 1""",
+        (SELECT it.*, list_filter(heads, lambda h: abs(h - t) <= 60)[1] AS head FROM it JOIN sh USING (glider_id, k)) GROUP BY 1, 2 HAVING count(*) > 1""",
         L0_CTE, SIZED_CTE, SILENT_SQL, FAIL_CTE,
-        f"it AS (SELECT glider_id, variable, last_valid AS t, row_number() OVER (PARTITION BY glider_id ORDER BY list_position({RANKS}, variable)) AS k FROM fi)",
-        """st AS (SELECT glider_id, 0::BIGINT AS k, []::BIGINT[] AS heads FROM (SELECT DISTINCT glider_id FROM it) UNION ALL
-        SELECT it.glider_id, it.k, CASE WHEN len(list_filter(heads, lambda h: abs(h - t) <= 60)) > 0 THEN heads ELSE list_append(heads, t) END FROM st JOIN it ON it.glider_id = st.glider_id AND it.k = st.k + 1)""",
+        *STOP_CTES,
     ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def stops(spark, sf):
@@ -299,19 +302,62 @@ def quality(spark, sf):
     return rp.profile_quality(simple_flags(spark, sf), V[:4])
 
 
+# sensors fall silent on two gliders; on the third, a ninth of the oxygen is flagged bad
+QUIET_SQL = "si AS (SELECT * REPLACE (" + ", ".join(f"CASE WHEN glider_id = 'G2' OR seq < floor({share}*n_rows::DOUBLE) + {more} THEN {v} END AS {v}" for v, (share, more) in SILENT.items()) + ") FROM (SELECT *, count(*) OVER (PARTITION BY glider_id) AS n_rows FROM cl))"
+OXYGEN_Q = "CASE WHEN glider_id = 'G2' AND seq % 9 = 0 THEN 4 ELSE oxygen_concentration_QC END"
+ISSUE_CTES = (
+    *STOP_CTES,
+    "hd AS (SELECT it.*, list_filter(heads, lambda h: abs(h - t) <= 60)[1] AS head, count(*) OVER (PARTITION BY it.glider_id, list_filter(heads, lambda h: abs(h - t) <= 60)[1]) AS members FROM it JOIN (SELECT glider_id, arg_max(heads, k) AS heads FROM sh GROUP BY 1) USING (glider_id))",
+    f"ob AS (SELECT glider_id, {cnt('q = 4')} AS n_bad, (max(t_s) FILTER (WHERE q = 4) - min(t_s) FILTER (WHERE q = 4))/86400.0::DOUBLE AS span, {cnt('q = 4')}/CAST(count(*) AS DOUBLE) AS share FROM (SELECT glider_id, t_s, {OXYGEN_Q} AS q FROM fa) GROUP BY 1)",
+    """iss AS (SELECT glider_id, CASE WHEN bool_or(variable IN ('temperature', 'salinity', 'pressure')) THEN 'mission gap' ELSE 'several sensors' END AS kind, string_agg(variable, ',' ORDER BY k) AS variables, head AS last_valid, NULL::DOUBLE AS days_from_end, NULL::DOUBLE AS share FROM hd WHERE members > 1 GROUP BY glider_id, head
+        UNION ALL SELECT glider_id, 'sensor failure', variable, last_valid, round(days_from_end, 6), round(early_coverage, 6) FROM fi JOIN hd USING (glider_id, variable) WHERE members = 1
+        UNION ALL SELECT glider_id, 'oxygen flagged bad', 'oxygen_concentration', NULL, NULL, round(share, 6) FROM ob WHERE n_bad > 100 AND span > 5 AND share > 0.05 AND glider_id NOT IN (SELECT glider_id FROM fi WHERE variable = 'oxygen_concentration'))""",
+)
+
+
+def quiet(spark, sf):
+    """Both levels: silent sensors in the raw one, bad oxygen in the flagged one."""
+    stops = {v: F.floor(share * F.col("n_rows").cast("double")) + more for v, (share, more) in SILENT.items()}
+    base = sized(cl.blank_absurd_temperature(cl.blank_null_island(l0(spark, sf))))
+    cut = {v: F.when((F.col("glider_id") == "G2") | (F.col("seq") < at), F.col(v)) for v, at in stops.items()}
+    return base.withColumns(cut).drop("n_rows"), simple_flags(spark, sf).withColumn("oxygen_concentration_QC", F.expr(OXYGEN_Q))
+
+
+@query("report_sensor_issues", sql("SELECT * FROM iss", *FLAGS, FULLQ, QUIET_SQL, FAIL_CTE, *ISSUE_CTES).replace("WITH ", "WITH RECURSIVE ", 1))
+def sensor_issues(spark, sf):
+    return rounded(rp.sensor_issues(*quiet(spark, sf), V))
+
+
+LISTS = {  # nested lists as text: one entry a variable or issue
+    "coverage": "concat(variable, ':', present, '/', total)",
+    "flags": "concat(variable, ':', n, '/', n_good, '/', n_bad, '/', n_missing)",
+    "issues": "concat(kind, ':', variables, ':', coalesce(CAST(last_valid AS STRING), '-'))",
+}
+
+
 @query(
     "deployment_summary",
     sql(
-        """SELECT ts.* REPLACE (CAST(days AS DOUBLE) AS days), (SELECT count(*) FROM gaps WHERE gaps.glider_id = ts.glider_id) AS n_gaps, CAST(6 AS BIGINT) AS n_coverage, CAST(6 AS BIGINT) AS n_flags, (SELECT count(*) FROM fi WHERE fi.glider_id = ts.glider_id) AS n_issues FROM ts""",
-        SCREENED_CTE, "si AS (SELECT * FROM cl)", FAIL_CTE, TRACK_CTE,
+        "SELECT ts.* REPLACE (CAST(days AS DOUBLE) AS days), coalesce(n_gaps, 0) AS n_gaps, coalesce(gap_hours, 0)::DOUBLE AS gap_hours, coalesce(longest_gap_hours, 0)::DOUBLE AS longest_gap_hours, coverage, flags, coalesce(issues, '') AS issues FROM ts "
+        "LEFT JOIN (SELECT glider_id, count(*) AS n_gaps, sum(b - a)/3600.0 AS gap_hours, max(b - a)/3600.0 AS longest_gap_hours FROM gaps GROUP BY 1) USING (glider_id) "
+        f"JOIN (SELECT glider_id, string_agg({LISTS['coverage']}, ' ' ORDER BY variable) AS coverage FROM (SELECT glider_id, variable, count(v) AS present, count(*) AS total FROM ({union('si', V)}) GROUP BY 1, 2) GROUP BY 1) USING (glider_id) "
+        f"JOIN (SELECT glider_id, string_agg({LISTS['flags']}, ' ' ORDER BY variable) AS flags FROM (SELECT glider_id, variable, count(*) AS n, {cnt('qc = 1')} AS n_good, {cnt('qc = 4')} AS n_bad, {cnt('qc = 9')} AS n_missing FROM ({union(f'(SELECT * REPLACE ({OXYGEN_Q} AS oxygen_concentration_QC) FROM fa)', V, flags=True)}) WHERE qc IS NOT NULL GROUP BY 1, 2) GROUP BY 1) USING (glider_id) "
+        f"LEFT JOIN (SELECT glider_id, string_agg({LISTS['issues']}, ' ' ORDER BY kind, variables) AS issues FROM iss GROUP BY 1) USING (glider_id)",
+        *FLAGS, FULLQ, QUIET_SQL, FAIL_CTE, *ISSUE_CTES, TRACK_CTE,
         "gaps AS (SELECT * FROM (SELECT glider_id, t_s // 3600 * 3600 AS a, lead(t_s) OVER (PARTITION BY glider_id ORDER BY t_s) // 3600 * 3600 AS b FROM cl) WHERE b - a > 172800)",
-    ),
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def summary(spark, sf):
-    out = rp.deployment_summary(cl.blank_absurd_temperature(cl.blank_null_island(l0(spark, sf))), simple_flags(spark, sf))
-    size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("bigint")
-    out = out.withColumns({"n_coverage": size("coverage"), "n_flags": size("flags"), "n_issues": size("issues")})
-    return rounded(out.drop("coverage", "flags", "issues", "gaps"))
+    out = rp.deployment_summary(*quiet(spark, sf))
+    text = lambda c: F.coalesce(F.array_join(F.transform(c, lambda x: LIST_ENTRY[c](x)), " "), F.lit(""))
+    return rounded(out.withColumns({c: text(c) for c in LIST_ENTRY}))
+
+
+LIST_ENTRY = {
+    "coverage": lambda x: F.concat(x["variable"], F.lit(":"), x["present"], F.lit("/"), x["total"]),
+    "flags": lambda x: F.concat(x["variable"], F.lit(":"), x["n"], F.lit("/"), x["n_good"], F.lit("/"), x["n_bad"], F.lit("/"), x["n_missing"]),
+    "issues": lambda x: F.concat(x["kind"], F.lit(":"), x["variables"], F.lit(":"), F.coalesce(x["last_valid"].cast("string"), F.lit("-"))),
+}
 
 
 def issue(name, severity, body):
@@ -340,14 +386,57 @@ ISSUES = [
         issue(f"pressure bad or missing, {v} not", "critical", count_over(f"pressure_QC IN (4, 9) AND {v}_QC NOT IN (4, 9)", "fa"))
         for v in ("temperature", "salinity", "oxygen_concentration", "chlorophyll")
     ],
+    *[
+        issue(f"{v} identical to pressure", "critical", f"SELECT glider_id, CASE WHEN avg(CASE WHEN abs({v} - pressure) < 1e-3 THEN 1.0 ELSE 0 END) > 0.5 AND count(*) >= 100 THEN count(*) END AS n FROM fa WHERE {v} IS NOT NULL AND pressure IS NOT NULL GROUP BY 1")
+        for v in ("chlorophyll", "cdom", "backscatter_700")
+    ],
+    issue("all sensors stopped", "note", "SELECT glider_id, CASE WHEN max(k) >= 4 AND max(abs(last - head)) <= 60 THEN max((t1 - head) // 86400) END AS n FROM es GROUP BY 1"),
+    """SELECT glider_id, variable || ' stopped early' AS "check", 'warning' AS severity, (t1 - last) // 86400 AS n FROM es WHERE glider_id IN (SELECT glider_id FROM es GROUP BY 1 HAVING bool_or(variable IN ('temperature', 'salinity')) AND NOT (max(k) >= 4 AND max(abs(last - head)) <= 60))""",
 ]
+WATCHED = ("temperature", "salinity", "pressure", *V[2:])
+STOPPED_CTE = (
+    "es AS (SELECT *, row_number() OVER w AS k, first_value(last) OVER w AS head FROM ("
+    + " UNION ALL ".join(f"SELECT glider_id, '{v}' AS variable, {i} AS place, count({v}) AS n, max(t_s) FILTER (WHERE {v} IS NOT NULL) AS last, min(t_s) AS t0, max(t_s) AS t1 FROM fa GROUP BY 1" for i, v in enumerate(WATCHED))
+    + ") WHERE n >= 10 AND t1 - last > greatest((t1 - t0)*0.1, 259200) WINDOW w AS (PARTITION BY glider_id ORDER BY place))"
+)
 
 
-@query("verification_issues", sql(" UNION ALL ".join(ISSUES), *FLAGS, FULLQ))
+@query("verification_issues", sql(" UNION ALL ".join(ISSUES), *FLAGS, FULLQ, STOPPED_CTE))
 def issues(spark, sf):
     return rp.verification_issues(simple_flags(spark, sf))
 
 
+# one glider falls silent as a whole and has pressure for chlorophyll, one loses two sensors, one has levels without a common stamp
+FAULTS = {
+    "chlorophyll": "CASE WHEN glider_id = 'G0' THEN pressure ELSE chlorophyll END",
+    **{v: f"CASE WHEN glider_id <> 'G0' OR seq < floor(0.5*n_rows) THEN {v} END" for v in ("salinity", "cdom", "backscatter_700")},
+    "temperature": "CASE WHEN glider_id = 'G2' OR seq < floor(0.5*n_rows) THEN temperature END",
+    "oxygen_concentration": "CASE WHEN seq < floor(0.5*n_rows) THEN oxygen_concentration END",
+}
+
+
+@query(
+    "verification_issues_levels",
+    sql(
+        " UNION ALL ".join([
+            *[q.replace("FROM fa", "FROM vf") for q in ISSUES],
+            issue("row counts of levels differ", "warning", "SELECT glider_id, abs(n1 - n0) AS n FROM lc"),
+            issue("no common stamps of levels", "critical", "SELECT glider_id, CASE WHEN common = 0 THEN n1 END AS n FROM lc"),
+        ]),
+        *FLAGS, FULLQ,
+        "vf AS (SELECT * REPLACE (" + ", ".join(f"{e} AS {v}" for v, e in FAULTS.items()) + ") FROM (SELECT *, count(*) OVER (PARTITION BY glider_id) AS n_rows FROM fa))",
+        STOPPED_CTE.replace("FROM fa", "FROM vf"),
+        "lw AS (SELECT glider_id, t_s + CASE WHEN glider_id = 'G2' THEN 1000000000 ELSE 0 END AS t_s FROM l0 WHERE glider_id = 'G2' OR seq % 13 <> 2)",
+        f"lc AS (SELECT glider_id, n0, n1, common FROM (SELECT glider_id, count(*) AS n0 FROM lw GROUP BY 1) JOIN (SELECT glider_id, count(*) AS n1, {cnt('(glider_id, t_s) IN (SELECT (glider_id, t_s) FROM lw)')} AS common FROM vf GROUP BY 1) USING (glider_id))",
+    ),
+)
+def issues_levels(spark, sf):
+    flagged = sized(simple_flags(spark, sf))
+    shifted = F.col("t_s") + F.when(F.col("glider_id") == "G2", 1_000_000_000).otherwise(0)
+    raw = l0(spark, sf).filter("glider_id = 'G2' OR seq % 13 <> 2").withColumn("t_s", shifted)
+    return rp.verification_issues(flagged.withColumns({v: F.expr(e) for v, e in FAULTS.items()}).drop("n_rows"), raw)
+
+
 @query(
     "fleet_listing",
     sql("SELECT glider_id, max_depth_dbar, CASE WHEN glider_id = 'G1' THEN 'not processed' ELSE 'processed' END AS status, CASE WHEN glider_id <> 'G1' THEN n_rows END AS n_rows, CASE WHEN glider_id <> 'G1' THEN n_profiles END AS n_profiles, CASE WHEN glider_id <> 'G1' THEN track_km END AS track_km FROM (SELECT glider_id, max(pressure) AS max_depth_dbar FROM cl GROUP BY 1) LEFT JOIN ts USING (glider_id)", SCREENED_CTE, TRACK_CTE),
