@@ -35,3 +35,59 @@ def test_short_records_keep_their_rows(spark):
     out = sg.detect_profiles(spark.createDataFrame(rows, "glider_id string, t_s bigint, seq bigint, pressure double")).collect()
     assert sum(r.glider_id == "A" for r in out) == 900
     assert [(r.profile_index, r.profile_direction) for r in out if r.glider_id == "B"] == [(None, None)] * 60
+
+
+DAYS = 86400
+
+
+def record(glider, last, days=30):
+    """Hourly rows; each variable has values up to its last hour."""
+    names = ["temperature", "salinity", "pressure", "oxygen_concentration", "chlorophyll", "cdom", "backscatter_700"]
+    hours = days * 24
+    return [(glider, h * 3600, *[1.0 + h % 7 if h <= last.get(v, hours) else None for v in names]) for h in range(hours + 1)], names
+
+
+def series(spark, *records):
+    rows, names = [], []
+    for glider, last in records:
+        more, names = record(glider, last)
+        rows += more
+    return spark.createDataFrame(rows, "glider_id string, t_s long, " + ", ".join(f"{v} double" for v in names)), names
+
+
+def test_early_stops(spark):
+    df, names = series(
+        spark,
+        ("all", {"temperature": 240, "salinity": 240, "cdom": 240, "chlorophyll": 240}),  # one event
+        ("some", {"temperature": 240, "cdom": 400}), ("rest", {"cdom": 240, "chlorophyll": 400}),  # no core sensor: may rest
+        ("late", {"temperature": 720 - 72}), ("few", {"temperature": 8}), ("never", {"temperature": -1}),
+    )
+    got = sorted(tuple(r) for r in rp.early_stops(df, names).collect())
+    assert got == [("all", "all sensors stopped", "note", 20), ("some", "cdom stopped early", "warning", 13), ("some", "temperature stopped early", "warning", 20)]
+    assert rp.early_stops(df.limit(0), names).count() == 0
+
+
+def test_levels_that_do_not_fit(spark):
+    a = spark.createDataFrame([("A", 1), ("A", 2), ("B", 1), ("B", 2), ("C", 1), ("D", 1)], "glider_id string, t_s long")
+    b = spark.createDataFrame([("A", 1), ("A", 2), ("B", 5), ("B", 6), ("C", 1), ("C", 2), ("C", 3), ("E", 1)], "glider_id string, t_s long")
+    assert sorted(tuple(r) for r in rp.level_issues(a, b).collect()) == [
+        ("B", "no common stamps of levels", "critical", 2), ("C", "row counts of levels differ", "warning", 2)
+    ]
+
+
+def test_sensor_issues_take_events_first(spark):
+    from pyspark.sql import functions as F
+
+    df, _ = series(
+        spark,
+        ("A", {"temperature": 240, "salinity": 240, "cdom": 300}), ("B", {"oxygen_concentration": 300}), ("C", {}), ("D", {"chlorophyll": 240, "cdom": 240}),
+    )
+    bad = df.withColumn("oxygen_concentration_QC", F.when(F.col("glider_id").isin("B", "C") & (F.col("t_s") % 14400 == 0), 4).otherwise(1))
+    got = sorted((r.glider_id, r.kind, r.variables, r.last_valid) for r in rp.sensor_issues(df, bad, SENSORS).collect() if r.kind != "oxygen flagged bad")
+    assert got == [
+        ("A", "mission gap", "temperature,salinity", 240 * 3600), ("A", "sensor failure", "cdom", 300 * 3600),
+        ("B", "sensor failure", "oxygen_concentration", 300 * 3600), ("D", "several sensors", "chlorophyll,cdom", 240 * 3600),
+    ]
+    oxygen = [r for r in rp.sensor_issues(df, bad, SENSORS).collect() if r.kind == "oxygen flagged bad"]
+    assert [(r.glider_id, r.variables) for r in oxygen] == [("C", "oxygen_concentration")]  # that of B is silent already
+    assert rp.sensor_issues(df, df, SENSORS).count() == 4

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,15 +57,17 @@ def join_clocks(eng: DataFrame, sci: DataFrame, whole_seconds: bool = True) -> D
 
 
 def one_axis(blocks: list[DataFrame], keys=("glider_id", "t_s")) -> DataFrame:
-    """Blocks with their own clocks on the union of all stamps; no row is dropped."""
+    """Blocks with their own clocks on the union of all stamps; no stamp is dropped.
+
+    The blocks are stacked and folded by stamp in one shuffle, however many there are. Of rows of
+    a block at one stamp, each column keeps its largest value. A column name belongs to one block.
+    """
     keys = list(keys)
-    axis = blocks[0].select(*keys)
-    for b in blocks[1:]:
-        axis = axis.unionByName(b.select(*keys))
-    out = axis.distinct()
-    for b in blocks:
-        out = out.join(b, keys, "left")
-    return out
+    names = [c for b in blocks for c in b.columns if c not in keys]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns in more than one block: {sorted({c for c in names if names.count(c) > 1})}")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), blocks)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names]) if names else stacked.distinct()
 
 
 # -- interpolation ---------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -254,8 +254,43 @@ def export_rows(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select("glider_id", *cols)
 
 
-def write_delimited(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("sep", ";").option("header", "true").csv(path)
+def export_adjusted(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The same layout with X_ADJUSTED and its flag behind each parameter that has adjusted values.
+
+    An adjusted column without flags of its own has the flag of its parameter, as in the exchange table.
+    """
+    out, extra = df, {}
+    for v, n in names.items():
+        extra[v] = n
+        adjusted = adjusted_column(df, v)
+        if adjusted:
+            own = F.col(adjusted + FLAG_SUFFIX) if adjusted + FLAG_SUFFIX in df.columns else F.col(v + FLAG_SUFFIX) if v + FLAG_SUFFIX in df.columns else F.lit(0)
+            out = out.withColumn(adjusted + FLAG_SUFFIX, own)
+            extra[adjusted] = n + "_ADJUSTED"
+    return export_rows(out, extra)
+
+
+# quotes are doubled and blanks kept; NULL and an empty text are both an empty field, read as NULL
+DELIMITED = {"sep": ";", "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_delimited(df: DataFrame, path: str, date: str = "DATE") -> None:
+    """Delimited text, one folder per glider and month, each file in order of `date` (yyyy/MM/...).
+
+    No task holds more than a month of a glider. Values are written in full, not cut to six digits.
+    Line breaks inside a text become blanks, so that files can be split when read.
+    """
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name != "glider_id"]
+    df = df.withColumns({c: F.translate(c, "\r\n", "  ") for c in texts})
+    month = F.coalesce(F.replace(F.substring(date, 1, 7), F.lit("/"), F.lit("-")), F.lit("none"))
+    tasks = df.withColumn("month", month).repartition("glider_id", "month").sortWithinPartitions("glider_id", "month", date)
+    tasks.write.mode("overwrite").options(**DELIMITED).partitionBy("glider_id", "month").csv(path)
+
+
+def read_delimited(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """What `write_delimited` has written, in the columns and types of `like`."""
+    schema = T.StructType([f for f in like.schema if f.name != "glider_id"] + [T.StructField("glider_id", T.StringType()), T.StructField("month", T.StringType())])
+    return spark.read.options(**DELIMITED).schema(schema).csv(path).select(*like.columns)
 
 
 # -- exchange tables -----------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from ..functions import expr, flags
 from ..operators import cleaning as cl
 from ..operators import corrections as co
 from ..operators import publish as pb
+from ..operators import second_format as sx
 from ..operators.reports import qc_summary
 from .common import L0_CTE, SCREENED_CTE, rounded, sql
 from .fixture import l0
@@ -244,6 +245,115 @@ def mapped(spark, sf):
     return pb.mapped_names(m, mapping(m), "variable_name").groupBy("variable_name", "variable_name_mapped").agg(F.count(F.lit(1)).alias("n"))
 
 
+# -- second format on one axis ---------------------------------------------------------------------------
+ROLES = [  # role, source, target, vocabulary
+    ("parameter", "TEMP", "SEA_TEMP", "v:temp"), ("parameter", "PSAL", "SEA_PSAL", "v:psal"), ("parameter", "CDOM", "TBD", ""),
+    ("parameter", "DOXY", "SEA_TEMP", ""), ("parameter", "CHLA", "SEA_CHLA", "v:chla"), ("parameter", "WATERCURRENTS_U", "CURRENT_U", ""),
+    ("parameter", "WATERCURRENTS_QC", "CURRENT_QC", ""), ("parameter", "SURF_WATERCURRENTS_U", "SURFACE_U", ""), ("parameter", "WATERCURRENTS_V", "", ""),
+    ("sensor_type", "CTD", "ctd probe", "v:ctd"), ("sensor_type", "ECO_FLBBCD", "TBD", ""), ("sensor_maker", "Sea-Bird Scientific", "sea-bird", "v:sbe"),
+    ("sensor_model", "GPCTD", "gp ctd", ""), ("platform_model", "model-0", "deep model", ""), ("platform_model", "model-1", "TBD", ""),
+    ("platform_maker", "maker", "the maker", ""), ("platform_maker", "maker", "TBD", ""),
+]
+
+
+def roles(spark):
+    return spark.createDataFrame(ROLES, "role string, source string, target string, vocabulary string")
+
+
+# every ninth row has nothing, every 17th no flag; fixes and surface currents have stamps of their own
+HAS = "seq % 9 <> 4"
+EXCHANGED = {
+    **{n: f"CASE WHEN {HAS} THEN coalesce({v}, 99999) ELSE 99999 END" for n, v in (
+        ("LONGITUDE", "longitude"), ("LATITUDE", "latitude"), ("PRES", "pressure"), ("TEMP", "temperature"), ("PSAL", "salinity"), ("CDOM", "cdom"), ("DOXY", "oxygen_concentration"))},
+    **{f"{n}_QC": f"CASE WHEN {HAS} AND seq % 17 <> 0 THEN {v}_QC ELSE -128 END" for n, v in (("PRES", "pressure"), ("TEMP", "temperature"), ("CDOM", "cdom"), ("DOXY", "oxygen_concentration"))},
+    "PHASE": f"CASE WHEN {HAS} AND seq % 5 > 0 THEN 1 + seq % 5 ELSE -128 END",
+}
+AXIS_CTES = (
+    "m AS (SELECT glider_id, t_s AS t, " + ", ".join(f"CAST(nullif({e}, {-128 if n.endswith('_QC') or n == 'PHASE' else 99999}) AS DOUBLE) AS {n}" for n, e in EXCHANGED.items() if n not in ("CDOM", "CDOM_QC", "DOXY", "DOXY_QC")) + " FROM fa)",
+    "g AS (SELECT glider_id, t_s + 2 AS t, CAST(t_s + 2 AS DOUBLE) AS TIME_GPS, longitude AS LONGITUDE_GPS, latitude AS LATITUDE_GPS FROM fa WHERE latitude IS NOT NULL)",
+    "c AS (SELECT glider_id, t_s AS t, round(pitch*2, 6) AS CURRENT_U, CASE WHEN seq % 80 <> 79 THEN 1.0::DOUBLE END AS CURRENT_QC FROM fa WHERE seq % 40 = 39)",
+    "w AS (SELECT glider_id, t_s + 3 AS t, round(pitch*3, 6) AS SURFACE_U FROM fa WHERE seq % 100 = 99)",
+    """ax AS (SELECT glider_id, CAST(t AS DOUBLE) AS TIME, round(LONGITUDE, 6) AS LONGITUDE, round(LATITUDE, 6) AS LATITUDE, round(PRES, 6) AS DEPTH, PRES_QC AS DEPTH_QC, PHASE, round(TEMP, 6) AS SEA_TEMP, TEMP_QC AS SEA_TEMP_QC, round(PSAL, 6) AS SEA_PSAL,
+        TIME_GPS, round(LONGITUDE_GPS, 6) AS LONGITUDE_GPS, round(LATITUDE_GPS, 6) AS LATITUDE_GPS, CURRENT_U, CURRENT_QC, SURFACE_U
+        FROM m FULL JOIN g USING (glider_id, t) FULL JOIN c USING (glider_id, t) FULL JOIN w USING (glider_id, t)
+        WHERE coalesce(LONGITUDE, LATITUDE, PRES, PRES_QC, PHASE, TEMP, TEMP_QC, PSAL, TIME_GPS, CURRENT_U, CURRENT_QC, SURFACE_U) IS NOT NULL)""",
+)
+
+
+def second_axis(spark, sf):
+    base = simple_flags(spark, sf)
+    fill = lambda c: F.coalesce(c, F.lit(pb.FILL))
+    fixes = base.filter("latitude IS NOT NULL").select(
+        "glider_id", (F.col("t_s") + 2).cast("double").alias("TIME_GPS"), fill(F.col("longitude")).alias("LONGITUDE_GPS"), F.col("latitude").alias("LATITUDE_GPS")
+    )
+    empty = base.select("glider_id").distinct().select("glider_id", *[F.lit(pb.FILL).alias(c) for c in fixes.columns[1:]])
+    blocks = {
+        "measurement": base.select("glider_id", F.col("t_s").alias("TIME"), *[F.expr(e).alias(n) for n, e in EXCHANGED.items()]),
+        "gps": fixes.unionByName(empty),
+        "currents": base.filter("seq % 40 = 39").select(
+            "glider_id", F.col("t_s").alias("WATERCURRENTS_TIME"), (F.col("pitch") * 2).alias("WATERCURRENTS_U"), F.lit(1.0).alias("WATERCURRENTS_V"),
+            F.lit(5.0).alias("WATERCURRENTS_DEPTH"), F.expr("CASE WHEN seq % 80 <> 79 THEN 1 ELSE -128 END").alias("WATERCURRENTS_QC")),
+        "surface": base.filter("seq % 100 = 99").select("glider_id", (F.col("t_s") + 3).alias("SURF_WATERCURRENTS_TIME"), (F.col("pitch") * 3).alias("SURF_WATERCURRENTS_U")),
+    }
+    return rounded(sx.second_table(blocks, roles(spark)))
+
+
+@query("second_exchange_axis", sql("SELECT * FROM ax", *FLAGS, FULLQ, *AXIS_CTES))
+def exchange_axis(spark, sf):
+    return second_axis(spark, sf)
+
+
+@query("second_exchange_attributes", sql("SELECT glider_id, " + ", ".join(f"least(min({a}), min({b})) AS geospatial_{n}_min, greatest(max({a}), max({b})) AS geospatial_{n}_max" for n, a, b in (("lat", "LATITUDE", "LATITUDE_GPS"), ("lon", "LONGITUDE", "LONGITUDE_GPS"), ("vertical", "DEPTH", "DEPTH"))) + ", strftime(make_timestamp(CAST(min(TIME) AS BIGINT)*1000000), '%Y%m%dT%H%M%S') AS time_coverage_start, strftime(make_timestamp(CAST(max(TIME) AS BIGINT)*1000000), '%Y%m%dT%H%M%S') AS time_coverage_end FROM ax GROUP BY 1", *FLAGS, FULLQ, *AXIS_CTES))
+def exchange_attributes(spark, sf):
+    return sx.second_attributes(second_axis(spark, sf))
+
+
+SECOND_PARAMETERS = ["pressure", "temperature", "salinity", "chlorophyll", "cdom"]
+
+
+@query("second_exchange_sensors", sql(
+    """SELECT * FROM (SELECT DISTINCT glider_id FROM l0), (VALUES ('DEPTH', 'ctd probe', 'v:ctd', 'sea-bird', 'v:sbe', 'gp ctd'), ('SEA_TEMP', 'ctd probe', 'v:ctd', 'sea-bird', 'v:sbe', 'gp ctd'), ('SEA_PSAL', 'ctd probe', 'v:ctd', 'sea-bird', 'v:sbe', 'gp ctd'), ('SEA_CHLA', 'unmapped:ECO_FLBBCD', '', 'sea-bird', 'v:sbe', 'unmapped:FLBBCD')) AS p(parameter, sensor_type, sensor_type_vocabulary, sensor_maker, sensor_maker_vocabulary, sensor_model),
+    LATERAL (SELECT '' AS sensor_model_vocabulary, '' AS serial, CASE WHEN sensor_type = 'ctd probe' THEN day ELSE '' END AS calibration_date FROM dv WHERE dv.glider_id = l0.glider_id)""".replace("FROM (SELECT DISTINCT glider_id FROM l0)", "FROM (SELECT DISTINCT glider_id FROM l0) AS l0"),
+    L0_CTE, "dv AS (SELECT glider_id, strftime(make_timestamp(min(t_s)*1000000), '%Y-%m-%d') AS day FROM l0 GROUP BY 1)"))
+def exchange_sensors(spark, sf):
+    base = l0(spark, sf)
+    dep = base.select("glider_id").distinct()
+    entry = lambda n, date: F.struct(F.lit(n).alias("parameter"), date.alias("date"))
+    ends = base.groupBy("glider_id").agg(F.min("t_s").alias("a"), F.max("t_s").alias("b"))
+    done = F.array(entry("TEMP", expr.epoch_to_compact(F.col("b"))), entry("PSAL", expr.epoch_to_compact(F.col("a"))), entry("PRES", F.lit("not a date")))
+    dates = ends.select("glider_id", F.explode(done).alias("x")).select("glider_id", "x.*")
+    return sx.second_sensors(pb.parameter_table(dep, SECOND_PARAMETERS), pb.sensor_table(dep), roles(spark), dates)
+
+
+@query("second_exchange_platform", sql("SELECT glider_id, CASE glider_id WHEN 'G0' THEN 'deep model' WHEN 'G1' THEN 'unmapped:model-1' ELSE 'unmapped:model-2' END AS platform_model, 'the maker' AS platform_maker FROM (SELECT DISTINCT glider_id FROM l0)"))
+def exchange_platform(spark, sf):
+    dep = l0(spark, sf).select("glider_id").distinct()
+    return sx.second_platform(dep.select("glider_id", F.concat(F.lit("model-"), F.substring("glider_id", 2, 9)).alias("platform_model"), F.lit("maker").alias("platform_maker")), roles(spark))
+
+
+# -- delimited text, written and read back -----------------------------------------------------------------
+def reread(df, date="DATE"):
+    path = table_path(df.sparkSession)
+    pb.write_delimited(df, path, date)
+    return pb.read_delimited(df.sparkSession, path, df)
+
+
+DATE_SQL = "strftime(make_timestamp(CAST({0} AS BIGINT)*1000000), '%Y/%m/%d %H:%M:%S')"
+
+
+@query("written_export_adjusted", sql(
+    f"SELECT glider_id, {DATE_SQL.format('t_s')} AS DATE, latitude AS LATITUDE, longitude AS LONGITUDE, round(temperature, 6) AS TEMP, temperature_QC AS TEMP_QC, round(oxygen_concentration, 6) AS DOXY, oxygen_concentration_QC AS DOXY_QC, round(lag_corrected, 6) AS DOXY_ADJUSTED, oxygen_concentration_QC AS DOXY_ADJUSTED_QC FROM ol", *L1))
+def export_adjusted(spark, sf):
+    return reread(rounded(pb.export_adjusted(l1(spark, sf), {"temperature": "TEMP", "oxygen_concentration": "DOXY"})))
+
+
+@query("written_export_second", sql(
+    f"SELECT * REPLACE ({DATE_SQL.format('TIME')} AS TIME, coalesce({DATE_SQL.format('TIME_GPS')}, '-1') AS TIME_GPS, "
+    + ", ".join(f"round({c}, 3) AS {c}" for c in ("LATITUDE", "LONGITUDE", "LATITUDE_GPS", "LONGITUDE_GPS")) + ", " + ", ".join(f"CAST({c} AS INT) AS {c}" for c in ("DEPTH_QC", "SEA_TEMP_QC", "CURRENT_QC", "PHASE")) + ") FROM ax", *FLAGS, FULLQ, *AXIS_CTES))
+def export_second(spark, sf):
+    return reread(sx.export_second(second_axis(spark, sf)), "TIME")
+
+
 # -- scalar expressions ---------------------------------------------------------------------------------
 @query("expressions_position", sql(
     "SELECT glider_id, t_s, round(sgn*(floor(abs(v)/100) + (abs(v) - 100*floor(abs(v)/100))/60.0), 6) AS degrees, round(CASE WHEN seq % 2 = 0 THEN -1 ELSE 1 END*sgn*(floor(abs(v)/100) + (abs(v) - 100*floor(abs(v)/100))/60.0), 6) AS with_hemisphere FROM (SELECT *, 1234.5 + seq % 60 - CASE WHEN seq % 3 = 0 THEN 3000 ELSE 0 END AS v, CASE WHEN 1234.5 + seq % 60 - CASE WHEN seq % 3 = 0 THEN 3000 ELSE 0 END < 0 THEN -1 ELSE 1 END AS sgn FROM l0)".replace("1234.5 +", "1234.5::DOUBLE +")))
