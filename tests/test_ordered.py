@@ -84,3 +84,34 @@ def test_stats_join_both_ways(spark):
         assert sorted(map(tuple, stats_join(df, stats, ["k"]).collect())) == small
     finally:
         spark.conf.unset("spark.thermocline.broadcastRows")
+
+
+def test_outliers_leave_no_full_bin(spark):
+    from thermocline.operators.ordered import bin_of
+
+    values = spark.range(20_000).select((F.rand(3)).alias("v"))
+    for lo, hi in ((0.0, 1e9), (-1e9, 1.0), (0.0, 1.0)):
+        bins = values.withColumn("b", bin_of(F.col("v"), F.lit(lo), F.lit(hi)))
+        largest = bins.groupBy("b").count().agg(F.max("count")).first()[0]
+        assert largest < 1_000
+        ordered = [r.b for r in bins.orderBy("v").collect()]
+        assert ordered == sorted(ordered)
+
+
+@pytest.mark.parametrize("ends", [(-1e12, 1e9), (0.5, 1e9), (-1e9, 0.5)])
+def test_quantiles_beside_outliers(spark, ends):
+    rng = np.random.default_rng(7)
+    vs = np.concatenate([rng.normal(0, 1, 3000), np.array(ends)])
+    df = spark.createDataFrame([("A", float(v)) for v in vs], "glider_id string, v double")
+    qs = [0.0, 0.003, 0.5, 0.995, 1.0]
+    got = exact_quantiles(df, ["glider_id"], {"q": (F.col("v"), qs)}, 100).first().q
+    assert np.allclose(got, np.quantile(vs, qs), rtol=1e-12)
+
+
+def test_stamps_that_repeat(spark):
+    from thermocline.operators.cleaning import dedupe_time
+
+    df = spark.createDataFrame([("A", 1, None, "n"), ("A", 1, 5, "five"), ("A", 1, 9, "nine"), ("A", None, 2, "two"), ("B", 1, None, "alone")], "glider_id string, t_s long, row_id long, x string")
+    assert {r.x for r in dedupe_time(df).collect()} == {"five", "two", "alone"}
+    assert {r.x for r in dedupe_time(df, "last").collect()} == {"nine", "two", "alone"}
+    assert "WindowGroupLimit" in dedupe_time(df)._jdf.queryExecution().toString()

@@ -39,3 +39,15 @@ def test_practical_salinity(spark):
 def test_depth(spark):
     deep = spark.range(1).select(F.expr(sw.depth_from_pressure("1000e0", "30e0"))).first()[0]
     assert deep == pytest.approx(991.0, abs=1.0)
+
+
+def test_oxygen_solubility_check_value(spark):
+    """Published check: 274.610 micromoles a kilogram at 10 degrees and 35 (density 1026.952); the terms in use differ by 0.01 % there."""
+    from pyspark.sql import functions as F
+
+    from thermocline.operators import derived as dv
+
+    df = spark.createDataFrame([(10.0, 35.0), (0.0, 35.0)], "temperature double, salinity double").withColumn("ts", F.expr(dv._scaled_temperature("temperature")))
+    out = df.select(F.expr(dv.oxygen_solubility("ts", dv.MOLAR_B)).alias("published"), F.expr(dv.oxygen_solubility("ts", dv.SOLUBILITY_B)).alias("used")).collect()
+    assert abs(out[0].published * dv.MICROMOLES_PER_ML / 1.026952 - 274.610) < 0.01
+    assert 0 < out[0].used / out[0].published - 1 < 2e-4 and 0.002 < out[1].used / out[1].published - 1 < 0.003

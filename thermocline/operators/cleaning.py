@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DISPLAY_NAMES, DISPLAY_RANGE, FACTORY_BOX, PLAUSIBLE_MAX, SCIENCE_RANGE
@@ -247,15 +247,14 @@ def chronological(df: DataFrame) -> DataFrame:
 
 
 def dedupe_time(df: DataFrame, keep: str = "first", row_id: str = "row_id") -> DataFrame:
-    """One row per (glider, time): the first or the last by `row_id`."""
-    pick = F.min_by if keep == "first" else F.max_by
-    others = [c for c in df.columns if c not in ("glider_id", "t_s")]
-    return (
-        df.groupBy("glider_id", "t_s")
-        .agg(pick(F.struct(*others), row_id).alias("r"))
-        .select("glider_id", "t_s", "r.*")
-        .select(*df.columns)
-    )
+    """One row per (glider, time): the first or the last by `row_id`; rows without `row_id` come last.
+
+    A limit on a rank is taken before the shuffle too, so a stamp that very many rows share costs
+    one row a task.
+    """
+    order = F.col(row_id).asc_nulls_last() if keep == "first" else F.col(row_id).desc_nulls_last()
+    rank = F.row_number().over(Window.partitionBy("glider_id", "t_s").orderBy(order))
+    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
 
 
 def drop_near_duplicates(stamps: DataFrame, t: str = "t", closer_than: float = 0.01) -> DataFrame:

@@ -110,10 +110,18 @@ def _scaled_temperature(t: str) -> str:
     return f"ln((298.15e0 - {t})/(273.15e0 + {t}))"
 
 
-def oxygen_from_frequency(df: DataFrame, calibration: DataFrame, variable: str, out: str) -> DataFrame:
+def oxygen_solubility(scaled: str, salinity_terms: list[float]) -> str:
+    """Millilitres per litre at saturation, from scaled temperature and `salinity`."""
+    return f"exp({series(SOLUBILITY_A, scaled)} + salinity*{series(salinity_terms, scaled)} + {literal(SOLUBILITY_C0)}*salinity*salinity)"
+
+
+def oxygen_from_frequency(
+    df: DataFrame, calibration: DataFrame, variable: str, out: str, salinity_terms: list[float] = SOLUBILITY_B
+) -> DataFrame:
+    """Amount per kilogram from a frequency; `salinity_terms=MOLAR_B` for the published solubility (see README)."""
     names = ["soc", "offset", "a", "b", "c", "e"]
     joined = with_coefficients(df, calibration, variable, names).withColumn("__ts", F.expr(_scaled_temperature("temperature")))
-    solubility = f"exp({series(SOLUBILITY_A, '__ts')} + salinity*{series(SOLUBILITY_B, '__ts')} + {literal(SOLUBILITY_C0)}*salinity*salinity)"
+    solubility = oxygen_solubility("__ts", salinity_terms)
     amount = (
         f"{literal(MICROMOLES_PER_ML)}*c_soc*({variable} + c_offset)*{solubility}*(1e0 + temperature*(c_a + temperature*(c_b + temperature*c_c)))"
         "*exp(c_e*pressure/(273.15e0 + temperature))"

@@ -178,8 +178,31 @@ def stats_join(df: DataFrame, stats: DataFrame, on: Sequence[str], how: str = "l
     return df.join(stats, list(on), how)
 
 
-#: A quantile's bracket is counted in so many bins; only values of the bins that hold its rank are ranked.
+#: A quantile's bracket is counted in so many bins of equal width; only values of the bins that hold its rank are ranked.
 BINS = 4096
+#: The first and the last of them are cut again, so many times for each halving of the distance to that end of the bracket.
+CUTS = 64
+BELOW, LOWEST, HIGHEST = -2_000_000, -1_000_000, 1_000_000
+
+
+def bin_of(v: Column, lo: Column, hi: Column) -> Column:
+    """A number that never falls as `v` rises from `lo` to `hi`.
+
+    Outliers at the ends of a bracket leave nearly all values in its first or last bin, which is
+    why these are cut by the logarithm of the distance.
+    """
+    up, down = (v - lo) / (hi - lo), (hi - v) / (hi - lo)
+    cut = lambda x: F.floor(F.log2(x) * CUTS)
+    return (
+        F.when(v < lo, BELOW)
+        .when(hi <= lo, 0)
+        .when(up <= 0, LOWEST)
+        .when(up < 1 / BINS, cut(up))
+        .when(down <= 0, HIGHEST)
+        .when(down < 1 / BINS, BINS - cut(down))
+        .otherwise(F.floor(up * BINS))
+        .cast("int")
+    )
 
 
 def exact_quantiles(
@@ -224,8 +247,13 @@ def exact_quantiles(
                     F.lit(j).alias("j"),
                     F.floor(place).alias("rank"),
                     (place - F.floor(place)).alias("part"),
-                    F.when(small | F.lit(q - margin <= 0), F.col(f"__min{i}")).otherwise(F.col(f"__e{i}")[j]).alias("lo"),
-                    F.when(small | F.lit(q + margin >= 1), F.col(f"__max{i}"))
+                    # the least and the largest value need no bracket
+                    F.when(F.lit(q >= 1), F.col(f"__max{i}"))
+                    .when(small | F.lit(q - margin <= 0), F.col(f"__min{i}"))
+                    .otherwise(F.col(f"__e{i}")[j])
+                    .alias("lo"),
+                    F.when(F.lit(q <= 0), F.col(f"__min{i}"))
+                    .when(small | F.lit(q + margin >= 1), F.col(f"__max{i}"))
                     .otherwise(F.col(f"__e{i}")[len(qs) + j])
                     .alias("hi"),
                 )
@@ -248,11 +276,7 @@ def exact_quantiles(
                         slot["rank"].alias("rank"),
                         slot["part"].alias("part"),
                         F.when(v >= slot["lo"], v).alias("v"),
-                        F.when(v < slot["lo"], -1)
-                        .when(slot["hi"] > slot["lo"], F.least(F.floor((v - slot["lo"]) / (slot["hi"] - slot["lo"]) * BINS), F.lit(BINS - 1)))
-                        .otherwise(0)
-                        .cast("int")
-                        .alias("bin"),
+                        bin_of(v, slot["lo"], slot["hi"]).alias("bin"),
                     ),
                 )
             )

@@ -58,23 +58,24 @@ def time_gaps(df: DataFrame, hours: float = 48.0) -> DataFrame:
 def box_mean(df: DataFrame, value: str, width: Column, out: str) -> DataFrame:
     """Zero-padded box mean of `width` rows (a column constant per glider): sum / width.
 
-    The frame reaches from -(n-1-r) to +r rows with r = (n-1) div 2. Exact decimal prefix sums
-    are looked up at both ends of the frame, so the width costs nothing.
+    The frame reaches from -(n-1-r) to +r rows with r = (n-1) div 2. Each exact decimal prefix sum
+    is sent to the two rows whose frames it ends, so the width costs nothing and only sums move;
+    a frame beyond the last row ends with the glider's total.
     """
     amount = F.col(value).cast("decimal(20,9)")
     runs = Runs(df.withColumn("__n", width), total={"v": amount})
     runs.with_columns({"__sum": runs.cumulative("v")})
     sums = materialise(runs.done())
-    last = sums.groupBy("glider_id").agg(F.max("seq").alias("__last"))
-    r = F.floor((F.col("__n") - 1) / 2)
-    framed = stats_join(sums, last, ["glider_id"]).withColumns(
-        {"__hi": F.least(F.col("seq") + r, F.col("__last")), "__lo": F.col("seq") - (F.col("__n") - 1 - r) - 1}
+    n, r = F.col("__n").cast("bigint"), F.floor((F.col("__n") - 1) / 2)
+    to = lambda seq, ends: F.struct(seq.alias("seq"), F.lit(ends).alias("ends"), F.col("__sum").alias("s"))
+    moved = sums.select("glider_id", F.explode(F.array(to(F.col("seq") - r, True), to(F.col("seq") + n - r, False))).alias("x")).select("glider_id", "x.*")
+    frames = moved.filter("seq >= 0").groupBy("glider_id", "seq").agg(
+        F.max(F.when(F.col("ends"), F.col("s"))).alias("__at_hi"), F.max(F.when(~F.col("ends"), F.col("s"))).alias("__at_lo")
     )
-    ends = sums.select("glider_id", F.col("seq").alias("__hi"), F.col("__sum").alias("__at_hi"))
-    starts = sums.select("glider_id", F.col("seq").alias("__lo"), F.col("__sum").alias("__at_lo"))
-    joined = framed.join(ends, ["glider_id", "__hi"]).join(starts, ["glider_id", "__lo"], "left")
-    total = (F.col("__at_hi") - F.coalesce(F.col("__at_lo"), F.lit(0).cast("decimal(30,9)"))).cast("double")
-    return joined.withColumn(out, total / F.col("__n")).drop("__hi", "__lo", "__at_hi", "__at_lo", "__sum", "__n", "__last")
+    whole = sums.groupBy("glider_id").agg(F.max_by("__sum", "seq").alias("__whole"))
+    joined = stats_join(sums.join(frames, ["glider_id", "seq"], "left"), whole, ["glider_id"])
+    total = (F.coalesce("__at_hi", "__whole") - F.coalesce(F.col("__at_lo"), F.lit(0).cast("decimal(30,9)"))).cast("double")
+    return joined.withColumn(out, total / F.col("__n")).drop("__at_hi", "__at_lo", "__whole", "__sum", "__n")
 
 
 def time_gradient(df: DataFrame, value: str, out: str) -> DataFrame:
