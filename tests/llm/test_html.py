@@ -29,18 +29,35 @@ def test_pages(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+def slot(spark, pages, path):
+    """The first slot found for pages (one host), and the number of path."""
+    frame = spark.createDataFrame([("a", p) for p in pages], "host string, html string")
+    return int(html_extract.host_slots(frame).first()["slot"].split()[0]), html_extract.path_id(path)
+
+
 def test_slot_is_deduced(spark):
-    frame = spark.createDataFrame(rows(), "page_id long, url string, html string")
-    prepared = frame.selectExpr("'a' AS host", "cast(page_id AS string) AS key", "html").where("page_id < 12")
-    assert html_extract.host_slots(prepared).first()["slot"] == "/html/body/div[class=story]"
+    found, story = slot(spark, [r[2] for r in rows() if r[0] < 12], "/html/body/div[class=story]")
+    assert found == story
 
 
-def test_classes_nest():
-    def token(path, n, print_, total=None):
-        return dict(path=path, hides=False, n_pages=n, n_total=total or n, print_a=print_, print_b=0, chars=0)
+def token(path, n, print_, total=None, run=0):
+    """A tag at path, or a run of text in it."""
+    above, _, label = path.rpartition("/")
+    return dict(id=html_extract.path_id(path), run=run, parent=html_extract.path_id(above) if above else 0, label=label, hides=False, n_pages=n, n_total=total or n, print_a=print_, print_b=0, chars=0)
+
+
+def numbers(*paths):
+    return [html_extract.path_id(p) for p in paths]
 
+
+def test_classes_nest():
     tokens = [token("/html", 9, 1), token("/html/body", 9, 1), token("/html/body/ul/li", 9, 2, 30), token("/html/body/ul/li/div", 9, 2, 30), token("/html/body/ul", 9, 1)]
-    assert html_extract.template(tokens) == [("", ["/html", "/html/body", "/html/body/ul"]), ("/html/body/ul", ["/html/body/ul/li", "/html/body/ul/li/div"])]
+    assert html_extract.template(tokens) == [(0, numbers("/html", "/html/body", "/html/body/ul")), (*numbers("/html/body/ul"), numbers("/html/body/ul/li", "/html/body/ul/li/div"))]
+
+
+def test_classes_are_large():
+    tokens = [token("/html", 9, 1), token("/html/body", 9, 1), token("/html/body/p", 8, 2), token("/html/body/div", 7, 3), token("/html/body/div", 7, 3, run=5)]
+    assert html_extract.template(tokens) == [(0, numbers("/html", "/html/body")), (*numbers("/html/body"), numbers("/html/body/div"))]
 
 
 def test_hides():
@@ -68,11 +85,40 @@ def test_pages_that_are_all_alike_keep_their_text(spark):
 
 
 def test_only_valid_classes_are_template():
-    def token(path, print_, total=9):
-        return dict(path=path, hides=False, n_pages=9, n_total=total, print_a=print_, print_b=0, chars=0)
+    tokens = [token("/html", 9, 1), token("/html/body", 9, 1), token("/html/body/div", 9, 2, 18), token("/html/body/div", 9, 2, 18, run=7), token("/html/body/div/h1", 9, 1)]
+    assert html_extract.template(tokens) == [(0, numbers("/html", "/html/body")), (*numbers("/html/body"), numbers("/html/body/div"))]
+
+
+def test_one_class_a_token_gives_no_slot(spark):
+    """Without classes no template is left: the slots come through them."""
+    pages = [layout("div", k) for k in range(6)]
+    frame = spark.createDataFrame([("a", p) for p in pages], "host string, html string")
+    counted = html_extract.occurrences(html_extract.once_each(frame)).where("n_pages >= 3").collect()
+    rows_ = [{**r.asDict(), "repeated": 0, "fixed": 0} for r in counted]
+    assert html_extract.text_slots(rows_)[0] > 0
+    assert html_extract.text_slots([{**r, "print_a": k} for k, r in enumerate(rows_)]) == []
+
+
+def plain_page(k, comments):
+    said = "".join(f"<div class='d1'><span>Reader {k}{j}</span><p>I think that {k} and {j} are {'rather ' * 8} wrong</p></div>" for j in range(comments))
+    return f"<html><body><div class='a'><a href='/'>Home</a> Welcome to us</div><div class='c7'>Buy number {k % 3} now, {'cheap ' * 6}</div><h1>Head {k}</h1><div class='b'>" + "".join(f"<p>{f'Body {k} {j} ' * 12}</p>" for j in range(2 + k % 3)) + f"<div class='c8'>Order {k % 2} today</div><p>The end of {k}</p></div><div class='discussion'><div>Said by readers</div>{said}</div><div class='z'>Imprint {k}</div></body></html>"
+
+
+def test_layout_without_names(spark):
+    pages = [(k, f"http://plain.example/{k}", plain_page(k, 1 + k % 4)) for k in range(8)]
+    pages += [(100 + k, "http://plain.example/again", plain_page(0, 1)) for k in range(40)]
+    got = html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(got) == 48
+    for r in got:
+        k = r["page_id"] if r["page_id"] < 100 else 0
+        body = [" ".join([f"Body {k} {j}"] * 12) for j in range(2 + k % 3)]
+        assert r["text"] == "\n\n".join([f"Head {k}", *body, f"The end of {k}"]), r["text"]
+
 
-    tokens = [token("/html", 1), token("/html/body", 1), token("/html/body/div", 2, 18), token("/html/body/div/h1", 1)]
-    assert html_extract.template(tokens) == [("", ["/html", "/html/body"]), ("/html/body", ["/html/body/div"])]
+def test_deep_pages(spark):
+    deep = [f"<html><body>{'<div>' * 60_000}<h1>Head {k}</h1><p>{f'Body {k} ' * 30}</p></body></html>" for k in range(3)]
+    got = html_extract.extract(spark.createDataFrame([(k, "http://a.example/", p) for k, p in enumerate(deep)], "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k: f"Head {k}\n\n" + " ".join([f"Body {k}"] * 30) for k in range(3)}
 
 
 def test_wrappers_with_layout_names_are_read(spark):
