@@ -247,10 +247,11 @@ def subsurface_speed(df: DataFrame, fixes: DataFrame, apart: int = 600, limit: f
     `df`: glider_id, t_s, seq, latitude, longitude.
     """
     fix = {"fix": F.col("__fix")}
+    stamps = materialise(df.select("glider_id", "t_s", "seq"))
 
     def nearest(shift: int, forward: bool) -> DataFrame:
-        probe = df.select("glider_id", (F.col("t_s") + shift).alias("t_s"), F.col("seq").alias("__row"))
-        runs = Runs(merge_stamps(probe, fixes), seq="__i", **({"nxt": fix} if forward else {"prev": fix}))
+        probe = stamps.select("glider_id", (F.col("t_s") + shift).alias("t_s"), F.col("seq").alias("__row"))
+        runs = Runs(materialise(merge_stamps(probe, fixes)), seq="__i", **({"nxt": fix} if forward else {"prev": fix}))
         runs.with_columns({"__f": runs.after("fix") if forward else runs.before("fix")})
         return runs.done().filter("__row IS NOT NULL").select("glider_id", F.col("__row").alias("seq"), "__f")
 

@@ -96,38 +96,51 @@ class Runs:
         else:
             framed = framed.withColumn("__run", F.col("__home"))
 
-        run_order = Window.partitionBy(*keys).orderBy("__run")
-        if self.prev or self.total or self.peak:
-            upto = run_order.rowsBetween(Window.unboundedPreceding, 0)
-            summary = df.groupBy(*keys, F.floor((s + before) / n).alias("__run")).agg(
-                *[F.max_by(e, F.when(e.isNotNull(), s)).alias(f"__prev_{k}") for k, e in self.prev.items()],
-                *[F.sum(e).alias(f"__total_{k}") for k, e in self.total.items()],
-                *[F.max(e).alias(f"__peak_{k}") for k, e in self.peak.items()],
-            )
-            summary = summary.select(
-                *keys,
-                (F.col("__run") + 1).alias("__run"),
-                *[F.last(f"__prev_{k}", ignorenulls=True).over(upto).alias(f"__prev_{k}") for k in self.prev],
-                *[F.sum(f"__total_{k}").over(upto).alias(f"__total_{k}") for k in self.total],
-                *[F.max(f"__peak_{k}").over(upto).alias(f"__peak_{k}") for k in self.peak],
-            )
-            framed = framed.join(summary.hint("shuffle_hash"), [*keys, "__run"], "left")
-        if self.nxt:
-            # frames that end at the last row are evaluated backwards: growing frames cost one pass
-            onward = Window.partitionBy(*keys).orderBy(F.desc("__run")).rowsBetween(Window.unboundedPreceding, 0)
-            summary = df.groupBy(*keys, F.floor((s - after) / n).alias("__run")).agg(
-                *[F.min_by(e, F.when(e.isNotNull(), s)).alias(f"__next_{k}") for k, e in self.nxt.items()]
-            )
-            summary = summary.select(
-                *keys,
-                (F.col("__run") - 1).alias("__run"),
-                *[F.last(f"__next_{k}", ignorenulls=True).over(onward).alias(f"__next_{k}") for k in self.nxt],
-            )
-            framed = framed.join(summary.hint("shuffle_hash"), [*keys, "__run"], "left")
+        if self.prev or self.total or self.peak or self.nxt:
+            framed = framed.join(self._carried(df, keys, s, n, before, after).hint("shuffle_hash"), [*keys, "__run"], "left")
         self.df = framed
         self.w = Window.partitionBy(*keys, "__run").orderBy(seq)
         self.back = Window.partitionBy(*keys, "__run").orderBy(F.desc(seq))
 
+    def _carried(self, df: DataFrame, keys: list[str], s: Column, n: int, before: int, after: int) -> DataFrame:
+        """One row per (key, run) with what is carried into it from both sides; df is read once."""
+        past = [f"__prev_{k}" for k in self.prev], [f"__total_{k}" for k in self.total], [f"__peak_{k}" for k in self.peak]
+        future = [f"__next_{k}" for k in self.nxt]
+        # rows before a run end where its halo begins, rows after it begin where its halo ends
+        cells = df.groupBy(*keys, F.floor((s + before) / n).alias("__up"), F.floor((s - after) / n).alias("__down")).agg(
+            *[F.max_by(e, F.when(e.isNotNull(), s)).alias(c) for c, e in zip(past[0], self.prev.values())],
+            *[F.sum(e).alias(c) for c, e in zip(past[1], self.total.values())],
+            *[F.max(e).alias(c) for c, e in zip(past[2], self.peak.values())],
+            *[F.min_by(e, F.when(e.isNotNull(), s)).alias(c) for c, e in zip(future, self.nxt.values())],
+        )
+        sides = [F.lit(True)] * any(past) + [F.lit(False)] * bool(future)
+        side = F.col("__earlier")
+        told = cells.withColumn("__earlier", F.explode(F.array(*sides))).select(
+            *keys,
+            F.when(side, F.col("__up") + 1).otherwise(F.col("__down") - 1).alias("__run"),
+            F.when(side, F.col("__down")).otherwise(F.col("__up")).alias("__cell"),
+            *[F.when(side, F.col(c)).alias(c) for names in past for c in names],
+            *[F.when(~side, F.col(c)).alias(c) for c in future],
+        )
+        place = lambda c: F.when(F.col(c).isNotNull(), F.col("__cell"))
+        per_run = told.groupBy(*keys, "__run").agg(
+            *[F.max_by(c, place(c)).alias(c) for c in past[0]],
+            *[F.sum(c).alias(c) for c in past[1]],
+            *[F.max(c).alias(c) for c in past[2]],
+            *[F.min_by(c, place(c)).alias(c) for c in future],
+        )
+        upto = Window.partitionBy(*keys).orderBy("__run").rowsBetween(Window.unboundedPreceding, 0)
+        # frames that end at the last row are evaluated backwards: growing frames cost one pass
+        onward = Window.partitionBy(*keys).orderBy(F.desc("__run")).rowsBetween(Window.unboundedPreceding, 0)
+        return per_run.select(
+            *keys,
+            "__run",
+            *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in past[0]],
+            *[F.sum(c).over(upto).alias(c) for c in past[1]],
+            *[F.max(c).over(upto).alias(c) for c in past[2]],
+            *[F.last(c, ignorenulls=True).over(onward).alias(c) for c in future],
+        )
+
     # -- window expressions -------------------------------------------------------------
     def lag(self, col: str | Column, k: int = 1) -> Column:
         return F.lag(col, k).over(self.w)

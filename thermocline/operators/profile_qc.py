@@ -65,7 +65,7 @@ def digit_rollover(df: DataFrame, variable: str) -> DataFrame:
     after = F.coalesce(same("lead") & (F.abs(runs.lead("v") - F.col("v")) > limit), F.lit(False))
     joins = F.coalesce(same("lag") & F.col("v").isNotNull() & runs.lag("v").isNotNull(), F.lit(False))
     runs.with_columns({"jump": before | after, "opens": (~joins).cast("int")})
-    ids = Runs(runs.done(), total={"opens": F.col("opens")})
+    ids = Runs(materialise(runs.done()), total={"opens": F.col("opens")})
     ids.with_columns({"run": ids.cumulative("opens")})
     rows = ids.done("opens").filter("v IS NOT NULL")
     jumped = rows.filter("jump").select("glider_id", "run").distinct()

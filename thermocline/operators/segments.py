@@ -25,7 +25,7 @@ def ground_distance(df: DataFrame) -> DataFrame:
     runs = Runs(stats_join(df, mean, ["glider_id"]), prev={"fix": fix})
     runs.with_columns({"__p": runs.before("fix")})
     leg = planar_metres(F.col("__p.latitude"), F.col("__p.longitude"), F.col("latitude"), F.col("longitude"), F.col("__lat"))
-    legs = runs.with_columns({"__leg": F.coalesce(leg, F.lit(0.0))}).done("__p", "__lat")
+    legs = materialise(runs.with_columns({"__leg": F.coalesce(leg, F.lit(0.0))}).done("__p", "__lat"))
     sums = Runs(legs, total={"leg": F.col("__leg")})
     sums.with_columns({"distance_over_ground": sums.cumulative("leg")})
     return sums.done("__leg")
@@ -139,7 +139,7 @@ def number_phases(df: DataFrame, phase: str = "phase", first: int = 0) -> DataFr
     """Consecutive rows of the same phase share a number."""
     runs = Runs(df, before=1)
     runs.with_columns({"__change": F.coalesce((F.col(phase) != runs.lag(phase)).cast("int"), F.lit(0))})
-    sums = Runs(runs.done(), total={"change": F.col("__change")})
+    sums = Runs(materialise(runs.done()), total={"change": F.col("__change")})
     sums.with_columns({"phase_number": sums.cumulative("change") + first})
     return sums.done("__change")
 
