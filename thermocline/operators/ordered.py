@@ -9,7 +9,7 @@ aggregates the distinct values of a whole key in one task:
   computed from one summary row per run.
 * `exact_quantiles` brackets each quantile with a mergeable sketch and ranks only the values
   inside the bracket.
-* `stats_join` broadcasts per-key statistics only after counting them.
+* `stats_join` joins per-key statistics and leaves the broadcast to measured bytes.
 """
 
 from __future__ import annotations
