@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from thermocline.llm import html_extract
 from thermocline.llm.html_extract import article
 
@@ -139,3 +141,15 @@ def test_marks_of_single_pages():
     assert article("<body><article>in</article><div class='comments'><article>said</article></div>", "") == "in"
     assert article("<body><div class='search'>found</div>", "") == "found"
     assert article("<div class='post-comments'>x</div><div class='sidebar-2'>y</div><p>z", "") == "z"
+
+
+def test_given_pages_without_their_names(spark):
+    """The given pages have the same texts when no tag or class names the article, the menu, the advert or the footer."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html")
+    plain = F.col("html")
+    for a, b in (("<article>", '<div class="q">'), ("</article>", "</div>"), ("<nav>", '<div class="n">'), ("</nav>", "</div>"), ('class="ad"', 'class="c7"'), ("<footer>", '<div class="z">'), ("</footer>", "</div>")):
+        plain = F.replace(plain, F.lit(a), F.lit(b))
+    hosts = pages.groupBy(html_extract.host_of(F.col("url")).alias("h")).count().where("count >= 3").select("h")
+    shared = pages.join(hosts, html_extract.host_of(F.col("url")) == F.col("h"), "left_semi")
+    named = {r["page_id"]: r["text"] for r in html_extract.extract(shared).collect()}
+    assert named and {r["page_id"]: r["text"] for r in html_extract.extract(shared.withColumn("html", plain)).collect()} == named
