@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import quotient
-from .ordered import exact_quantiles, stats_join, with_quantiles
+from ..session import materialise
+from .ordered import exact_quantiles, stats_join
 
 PROFILE = ["glider_id", "profile_index"]
 GAP_SECONDS = 48 * 3600
@@ -52,6 +53,9 @@ def profile_grid(
     points = (
         long_values(df, variables, [*PROFILE, "depth"], apply_qc)
         .filter(F.col("profile_index").isNotNull() & F.col("depth").isNotNull())
+        # the only shuffle: all that follows groups by profile and variable, and cells don't move. A number is
+        # named because adaptive execution would join partitions by their bytes, which are few before cells are filled
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
         .groupBy(*keys, "depth")
         .agg(F.avg("value").alias("value"))
     )
@@ -76,20 +80,17 @@ def profile_grid(
     on_centre = (F.col("slot") % 2 == 0) & (F.col("bottom.d") == F.col("slot") / 2.0 + 0.5)
     last = F.when(F.col("next_slot").isNotNull(), half(F.col("next_slot")) - 1).when(on_centre, first).otherwise(-1)
     last = F.least(last, reach)
-    nearest = F.least(F.greatest(F.floor(F.col("slot") / 2.0), F.lit(0)), reach)
+    near = lambda c: F.least(F.greatest(F.floor(c / 2.0), F.lit(0)), reach)
+    nearest = near(F.col("slot"))
     none = F.array().cast("array<bigint>")
-    cells = F.when(sparse, F.array(nearest)).when(first <= last, F.sequence(first, last)).otherwise(none)
+    # a sparse profile may reach one cell from two slots: the deeper one stays
+    hidden = F.coalesce(near(F.col("next_slot")) == nearest, F.lit(False))
+    cells = F.when(sparse, F.when(hidden, none).otherwise(F.array(nearest))).when(first <= last, F.sequence(first, last)).otherwise(none)
     out = framed.withColumn("sparse", sparse).withColumn("cell", F.explode(cells))
     centre, low, high = F.col("cell") + 0.5, F.col("bottom"), F.col("next_top")
     line = low["v"] + (high["v"] - low["v"]) * quotient(centre - low["d"], high["d"] - low["d"])
     value = F.when(F.col("sparse") | (low["d"] == centre), low["v"]).otherwise(line)
-    # a sparse profile may reach one cell from two slots: the deeper one stays
-    return (
-        out.withColumn("value", value)
-        .withColumn("rank", F.row_number().over(Window.partitionBy(*keys, "cell").orderBy(F.desc("slot"))))
-        .filter("rank = 1")
-        .select(*keys, "cell", (F.col("cell") + 0.5).alias("depth"), "value")
-    )
+    return out.select(*keys, "cell", (F.col("cell") + 0.5).alias("depth"), value.alias("value"))
 
 
 def time_grid(
@@ -158,7 +159,8 @@ def column_table(df: DataFrame) -> DataFrame:
 
 def mask_gaps(grid: DataFrame, columns: DataFrame) -> DataFrame:
     """Drop the cells of a column that follows a gap of more than 48 h."""
-    return grid.join(columns.filter("after_gap").select(*PROFILE), PROFILE, "left_anti")
+    gaps = materialise(columns.filter("after_gap").select(*PROFILE))
+    return stats_join(grid, gaps, PROFILE, "left_anti")
 
 
 def suppress_sparse_cells(grid: DataFrame, columns: DataFrame) -> DataFrame:
@@ -168,7 +170,8 @@ def suppress_sparse_cells(grid: DataFrame, columns: DataFrame) -> DataFrame:
     thin = stats_join(filled, profiles, ["glider_id"]).filter(
         (F.col("profiles") > 5) & (F.col("filled") < F.greatest(F.col("profiles") * 0.1, F.lit(3.0)))
     )
-    return grid.join(thin.select("glider_id", "variable", "cell"), ["glider_id", "variable", "cell"], "left_anti")
+    cells = ["glider_id", "variable", "cell"]
+    return stats_join(grid, materialise(thin.select(*cells)), cells, "left_anti")
 
 
 def display_limits(grid: DataFrame) -> DataFrame:
@@ -181,10 +184,10 @@ def usable_depth(grid: DataFrame, columns: DataFrame, extent: DataFrame, share:
     """Deepest cell filled in 10 % of the profiles plus padding; else the deepest filled cell."""
     filled = grid.groupBy("glider_id", "variable", "cell").agg(F.count(F.lit(1)).alias("filled"))
     profiles = columns.groupBy("glider_id").agg(F.count(F.lit(1)).alias("profiles"))
-    per = filled.join(profiles, "glider_id").groupBy("glider_id", "variable").agg(
+    per = stats_join(filled, profiles, ["glider_id"], "inner").groupBy("glider_id", "variable").agg(
         F.max(F.when(F.col("filled") / F.col("profiles") >= share, F.col("cell") + 0.5)).alias("good"),
         F.max(F.col("cell") + 0.5).alias("any"),
     )
     pad = F.col("good") + F.greatest(F.lit(10.0), F.col("good") * 0.05)
     limit = F.coalesce(F.least(pad, F.col("cells") - 0.5), F.col("any"))
-    return per.join(extent, "glider_id").select("glider_id", "variable", limit.alias("usable_depth"))
+    return stats_join(per, extent, ["glider_id"], "inner").select("glider_id", "variable", limit.alias("usable_depth"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import quotient
+from ..session import materialise
 from .grid import PROFILE, mask_gaps
 from .ordered import Runs, exact_quantiles, number_rows, stats_join, with_quantiles
 
@@ -81,8 +82,9 @@ def iso_depth(grid: DataFrame, levels: DataFrame, variable: str, falling: bool)
 def depth_anomaly(grid: DataFrame, columns: DataFrame, usable: DataFrame) -> DataFrame:
     """Value minus its mean over time at each depth, with the 95 % limit of its size."""
     shown = trimmed(grid, columns, usable)
-    means = shown.groupBy("glider_id", "variable", "cell").agg(F.avg("value").alias("mean"))
-    anomaly = shown.join(means, ["glider_id", "variable", "cell"]).withColumn("anomaly", F.col("value") - F.col("mean"))
+    cells = ["glider_id", "variable", "cell"]
+    means = materialise(shown.groupBy(*cells).agg(F.avg("value").alias("mean")))
+    anomaly = stats_join(shown, means, cells, "inner").withColumn("anomaly", F.col("value") - F.col("mean"))
     out = with_quantiles(anomaly, {"q": (F.abs("anomaly"), [0.95])}, ["glider_id", "variable"])
     return out.withColumn("anomaly_limit", F.col("q")[0]).drop("q", "q_n", "mean")
 
@@ -108,14 +110,15 @@ def vertical_gradient(grid: DataFrame, columns: DataFrame, usable: DataFrame, li
     cap = usable if limit is None else usable.withColumn("usable_depth", F.least(F.lit(limit), F.col("usable_depth")))
     along = Window.partitionBy(*PROFILE, "variable").orderBy("cell")
     cell = F.col("cell")
-    shown = trimmed(grid, columns, cap).withColumns(
+    # only what is needed is moved; the centre of a cell follows from its number
+    kept = trimmed(grid, columns, cap).select(*PROFILE, "variable", "cell", "value", F.floor(F.col("usable_depth") - 0.5).alias("last"))
+    shown = kept.withColumns(
         {
             "back": F.when(F.lag("cell").over(along) == cell - 1, F.lag("value").over(along)),
             "ahead": F.when(F.lead("cell").over(along) == cell + 1, F.lead("value").over(along)),
-            "last": F.floor(F.col("usable_depth") - 0.5),
         }
     )
-    x = F.col("depth")
+    x = cell + 0.5
     x0, x1 = F.when(cell > 0, x - 1.0), F.when(cell < F.col("last"), x + 1.0)
     slope = uneven_gradient(F.col("back"), F.col("value"), F.col("ahead"), x0, x, x1)
     return shown.withColumn("gradient", slope).filter("gradient IS NOT NULL").select(*PROFILE, "variable", "cell", "gradient")
@@ -123,7 +126,7 @@ def vertical_gradient(grid: DataFrame, columns: DataFrame, usable: DataFrame, li
 
 def profile_envelope(grid: DataFrame) -> DataFrame:
     """Minimum, quartiles and maximum per depth cell."""
-    q = exact_quantiles(grid, ["glider_id", "variable", "cell"], {"q": (F.col("value"), [0.0, 0.25, 0.5, 0.75, 1.0])})
+    q = exact_quantiles(grid, ["glider_id", "variable", "cell"], {"q": (F.col("value"), [0.0, 0.25, 0.5, 0.75, 1.0])}, octave=4096)
     names = ["v_min", "p25", "median", "p75", "v_max"]
     return q.select("glider_id", "variable", "cell", *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
 

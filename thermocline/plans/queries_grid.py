@@ -63,6 +63,11 @@ def gridded(spark, sf):
     )
 
 
+def usable_depths(grid, cols, extent):
+    """Written once: the products read it more than once."""
+    return materialise(gr.usable_depth(grid, cols, extent))
+
+
 @query("grid_profiles", sql("SELECT glider_id, profile_index, variable, CAST(cell AS BIGINT) AS cell, CAST(depth AS DOUBLE) AS depth, round(value, 6) AS value FROM grid", *GRID))
 def profiles(spark, sf):
     return rounded(gr.profile_grid(thinned(spark, sf), VARIABLES))
@@ -192,7 +197,7 @@ ANOMALY_CTE = "ga AS (SELECT *, value - avg(value) OVER (PARTITION BY glider_id,
 )
 def anomaly(spark, sf):
     grid, cols, extent = gridded(spark, sf)
-    out = se.depth_anomaly(grid, cols, gr.usable_depth(grid, cols, extent))
+    out = se.depth_anomaly(grid, cols, usable_depths(grid, cols, extent))
     return rounded(out.withColumn("anomaly", F.col("anomaly") + 3e-8).select("glider_id", "profile_index", "variable", "cell", "anomaly", "anomaly_limit"))
 
 
@@ -207,7 +212,7 @@ def anomaly(spark, sf):
 )
 def gradient(spark, sf):
     grid, cols, extent = gridded(spark, sf)
-    return rounded(se.vertical_gradient(grid, cols, gr.usable_depth(grid, cols, extent), limit=600.0))
+    return rounded(se.vertical_gradient(grid, cols, usable_depths(grid, cols, extent), limit=600.0))
 
 
 @query(
@@ -247,7 +252,7 @@ def surface(spark, sf):
 )
 def extract(spark, sf):
     grid, cols, extent = gridded(spark, sf)
-    return rounded(se.section(grid, cols, gr.usable_depth(grid, cols, extent), ["temperature", "chlorophyll"], floor_zero=True))
+    return rounded(se.section(grid, cols, usable_depths(grid, cols, extent), ["temperature", "chlorophyll"], floor_zero=True))
 
 
 FLAG_JOIN = "fq AS (SELECT cl.*, temperature_QC, salinity_QC, latitude_QC FROM cl JOIN fl USING (glider_id, t_s))"
