@@ -172,8 +172,9 @@ def upsert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def load_parquet(rows: DataFrame, path: str, keys: list[str]) -> None:
-    """Idempotent load into a table partitioned by glider and day; only the days in `rows` are rewritten.
+    """Idempotent load into a table partitioned by glider and 30 days; only the periods in `rows` are rewritten.
 
+    A folder a day would hold a few hundred rows of a slow record: the files, not the rows, were the work.
     A key fixes its glider and time, as observation keys do. The merged rows are written aside first, so a lost executor never re-reads files that are
     being replaced.
     """
@@ -182,17 +183,17 @@ def load_parquet(rows: DataFrame, path: str, keys: list[str]) -> None:
     from ..session import materialise
 
     spark = rows.sparkSession
-    day = F.floor(F.col("t_s") / 86_400) if "t_s" in rows.columns else F.lit(0)
-    parts = ["glider_id", "load_day"]
+    period = F.floor(F.col("t_s") / (30 * 86_400)) if "t_s" in rows.columns else F.lit(0)
+    parts = ["glider_id", "load_period"]
     try:
-        table = spark.read.parquet(path).select(*rows.columns, "load_day")
-        touched = stats_join(table, rows.select("glider_id", day.alias("load_day")).distinct(), parts, "left_semi")
+        table = spark.read.parquet(path).select(*rows.columns, "load_period")
+        touched = stats_join(table, rows.select("glider_id", period.alias("load_period")).distinct(), parts, "left_semi")
         merged = upsert(touched.select(*rows.columns), rows, keys)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
         merged = one_per_key(rows, keys)
-    done = materialise(merged).withColumn("load_day", day)
+    done = materialise(merged).withColumn("load_period", period)
     (
         done.repartition(*parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(path)
