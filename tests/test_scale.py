@@ -3,10 +3,12 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from thermocline.operators import corrections, greedy, grid, median_distance
 from thermocline.operators.grid import profile_grid
 from thermocline.operators.ordered import coarse_bin, exact_quantiles, stats_join
 from thermocline.operators.publish import load_parquet
 from thermocline.operators.reports import sensor_failures
+from thermocline.plans import queries_profiles
 
 
 def plan(df):
@@ -58,3 +60,16 @@ def test_a_slow_record_needs_few_folders(spark, tmp_path):
     load_parquet(rows.withColumn("value", F.lit(2.0)).filter("k < 35"), path, ["k"])
     assert len(list((tmp_path / "t").glob("glider_id=G/*"))) == 2
     assert {r.k: r.value for r in spark.read.parquet(path).collect()} == {k: 2.0 if k < 35 else 1.0 for k in range(40)}
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tasks_of_the_grid_grow_in_number_with_the_samples(spark, monkeypatch):
+    monkeypatch.setattr(grid, "TASK_SAMPLES", 10)
+    rows = [("G", p, float(d), float(d + p)) for p in range(2) for d in range(1, 40)]
+    made = profile_grid(spark.createDataFrame(rows, "glider_id string, profile_index long, depth double, v double"), ["v"])
+    # 78 samples, 4 partitions by the settings
+    assert "RepartitionByExpression [glider_id" in optimized(made) and ", 8" in optimized(made).split("RepartitionByExpression")[1].split("\n")[0]
+    assert made.count() == 76

@@ -13,6 +13,8 @@ from ..session import materialise
 from .ordered import exact_quantiles, stats_join
 
 PROFILE = ["glider_id", "profile_index"]
+#: samples that one task of `profile_grid` holds, about
+TASK_SAMPLES = 200_000
 GAP_SECONDS = 48 * 3600
 
 
@@ -27,11 +29,11 @@ def long_values(df: DataFrame, variables: list[str], keep: list[str], apply_qc:
     return df.select(*keep, F.explode(pairs).alias("x")).select(*keep, "x.variable", "x.value").filter("value IS NOT NULL")
 
 
-def grid_extent(df: DataFrame) -> DataFrame:
+def grid_extent(df: DataFrame, *more: Column) -> DataFrame:
     """Number of 1 m cells per glider: down to the deepest sample, 1000 if that is under 10 m."""
     deepest = F.max("depth")
     return df.groupBy("glider_id").agg(
-        F.ceil(F.when(deepest >= 10, deepest).otherwise(1000.0)).cast("bigint").alias("cells")
+        F.ceil(F.when(deepest >= 10, deepest).otherwise(1000.0)).cast("bigint").alias("cells"), *more
     )
 
 
@@ -50,12 +52,16 @@ def profile_grid(
     interpolate it, and no step sees more rows per profile than there are slots.
     """
     keys = [*PROFILE, "variable"]
+    # a row per glider, with its number of samples: tasks grow in number with them, so that none grows
+    counted = materialise(grid_extent(df, sum(F.count(v) for v in variables).alias("__samples")))
+    samples = counted.agg(F.sum("__samples")).first()[0] or 0
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-samples // TASK_SAMPLES))
     points = (
         long_values(df, variables, [*PROFILE, "depth"], apply_qc)
         .filter(F.col("profile_index").isNotNull() & F.col("depth").isNotNull())
         # the only shuffle: all that follows groups by profile and variable, and cells don't move. A number is
         # named because adaptive execution would join partitions by their bytes, which are few before cells are filled
-        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+        .repartition(tasks, *keys)
         .groupBy(*keys, "depth")
         .agg(F.avg("value").alias("value"))
     )
@@ -65,7 +71,7 @@ def profile_grid(
     )
     everything = Window.partitionBy(*keys)
     along = everything.orderBy("slot")
-    framed = stats_join(slots, grid_extent(df), ["glider_id"]).withColumns(
+    framed = stats_join(slots, counted.drop("__samples"), ["glider_id"]).withColumns(
         {
             "points": F.sum("n").over(everything),
             "span": F.max("bottom.d").over(everything) - F.min("top.d").over(everything),
