@@ -73,3 +73,11 @@ def test_tasks_of_the_grid_grow_in_number_with_the_samples(spark, monkeypatch):
     # 78 samples, 4 partitions by the settings
     assert "RepartitionByExpression [glider_id" in optimized(made) and ", 8" in optimized(made).split("RepartitionByExpression")[1].split("\n")[0]
     assert made.count() == 76
+
+
+def test_levels_near_the_median_draw_no_curve(spark):
+    rows = [("G", p, "temperature", k, float(5 * k), 20.0 - 0.1 * k + (9.0 if p == 1 and k == 6 else 0.0), 20.0 - 0.1 * k, False, False) for p in range(2) for k in range(1, 13)]
+    names = "glider_id string, profile_index long, variable string, seq long, p double, v double, median double, alone boolean, equator boolean"
+    out = median_distance.outside_envelope(spark.createDataFrame(rows, names))
+    assert "collect_set" in optimized(out)
+    assert [(r.profile_index, r.seq) for r in out.collect()] == [(1, 6)]

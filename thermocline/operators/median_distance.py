@@ -98,8 +98,9 @@ def running_median(rows: DataFrame) -> DataFrame:
     reach = int(WIDTHS[-1] / 2) + 1
     frame = Window.partitionBy(*key).orderBy("p").rangeBetween(-reach, reach)
     me, out = F.struct("p", "i", "v"), F.col("out")
-    rows = rows.withColumns({"near": F.array_sort(F.collect_list(F.when(~out, me)).over(frame)), "half": _half_width(F.col("p"))})
-    rows = rows.withColumn("near", F.filter("near", lambda x: F.abs(x["p"] - F.col("p")) < F.col("half")))
+    rows = rows.withColumns({"near": F.collect_list(F.when(~out, me)).over(frame), "half": _half_width(F.col("p"))})
+    # few of the widest frame lie in a level's own; sort_array compares by generated code, array_sort by a lambda
+    rows = rows.withColumn("near", F.sort_array(F.filter("near", lambda x: F.abs(x["p"] - F.col("p")) < F.col("half"))))
     rows = rows.withColumns({"above": F.filter("near", lambda x: x["p"] < F.col("p")), "below": F.filter("near", lambda x: x["p"] > F.col("p"))})
     rows = rows.withColumn("side", F.least(F.size("above"), F.size("below")))
     own = F.when(out, F.slice(F.array(me), 1, 0)).otherwise(F.array(me))
@@ -110,7 +111,7 @@ def running_median(rows: DataFrame) -> DataFrame:
     at = lambda k: F.coalesce(F.get("used", k)["i"] == F.col("i"), F.lit(False))
     rows = rows.withColumns(
         {
-            "middle": F.array_sort(F.col("used.v"))[F.floor(size / 2).cast("int")],
+            "middle": F.sort_array(F.col("used.v"))[F.floor(size / 2).cast("int")],
             "ends": ~out & ~F.lag("out").over(w) & (at(size - 1) | at(size - 2)),
             "begins": ~out & ~F.lead("out").over(w) & (at(F.lit(0)) | at(F.lit(1))) & ~((F.col("variable") == "temperature") & (F.col("g") > GENTLE_RISE)),
         }
@@ -141,9 +142,15 @@ def outside_envelope(rows: DataFrame) -> DataFrame:
 
     borders = (-1e9, *WIDTH_LEVELS[1:], 1e9)
     zones = F.array(*[F.struct(F.lit(k).alias("k"), distance(k).alias("d"), F.lit(borders[k]).alias("top"), F.lit(borders[k + 1]).alias("bottom")) for k in range(4)])
+    # the largest reach of the own point of the curve is where it stands: levels within it are never outside, and
+    # the curve is drawn only for the zones of the others
+    own = F.get(zones, F.col("zone"))["d"]
+    here = F.col("extent") * F.sqrt(own * own)
+    far = (F.col("v") > F.col("median") + here) | (F.col("v") < F.col("median") - here) | F.isnan(F.col("p") - F.col("p"))
+    rows = rows.withColumn("wanted", F.collect_set(F.when(F.coalesce(far, F.lit(True)), F.col("zone"))).over(whole)).filter(F.size("wanted") > 0)
     # a zone's levels see the points of the curve within its distance, those on long segments included
-    seen = F.filter(zones, lambda z: (F.coalesce("p1", "p") >= z["top"] - z["d"] * DEPTH_SCALE) & (F.col("p") <= z["bottom"] + z["d"] * DEPTH_SCALE))
-    parts = rows.withColumn("z", F.explode(seen))
+    seen = F.filter(zones, lambda z: F.array_contains("wanted", z["k"]) & (F.coalesce("p1", "p") >= z["top"] - z["d"] * DEPTH_SCALE) & (F.col("p") <= z["bottom"] + z["d"] * DEPTH_SCALE))
+    parts = rows.withColumn("far", F.coalesce(far, F.lit(True))).withColumn("z", F.explode(seen))
     dx, dp, d, lx = F.col("x1") - F.col("median"), F.col("p1") - F.col("p"), F.col("z.d"), F.col("extent")
     between = F.coalesce(F.floor(F.sqrt(dx * dx + (dp * lx / DEPTH_SCALE) ** 2) / (d * lx) - 0.2), F.lit(0)).cast("int")
     parts = parts.withColumn("between", between)
@@ -152,7 +159,7 @@ def outside_envelope(rows: DataFrame) -> DataFrame:
         F.col("between") > 0,
         F.transform(F.sequence(F.lit(1), F.col("between")), lambda j: F.struct((F.col("p") + dp * share(j)).alias("cp"), (F.col("median") + dx * share(j)).alias("cx"), F.lit(False).alias("level"))),
     ).otherwise(F.array().cast("array<struct<cp:double,cx:double,level:boolean>>"))
-    me = F.struct(F.col("p").alias("cp"), F.col("median").alias("cx"), (F.col("zone") == F.col("z.k")).alias("level"))
+    me = F.struct(F.col("p").alias("cp"), F.col("median").alias("cx"), ((F.col("zone") == F.col("z.k")) & F.col("far")).alias("level"))
     points = parts.withColumn("c", F.explode(F.concat(F.array(me), added))).select(*key, "seq", "v", "extent", d.alias("d"), F.col("z.k").alias("k"), "c.*")
     reach = int(ALONE_EQUATOR[0] * DEPTH_SCALE)
     frame = Window.partitionBy(*key, "k").orderBy("cp").rangeBetween(-reach, reach)
