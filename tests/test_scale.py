@@ -81,3 +81,20 @@ def test_levels_near_the_median_draw_no_curve(spark):
     out = median_distance.outside_envelope(spark.createDataFrame(rows, names))
     assert "collect_set" in optimized(out)
     assert [(r.profile_index, r.seq) for r in out.collect()] == [(1, 6)]
+
+
+def test_lambda_functions_over_times_evaluate_no_expression_again(spark):
+    times = [0, 10, 25, 31, 40, 70]
+    runs = spark.createDataFrame([("G", 0, times, times[0])], "glider_id string, run long, times array<bigint>, first bigint")
+    steps = greedy._functions(runs, 30)
+    assert optimized(steps).count("transform(") == 1
+    # what a time carried from before the run leaves as, by a plain walk
+    def walk(carried):
+        for t in times:
+            if t - carried >= 30:
+                carried = t
+        return carried
+
+    got = steps.first().steps
+    for carried in range(-60, 1):
+        assert next((s.exit for s in got if s.bound >= carried), carried) == walk(carried)

@@ -36,12 +36,17 @@ def _shortest(steps: Column) -> Column:
     return F.filter(steps, lambda s, k: ~s["exit"].eqNullSafe(F.get(steps, k + 1)["exit"]))
 
 
-def _function(times: Column, apart: int) -> Column:
-    """Steps of a run of sorted times: one for each time that can be the first one kept."""
-    first, following = times[0], F.filter(times, lambda t: t >= times[0] + apart)
+def _functions(runs: DataFrame, apart: int) -> DataFrame:
+    """Add `steps` to runs of sorted `times`: one for each time that can be the first one kept.
+
+    What a lambda function uses is a column: an expression would be evaluated once for each time.
+    """
+    times, first = F.col("times"), F.col("first")
+    following = F.filter(times, lambda t: t >= first + apart)
     entries = F.concat(F.filter(times, lambda t: t < first + apart), F.slice(following, 1, 1))
     leaves = lambda e: F.aggregate(times, e, lambda last, t: F.when(t - last >= apart, t).otherwise(last))
-    return _shortest(F.transform(F.array_distinct(entries), lambda e: _step(e - apart, leaves(e))))
+    steps = F.transform(F.array_distinct(entries), lambda e: _step(e - apart, leaves(e)))
+    return runs.withColumn("steps", steps).withColumn("steps", _shortest(F.col("steps"))).drop("times", "first")
 
 
 def _composed(functions: Column) -> Column:
@@ -71,9 +76,10 @@ def keep_spaced(df: DataFrame, apart: int, key: str = "glider_id", t: str = "t_s
     """
     n = min(RUN, run_rows(df.sparkSession))
     rows = df.select(key, F.floor(F.col(seq) / n).alias("run"), F.struct(F.col(seq).cast("bigint").alias("seq"), F.col(t).cast("bigint").alias("t")).alias("row"))
-    runs = materialise(rows.groupBy(key, "run").agg(F.array_sort(F.collect_list("row")).alias("rows")))
+    runs = rows.groupBy(key, "run").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    runs = materialise(runs.withColumns({"times": F.col("rows.t"), "first": F.col("rows")[0]["t"]}))
     grouped = lambda level: level.groupBy(key, F.floor(F.col("run") / GROUP).alias("group")).agg(F.array_sort(F.collect_list(F.struct("run", "steps"))).alias("functions"))
-    levels = [grouped(runs.select(key, "run", _function(F.col("rows.t"), apart).alias("steps")))]
+    levels = [grouped(_functions(runs.select(key, "run", "times", "first"), apart))]
     while (most := levels[-1].agg(F.max("group")).first()[0]) is not None and most > 0:
         levels[-1] = materialise(levels[-1])
         levels.append(grouped(levels[-1].select(key, F.col("group").alias("run"), _composed(F.col("functions")).alias("steps"))))
@@ -90,4 +96,4 @@ def keep_spaced(df: DataFrame, apart: int, key: str = "glider_id", t: str = "t_s
         begin,
         lambda a, r: F.when(r["t"] - a["last"] >= apart, F.struct(r["t"].alias("last"), F.concat(a["kept"], F.array(r["seq"])).alias("kept"))).otherwise(a),
     )["kept"]
-    return runs.join(carried, [key, "run"]).select(key, F.explode(kept).alias(seq))
+    return runs.drop("times", "first").join(carried, [key, "run"]).select(key, F.explode(kept).alias(seq))
