@@ -98,3 +98,10 @@ def test_lambda_functions_over_times_evaluate_no_expression_again(spark):
     got = steps.first().steps
     for carried in range(-60, 1):
         assert next((s.exit for s in got if s.bound >= carried), carried) == walk(carried)
+
+
+def test_smoothing_has_one_formula_for_all_rows_of_the_fit(spark):
+    rows = [("G", 0, k, float(3 * k * k - k)) for k in range(30)]
+    smooth = corrections.smooth_profiles(spark.createDataFrame(rows, "glider_id string, profile_index long, seq long, v double"), {"v": "s"})
+    assert optimized(smooth).count(" * ") < 60
+    assert np.allclose([r.s for r in smooth.orderBy("seq").collect()], [r[3] for r in rows], rtol=0, atol=1e-8)
