@@ -105,3 +105,14 @@ def test_smoothing_has_one_formula_for_all_rows_of_the_fit(spark):
     smooth = corrections.smooth_profiles(spark.createDataFrame(rows, "glider_id string, profile_index long, seq long, v double"), {"v": "s"})
     assert optimized(smooth).count(" * ") < 60
     assert np.allclose([r.s for r in smooth.orderBy("seq").collect()], [r[3] for r in rows], rtol=0, atol=1e-8)
+
+
+def test_profile_tests_move_only_the_columns_they_read(spark, tmp_path):
+    events = spark.range(90).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60).alias("ts"),
+        F.col("id").alias("user_id"), F.lit("click").alias("event_type"), (F.col("id") * 1.5).alias("value"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    made = queries_profiles.altered(spark, str(tmp_path))
+    tested = queries_profiles.TESTED
+    assert set(made.columns) == {"glider_id", "profile_index", "t_s", "seq", *tested, *[f"{v}_QC" for v in tested]}

@@ -114,7 +114,8 @@ def profile_tests(df: DataFrame, variables: list[str]) -> DataFrame:
         first = first.withColumns(
             {f"{v}_QC": F.greatest(F.col(f"{v}_QC"), hit), "failed_12": F.col("failed_12") | (hit > 0)}
         ).drop("rollover")
-    first = stats_join(first, constant_profiles(base, variables), PROFILE)
+    constant = constant_profiles(base, variables).filter(" OR ".join(f"constant_{v}" for v in variables))
+    first = stats_join(first, materialise(constant), PROFILE)
     stuck = {v: _bad(f"constant_{v}") & F.col(v).isNotNull() for v in variables}
     any_stuck = F.lit(False)
     for m in stuck.values():
