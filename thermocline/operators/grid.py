@@ -45,7 +45,23 @@ def profile_times(df: DataFrame) -> DataFrame:
 def profile_grid(
     df: DataFrame, variables: list[str], apply_qc: bool = False, min_points: int = 4, min_share: float = 0.15
 ) -> DataFrame:
-    """Profiles on 1 m cells: linear between samples, or nearest cell for sparse profiles.
+    """Profiles on 1 m cells: linear between samples, or nearest cell for sparse profiles."""
+    return segment_cells(profile_segments(df, variables, apply_qc, min_points, min_share))
+
+
+def profile_segments(
+    df: DataFrame,
+    variables: list[str],
+    apply_qc: bool = False,
+    min_points: int = 4,
+    min_share: float = 0.15,
+    neighbours: bool = False,
+) -> DataFrame:
+    """The profile grid before its cells are filled: the cells `first` to `last` lie between two points.
+
+    A row is (keys, first, last, sparse, d0, v0, d1, v1); with `neighbours` also the values of the filled cells
+    before the first and after the last one (`above`, `below`). There are at most as many rows as samples, and
+    `segment_cells` makes the cells of a row from that row alone, so a written table of segments serves many readers.
 
     Equal depths are averaged, then each half-metre slot keeps its shallowest and deepest point.
     A cell centre is a slot border, so the slots on either side hold exactly the two points that
@@ -80,7 +96,7 @@ def profile_grid(
         }
     )
     reach = F.col("cells") - 1
-    sparse = (F.col("points") < min_points) | ((reach > 0) & (quotient(F.col("span"), reach) < min_share))
+    sparse = F.coalesce((F.col("points") < min_points) | ((reach > 0) & (quotient(F.col("span"), reach) < min_share)), F.lit(False))
     half = lambda c: F.ceil(c / 2.0)
     first = F.greatest(half(F.col("slot")), F.lit(0))
     on_centre = (F.col("slot") % 2 == 0) & (F.col("bottom.d") == F.col("slot") / 2.0 + 0.5)
@@ -88,15 +104,68 @@ def profile_grid(
     last = F.least(last, reach)
     near = lambda c: F.least(F.greatest(F.floor(c / 2.0), F.lit(0)), reach)
     nearest = near(F.col("slot"))
-    none = F.array().cast("array<bigint>")
     # a sparse profile may reach one cell from two slots: the deeper one stays
     hidden = F.coalesce(near(F.col("next_slot")) == nearest, F.lit(False))
-    cells = F.when(sparse, F.when(hidden, none).otherwise(F.array(nearest))).when(first <= last, F.sequence(first, last)).otherwise(none)
-    out = framed.withColumn("sparse", sparse).withColumn("cell", F.explode(cells))
-    centre, low, high = F.col("cell") + 0.5, F.col("bottom"), F.col("next_top")
-    line = low["v"] + (high["v"] - low["v"]) * quotient(centre - low["d"], high["d"] - low["d"])
-    value = F.when(F.col("sparse") | (low["d"] == centre), low["v"]).otherwise(line)
-    return out.select(*keys, "cell", (F.col("cell") + 0.5).alias("depth"), value.alias("value"))
+    out = (
+        framed.withColumn("sparse", sparse)
+        .withColumns(
+            {
+                "first": F.when(F.col("sparse"), nearest).otherwise(first),
+                "last": F.when(F.col("sparse"), F.when(hidden, nearest - 1).otherwise(nearest)).otherwise(last),
+            }
+        )
+        .filter(F.col("first") <= F.col("last"))
+        .select(
+            *keys, "slot", "first", "last", "sparse",
+            F.col("bottom.d").alias("d0"), F.col("bottom.v").alias("v0"),
+            F.col("next_top.d").alias("d1"), F.col("next_top.v").alias("v1"),
+        )
+    )
+    if neighbours:
+        ends = out.withColumns({"__top": value_at(F.col("first")), "__end": value_at(F.col("last"))})
+        out = ends.withColumns(
+            {
+                "above": F.when(F.lag("last").over(along) == F.col("first") - 1, F.lag("__end").over(along)),
+                "below": F.when(F.lead("first").over(along) == F.col("last") + 1, F.lead("__top").over(along)),
+            }
+        ).drop("__top", "__end")
+    return out.drop("slot")
+
+
+def value_at(cell: Column) -> Column:
+    """Value of a cell of a segment, from the segment's columns."""
+    centre = cell + 0.5
+    line = F.col("v0") + (F.col("v1") - F.col("v0")) * quotient(centre - F.col("d0"), F.col("d1") - F.col("d0"))
+    return F.when(F.col("sparse") | (F.col("d0") == centre), F.col("v0")).otherwise(line)
+
+
+def segment_cells(segments: DataFrame) -> DataFrame:
+    """One row per cell of the segments; with the values of its neighbour cells (`above`, `below`) if the segments know theirs."""
+    cell = F.col("cell")
+    out = segments.withColumn("cell", F.explode(F.sequence("first", "last")))
+    columns = [(cell + 0.5).alias("depth"), value_at(cell).alias("value")]
+    if "above" in segments.columns:
+        columns += [
+            F.when(cell == F.col("first"), F.col("above")).otherwise(value_at(cell - 1)).alias("above"),
+            F.when(cell == F.col("last"), F.col("below")).otherwise(value_at(cell + 1)).alias("below"),
+        ]
+    return out.select(*PROFILE, "variable", "cell", *columns)
+
+
+def with_neighbours(grid: DataFrame) -> DataFrame:
+    """Cells with the values of the cells before and after them (`above`, `below`), NULL where there is none.
+
+    A grid that has them stays as it is: no cell moves.
+    """
+    if "above" in grid.columns:
+        return grid
+    along = Window.partitionBy(*PROFILE, "variable").orderBy("cell")
+    return grid.withColumns(
+        {
+            "above": F.when(F.lag("cell").over(along) == F.col("cell") - 1, F.lag("value").over(along)),
+            "below": F.when(F.lead("cell").over(along) == F.col("cell") + 1, F.lead("value").over(along)),
+        }
+    )
 
 
 def time_grid(

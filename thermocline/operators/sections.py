@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import quotient
 from ..session import materialise
 from .grid import PROFILE, mask_gaps
-from .ordered import Runs, exact_quantiles, number_rows, stats_join, with_quantiles
+from .ordered import Runs, exact_quantiles, narrowed_quantiles, number_rows, stats_join, with_quantiles
 
 
 def mixed_layer_depth(grid: DataFrame, extent: DataFrame, variable: str = "temperature", step: float = 0.2) -> DataFrame:
@@ -126,7 +126,7 @@ def vertical_gradient(grid: DataFrame, columns: DataFrame, usable: DataFrame, li
 
 def profile_envelope(grid: DataFrame) -> DataFrame:
     """Minimum, quartiles and maximum per depth cell."""
-    q = exact_quantiles(grid, ["glider_id", "variable", "cell"], {"q": (F.col("value"), [0.0, 0.25, 0.5, 0.75, 1.0])}, octave=4096)
+    q = narrowed_quantiles(grid, ["glider_id", "variable", "cell"], "value", [0.0, 0.25, 0.5, 0.75, 1.0])
     names = ["v_min", "p25", "median", "p75", "v_max"]
     return q.select("glider_id", "variable", "cell", *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
 

@@ -63,6 +63,16 @@ def gridded(spark, sf):
     )
 
 
+def segmented(spark, sf, neighbours=False):
+    """`gridded` for products over all cells: what the grid reads and its segments are written, cells are made where they are read."""
+    base = materialise(thinned(spark, sf).select("glider_id", "profile_index", "t_s", "depth", *VARIABLES))
+    return (
+        gr.segment_cells(materialise(gr.profile_segments(base, VARIABLES, neighbours=neighbours))),
+        materialise(gr.column_table(base)),
+        materialise(gr.grid_extent(base)),
+    )
+
+
 def usable_depths(grid, cols, extent):
     """Written once: the products read it more than once."""
     return materialise(gr.usable_depth(grid, cols, extent))
@@ -223,7 +233,7 @@ def gradient(spark, sf):
     ),
 )
 def envelope(spark, sf):
-    return rounded(se.profile_envelope(gridded(spark, sf)[0]))
+    return rounded(se.profile_envelope(segmented(spark, sf)[0]))
 
 
 @query(
