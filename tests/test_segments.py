@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thermocline.operators import ordered
+from thermocline.operators import sections as se
 from thermocline.operators.grid import profile_grid, profile_segments, segment_cells, with_neighbours
 from thermocline.plans import queries_grid
 
@@ -18,6 +19,10 @@ def samples(spark):
     return spark.createDataFrame(rows, "glider_id string, profile_index long, depth double, v double")
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_segments_know_the_neighbours_of_their_cells(spark):
     df = samples(spark)
     plain = with_neighbours(profile_grid(df, ["v"]))
@@ -30,6 +35,19 @@ def test_segments_know_the_neighbours_of_their_cells(spark):
     assert sparse == {(7, 3): (None, 4.9), (7, 4): (3.2, None), (8, 5): (None, None), (8, 9): (None, None)}
 
 
+@pytest.mark.parametrize("limit", [None, 30.0, 4.7, 0.7])
+def test_gradient_is_the_same_with_and_without_segments(spark, limit):
+    df = samples(spark)
+    columns = df.select("glider_id", "profile_index", (F.col("profile_index") == 2).alias("after_gap")).distinct()
+    usable = spark.createDataFrame([("G", "v", 41.3)], "glider_id string, variable string, usable_depth double")
+    cells = segment_cells(profile_segments(df, ["v"], neighbours=True))
+    fast, slow = (se.vertical_gradient(g, columns, usable, limit) for g in (cells, profile_grid(df, ["v"])))
+    got = sorted(map(tuple, fast.collect()))
+    assert got == sorted(map(tuple, slow.collect()))
+    # the last cell shown has a one-sided gradient, also that of a sparse profile
+    assert 2 not in {r[1] for r in got} and bool(got) == (limit != 0.7) and any(r[1] == 7 for r in got) == (limit == 4.7)
+
+
 def events(spark, path):
     made = spark.range(2000).select(
         F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60).alias("ts"),
@@ -39,6 +57,12 @@ def events(spark, path):
     return str(path)
 
 
+def test_gradient_moves_no_cell(spark, tmp_path):
+    text = plan(queries_grid.gradient(spark, events(spark, tmp_path)))
+    # joins of small tables only
+    assert "Window" not in text and "Sort" not in text and "hashpartitioning" not in text
+
+
 def test_envelope_counts_few_bins_for_a_key(spark, monkeypatch, tmp_path):
     asked, coarse = [], ordered.coarse_bin
     monkeypatch.setattr(ordered, "coarse_bin", lambda v, octave: asked.append(octave) or coarse(v, octave))

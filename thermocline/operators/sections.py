@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import quotient
 from ..session import materialise
-from .grid import PROFILE, mask_gaps
+from .grid import PROFILE, mask_gaps, with_neighbours
 from .ordered import Runs, exact_quantiles, narrowed_quantiles, number_rows, stats_join, with_quantiles
 
 
@@ -108,19 +108,14 @@ def uneven_gradient(back: Column, here: Column, ahead: Column, x0: Column, x: Co
 def vertical_gradient(grid: DataFrame, columns: DataFrame, usable: DataFrame, limit: float | None = None) -> DataFrame:
     """d(value)/d(depth) of each cell, down to `limit` if one is given; a missing neighbour cell gives no result."""
     cap = usable if limit is None else usable.withColumn("usable_depth", F.least(F.lit(limit), F.col("usable_depth")))
-    along = Window.partitionBy(*PROFILE, "variable").orderBy("cell")
-    cell = F.col("cell")
-    # only what is needed is moved; the centre of a cell follows from its number
-    kept = trimmed(grid, columns, cap).select(*PROFILE, "variable", "cell", "value", F.floor(F.col("usable_depth") - 0.5).alias("last"))
-    shown = kept.withColumns(
-        {
-            "back": F.when(F.lag("cell").over(along) == cell - 1, F.lag("value").over(along)),
-            "ahead": F.when(F.lead("cell").over(along) == cell + 1, F.lead("value").over(along)),
-        }
-    )
+    told = [c for c in ("above", "below") if c in grid.columns]
+    # only what is needed is kept; the centre of a cell follows from its number. A neighbour below the limit
+    # counts for no cell: the last one is taken to have none, and the cells before it reach no further
+    kept = trimmed(grid, columns, cap).select(*PROFILE, "variable", "cell", "value", *told, F.floor(F.col("usable_depth") - 0.5).alias("last"))
+    shown, cell = with_neighbours(kept), F.col("cell")
     x = cell + 0.5
     x0, x1 = F.when(cell > 0, x - 1.0), F.when(cell < F.col("last"), x + 1.0)
-    slope = uneven_gradient(F.col("back"), F.col("value"), F.col("ahead"), x0, x, x1)
+    slope = uneven_gradient(F.col("above"), F.col("value"), F.col("below"), x0, x, x1)
     return shown.withColumn("gradient", slope).filter("gradient IS NOT NULL").select(*PROFILE, "variable", "cell", "gradient")
 
 

@@ -221,7 +221,7 @@ def anomaly(spark, sf):
     ),
 )
 def gradient(spark, sf):
-    grid, cols, extent = gridded(spark, sf)
+    grid, cols, extent = segmented(spark, sf, neighbours=True)
     return rounded(se.vertical_gradient(grid, cols, usable_depths(grid, cols, extent), limit=600.0))
 
 
